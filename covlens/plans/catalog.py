@@ -12,6 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from covlens.operators.coverage import (
     category_ratio, code_drilldown, count_by, coverage_daily, daily_volume, events_per_day,
@@ -33,6 +34,7 @@ from covlens.operators.quality import (
     retrospective_by_slice, size_per_day, slice_completeness, slice_sizes, unmatched_codes,
 )
 from covlens.plans import bindings as B
+from covlens.plans.pipeline import clean
 from covlens.session import shared_dir
 from covlens.sources.scan import line_row_check, read_events
 from covlens.sources.sinks import write_partitioned
@@ -100,6 +102,23 @@ def _retro(spark, d):
     return retrospective_by_slice(shaped, "event_day", "ingest_day", _D(B.RETRO_BEFORE))
 
 
+def _clean(spark, d):
+    """E1 on the text layout of ``events``: validate, derive day, window, write."""
+    text = B.events_text_layout(spark, d)
+    out = shared_dir(spark, "clean")
+    report = clean(spark, f"{text}/ingest_day=*/*.txt", out, _D(B.WINDOW_START), _D(B.WINDOW_END),
+                   schema=B.EVENTS_SCHEMA, kept=CLEAN_KEPT, day_col="day",
+                   derived={"day": F.to_date("ts")})
+    schema = T.StructType([T.StructField("event_id", T.LongType()),
+                           T.StructField("user_id", T.LongType()),
+                           T.StructField("event_type", T.StringType()),
+                           T.StructField("value", T.DoubleType()),
+                           T.StructField("day", T.DateType())])
+    return report, read_events(spark, out, schema=schema).select(*CLEAN_KEPT)
+
+
+CLEAN_KEPT = ["event_id", "day", "user_id", "event_type", "value"]
+
 QUERIES: dict[str, Query] = {
     # axis 1 and its reports (B1)
     "coverage_daily": _coverage,
@@ -172,6 +191,8 @@ QUERIES: dict[str, Query] = {
     "layouts_agree": lambda s, d: layouts_agree(B.events_from_text(s, d)[0],
                                                 B.table(s, d, "events"), "user_id"),
     "partitioned_roundtrip": _partitioned_roundtrip,
+    "clean_consolidated": lambda s, d: _clean(s, d)[1],
+    "clean_report": lambda s, d: _clean(s, d)[0],
     "layout_sizes": lambda s, d: layout_sizes(s, {"text": B.events_text_layout(s, d),
                                                   "parquet": f"{d}/events.parquet"}),
     "slice_sizes": lambda s, d: slice_sizes(file_listing(s, B.events_text_layout(s, d))),
@@ -389,4 +410,11 @@ ORACLE: dict[str, str] = {
                       "CAST(0 AS BIGINT) AS n_differing, true AS agree "
                       "FROM (SELECT user_id FROM events GROUP BY user_id) g"),
     "partitioned_roundtrip": B1,
+    "clean_consolidated": (f"SELECT event_id, day, user_id, event_type, value FROM ({B1}) b "
+                           f"WHERE {IN_WINDOW}"),
+    "clean_report": (
+        f"SELECT n_lines, n_valid, n_lines - n_valid AS n_rejected, n_kept, "
+        f"n_valid - n_kept AS n_removed, {_pct('n_valid - n_kept', 'n_valid')} AS pct_removed "
+        f"FROM (SELECT COUNT(*) AS n_lines, COUNT(*) AS n_valid, "
+        f"COUNT(CASE WHEN {IN_WINDOW} THEN 1 END) AS n_kept FROM ({B1}) b) t"),
 }

@@ -10,20 +10,28 @@ from pyspark.sql import functions as F
 
 def write_partitioned(df: DataFrame, path: str, by: str | Sequence[str],
                       sort: Sequence[str] = (), overwrite: str = "static",
-                      n_partitions: int | None = None) -> None:
+                      n_partitions: int | None = None, shuffle: str = "range") -> None:
     """Overwrite Parquet partitioned by ``by`` (K1, K2).
 
     Rows are range-partitioned on (by, sort) — not hash-partitioned on the day
     alone, which would push a whole (possibly hot) day through one task — so a
     large day spreads over several tasks and each task writes few folders.
     ``overwrite="dynamic"`` replaces only the partitions present in ``df``.
+
+    ``shuffle="none"`` writes map-side with no exchange: right when the input is
+    already clustered by day (time-ordered slice files), so each task touches
+    one or two day folders.
     """
     if overwrite not in ("static", "dynamic"):
         raise ValueError("overwrite must be 'static' or 'dynamic'")
     by = [by] if isinstance(by, str) else list(by)
     keys = [*by, *sort]
-    parts = [n_partitions] if n_partitions else []
-    (df.repartitionByRange(*parts, *keys).sortWithinPartitions(*keys)
+    if shuffle not in ("range", "none"):
+        raise ValueError("shuffle must be 'range' or 'none'")
+    if shuffle == "range":
+        parts = [n_partitions] if n_partitions else []
+        df = df.repartitionByRange(*parts, *keys)
+    (df.sortWithinPartitions(*keys)
      .write.mode("overwrite").option("partitionOverwriteMode", overwrite)
      .partitionBy(*by).parquet(path))
 
