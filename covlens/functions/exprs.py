@@ -20,7 +20,7 @@ def as_col(c: ColumnOrName) -> Column:
 
 def day_from_int(c: ColumnOrName) -> Column:
     """YYYYMMDD integer → DATE; a malformed value gives NULL, not an error."""
-    return F.try_to_date(as_col(c).cast("string"), F.lit("yyyyMMdd"))
+    return F.try_to_date(as_col(c).cast("string"), "yyyyMMdd")
 
 
 def is_weekend(day: ColumnOrName) -> Column:

@@ -143,10 +143,13 @@ def dimension(spark: SparkSession, rows, schema: T.StructType | str | None = Non
 
 
 def read_events(spark: SparkSession, path: Paths, schema: T.StructType | None = None) -> DataFrame:
-    """Parquet scan (S7, S8). Pass ``schema`` to keep partition-column types:
-    an inferred ``bigint`` partition column would come back as ``int``."""
-    reader = spark.read.schema(schema) if schema is not None else spark.read
-    return reader.parquet(*_paths(path))
+    """Parquet scan (S7, S8). Pass ``schema`` to keep partition-column types and
+    positions: an inferred ``bigint`` partition column would come back as
+    ``int``, and a partition column is otherwise moved to the end."""
+    if schema is None:
+        return spark.read.parquet(*_paths(path))
+    return (spark.read.schema(schema).parquet(*_paths(path))
+            .select(*[F.col(f"`{n}`") for n in schema.fieldNames()]))
 
 
 def with_source_file(df: DataFrame, name_col: str = "source_file",
