@@ -34,7 +34,9 @@ from covlens.operators.quality import (
     retrospective_by_slice, size_per_day, slice_completeness, slice_sizes, unmatched_codes,
 )
 from covlens.plans import bindings as B
+from covlens.functions.exprs import period
 from covlens.plans.pipeline import clean
+from covlens.streaming.ingest import clean_incremental
 from covlens.session import shared_dir
 from covlens.sources.scan import line_row_check, read_events
 from covlens.sources.sinks import write_partitioned
@@ -119,6 +121,16 @@ def _clean(spark, d):
 
 CLEAN_KEPT = ["event_id", "day", "user_id", "event_type", "value"]
 
+
+def _clean_incremental(spark, d):
+    """E1 as a file stream over the text layout, drained with availableNow."""
+    text = B.events_text_layout(spark, d)
+    out = shared_dir(spark, "clean-stream")
+    clean_incremental(spark, f"{text}/ingest_day=*/", out, _D(B.WINDOW_START), _D(B.WINDOW_END),
+                      schema=B.EVENTS_SCHEMA, kept=CLEAN_KEPT, day_col="day",
+                      derived={"day": F.to_date("ts")})
+    return spark.read.parquet(out).select(*CLEAN_KEPT)
+
 QUERIES: dict[str, Query] = {
     # axis 1 and its reports (B1)
     "coverage_daily": _coverage,
@@ -193,6 +205,12 @@ QUERIES: dict[str, Query] = {
     "partitioned_roundtrip": _partitioned_roundtrip,
     "clean_consolidated": lambda s, d: _clean(s, d)[1],
     "clean_report": lambda s, d: _clean(s, d)[0],
+    "clean_incremental": _clean_incremental,
+    "null_share_roles": lambda s, d: null_profile(B.pair_events(s, d), ["a", "b"]),
+    "distinct_ids": lambda s, d: (B.coded_events(s, d).where(F.col("raw_code").isNull())
+                                  .select("user_id").distinct()),
+    "period_by_month": lambda s, d: period_distribution(B.table(s, d, "events"),
+                                                        period("ts", "month")),
     "layout_sizes": lambda s, d: layout_sizes(s, {"text": B.events_text_layout(s, d),
                                                   "parquet": f"{d}/events.parquet"}),
     "slice_sizes": lambda s, d: slice_sizes(file_listing(s, B.events_text_layout(s, d))),
@@ -412,6 +430,17 @@ ORACLE: dict[str, str] = {
     "partitioned_roundtrip": B1,
     "clean_consolidated": (f"SELECT event_id, day, user_id, event_type, value FROM ({B1}) b "
                            f"WHERE {IN_WINDOW}"),
+    "clean_incremental": (f"SELECT event_id, day, user_id, event_type, value FROM ({B1}) b "
+                          f"WHERE {IN_WINDOW}"),
+    "null_share_roles": " UNION ALL ".join(
+        f"SELECT '{c}' AS column, COUNT(*) - COUNT({c}) AS n_null, "
+        f"{_pct('COUNT(*) - COUNT(' + c + ')', 'COUNT(*)')} AS pct_null FROM ({B2}) p"
+        for c in ["a", "b"]),
+    "distinct_ids": f"SELECT DISTINCT user_id FROM ({B1}) b WHERE raw_code IS NULL",
+    "period_by_month": (
+        "WITH g AS (SELECT CAST(year(ts) * 100 + month(ts) AS BIGINT) AS period, "
+        "COUNT(*) AS n_events FROM events GROUP BY 1) "
+        f"SELECT period, n_events, {_pct('n_events', 'SUM(n_events) OVER ()')} AS pct FROM g"),
     "clean_report": (
         f"SELECT n_lines, n_valid, n_lines - n_valid AS n_rejected, n_kept, "
         f"n_valid - n_kept AS n_removed, {_pct('n_valid - n_kept', 'n_valid')} AS pct_removed "
