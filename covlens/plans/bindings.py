@@ -113,6 +113,9 @@ def events_text_layout(spark: SparkSession, sf_dir: str) -> str:
     """
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
     path = _TEXT_LAYOUTS.get(key)
+    local = None if path is None or "://" in path else path.removeprefix("file:")
+    if local is not None and not os.path.isdir(local):
+        path = None  # the shared folder was cleared since; write it again
     if path is None:
         path = shared_dir(spark, "events-tsv")
         ev = table(spark, sf_dir, "events")
