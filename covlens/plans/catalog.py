@@ -39,7 +39,7 @@ from covlens.plans.pipeline import clean
 from covlens.streaming.ingest import clean_incremental
 from covlens.session import shared_dir
 from covlens.sources.scan import line_row_check, read_events
-from covlens.sources.sinks import write_partitioned
+from covlens.sources.sinks import roundtrip_check, write_partitioned
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -206,6 +206,8 @@ QUERIES: dict[str, Query] = {
     "clean_consolidated": lambda s, d: _clean(s, d)[1],
     "clean_report": lambda s, d: _clean(s, d)[0],
     "clean_incremental": _clean_incremental,
+    "roundtrip_check": lambda s, d: roundtrip_check(B.table(s, d, "events"),
+                                                    shared_dir(s, "roundtrip")),
     "null_share_roles": lambda s, d: null_profile(B.pair_events(s, d), ["a", "b"]),
     "distinct_ids": lambda s, d: (B.coded_events(s, d).where(F.col("raw_code").isNull())
                                   .select("user_id").distinct()),
@@ -432,6 +434,8 @@ ORACLE: dict[str, str] = {
                            f"WHERE {IN_WINDOW}"),
     "clean_incremental": (f"SELECT event_id, day, user_id, event_type, value FROM ({B1}) b "
                           f"WHERE {IN_WINDOW}"),
+    "roundtrip_check": ("SELECT COUNT(*) AS n_read, COUNT(*) AS n_written, true AS equal "
+                        "FROM events"),
     "null_share_roles": " UNION ALL ".join(
         f"SELECT '{c}' AS column, COUNT(*) - COUNT({c}) AS n_null, "
         f"{_pct('COUNT(*) - COUNT(' + c + ')', 'COUNT(*)')} AS pct_null FROM ({B2}) p"

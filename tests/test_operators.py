@@ -303,3 +303,17 @@ def test_dynamic_overwrite_keeps_other_days_and_types(spark):
     assert "PartitionFilters: [isnotnull(SQLDATE" in scan and "20240103" in scan
     write_partitioned(second, path, "SQLDATE", overwrite="static")
     assert read_events(spark, path, schema=first.schema).count() == 1
+
+
+def test_dimension_rows_prefix_and_null_flag(spark):
+    from pyspark.sql import types as T
+
+    from covlens.functions.exprs import null_flag, starts_with
+    from covlens.sources.scan import dimension
+
+    schema = T.StructType([T.StructField("code", T.StringType()), T.StructField("label", T.StringType())])
+    dim = dimension(spark, [("USA", "United States"), ("SSD", "South Sudan")], schema)
+    assert dim.count() == 2 and dim.columns == ["code", "label"]
+    df = spark.createDataFrame([(20160101,), (20250801,), (None,)], "d long")
+    r = df.select(starts_with("d", "2016").alias("p"), null_flag("d").alias("n")).collect()
+    assert [(x.p, x.n) for x in r] == [(True, 0), (False, 0), (None, 1)]
