@@ -45,14 +45,17 @@ def place_small_side(dim: DataFrame, strategy: str = "auto",
 
 def join_dimension(fact: DataFrame, dim: DataFrame, on: str, dim_key: str | None = None,
                    how: str = "inner", strategy: str = "auto",
-                   max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                   max_rows: int = DEFAULT_BROADCAST_ROWS, check_unique: bool = False) -> DataFrame:
     """Equi-join a fact table to a dimension.
 
     The dimension key is renamed to ``on`` and joined by name, so the result
-    carries one key column. Dimension keys are expected unique; check with
-    ``validate_dimension`` first (an inner join multiplies rows otherwise).
+    carries one key column. Dimension keys are expected unique: an inner join
+    multiplies fact rows otherwise. ``check_unique=True`` fails fast on a
+    repeated key (one aggregate over the dimension, never over the fact).
     """
     dim_key = dim_key or on
+    if check_unique:
+        assert_unique_keys(dim, dim_key)
     if dim_key != on:
         dim = dim.withColumnRenamed(dim_key, on)
     return fact.join(place_small_side(dim, strategy, max_rows), on=on, how=how)

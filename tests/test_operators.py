@@ -317,3 +317,10 @@ def test_dimension_rows_prefix_and_null_flag(spark):
     df = spark.createDataFrame([(20160101,), (20250801,), (None,)], "d long")
     r = df.select(starts_with("d", "2016").alias("p"), null_flag("d").alias("n")).collect()
     assert [(x.p, x.n) for x in r] == [(True, 0), (False, 0), (None, 1)]
+
+
+def test_join_dimension_unique_check(spark, events):
+    dup = spark.createDataFrame([("US", "a"), ("US", "b")], "code string, label string")
+    with pytest.raises(ValueError):
+        join_dimension(events, dup, "code", check_unique=True)
+    assert join_dimension(events, dup, "code").count() == 6      # inflated: 3 US rows x 2
