@@ -324,3 +324,21 @@ def test_join_dimension_unique_check(spark, events):
     with pytest.raises(ValueError):
         join_dimension(events, dup, "code", check_unique=True)
     assert join_dimension(events, dup, "code").count() == 6      # inflated: 3 US rows x 2
+
+
+def test_hot_key_holding_a_third_of_rows(spark, geo):
+    n = 300_000
+    fact = spark.range(0, n, 1, 12).select(
+        F.col("id"),
+        F.when(F.col("id") % 3 == 0, F.lit("US"))
+        .otherwise(F.concat(F.lit("C"), (F.col("id") % 997).cast("string"))).alias("code"),
+        (F.col("id") % 5).alias("quad"), (F.col("id") % 7 / 4).alias("tone"),
+        F.lit(20240105).alias("day"))
+    cov_df = coverage_daily(fact, geo, "code", "day", dim_key="code", label="label",
+                            measure="tone", category="quad", categories={1: "n1"})
+    assert "partial_count" in plan_text(cov_df)      # hot key shrinks map-side
+    assert [(r.code, r.n_events) for r in cov_df.collect()] == [("US", n // 3)]
+    m = match_rate(fact, "code", geo, "code").collect()[0]
+    assert (m.n_coded, m.n_matched) == (n, n // 3)
+    merged = join_dimension(fact.select("id", "code"), geo, "code", strategy="merge")
+    assert merged.count() == n // 3
