@@ -131,6 +131,17 @@ def _clean_incremental(spark, d):
                       derived={"day": F.to_date("ts")})
     return spark.read.parquet(out).select(*CLEAN_KEPT)
 
+def _retro_by_file(spark, d):
+    """A16 as in the reference: the ingest day comes from the slice file's path."""
+    valid, _ = B.events_from_text(spark, d, keep_source=True)
+    ingest = F.to_date(F.regexp_extract("file_path", r"ingest_day=([0-9]{8})", 1), "yyyyMMdd")
+    shaped = valid.select(
+        ingest.alias("ingest_day"),
+        F.date_sub(F.to_date("ts"), (F.col("user_id") % B.RETRO_MODULUS).cast("int"))
+        .alias("event_day"))
+    return retrospective_by_slice(shaped, "event_day", "ingest_day", _D(B.RETRO_BEFORE))
+
+
 QUERIES: dict[str, Query] = {
     # axis 1 and its reports (B1)
     "coverage_daily": _coverage,
@@ -157,6 +168,7 @@ QUERIES: dict[str, Query] = {
     "period_distribution": lambda s, d: period_distribution(
         B.coded_events(s, d), window_period("day", _D(B.WINDOW_START), _D(B.WINDOW_END))),
     "retrospective_by_slice": _retro,
+    "retrospective_by_file": _retro_by_file,
     "null_profile": lambda s, d: null_profile(B.normalized_events(s, d)),
     "n_groups": lambda s, d: n_groups(B.normalized_events(s, d), "code"),
     "count_by": lambda s, d: count_by(B.normalized_events(s, d), "code"),
@@ -341,6 +353,10 @@ ORACLE: dict[str, str] = {
         "SELECT ingest_day, COUNT(*) AS n_events FROM (SELECT CAST(ts AS DATE) AS ingest_day, "
         "CAST(ts AS DATE) - CAST(user_id % 40 AS INTEGER) AS event_day FROM events) e "
         "WHERE event_day < DATE '2024-01-01' GROUP BY ingest_day"),
+    "retrospective_by_file": (
+        "SELECT ingest_day, COUNT(*) AS n_events FROM (SELECT CAST(ts AS DATE) AS ingest_day, "
+        "CAST(ts AS DATE) - CAST(user_id % 40 AS INTEGER) AS event_day FROM events) e "
+        "WHERE event_day < DATE '2024-01-01' GROUP BY ingest_day"),
     "null_profile": " UNION ALL ".join(
         f"SELECT '{c}' AS column, COUNT(*) - COUNT({c}) AS n_null, "
         f"{_pct('COUNT(*) - COUNT(' + c + ')', 'COUNT(*)')} AS pct_null FROM ({B1N}) e"

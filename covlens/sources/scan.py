@@ -93,22 +93,26 @@ def parse_delimited(lines: DataFrame, schema: T.StructType, sep: str = "\t",
 
 
 def read_lines(spark: SparkSession, paths: Paths) -> DataFrame:
-    """Text lines as ``_raw`` (renamed so a data column ``value`` cannot clash) and
-    the source file name."""
+    """Text lines as ``_raw`` (renamed so a data column ``value`` cannot clash),
+    with the source file name and path."""
     return (spark.read.text(_paths(paths))
-            .select(F.col("value").alias("_raw"), F.col("_metadata.file_name").alias("file_name")))
+            .select(F.col("value").alias("_raw"), F.col("_metadata.file_name").alias("file_name"),
+                    F.col("_metadata.file_path").alias("file_path")))
 
 
 def strict_scan(spark: SparkSession, paths: Paths, schema: T.StructType,
-                sep: str = "\t") -> tuple[DataFrame, DataFrame]:
+                sep: str = "\t", keep_source: bool = False) -> tuple[DataFrame, DataFrame]:
     """(valid rows, rejects) — real validation of every record.
 
-    ``rejects`` has ``file_name, _raw, violations``. Both outputs are lazy
-    views of one parse; writing both reads the text twice.
+    ``rejects`` has ``file_name, _raw, violations``. ``keep_source=True`` also
+    keeps ``file_name, file_path`` on valid rows (S10: the slice a row came
+    from). Both outputs are lazy views of one parse; writing both reads the
+    text twice.
     """
     parsed = parse_delimited(read_lines(spark, paths), schema, sep)
     ok = F.size("violations") == 0
-    valid = parsed.where(ok).select(*[F.col(f"`{f.name}`") for f in schema.fields])
+    source = ["file_name", "file_path"] if keep_source else []
+    valid = parsed.where(ok).select(*[F.col(f"`{f.name}`") for f in schema.fields], *source)
     rejects = parsed.where(~ok).select("file_name", "_raw", "violations")
     return valid, rejects
 
