@@ -45,20 +45,40 @@ def place_small_side(dim: DataFrame, strategy: str = "auto",
 
 def join_dimension(fact: DataFrame, dim: DataFrame, on: str, dim_key: str | None = None,
                    how: str = "inner", strategy: str = "auto",
-                   max_rows: int = DEFAULT_BROADCAST_ROWS, check_unique: bool = False) -> DataFrame:
+                   max_rows: int = DEFAULT_BROADCAST_ROWS, check_unique: bool = False,
+                   salt_buckets: int = 1) -> DataFrame:
     """Equi-join a fact table to a dimension.
 
     The dimension key is renamed to ``on`` and joined by name, so the result
     carries one key column. Dimension keys are expected unique: an inner join
     multiplies fact rows otherwise. ``check_unique=True`` fails fast on a
     repeated key (one aggregate over the dimension, never over the fact).
+
+    ``salt_buckets > 1`` spreads each key of a shuffle join over that many
+    tasks, whatever AQE does: fact rows get a salt from a hash of their own
+    values (deterministic, so a recomputed task sends each row to the same
+    place), and dimension rows are repeated once per salt. Ignored when the
+    dimension is broadcast, where there is no shuffle to skew.
     """
     dim_key = dim_key or on
     if check_unique:
         assert_unique_keys(dim, dim_key)
     if dim_key != on:
         dim = dim.withColumnRenamed(dim_key, on)
-    return fact.join(place_small_side(dim, strategy, max_rows), on=on, how=how)
+    small = place_small_side(dim, strategy, max_rows)
+    hinted = strategy in ("merge", "shuffle_hash")
+    broadcast = not hinted and small is not dim
+    if salt_buckets <= 1 or broadcast:
+        return fact.join(small, on=on, how=how)
+    if how not in ("inner", "left", "left_outer", "left_semi", "left_anti"):
+        raise ValueError("salting keeps every dimension row once per salt; use an inner or left join")
+    salted_fact = fact.withColumn(
+        "_salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in fact.columns]), F.lit(salt_buckets)))
+    salted_dim = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"),
+                                                              F.lit(salt_buckets - 1).cast("long"))))
+    if hinted:
+        salted_dim = salted_dim.hint(strategy)
+    return salted_fact.join(salted_dim, on=[on, "_salt"], how=how).drop("_salt")
 
 
 def join_roles(fact: DataFrame, dim: DataFrame, dim_key: str, roles: dict[str, str],

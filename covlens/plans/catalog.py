@@ -81,10 +81,11 @@ def _dup_key_dim(spark, d):
     return n.unionByName(n.where(F.col("n_nationkey") == 5))
 
 
-def _row_join(strategy):
+def _row_join(strategy, salt_buckets=1):
     def q(spark, d):
         ev = B.normalized_events(spark, d).select("event_id", "code")
-        return join_dimension(ev, B.nation_dim(spark, d), "code", "n_nationkey", "inner", strategy)
+        return join_dimension(ev, B.nation_dim(spark, d), "code", "n_nationkey", "inner", strategy,
+                              salt_buckets=salt_buckets)
     return q
 
 
@@ -178,6 +179,7 @@ QUERIES: dict[str, Query] = {
                                             B.nation_dim(s, d), "n_nationkey", "n_name"),
     "join_broadcast": _row_join("broadcast"),
     "join_merge": _row_join("merge"),
+    "join_salted": _row_join("merge", salt_buckets=8),
     "prefix_slices": lambda s, d: prefix_slices(B.coded_events(s, d), "day", 0.3),
     # dimensions
     "dimension_diff": lambda s, d: dimension_diff(B.table(s, d, "nation"), B.entity_types(s, d),
@@ -373,6 +375,8 @@ ORACLE: dict[str, str] = {
                        "JOIN nation n ON e.code = n.n_nationkey"),
     "join_merge": (f"SELECT e.event_id, e.code, n.n_name FROM ({B1N}) e "
                    "JOIN nation n ON e.code = n.n_nationkey"),
+    "join_salted": (f"SELECT e.event_id, e.code, n.n_name FROM ({B1N}) e "
+                    "JOIN nation n ON e.code = n.n_nationkey"),
     "prefix_slices": (
         f"WITH b AS ({B1}), u AS (SELECT day, ROW_NUMBER() OVER (ORDER BY day) AS rn "
         "FROM (SELECT DISTINCT day FROM b WHERE day IS NOT NULL) x), "

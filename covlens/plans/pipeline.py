@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from covlens.functions.exprs import pct
 from covlens.operators.coverage import coverage_daily
 from covlens.operators.pairs import pair_filter_report, pair_interactions
-from covlens.operators.prepare import alias_impact, normalize_codes
+from covlens.operators.prepare import alias_impact, normalize_codes, project
 from covlens.operators.quality import match_rate, unmatched_codes
 from covlens.profiles import KEPT_COLUMNS, QUAD_CLASSES, raw_event_schema
 from covlens.sources.scan import parse_delimited, read_lines
@@ -56,7 +56,7 @@ def clean(spark: SparkSession, raw_paths: str | Sequence[str], out_path: str, st
     observed = parsed.observe(obs, F.count(F.lit(1)).alias("n_lines"),
                               F.count_if(ok).alias("n_valid"),
                               F.count_if(inside).alias("n_kept"))
-    consolidated = observed.where(inside).select(*[F.col(f"`{c}`") for c in kept])
+    consolidated = project(observed.where(inside), [f"`{c}`" for c in kept])
     # Map-side write: no exchange, so the observed counts come from this one pass.
     write_partitioned(consolidated, out_path, day_col, overwrite=overwrite, shuffle="none")
     m = obs.get

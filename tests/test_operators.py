@@ -342,3 +342,23 @@ def test_hot_key_holding_a_third_of_rows(spark, geo):
     assert (m.n_coded, m.n_matched) == (n, n // 3)
     merged = join_dimension(fact.select("id", "code"), geo, "code", strategy="merge")
     assert merged.count() == n // 3
+
+
+def test_salted_join_equals_plain_join(spark, geo):
+    fact = spark.range(0, 30_000, 1, 6).select(
+        "id", F.when(F.col("id") % 3 == 0, F.lit("US")).otherwise(F.lit("FR")).alias("code"))
+    plain = join_dimension(fact, geo, "code", strategy="merge")
+    salted = join_dimension(fact, geo, "code", strategy="merge", salt_buckets=8)
+    assert "_salt" in plan_text(salted) and salted.columns == plain.columns
+    assert sorted(salted.collect()) == sorted(plain.collect())
+    left = join_dimension(fact.union(spark.createDataFrame([(-1, "ZZ")], "id long, code string")),
+                          geo, "code", how="left", strategy="merge", salt_buckets=4)
+    assert left.where(F.col("label").isNull()).count() == 1 and left.count() == 30_001
+
+
+def test_salting_skipped_when_broadcast(spark, geo):
+    fact = spark.createDataFrame([(1, "US")], "id long, code string")
+    j = join_dimension(fact, geo, "code", strategy="auto", salt_buckets=8)
+    assert "_salt" not in plan_text(j) and "BroadcastHashJoin" in plan_text(j)
+    h = join_dimension(fact, geo, "code", strategy="shuffle_hash", salt_buckets=4)
+    assert "_salt" in plan_text(h) and h.count() == 1
