@@ -129,4 +129,4 @@ def events_from_text(spark: SparkSession, sf_dir: str,
                      keep_source: bool = False) -> tuple[DataFrame, DataFrame]:
     """(valid, rejects) of the strict scan of the text layout."""
     path = events_text_layout(spark, sf_dir)
-    return strict_scan(spark, f"{path}/ingest_day=*/*.txt", EVENTS_SCHEMA, keep_source=keep_source)
+    return strict_scan(spark, path, EVENTS_SCHEMA, keep_source=keep_source)

@@ -109,7 +109,7 @@ def _clean(spark, d):
     """E1 on the text layout of ``events``: validate, derive day, window, write."""
     text = B.events_text_layout(spark, d)
     out = shared_dir(spark, "clean")
-    report = clean(spark, f"{text}/ingest_day=*/*.txt", out, _D(B.WINDOW_START), _D(B.WINDOW_END),
+    report = clean(spark, text, out, _D(B.WINDOW_START), _D(B.WINDOW_END),
                    schema=B.EVENTS_SCHEMA, kept=CLEAN_KEPT, day_col="day",
                    derived={"day": F.to_date("ts")})
     schema = T.StructType([T.StructField("event_id", T.LongType()),
@@ -212,7 +212,7 @@ QUERIES: dict[str, Query] = {
     # text layout, strict scan and sinks
     "strict_scan_roundtrip": lambda s, d: B.events_from_text(s, d)[0],
     "line_row_check": lambda s, d: line_row_check(
-        s, f"{B.events_text_layout(s, d)}/ingest_day=*/*.txt", B.EVENTS_SCHEMA),
+        s, B.events_text_layout(s, d), B.EVENTS_SCHEMA),
     "group_count_text": lambda s, d: count_by(B.events_from_text(s, d)[0], "event_type"),
     "layouts_agree": lambda s, d: layouts_agree(B.events_from_text(s, d)[0],
                                                 B.table(s, d, "events"), "user_id"),

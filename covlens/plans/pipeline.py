@@ -23,7 +23,7 @@ from covlens.operators.pairs import pair_filter_report, pair_interactions
 from covlens.operators.prepare import alias_impact, normalize_codes, project
 from covlens.operators.quality import match_rate, unmatched_codes
 from covlens.profiles import KEPT_COLUMNS, QUAD_CLASSES, raw_event_schema
-from covlens.sources.scan import parse_delimited, read_lines
+from covlens.sources.scan import parse_delimited, read_lines, violations
 from covlens.sources.sinks import write_partitioned, write_table
 
 CLEAN_REPORT_SCHEMA = T.StructType([
@@ -47,10 +47,10 @@ def clean(spark: SparkSession, raw_paths: str | Sequence[str], out_path: str, st
     Returns the one-row removal report.
     """
     schema = schema or raw_event_schema()
-    parsed = parse_delimited(read_lines(spark, raw_paths), schema, sep)
+    parsed = parse_delimited(read_lines(spark, raw_paths, source=False), schema, sep)
     for name, expr in (derived or {}).items():
         parsed = parsed.withColumn(name, expr)
-    ok = F.size("violations") == 0
+    ok = F.col("_ok")
     inside = ok & F.col(day_col).between(F.lit(start), F.lit(end))
     obs = Observation("clean")
     observed = parsed.observe(obs, F.count(F.lit(1)).alias("n_lines"),
@@ -62,7 +62,9 @@ def clean(spark: SparkSession, raw_paths: str | Sequence[str], out_path: str, st
     m = obs.get
     n_lines, n_valid, n_kept = int(m["n_lines"]), int(m["n_valid"]), int(m["n_kept"])
     if rejects_path and n_lines > n_valid:
-        write_table(parsed.where(~ok).select("file_name", "_raw", "violations"), rejects_path)
+        rejects = (parse_delimited(read_lines(spark, raw_paths), schema, sep).where(~ok)
+                   .select("file_name", "_raw", violations(schema).alias("violations")))
+        write_table(rejects, rejects_path)
     removed = n_valid - n_kept
     return spark.createDataFrame(
         [(n_lines, n_valid, n_lines - n_valid, n_kept, removed,

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from covlens.profiles import KEPT_COLUMNS, raw_event_schema
 from covlens.session import shared_dir
-from covlens.sources.scan import parse_delimited
+from covlens.sources.scan import parse_delimited, violations
 
 
 def clean_incremental(spark: SparkSession, raw_dir: str, out_path: str, start, end, *,
@@ -35,15 +35,19 @@ def clean_incremental(spark: SparkSession, raw_dir: str, out_path: str, start, e
     """
     schema = schema or raw_event_schema()
     checkpoint = checkpoint or shared_dir(spark, "clean-stream-ckpt")
-    reader = spark.readStream.format("text")
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    lines = reader.load(raw_dir).select(F.col("value").alias("_raw"),
-                                        F.col("_metadata.file_name").alias("file_name"))
-    parsed = parse_delimited(lines, schema, sep)
+    def parsed_stream(source: bool):
+        reader = spark.readStream.format("text")
+        if max_files_per_trigger:
+            reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+        cols = [F.col("value").alias("_raw")]
+        if source:
+            cols.append(F.col("_metadata.file_name").alias("file_name"))
+        return parse_delimited(reader.load(raw_dir).select(*cols), schema, sep)
+
+    parsed = parsed_stream(source=False)
     for name, expr in (derived or {}).items():
         parsed = parsed.withColumn(name, expr)
-    ok = F.size("violations") == 0
+    ok = F.col("_ok")
     inside = ok & F.col(day_col).between(F.lit(start), F.lit(end))
     valid = parsed.where(inside).select(*[F.col(f"`{c}`") for c in kept])
     queries = [
@@ -53,7 +57,8 @@ def clean_incremental(spark: SparkSession, raw_dir: str, out_path: str, start, e
     ]
     if rejects_path:
         queries.append(
-            parsed.where(~ok).select("file_name", "_raw", "violations")
+            parsed_stream(source=True).where(~ok)
+            .select("file_name", "_raw", violations(schema).alias("violations"))
             .writeStream.format("parquet").option("path", rejects_path)
             .option("checkpointLocation", f"{checkpoint}/rejects")
             .trigger(availableNow=True).start())
