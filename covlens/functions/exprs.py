@@ -73,6 +73,22 @@ def slice_floor(ts: ColumnOrName, minutes: int = 15) -> Column:
     )
 
 
+def slice_from_file_name(name: ColumnOrName, pattern: str = r"^([0-9]{14})") -> Column:
+    """Slice start from a ``YYYYMMDDHHMMSS…`` file name (TIMESTAMP_NTZ); NULL if malformed.
+
+    ``pattern``'s first group must capture the 14-digit stamp.
+    """
+    stamp = F.regexp_extract(as_col(name), pattern, 1)
+
+    def part(start: int, length: int) -> Column:
+        return F.substring(stamp, start, length).cast("int")
+
+    # Built from its parts: time-zone free, and an impossible date gives NULL.
+    return F.when(stamp != F.lit(""),
+                  F.try_make_timestamp_ntz(part(1, 4), part(5, 2), part(7, 2), part(9, 2),
+                                           part(11, 2), part(13, 2)))
+
+
 # ---------------------------------------------------------------- labels
 
 def pair_label(a: ColumnOrName, b: ColumnOrName, sep: str = " → ") -> Column:

@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from covlens.functions.exprs import as_col, pct, ratio, slice_floor
+from covlens.functions.exprs import as_col, pct, ratio, slice_floor, slice_from_file_name
 from covlens.operators.coverage import count_by, with_share
 from covlens.operators.joins import place_small_side
 
@@ -135,6 +135,18 @@ def file_listing(spark: SparkSession, path: str | Sequence[str], glob: str | Non
     return reader.load(paths).select("path", "length", "modificationTime")
 
 
+def listed_slices(listing: DataFrame, out: str = "slot",
+                  pattern: str = r"/([0-9]{14})[^/]*$") -> DataFrame:
+    """Slice start of every listed file, parsed from its path.
+
+    By default the stamp is the start of the file name
+    (``…/YYYYMMDDHHMMSS.export.CSV``); pass another ``pattern`` (first group =
+    14 digits) for e.g. one folder per slice. Feeds ``slice_completeness``
+    from a file listing alone: the download check reads no file.
+    """
+    return listing.select(slice_from_file_name("path", pattern).alias(out), "length")
+
+
 def layout_sizes(spark: SparkSession, layouts: Mapping[str, str]) -> DataFrame:
     """Files and bytes of several layouts of the same data, and their size ratio (V5)."""
     parts = [file_listing(spark, p).agg(F.count(F.lit(1)).alias("n_files"),

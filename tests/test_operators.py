@@ -362,3 +362,20 @@ def test_salting_skipped_when_broadcast(spark, geo):
     assert "_salt" not in plan_text(j) and "BroadcastHashJoin" in plan_text(j)
     h = join_dimension(fact, geo, "code", strategy="shuffle_hash", salt_buckets=4)
     assert "_salt" in plan_text(h) and h.count() == 1
+
+
+def test_slice_completeness_from_file_listing(spark, tmp_path):
+    from covlens.operators.quality import file_listing, listed_slices
+
+    folder = tmp_path / "raw"
+    folder.mkdir()
+    for stamp in ["20260801000000", "20260801001500", "20260801004500"]:   # 00:30 missing
+        (folder / f"{stamp}.export.CSV").write_text("x\n")
+    (folder / "notes.txt").write_text("not a slice\n")
+    slots = listed_slices(file_listing(spark, str(folder)))
+    assert slots.where(F.col("slot").isNull()).count() == 1
+    r = slice_completeness(slots, "slot", "2026-08-01 00:00:00", "2026-08-01 00:45:00").collect()[0]
+    assert (r.n_expected, r.n_present, r.n_missing) == (4, 3, 1)
+    miss = [str(x.slot) for x in missing_slices(slots, "slot", "2026-08-01 00:00:00",
+                                                "2026-08-01 00:45:00").collect()]
+    assert miss == ["2026-08-01 00:30:00"]
