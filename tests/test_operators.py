@@ -379,3 +379,27 @@ def test_slice_completeness_from_file_listing(spark, tmp_path):
     miss = [str(x.slot) for x in missing_slices(slots, "slot", "2026-08-01 00:00:00",
                                                 "2026-08-01 00:45:00").collect()]
     assert miss == ["2026-08-01 00:30:00"]
+
+
+def test_file_size_reports(spark, tmp_path):
+    from covlens.operators.quality import file_listing, layout_sizes, size_per_day, slice_sizes
+
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    sizes = {"20260801000000.export.CSV": 100, "20260801001500.export.CSV": 300,
+             "20260802000000.export.CSV": 50}
+    for name, n in sizes.items():
+        (raw / name).write_bytes(b"x" * n)
+    (raw / "_SUCCESS").write_bytes(b"")                      # hidden from the listing
+    small = tmp_path / "small"
+    small.mkdir()
+    (small / "part-0.parquet").write_bytes(b"y" * 45)
+    listing = file_listing(spark, str(raw))
+    s = slice_sizes(listing).collect()[0]
+    assert (s.n_files, s.n_bytes, s.avg_bytes_per_file) == (3, 450, 150.0)
+    per_day = {r.day: (r.n_files, r.n_bytes) for r in
+               size_per_day(listing, r"/([0-9]{8})[0-9]{6}\.export\.CSV$").collect()}
+    assert per_day == {"20260801": (2, 400), "20260802": (1, 50)}
+    lay = {r.layout: (r.n_files, r.n_bytes, r.size_ratio) for r in
+           layout_sizes(spark, {"raw": str(raw), "parquet": str(small)}).collect()}
+    assert lay == {"raw": (3, 450, 10.0), "parquet": (1, 45, 1.0)}
