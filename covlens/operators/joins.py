@@ -20,8 +20,14 @@ STRATEGIES = ("auto", "broadcast", "merge", "shuffle_hash")
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads ≤ max_rows+1 rows)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` has at most ``max_rows`` rows.
+
+    Reads at most ``max_rows + 1`` rows, of one boolean column, in a single
+    stage (``limit`` then an Arrow collect scans partitions incrementally
+    and stops early), so the check costs the same whatever the table size.
+    """
+    probe = df.select(F.lit(True).alias("_")).limit(max_rows + 1)
+    return probe.toArrow().num_rows <= max_rows
 
 
 def place_small_side(dim: DataFrame, strategy: str = "auto",

@@ -36,8 +36,17 @@ RETRO_MODULUS = 40              # event day = ingest day - user_id % 40 days
 RETRO_BEFORE = "2024-01-01"
 
 
+_TABLES: dict[tuple[str, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table; the scan handle (listing and schema) is reused within a session."""
+    path = f"{sf_dir}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, os.path.abspath(path))
+    df = _TABLES.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = _TABLES[key] = spark.read.parquet(path)
+    return df
 
 
 # ---------------------------------------------------------------- B1 coded events
