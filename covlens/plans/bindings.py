@@ -139,3 +139,88 @@ def events_from_text(spark: SparkSession, sf_dir: str,
     """(valid, rejects) of the strict scan of the text layout."""
     path = events_text_layout(spark, sf_dir)
     return strict_scan(spark, path, EVENTS_SCHEMA, keep_source=keep_source)
+
+
+# ---------------------------------------------------------------- B6 raw event feed
+
+RAW_WINDOW = (20240105, 20240125)
+RAW_ALIASES = {"G28": "G3", "G29": "G3"}
+
+
+def raw_feed_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events`` reshaped into the 61-column raw export layout (whole table).
+
+    Codes, categories and measures are derived per row; columns the feed
+    leaves mostly empty stay NULL. Event codes keep leading zeros and the
+    source URL carries the JSON ``props`` text, quotes included.
+    """
+    from covlens.profiles import RAW_EVENT_FIELDS, raw_event_schema
+
+    ev = table(spark, sf_dir, "events")
+    uid, eid = F.col("user_id"), F.col("event_id")
+    day = F.date_format("ts", "yyyyMMdd").cast("long")
+    event_code = F.lpad((eid % 200).cast("string"), 3, "0")
+    derived = {
+        "GlobalEventID": eid,
+        "SQLDATE": day,
+        "MonthYear": F.floor(day / 100).cast("long"),
+        "Year": F.floor(day / 10000).cast("long"),
+        "FractionDate": F.year("ts") + (F.month("ts") * 30 + F.dayofmonth("ts")) / F.lit(365.0),
+        "Actor1Code": F.concat(F.lit("A"), uid.cast("string")),
+        "Actor1Name": F.concat(F.lit("ACTOR "), uid.cast("string")),
+        "Actor1CountryCode": F.when(uid % 4 != 0, F.concat(F.lit("N"), (uid % 27).cast("string"))),
+        "Actor2CountryCode": F.when(eid % 3 != 0, F.concat(F.lit("N"), (eid % 27).cast("string"))),
+        "IsRootEvent": eid % 2,
+        "EventCode": event_code,
+        "EventBaseCode": F.substring(event_code, 1, 3),
+        "EventRootCode": F.substring(event_code, 1, 2),
+        "QuadClass": eid % 5,
+        "GoldsteinScale": (uid % 21).cast("double") - F.lit(10.0),
+        "NumMentions": uid % 7 + 1,
+        "NumSources": uid % 3 + 1,
+        "NumArticles": uid % 5 + 1,
+        "AvgTone": F.col("value"),
+        "ActionGeo_Type": uid % 5 + 1,
+        "ActionGeo_Fullname": F.concat(F.lit("Place "), uid.cast("string")),
+        "ActionGeo_CountryCode": F.when(uid % 10 != 0, F.concat(F.lit("G"), (uid % 30).cast("string"))),
+        "ActionGeo_Lat": (uid % 180).cast("double") - F.lit(90.0),
+        "ActionGeo_Long": (uid % 360).cast("double") - F.lit(180.0),
+        "ActionGeo_FeatureID": uid.cast("string"),
+        "DATEADDED": F.date_format("ts", "yyyyMMddHHmmss").cast("long"),
+        "SOURCEURL": F.col("props"),
+    }
+    schema = raw_event_schema()
+    return ev.select(*[derived.get(name, F.lit(None)).cast(schema[name].dataType).alias(name)
+                       for name, _ in RAW_EVENT_FIELDS],
+                     F.date_format("ts", "yyyyMMdd").alias("ingest_day"))
+
+
+_RAW_LAYOUTS: dict[tuple[str, str], str] = {}
+_RAW_CLEAN: dict[tuple[str, str], str] = {}
+
+
+def raw_feed_layout(spark: SparkSession, sf_dir: str) -> str:
+    """The raw feed as tab-separated text, one folder per ingest day, once per session."""
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    path = _RAW_LAYOUTS.get(key)
+    local = None if path is None or "://" in path else path.removeprefix("file:")
+    if local is not None and not os.path.isdir(local):
+        path = None
+    if path is None:
+        path = shared_dir(spark, "raw-feed")
+        write_delimited(raw_feed_frame(spark, sf_dir), path, partition_by=["ingest_day"])
+        _RAW_LAYOUTS[key] = path
+    return path
+
+
+def geo_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place-code dimension ``(code, label)``: ``G<nationkey>`` → nation name."""
+    n = table(spark, sf_dir, "nation")
+    return n.select(F.concat(F.lit("G"), F.col("n_nationkey").cast("string")).alias("code"),
+                    F.col("n_name").alias("label"))
+
+
+def actor_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Actor-code classification ``(code, entity_type)``: ``N<nationkey>``; one key left out."""
+    t = entity_types(spark, sf_dir)
+    return t.select(F.concat(F.lit("N"), F.col("code").cast("string")).alias("code"), "entity_type")

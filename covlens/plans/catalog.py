@@ -35,7 +35,9 @@ from covlens.operators.quality import (
 )
 from covlens.plans import bindings as B
 from covlens.functions.exprs import period
-from covlens.plans.pipeline import clean
+from covlens.plans.pipeline import aggregate_pairs, aggregate_places, clean
+from covlens.profiles import KEPT_COLUMNS, RAW_EVENT_FIELDS, raw_event_schema
+from covlens.sources.scan import strict_scan
 from covlens.streaming.ingest import clean_incremental
 from covlens.session import shared_dir
 from covlens.sources.scan import line_row_check, read_events
@@ -122,6 +124,38 @@ def _clean(spark, d):
 
 CLEAN_KEPT = ["event_id", "day", "user_id", "event_type", "value"]
 
+_RAW_CONSOLIDATED: dict[tuple[str, str], str] = {}
+
+
+def _raw_kept_schema():
+    schema = raw_event_schema()
+    return T.StructType([schema[c] for c in KEPT_COLUMNS])
+
+
+def _raw_clean(spark, d):
+    """E1 on the 61-column raw feed: validate every field, window, consolidate."""
+    out = shared_dir(spark, "raw-clean")
+    report = clean(spark, B.raw_feed_layout(spark, d), out, *B.RAW_WINDOW)
+    return report, out
+
+
+def _raw_consolidated(spark, d):
+    """The consolidated raw feed, cleaned once per session and shared by axes 1 and 2."""
+    key = (spark.sparkContext.applicationId, d)
+    path = _RAW_CONSOLIDATED.get(key)
+    if path is None:
+        path = _RAW_CONSOLIDATED[key] = _raw_clean(spark, d)[1]
+    return read_events(spark, path, schema=_raw_kept_schema())
+
+
+def _raw_places(spark, d):
+    return aggregate_places(_raw_consolidated(spark, d), B.geo_dim(spark, d),
+                            aliases=B.RAW_ALIASES)
+
+
+def _raw_axis2(spark, d):
+    return aggregate_pairs(_raw_consolidated(spark, d), B.actor_types(spark, d))
+
 
 def _clean_incremental(spark, d):
     """E1 as a file stream over the text layout, drained with availableNow."""
@@ -220,6 +254,20 @@ QUERIES: dict[str, Query] = {
     "clean_consolidated": lambda s, d: _clean(s, d)[1],
     "clean_report": lambda s, d: _clean(s, d)[0],
     "clean_incremental": _clean_incremental,
+    # the 61-column raw feed through the pipeline
+    "raw_group_count": lambda s, d: count_by(
+        strict_scan(s, B.raw_feed_layout(s, d), raw_event_schema())[0], "ActionGeo_CountryCode"),
+    "raw_null_profile": lambda s, d: null_profile(
+        strict_scan(s, B.raw_feed_layout(s, d), raw_event_schema())[0]),
+    "raw_clean": lambda s, d: read_events(s, _raw_clean(s, d)[1], schema=_raw_kept_schema()),
+    "raw_clean_report": lambda s, d: _raw_clean(s, d)[0],
+    "raw_group_count_parquet": lambda s, d: count_by(_raw_consolidated(s, d),
+                                                     "ActionGeo_CountryCode"),
+    "raw_coverage": lambda s, d: _raw_places(s, d)["coverage"],
+    "raw_match_rate": lambda s, d: _raw_places(s, d)["match_rate"],
+    "raw_alias_impact": lambda s, d: _raw_places(s, d)["alias_impact"],
+    "raw_pairs": lambda s, d: _raw_axis2(s, d)["pairs"],
+    "raw_pair_filter": lambda s, d: _raw_axis2(s, d)["pair_filter"],
     "roundtrip_check": lambda s, d: roundtrip_check(B.table(s, d, "events"),
                                                     shared_dir(s, "roundtrip")),
     "null_share_roles": lambda s, d: null_profile(B.pair_events(s, d), ["a", "b"]),
@@ -287,6 +335,50 @@ A_OK = "COALESCE(ta = 'country', false)"
 B_OK = "COALESCE(tb = 'country', false)"
 WEEKEND = "isodow(day) >= 6"
 
+_RAW_SQL_EXPR = {
+    "GlobalEventID": "event_id",
+    "SQLDATE": "CAST(strftime(ts, '%Y%m%d') AS BIGINT)",
+    "MonthYear": "CAST(strftime(ts, '%Y%m') AS BIGINT)",
+    "Year": "CAST(year(ts) AS BIGINT)",
+    "FractionDate": "CAST(year(ts) AS DOUBLE) + CAST(month(ts) * 30 + day(ts) AS DOUBLE) / 365.0",
+    "Actor1Code": "'A' || CAST(user_id AS VARCHAR)",
+    "Actor1Name": "'ACTOR ' || CAST(user_id AS VARCHAR)",
+    "Actor1CountryCode": "CASE WHEN user_id % 4 <> 0 THEN 'N' || CAST(user_id % 27 AS VARCHAR) END",
+    "Actor2CountryCode": "CASE WHEN event_id % 3 <> 0 THEN 'N' || CAST(event_id % 27 AS VARCHAR) END",
+    "IsRootEvent": "CAST(event_id % 2 AS BIGINT)",
+    "EventCode": "lpad(CAST(event_id % 200 AS VARCHAR), 3, '0')",
+    "EventBaseCode": "substr(lpad(CAST(event_id % 200 AS VARCHAR), 3, '0'), 1, 3)",
+    "EventRootCode": "substr(lpad(CAST(event_id % 200 AS VARCHAR), 3, '0'), 1, 2)",
+    "QuadClass": "CAST(event_id % 5 AS BIGINT)",
+    "GoldsteinScale": "CAST(user_id % 21 AS DOUBLE) - CAST(10 AS DOUBLE)",
+    "NumMentions": "CAST(user_id % 7 + 1 AS BIGINT)",
+    "NumSources": "CAST(user_id % 3 + 1 AS BIGINT)",
+    "NumArticles": "CAST(user_id % 5 + 1 AS BIGINT)",
+    "AvgTone": "value",
+    "ActionGeo_Type": "CAST(user_id % 5 + 1 AS BIGINT)",
+    "ActionGeo_Fullname": "'Place ' || CAST(user_id AS VARCHAR)",
+    "ActionGeo_CountryCode": "CASE WHEN user_id % 10 <> 0 THEN 'G' || CAST(user_id % 30 AS VARCHAR) END",
+    "ActionGeo_Lat": "CAST(user_id % 180 AS DOUBLE) - CAST(90 AS DOUBLE)",
+    "ActionGeo_Long": "CAST(user_id % 360 AS DOUBLE) - CAST(180 AS DOUBLE)",
+    "ActionGeo_FeatureID": "CAST(user_id AS VARCHAR)",
+    "DATEADDED": "CAST(strftime(ts, '%Y%m%d%H%M%S') AS BIGINT)",
+    "SOURCEURL": "props",
+}
+_SQL_TYPES = {"L": "BIGINT", "D": "DOUBLE", "S": "VARCHAR"}
+RAW = "SELECT " + ", ".join(
+    f"{_RAW_SQL_EXPR.get(n, 'NULL')}::{_SQL_TYPES[t[0]]} AS {n}" for n, t in RAW_EVENT_FIELDS
+) + " FROM events"
+RAW_KEPT = (f"SELECT {', '.join(KEPT_COLUMNS)} FROM ({RAW}) r "
+            "WHERE SQLDATE BETWEEN 20240105 AND 20240125")
+RAW_NORM = ("SELECT * REPLACE (CASE WHEN ActionGeo_CountryCode = 'G28' THEN 'G3' "
+            "WHEN ActionGeo_CountryCode = 'G29' THEN 'G3' ELSE ActionGeo_CountryCode END "
+            f"AS ActionGeo_CountryCode) FROM ({RAW_KEPT}) k")
+GEO = "SELECT 'G' || CAST(n_nationkey AS VARCHAR) AS code, n_name AS label FROM nation"
+ATYPES = (f"SELECT 'N' || CAST(code AS VARCHAR) AS code, entity_type FROM ({TYPES}) t")
+RAW_TYPED = (f"SELECT k.*, ta.entity_type AS ta, tb.entity_type AS tb FROM ({RAW_KEPT}) k "
+             f"LEFT JOIN ({ATYPES}) ta ON k.Actor1CountryCode = ta.code "
+             f"LEFT JOIN ({ATYPES}) tb ON k.Actor2CountryCode = tb.code")
+
 ORACLE: dict[str, str] = {
     "coverage_daily": COV,
     "match_rate": (
@@ -454,6 +546,55 @@ ORACLE: dict[str, str] = {
                            f"WHERE {IN_WINDOW}"),
     "clean_incremental": (f"SELECT event_id, day, user_id, event_type, value FROM ({B1}) b "
                           f"WHERE {IN_WINDOW}"),
+    "raw_group_count": (f"SELECT ActionGeo_CountryCode, COUNT(*) AS n FROM ({RAW}) r "
+                        "GROUP BY ActionGeo_CountryCode"),
+    "raw_null_profile": " UNION ALL ".join(
+        f"SELECT '{n}' AS column, COUNT(*) - COUNT({n}) AS n_null, "
+        f"{_pct('COUNT(*) - COUNT(' + n + ')', 'COUNT(*)')} AS pct_null FROM ({RAW}) r"
+        for n, _ in RAW_EVENT_FIELDS),
+    "raw_clean": RAW_KEPT,
+    "raw_clean_report": (
+        f"SELECT n_lines, n_valid, n_lines - n_valid AS n_rejected, n_kept, "
+        f"n_valid - n_kept AS n_removed, {_pct('n_valid - n_kept', 'n_valid')} AS pct_removed "
+        "FROM (SELECT COUNT(*) AS n_lines, COUNT(*) AS n_valid, "
+        "COUNT(CASE WHEN SQLDATE BETWEEN 20240105 AND 20240125 THEN 1 END) AS n_kept "
+        f"FROM ({RAW}) r) t"),
+    "raw_group_count_parquet": (f"SELECT ActionGeo_CountryCode, COUNT(*) AS n FROM ({RAW_KEPT}) k "
+                                "GROUP BY ActionGeo_CountryCode"),
+    "raw_coverage": (
+        f"SELECT e.ActionGeo_CountryCode, g.label, e.SQLDATE, COUNT(*) AS n_events, "
+        f"{_mean('e.AvgTone')} AS avg_tone, "
+        "COUNT(CASE WHEN e.QuadClass = 1 THEN 1 END) AS n_verbal_cooperation, "
+        "COUNT(CASE WHEN e.QuadClass = 2 THEN 1 END) AS n_material_cooperation, "
+        "COUNT(CASE WHEN e.QuadClass = 3 THEN 1 END) AS n_verbal_conflict, "
+        "COUNT(CASE WHEN e.QuadClass = 4 THEN 1 END) AS n_material_conflict "
+        f"FROM ({RAW_NORM}) e JOIN ({GEO}) g ON e.ActionGeo_CountryCode = g.code "
+        "GROUP BY e.ActionGeo_CountryCode, g.label, e.SQLDATE"),
+    "raw_match_rate": (
+        f"SELECT n_coded, n_matched, n_coded - n_matched AS n_unmatched, "
+        f"{_pct('n_matched', 'n_coded')} AS pct_matched, "
+        f"{_pct('n_coded - n_matched', 'n_coded')} AS pct_unmatched FROM ("
+        f"SELECT COUNT(*) AS n_coded, COUNT(g.code) AS n_matched FROM ({RAW_NORM}) e "
+        f"LEFT JOIN ({GEO}) g ON e.ActionGeo_CountryCode = g.code "
+        "WHERE e.ActionGeo_CountryCode IS NOT NULL) t"),
+    "raw_alias_impact": (
+        "SELECT n.ActionGeo_CountryCode AS canonical, "
+        "COUNT(CASE WHEN k.ActionGeo_CountryCode = n.ActionGeo_CountryCode THEN 1 END) AS n_before, "
+        "COUNT(*) AS n_after, COUNT(*) - COUNT(CASE WHEN k.ActionGeo_CountryCode = "
+        "n.ActionGeo_CountryCode THEN 1 END) AS n_recovered "
+        f"FROM ({RAW_KEPT}) k JOIN ({RAW_NORM}) n ON k.GlobalEventID = n.GlobalEventID "
+        "WHERE n.ActionGeo_CountryCode IN ('G3') GROUP BY n.ActionGeo_CountryCode"),
+    "raw_pairs": (
+        f"SELECT p.Actor1CountryCode, p.Actor2CountryCode, COUNT(*) AS n_events, "
+        f"{_mean('p.AvgTone')} AS avg_tone FROM ({RAW_TYPED}) p "
+        "WHERE p.ta = 'country' AND p.tb = 'country' "
+        "GROUP BY p.Actor1CountryCode, p.Actor2CountryCode"),
+    "raw_pair_filter": (
+        f"SELECT n_total, n_kept, n_total - n_kept AS n_excluded, "
+        f"{_pct('n_kept', 'n_total')} AS pct_kept, "
+        f"{_pct('n_total - n_kept', 'n_total')} AS pct_excluded FROM ("
+        f"SELECT COUNT(*) AS n_total, COUNT(CASE WHEN {A_OK} AND {B_OK} THEN 1 END) AS n_kept "
+        f"FROM ({RAW_TYPED}) x) t"),
     "roundtrip_check": ("SELECT COUNT(*) AS n_read, COUNT(*) AS n_written, true AS equal "
                         "FROM events"),
     "null_share_roles": " UNION ALL ".join(
