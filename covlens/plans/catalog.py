@@ -266,6 +266,12 @@ QUERIES: dict[str, Query] = {
     "raw_coverage": lambda s, d: _raw_places(s, d)["coverage"],
     "raw_match_rate": lambda s, d: _raw_places(s, d)["match_rate"],
     "raw_alias_impact": lambda s, d: _raw_places(s, d)["alias_impact"],
+    "raw_join_broadcast": lambda s, d: join_dimension(
+        _raw_consolidated(s, d).select("GlobalEventID", "Actor1CountryCode"), B.actor_types(s, d),
+        "Actor1CountryCode", "code", "inner", "broadcast"),
+    "raw_join_merge": lambda s, d: join_dimension(
+        _raw_consolidated(s, d).select("GlobalEventID", "Actor1CountryCode"), B.actor_types(s, d),
+        "Actor1CountryCode", "code", "inner", "merge"),
     "raw_pairs": lambda s, d: _raw_axis2(s, d)["pairs"],
     "raw_pair_filter": lambda s, d: _raw_axis2(s, d)["pair_filter"],
     "roundtrip_check": lambda s, d: roundtrip_check(B.table(s, d, "events"),
@@ -584,6 +590,10 @@ ORACLE: dict[str, str] = {
         "n.ActionGeo_CountryCode THEN 1 END) AS n_recovered "
         f"FROM ({RAW_KEPT}) k JOIN ({RAW_NORM}) n ON k.GlobalEventID = n.GlobalEventID "
         "WHERE n.ActionGeo_CountryCode IN ('G3') GROUP BY n.ActionGeo_CountryCode"),
+    "raw_join_broadcast": (f"SELECT k.GlobalEventID, k.Actor1CountryCode, t.entity_type "
+                           f"FROM ({RAW_KEPT}) k JOIN ({ATYPES}) t ON k.Actor1CountryCode = t.code"),
+    "raw_join_merge": (f"SELECT k.GlobalEventID, k.Actor1CountryCode, t.entity_type "
+                       f"FROM ({RAW_KEPT}) k JOIN ({ATYPES}) t ON k.Actor1CountryCode = t.code"),
     "raw_pairs": (
         f"SELECT p.Actor1CountryCode, p.Actor2CountryCode, COUNT(*) AS n_events, "
         f"{_mean('p.AvgTone')} AS avg_tone FROM ({RAW_TYPED}) p "
