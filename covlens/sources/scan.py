@@ -69,6 +69,14 @@ def _split_pattern(sep: str) -> str:
     return "\\Q" + sep + "\\E"
 
 
+def _sql_str(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _ident(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def parse_delimited(lines: DataFrame, schema: T.StructType, sep: str = "\t",
                     line_col: str = "_raw") -> DataFrame:
     """Typed columns, a ``_ok`` flag and one flag per check, for each text line.
@@ -82,45 +90,44 @@ def parse_delimited(lines: DataFrame, schema: T.StructType, sep: str = "\t",
     ``inline``: a filter on ``_ok`` cannot be pushed below that generator,
     so it never re-splits the line per check. ``_ok`` is a plain boolean,
     which keeps the valid-row path inside whole-stage code generation; the
-    reasons array (``violations``) is built only for rejected rows.
+    reasons array (``violations``) is built only for rejected rows. The
+    expressions are handed over as SQL text in one call, so a wide schema
+    costs no per-expression round trips from Python.
     """
     n = len(schema.fields)
     staged = lines.select("*", F.split(F.col(line_col), _split_pattern(sep), -1).alias("_f"))
-    n_fields = F.size("_f")
-    members = [n_fields.alias("_nf")]
-    failed = [n_fields != F.lit(n)]
+    members = ["'_nf', size(_f)"]
+    failed = [f"size(_f) <> {n}"]
     for i, field in enumerate(schema.fields):
-        cell = F.nullif(F.try_element_at(F.col("_f"), F.lit(i + 1)), F.lit(""))
+        cell = f"nullif(try_element_at(_f, {i + 1}), '')"
         if isinstance(field.dataType, T.StringType):
-            members.append(cell.alias(field.name))
+            members.append(f"{_sql_str(field.name)}, {cell}")
         else:
-            value = cell.try_cast(field.dataType)
-            bad = cell.isNotNull() & (~cell.rlike(_guard(field.dataType)) | value.isNull())
-            members += [value.alias(field.name), bad.alias(f"_bad{i}")]
+            value = f"try_cast({cell} AS {field.dataType.simpleString()})"
+            guard = _sql_str(_guard(field.dataType))
+            bad = f"({cell} IS NOT NULL AND (NOT {cell} RLIKE {guard} OR {value} IS NULL))"
+            members += [f"{_sql_str(field.name)}, {value}", f"'_bad{i}', {bad}"]
             failed.append(bad)
         if not field.nullable:
-            members.append(cell.isNull().alias(f"_req{i}"))
-            failed.append(cell.isNull())
-    any_failed = failed[0]
-    for f in failed[1:]:
-        any_failed = any_failed | f
-    members.append((~any_failed).alias("_ok"))
-    keep = [F.col(f"`{c}`") for c in lines.columns]
-    return staged.select(*keep, F.inline(F.array(F.struct(*members))))
+            members.append(f"'_req{i}', ({cell} IS NULL)")
+            failed.append(f"({cell} IS NULL)")
+    members.append(f"'_ok', NOT ({' OR '.join(failed)})")
+    keep = [_ident(c) for c in lines.columns]
+    return staged.selectExpr(*keep, f"inline(array(named_struct({', '.join(members)})))")
 
 
 def violations(schema: T.StructType) -> Column:
     """``array<string>`` of reasons for a row of ``parse_delimited`` (rejects only)."""
     n = len(schema.fields)
-    reasons = [F.when(F.col("_nf") != F.lit(n),
-                      F.concat(F.lit(f"expected {n} fields, found "), F.col("_nf").cast("string")))]
+    reasons = [f"CASE WHEN _nf <> {n} THEN concat('expected {n} fields, found ', "
+               f"CAST(_nf AS STRING)) END"]
     for i, field in enumerate(schema.fields):
         if not isinstance(field.dataType, T.StringType):
-            reasons.append(F.when(F.col(f"_bad{i}"),
-                                  F.lit(f"{field.name}: not a {field.dataType.simpleString()}")))
+            msg = _sql_str(f"{field.name}: not a {field.dataType.simpleString()}")
+            reasons.append(f"CASE WHEN _bad{i} THEN {msg} END")
         if not field.nullable:
-            reasons.append(F.when(F.col(f"_req{i}"), F.lit(f"{field.name}: required")))
-    return F.array_compact(F.array(*reasons))
+            reasons.append(f"CASE WHEN _req{i} THEN {_sql_str(field.name + ': required')} END")
+    return F.expr(f"array_compact(array({', '.join(reasons)}))")
 
 
 def read_lines(spark: SparkSession, paths: Paths, source: bool = True) -> DataFrame:
