@@ -37,7 +37,7 @@ from covlens.plans import bindings as B
 from covlens.functions.exprs import period
 from covlens.plans.pipeline import aggregate_pairs, aggregate_places, clean
 from covlens.profiles import KEPT_COLUMNS, RAW_EVENT_FIELDS, raw_event_schema
-from covlens.sources.scan import strict_scan
+from covlens.sources.scan import strict_scan, typed_scan
 from covlens.streaming.ingest import clean_incremental
 from covlens.session import shared_dir
 from covlens.sources.scan import line_row_check, read_events
@@ -257,6 +257,8 @@ QUERIES: dict[str, Query] = {
     # the 61-column raw feed through the pipeline
     "raw_group_count": lambda s, d: count_by(
         strict_scan(s, B.raw_feed_layout(s, d), raw_event_schema())[0], "ActionGeo_CountryCode"),
+    "raw_group_count_typed": lambda s, d: count_by(
+        typed_scan(s, B.raw_feed_layout(s, d), raw_event_schema()), "ActionGeo_CountryCode"),
     "raw_null_profile": lambda s, d: null_profile(
         strict_scan(s, B.raw_feed_layout(s, d), raw_event_schema())[0]),
     "raw_clean": lambda s, d: read_events(s, _raw_clean(s, d)[1], schema=_raw_kept_schema()),
@@ -554,6 +556,8 @@ ORACLE: dict[str, str] = {
                           f"WHERE {IN_WINDOW}"),
     "raw_group_count": (f"SELECT ActionGeo_CountryCode, COUNT(*) AS n FROM ({RAW}) r "
                         "GROUP BY ActionGeo_CountryCode"),
+    "raw_group_count_typed": (f"SELECT ActionGeo_CountryCode, COUNT(*) AS n FROM ({RAW}) r "
+                              "GROUP BY ActionGeo_CountryCode"),
     "raw_null_profile": " UNION ALL ".join(
         f"SELECT '{n}' AS column, COUNT(*) - COUNT({n}) AS n_null, "
         f"{_pct('COUNT(*) - COUNT(' + n + ')', 'COUNT(*)')} AS pct_null FROM ({RAW}) r"
