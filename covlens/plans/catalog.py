@@ -139,6 +139,13 @@ def _raw_clean(spark, d):
     return report, out
 
 
+def _raw_clean_incremental(spark, d):
+    """E1 on the raw feed as a file stream over its day folders (availableNow)."""
+    out = shared_dir(spark, "raw-clean-stream")
+    clean_incremental(spark, f"{B.raw_feed_layout(spark, d)}/ingest_day=*/", out, *B.RAW_WINDOW)
+    return read_events(spark, out, schema=_raw_kept_schema())
+
+
 def _raw_consolidated(spark, d):
     """The consolidated raw feed, cleaned once per session and shared by axes 1 and 2."""
     key = (spark.sparkContext.applicationId, d)
@@ -263,6 +270,7 @@ QUERIES: dict[str, Query] = {
         strict_scan(s, B.raw_feed_layout(s, d), raw_event_schema())[0]),
     "raw_clean": lambda s, d: read_events(s, _raw_clean(s, d)[1], schema=_raw_kept_schema()),
     "raw_clean_report": lambda s, d: _raw_clean(s, d)[0],
+    "raw_clean_incremental": _raw_clean_incremental,
     "raw_group_count_parquet": lambda s, d: count_by(_raw_consolidated(s, d),
                                                      "ActionGeo_CountryCode"),
     "raw_coverage": lambda s, d: _raw_places(s, d)["coverage"],
@@ -563,6 +571,7 @@ ORACLE: dict[str, str] = {
         f"{_pct('COUNT(*) - COUNT(' + n + ')', 'COUNT(*)')} AS pct_null FROM ({RAW}) r"
         for n, _ in RAW_EVENT_FIELDS),
     "raw_clean": RAW_KEPT,
+    "raw_clean_incremental": RAW_KEPT,
     "raw_clean_report": (
         f"SELECT n_lines, n_valid, n_lines - n_valid AS n_rejected, n_kept, "
         f"n_valid - n_kept AS n_removed, {_pct('n_valid - n_kept', 'n_valid')} AS pct_removed "

@@ -403,3 +403,9 @@ def test_file_size_reports(spark, tmp_path):
     lay = {r.layout: (r.n_files, r.n_bytes, r.size_ratio) for r in
            layout_sizes(spark, {"raw": str(raw), "parquet": str(small)}).collect()}
     assert lay == {"raw": (3, 450, 10.0), "parquet": (1, 45, 1.0)}
+
+
+def test_prefix_and_index_on_empty_input(spark):
+    empty = spark.createDataFrame([], "unit long")
+    assert order_index(empty, "unit").count() == 0
+    assert prefix_slices(empty, "unit", 0.5).count() == 0
