@@ -49,6 +49,10 @@ def window_period(col: str | Column, start, end, labels=("before", "within", "af
 
 # ---------------------------------------------------------------- aliases
 
+# Above this many aliases a dict is looked up in a map literal, not a CASE chain.
+CASE_LIMIT = 8
+
+
 def check_aliases(aliases: Mapping) -> None:
     """Aliases are one level: a canonical code may not itself be an alias."""
     chained = sorted({str(c) for c in aliases.values() if c in aliases})
@@ -69,15 +73,19 @@ def normalize_codes(df: DataFrame, col: str, aliases: Mapping | DataFrame, out:
                     strategy: str = "auto", max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Replace alias codes by their canonical code, once.
 
-    Other codes are unchanged and NULL stays NULL. A dict becomes one CASE
-    expression (no join); a DataFrame map is joined, broadcast when its size
-    check passes, then ``coalesce(canonical, code)``.
+    Other codes are unchanged and NULL stays NULL. A small dict becomes one
+    CASE expression; a larger one a map literal looked up in one step (no
+    join either way); a DataFrame map is joined, broadcast when its size check
+    passes, then ``coalesce(canonical, code)``.
     """
     out = out or col
     if isinstance(aliases, Mapping):
         check_aliases(aliases)
         if not aliases:
             return df.withColumn(out, F.col(col))
+        if len(aliases) > CASE_LIMIT:
+            lookup = F.create_map(*[F.lit(x) for kv in aliases.items() for x in kv])
+            return df.withColumn(out, F.coalesce(F.try_element_at(lookup, F.col(col)), F.col(col)))
         expr = F.when(F.col(col) == F.lit(next(iter(aliases))), F.lit(next(iter(aliases.values()))))
         for alias, canonical in list(aliases.items())[1:]:
             expr = expr.when(F.col(col) == F.lit(alias), F.lit(canonical))

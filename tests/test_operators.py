@@ -409,3 +409,15 @@ def test_prefix_and_index_on_empty_input(spark):
     empty = spark.createDataFrame([], "unit long")
     assert order_index(empty, "unit").count() == 0
     assert prefix_slices(empty, "unit", 0.5).count() == 0
+
+
+def test_large_alias_dict_uses_map_and_matches_join(spark):
+    aliases = {f"A{i}": f"C{i % 7}" for i in range(50)}
+    df = spark.createDataFrame([(f"A{i}",) for i in range(60)] + [(None,), ("C3",)], "code string")
+    by_dict = normalize_codes(df, "code", aliases, out="n")
+    assert "CASE WHEN" not in plan_text(by_dict)
+    amap = spark.createDataFrame(list(aliases.items()), "alias string, canonical string")
+    by_join = normalize_codes(df, "code", amap, out="n")
+    assert sorted(map(tuple, by_dict.collect()), key=str) == sorted(map(tuple, by_join.collect()), key=str)
+    got = dict((r.code, r.n) for r in by_dict.collect())
+    assert got["A10"] == "C3" and got["A55"] == "A55" and got[None] is None and got["C3"] == "C3"
