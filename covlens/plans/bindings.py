@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from covlens.operators.prepare import normalize_codes
-from covlens.session import shared_dir
+from covlens.session import session_key, shared_dir
 from covlens.sources.scan import strict_scan
 from covlens.sources.sinks import write_delimited
 
@@ -42,7 +42,7 @@ _TABLES: dict[tuple[str, str], DataFrame] = {}
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table; the scan handle (listing and schema) is reused within a session."""
     path = f"{sf_dir}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, os.path.abspath(path))
+    key = (session_key(spark), os.path.abspath(path))
     df = _TABLES.get(key)
     if df is None or df.sparkSession is not spark:
         df = _TABLES[key] = spark.read.parquet(path)
@@ -120,7 +120,7 @@ def events_text_layout(spark: SparkSession, sf_dir: str) -> str:
 
     Lives in the shared checkpoint folder, so every executor can read it.
     """
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    key = (session_key(spark), os.path.abspath(sf_dir))
     path = _TEXT_LAYOUTS.get(key)
     local = None if path is None or "://" in path else path.removeprefix("file:")
     if local is not None and not os.path.isdir(local):
@@ -201,7 +201,7 @@ _RAW_CLEAN: dict[tuple[str, str], str] = {}
 
 def raw_feed_layout(spark: SparkSession, sf_dir: str) -> str:
     """The raw feed as tab-separated text, one folder per ingest day, once per session."""
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    key = (session_key(spark), os.path.abspath(sf_dir))
     path = _RAW_LAYOUTS.get(key)
     local = None if path is None or "://" in path else path.removeprefix("file:")
     if local is not None and not os.path.isdir(local):

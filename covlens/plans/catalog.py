@@ -39,7 +39,7 @@ from covlens.plans.pipeline import aggregate_pairs, aggregate_places, clean
 from covlens.profiles import KEPT_COLUMNS, RAW_EVENT_FIELDS, raw_event_schema
 from covlens.sources.scan import strict_scan, typed_scan
 from covlens.streaming.ingest import clean_incremental
-from covlens.session import shared_dir
+from covlens.session import session_key, shared_dir
 from covlens.sources.scan import line_row_check, read_events
 from covlens.sources.sinks import roundtrip_check, write_partitioned
 
@@ -148,7 +148,7 @@ def _raw_clean_incremental(spark, d):
 
 def _raw_consolidated(spark, d):
     """The consolidated raw feed, cleaned once per session and shared by axes 1 and 2."""
-    key = (spark.sparkContext.applicationId, d)
+    key = (session_key(spark), d)
     path = _RAW_CONSOLIDATED.get(key)
     if path is None:
         path = _RAW_CONSOLIDATED[key] = _raw_clean(spark, d)[1]

@@ -39,15 +39,30 @@ def get_spark(master: str = "local[*]", shuffle_partitions: int = 8,
     )
 
 
+def session_key(spark: SparkSession) -> str:
+    """Identifies the running application (for per-session memos)."""
+    return spark.conf.get("spark.app.id", None) or str(id(spark))
+
+
 def checkpoint_root(spark: SparkSession) -> str:
-    """Shared folder named by the cluster; a fresh local one only if unset."""
+    """Shared folder named by the cluster; a fresh local one only if unset.
+
+    Read from the session configuration, so it also works without a local
+    SparkContext (Spark Connect); the context is consulted only as a fallback.
+    """
     root = spark.conf.get(CHECKPOINT_CONF, None)
     if not root:
-        root = spark.sparkContext.getCheckpointDir()
+        try:
+            root = spark.sparkContext.getCheckpointDir()
+        except Exception:  # noqa: BLE001 - no local context (Spark Connect)
+            root = None
     if not root:
         root = tempfile.mkdtemp(prefix="covlens-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, root)
-        spark.sparkContext.setCheckpointDir(root)
+        try:
+            spark.sparkContext.setCheckpointDir(root)
+        except Exception:  # noqa: BLE001 - no local context (Spark Connect)
+            pass
     return root
 
 
