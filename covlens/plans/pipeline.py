@@ -26,6 +26,13 @@ from covlens.profiles import KEPT_COLUMNS, QUAD_CLASSES, raw_event_schema
 from covlens.sources.scan import parse_delimited, read_lines, violations
 from covlens.sources.sinks import write_partitioned, write_table
 
+def _glob_escape(path: str) -> str:
+    """Escape glob characters so a listed file path is read as itself."""
+    for ch in "\\*?[]{}":
+        path = path.replace(ch, "\\" + ch)
+    return path
+
+
 CLEAN_REPORT_SCHEMA = T.StructType([
     T.StructField("n_lines", T.LongType()), T.StructField("n_valid", T.LongType()),
     T.StructField("n_rejected", T.LongType()), T.StructField("n_kept", T.LongType()),
@@ -42,27 +49,36 @@ def clean(spark: SparkSession, raw_paths: str | Sequence[str], out_path: str, st
 
     ``derived`` adds computed columns (e.g. a day from a timestamp) before
     the projection. Rejected records are written to ``rejects_path`` only if
-    there are any (known from the observed counts, so a clean feed is read
-    once). ``overwrite="dynamic"`` keeps days outside this run's window.
-    Returns the one-row removal report.
+    there are any: the same pass observes which files hold them, and only
+    those files are read again (a clean feed is read once; a few bad slices
+    cost a few slices). ``overwrite="dynamic"`` keeps days outside this run's
+    window. Returns the one-row removal report.
     """
     schema = schema or raw_event_schema()
-    parsed = parse_delimited(read_lines(spark, raw_paths, source=False), schema, sep)
+    lines = spark.read.text(raw_paths if isinstance(raw_paths, str) else list(raw_paths))
+    lines = lines.select(F.col("value").alias("_raw"),
+                         *([F.col("_metadata.file_path").alias("file_path")] if rejects_path else []))
+    parsed = parse_delimited(lines, schema, sep)
     for name, expr in (derived or {}).items():
         parsed = parsed.withColumn(name, expr)
     ok = F.col("_ok")
     inside = ok & F.col(day_col).between(F.lit(start), F.lit(end))
     obs = Observation("clean")
-    observed = parsed.observe(obs, F.count(F.lit(1)).alias("n_lines"),
-                              F.count_if(ok).alias("n_valid"),
-                              F.count_if(inside).alias("n_kept"))
+    metrics = [F.count(F.lit(1)).alias("n_lines"), F.count_if(ok).alias("n_valid"),
+               F.count_if(inside).alias("n_kept")]
+    if rejects_path:
+        # Files holding rejects: at most the file list the driver already has.
+        metrics.append(F.collect_set(F.when(~ok, F.col("file_path"))).alias("reject_files"))
+    observed = parsed.observe(obs, *metrics)
     consolidated = project(observed.where(inside), [f"`{c}`" for c in kept])
     # Map-side write: no exchange, so the observed counts come from this one pass.
     write_partitioned(consolidated, out_path, day_col, overwrite=overwrite, shuffle="none")
     m = obs.get
     n_lines, n_valid, n_kept = int(m["n_lines"]), int(m["n_valid"]), int(m["n_kept"])
     if rejects_path and n_lines > n_valid:
-        rejects = (parse_delimited(read_lines(spark, raw_paths), schema, sep).where(~ok)
+        # Second pass over only the files that hold rejects, not the whole feed.
+        files = [_glob_escape(f) for f in sorted(m["reject_files"])]
+        rejects = (parse_delimited(read_lines(spark, files), schema, sep).where(~ok)
                    .select("file_name", "_raw", violations(schema).alias("violations")))
         write_table(rejects, rejects_path)
     removed = n_valid - n_kept
