@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from covlens.functions.exprs import period
 from covlens.operators.coverage import (
     category_ratio, code_drilldown, count_by, coverage_daily, daily_volume, events_per_day,
     n_groups, top_codes, totals_by_code, volume_vs_base, weekend_drop,
@@ -30,18 +31,16 @@ from covlens.operators.prepare import (
 )
 from covlens.operators.quality import (
     file_listing, layout_sizes, layouts_agree, match_rate, missing_slices, null_profile,
-    period_distribution,
-    retrospective_by_slice, size_per_day, slice_completeness, slice_sizes, unmatched_codes,
+    period_distribution, retrospective_by_slice, size_per_day, slice_completeness, slice_sizes,
+    unmatched_codes,
 )
 from covlens.plans import bindings as B
-from covlens.functions.exprs import period
 from covlens.plans.pipeline import aggregate_pairs, aggregate_places, clean
 from covlens.profiles import KEPT_COLUMNS, RAW_EVENT_FIELDS, raw_event_schema
-from covlens.sources.scan import strict_scan, typed_scan
-from covlens.streaming.ingest import clean_incremental
 from covlens.session import session_key, shared_dir
-from covlens.sources.scan import line_row_check, read_events
+from covlens.sources.scan import line_row_check, read_events, strict_scan, typed_scan
 from covlens.sources.sinks import roundtrip_check, write_partitioned
+from covlens.streaming.ingest import clean_incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
 
