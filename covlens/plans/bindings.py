@@ -224,3 +224,46 @@ def actor_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Actor-code classification ``(code, entity_type)``: ``N<nationkey>``; one key left out."""
     t = entity_types(spark, sf_dir)
     return t.select(F.concat(F.lit("N"), F.col("code").cast("string")).alias("code"), "entity_type")
+
+
+# ---------------------------------------------------------------- B7 dirty raw feed
+
+# Which events get which corruption (first matching rule wins).
+DIRTY_BAD_ID_EVERY = 97        # GlobalEventID becomes "x<id>": not a bigint
+DIRTY_SHORT_EVERY = 89         # last field dropped: 60 fields instead of 61
+DIRTY_BAD_TONE_EVERY = 83      # AvgTone gets a "d" suffix: not a double
+
+_DIRTY_LAYOUTS: dict[tuple[str, str], str] = {}
+
+
+def dirty_feed_layout(spark: SparkSession, sf_dir: str) -> str:
+    """The raw feed with deterministic bad lines, as text, once per session.
+
+    Every line of ``events`` is kept; some are corrupted so that the strict
+    scan must reject them with a known reason.
+    """
+    from covlens.profiles import RAW_EVENT_FIELDS
+
+    key = (session_key(spark), os.path.abspath(sf_dir))
+    path = _DIRTY_LAYOUTS.get(key)
+    local = None if path is None or "://" in path else path.removeprefix("file:")
+    if local is not None and not os.path.isdir(local):
+        path = None
+    if path is None:
+        path = shared_dir(spark, "dirty-feed")
+        raw = raw_feed_frame(spark, sf_dir)
+        eid = F.col("GlobalEventID")
+        bad_id = eid % DIRTY_BAD_ID_EVERY == 0
+        short = ~bad_id & (eid % DIRTY_SHORT_EVERY == 0)
+        bad_tone = ~bad_id & ~short & (eid % DIRTY_BAD_TONE_EVERY == 0)
+        text = {n: F.coalesce(F.col(n).cast("string"), F.lit("")) for n, _ in RAW_EVENT_FIELDS}
+        text["GlobalEventID"] = F.when(bad_id, F.concat(F.lit("x"), text["GlobalEventID"])) \
+            .otherwise(text["GlobalEventID"])
+        text["AvgTone"] = F.when(bad_tone, F.concat(text["AvgTone"], F.lit("d"))) \
+            .otherwise(text["AvgTone"])
+        line = F.concat_ws("\t", *[text[n] for n, _ in RAW_EVENT_FIELDS])
+        line = F.when(short, F.substring_index(line, "\t", len(RAW_EVENT_FIELDS) - 1)).otherwise(line)
+        (raw.select(line.alias("value"), "ingest_day").write.mode("overwrite")
+         .partitionBy("ingest_day").text(path))
+        _DIRTY_LAYOUTS[key] = path
+    return path

@@ -145,6 +145,17 @@ def _raw_clean_incremental(spark, d):
     return read_events(spark, out, schema=_raw_kept_schema())
 
 
+def _dirty_clean(spark, d):
+    """E1 on the dirty feed, rejects written (second pass over the bad files only)."""
+    out, rej = shared_dir(spark, "dirty-clean"), shared_dir(spark, "dirty-rejects")
+    report = clean(spark, B.dirty_feed_layout(spark, d), out, *B.RAW_WINDOW, rejects_path=rej)
+    return report, rej
+
+
+def _reasons(rejects):
+    return count_by(rejects.select(F.explode("violations").alias("violation")), "violation")
+
+
 def _raw_consolidated(spark, d):
     """The consolidated raw feed, cleaned once per session and shared by axes 1 and 2."""
     key = (session_key(spark), d)
@@ -282,6 +293,13 @@ QUERIES: dict[str, Query] = {
         _raw_consolidated(s, d).select("GlobalEventID", "Actor1CountryCode"), B.actor_types(s, d),
         "Actor1CountryCode", "code", "inner", "merge"),
     "raw_pairs": lambda s, d: _raw_axis2(s, d)["pairs"],
+    # the dirty raw feed: every bad line rejected with its reason
+    "dirty_line_row_check": lambda s, d: line_row_check(s, B.dirty_feed_layout(s, d),
+                                                        raw_event_schema()),
+    "dirty_reject_reasons": lambda s, d: _reasons(
+        strict_scan(s, B.dirty_feed_layout(s, d), raw_event_schema())[1]),
+    "dirty_clean_report": lambda s, d: _dirty_clean(s, d)[0],
+    "dirty_rejects_written": lambda s, d: _reasons(s.read.parquet(_dirty_clean(s, d)[1])),
     "raw_pair_filter": lambda s, d: _raw_axis2(s, d)["pair_filter"],
     "roundtrip_check": lambda s, d: roundtrip_check(B.table(s, d, "events"),
                                                     shared_dir(s, "roundtrip")),
@@ -394,6 +412,11 @@ RAW_TYPED = (f"SELECT k.*, ta.entity_type AS ta, tb.entity_type AS tb FROM ({RAW
              f"LEFT JOIN ({ATYPES}) ta ON k.Actor1CountryCode = ta.code "
              f"LEFT JOIN ({ATYPES}) tb ON k.Actor2CountryCode = tb.code")
 
+DIRTY = ("SELECT SQLDATE, CASE WHEN GlobalEventID % 97 = 0 THEN 'GlobalEventID: not a bigint' "
+         "WHEN GlobalEventID % 89 = 0 THEN 'expected 61 fields, found 60' "
+         "WHEN GlobalEventID % 83 = 0 THEN 'AvgTone: not a double' END AS rule "
+         f"FROM ({RAW}) r")
+
 ORACLE: dict[str, str] = {
     "coverage_daily": COV,
     "match_rate": (
@@ -606,6 +629,19 @@ ORACLE: dict[str, str] = {
                            f"FROM ({RAW_KEPT}) k JOIN ({ATYPES}) t ON k.Actor1CountryCode = t.code"),
     "raw_join_merge": (f"SELECT k.GlobalEventID, k.Actor1CountryCode, t.entity_type "
                        f"FROM ({RAW_KEPT}) k JOIN ({ATYPES}) t ON k.Actor1CountryCode = t.code"),
+    "dirty_line_row_check": (
+        f"SELECT COUNT(*) AS n_lines, COUNT(*) - COUNT(rule) AS n_valid, COUNT(rule) AS n_rejected, "
+        f"COUNT(rule) = 0 AS all_valid FROM ({DIRTY}) x"),
+    "dirty_reject_reasons": (f"SELECT rule AS violation, COUNT(*) AS n FROM ({DIRTY}) x "
+                             "WHERE rule IS NOT NULL GROUP BY rule"),
+    "dirty_clean_report": (
+        "SELECT n_lines, n_valid, n_lines - n_valid AS n_rejected, n_kept, "
+        f"n_valid - n_kept AS n_removed, {_pct('n_valid - n_kept', 'n_valid')} AS pct_removed "
+        "FROM (SELECT COUNT(*) AS n_lines, COUNT(*) - COUNT(rule) AS n_valid, "
+        "COUNT(CASE WHEN rule IS NULL AND SQLDATE BETWEEN 20240105 AND 20240125 THEN 1 END) "
+        f"AS n_kept FROM ({DIRTY}) x) t"),
+    "dirty_rejects_written": (f"SELECT rule AS violation, COUNT(*) AS n FROM ({DIRTY}) x "
+                              "WHERE rule IS NOT NULL GROUP BY rule"),
     "raw_pairs": (
         f"SELECT p.Actor1CountryCode, p.Actor2CountryCode, COUNT(*) AS n_events, "
         f"{_mean('p.AvgTone')} AS avg_tone FROM ({RAW_TYPED}) p "
