@@ -421,3 +421,23 @@ def test_large_alias_dict_uses_map_and_matches_join(spark):
     assert sorted(map(tuple, by_dict.collect()), key=str) == sorted(map(tuple, by_join.collect()), key=str)
     got = dict((r.code, r.n) for r in by_dict.collect())
     assert got["A10"] == "C3" and got["A55"] == "A55" and got[None] is None and got["C3"] == "C3"
+
+
+def test_fits_broadcast_bound_is_exact(spark):
+    from covlens.operators.joins import fits_broadcast
+
+    df = spark.range(0, 100, 1, 7)
+    assert fits_broadcast(df, 100) is True
+    assert fits_broadcast(df, 99) is False
+    assert fits_broadcast(spark.range(0), 0) is True
+
+
+def test_map_side_partitioned_write(spark):
+    path = shared_dir(spark, "test-mapside")
+    df = spark.createDataFrame([(i, 20240101 + i % 3) for i in range(30)], "id long, day long")
+    write_partitioned(df, path, "day", shuffle="none")
+    assert sorted(r.day for r in spark.read.parquet(path).select("day").distinct().collect()) == [
+        20240101, 20240102, 20240103]
+    assert spark.read.parquet(path).count() == 30
+    with pytest.raises(ValueError):
+        write_partitioned(df, path, "day", shuffle="hash")

@@ -81,3 +81,13 @@ def test_crlf_lookup_has_no_trailing_cr(spark, tmp_path):
     assert [(r.code, r.label) for r in rows] == [("AF", "Afghanistan"), ("RI", "Serbia")]
     h = write_lines(tmp_path / "actors.txt", ["CODE\tLABEL", "USA\tUnited States"], newline="\r\n")
     assert lookup_scan(spark, h, ("code", "label"), header=True).collect()[0].label == "United States"
+
+
+def test_failfast_raises_only_when_every_column_is_read(spark, tmp_path):
+    import pytest
+
+    p = write_lines(tmp_path / "bad2.tsv", ["1\tA\t1.0\tv", "xx\tB\t2.0\tw"])
+    df = typed_scan(spark, p, SCHEMA)
+    assert df.select("code").count() == 2          # pruned: the bad id is never parsed
+    with pytest.raises(Exception):
+        df.collect()                               # all columns read: FAILFAST fires
