@@ -27,11 +27,15 @@ def clean_incremental(spark: SparkSession, raw_dir: str, out_path: str, start, e
                       day_col: str = "SQLDATE", derived: Mapping[str, Column] | None = None,
                       sep: str = "\t", checkpoint: str | None = None,
                       rejects_path: str | None = None,
-                      max_files_per_trigger: int | None = None) -> None:
+                      max_files_per_trigger: int | None = None,
+                      trigger_interval: str | None = None) -> list:
     """Append new slices of ``raw_dir`` to the day-partitioned table at ``out_path``.
 
     Rejected records go to ``rejects_path`` (a second sink of the same
-    stream) when given. Blocks until the available files are processed.
+    stream) when given. By default the available files are processed and the
+    call blocks until done (``availableNow``). With ``trigger_interval`` (for
+    example ``"15 minutes"``, the slice cadence) the streams keep running on a
+    processing-time trigger and their handles are returned at once.
     """
     schema = schema or raw_event_schema()
     checkpoint = checkpoint or shared_dir(spark, "clean-stream-ckpt")
@@ -50,17 +54,25 @@ def clean_incremental(spark: SparkSession, raw_dir: str, out_path: str, start, e
     ok = F.col("_ok")
     inside = ok & F.col(day_col).between(F.lit(start), F.lit(end))
     valid = parsed.where(inside).select(*[F.col(f"`{c}`") for c in kept])
+
+    def triggered(writer):
+        if trigger_interval:
+            return writer.trigger(processingTime=trigger_interval)
+        return writer.trigger(availableNow=True)
+
     queries = [
-        valid.writeStream.format("parquet").partitionBy(day_col)
-        .option("path", out_path).option("checkpointLocation", f"{checkpoint}/valid")
-        .trigger(availableNow=True).start()
+        triggered(valid.writeStream.format("parquet").partitionBy(day_col)
+                  .option("path", out_path).option("checkpointLocation", f"{checkpoint}/valid"))
+        .start()
     ]
     if rejects_path:
-        queries.append(
+        queries.append(triggered(
             parsed_stream(source=True).where(~ok)
             .select("file_name", "_raw", violations(schema).alias("violations"))
             .writeStream.format("parquet").option("path", rejects_path)
-            .option("checkpointLocation", f"{checkpoint}/rejects")
-            .trigger(availableNow=True).start())
+            .option("checkpointLocation", f"{checkpoint}/rejects")).start())
+    if trigger_interval:
+        return queries
     for q in queries:
         q.awaitTermination()
+    return []

@@ -29,3 +29,19 @@ def test_new_slices_are_appended_once(spark, tmp_path):
     assert sorted(r.GlobalEventID for r in back.collect()) == [1, 3]
     assert back.where(F.col("SQLDATE") == 20240106).count() == 1
     assert spark.read.parquet(rej).count() == 1
+
+
+def test_continuous_trigger_returns_running_queries(spark, tmp_path):
+    raw = tmp_path / "live"
+    write_lines(raw / "20240105000000.export.CSV", [raw_line(7, 20240105, "US", "", "", 1, 0.0)])
+    out = shared_dir(spark, "test-live-out")
+    queries = clean_incremental(spark, str(raw), out, 20240101, 20240131,
+                                checkpoint=shared_dir(spark, "test-live-ckpt"),
+                                trigger_interval="1 second")
+    try:
+        assert len(queries) == 1 and queries[0].isActive
+        queries[0].processAllAvailable()
+        assert [r.GlobalEventID for r in spark.read.parquet(out).collect()] == [7]
+    finally:
+        for q in queries:
+            q.stop()
