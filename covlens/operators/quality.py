@@ -12,7 +12,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from covlens.functions.exprs import as_col, pct, ratio, slice_floor, slice_from_file_name
+from covlens.functions.exprs import (
+    as_col, is_weekend, pct, ratio, slice_floor, slice_from_file_name,
+)
 from covlens.operators.coverage import count_by, with_share
 from covlens.operators.joins import place_small_side
 
@@ -177,6 +179,21 @@ def size_per_day(listing: DataFrame, day_pattern: str) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n_files"), F.sum("length").cast("long").alias("n_bytes")))
 
 
+def size_by_weekpart(listing: DataFrame, day_pattern: str) -> DataFrame:
+    """Bytes per day on weekdays vs weekend days, from a listing.
+
+    Each part's total is divided by its number of distinct days, so a
+    two-day weekend is compared per day with a single weekday (the 48 h → 24 h
+    normalisation). ``day_pattern``'s first group is the day as ``yyyyMMdd``.
+    """
+    day = F.to_date(F.regexp_extract("path", day_pattern, 1), "yyyyMMdd")
+    return (listing.select(day.alias("_day"), "length").where(F.col("_day").isNotNull())
+            .groupBy(is_weekend("_day").alias("weekend"))
+            .agg(F.count_distinct("_day").alias("n_days"), F.count(F.lit(1)).alias("n_files"),
+                 F.sum("length").cast("long").alias("n_bytes"))
+            .withColumn("bytes_per_day", ratio("n_bytes", "n_days")))
+
+
 def layouts_agree(left: DataFrame, right: DataFrame, cols: str | Sequence[str]) -> DataFrame:
     """One row: do two layouts give the same groups and counts (V6)?
 

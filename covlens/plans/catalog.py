@@ -31,7 +31,8 @@ from covlens.operators.prepare import (
 )
 from covlens.operators.quality import (
     file_listing, layout_sizes, layouts_agree, match_rate, missing_slices, null_profile,
-    period_distribution, retrospective_by_slice, size_per_day, slice_completeness, slice_sizes,
+    period_distribution, retrospective_by_slice, size_by_weekpart, size_per_day,
+    slice_completeness, slice_sizes,
     unmatched_codes,
 )
 from covlens.plans import bindings as B
@@ -311,6 +312,8 @@ QUERIES: dict[str, Query] = {
     "layout_sizes": lambda s, d: layout_sizes(s, {"text": B.events_text_layout(s, d),
                                                   "parquet": f"{d}/events.parquet"}),
     "slice_sizes": lambda s, d: slice_sizes(file_listing(s, B.events_text_layout(s, d))),
+    "size_by_weekpart": lambda s, d: size_by_weekpart(file_listing(s, B.events_text_layout(s, d)),
+                                                      r"ingest_day=([0-9]{8})"),
     "size_per_day": lambda s, d: size_per_day(file_listing(s, B.events_text_layout(s, d)),
                                               r"ingest_day=([0-9]{8})"),
 }

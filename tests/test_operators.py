@@ -441,3 +441,17 @@ def test_map_side_partitioned_write(spark):
     assert spark.read.parquet(path).count() == 30
     with pytest.raises(ValueError):
         write_partitioned(df, path, "day", shuffle="hash")
+
+
+def test_size_by_weekpart_normalises_per_day(spark, tmp_path):
+    from covlens.operators.quality import file_listing, size_by_weekpart
+
+    raw = tmp_path / "wk"
+    raw.mkdir()
+    # Tue 2026-08-04: 420 bytes; Sat 08 + Sun 09: 240 + 260 bytes
+    for name, n in {"20260804000000.export.CSV": 420, "20260808000000.export.CSV": 240,
+                    "20260809000000.export.CSV": 200, "20260809001500.export.CSV": 60}.items():
+        (raw / name).write_bytes(b"z" * n)
+    r = {x.weekend: (x.n_days, x.n_files, x.n_bytes, x.bytes_per_day) for x in
+         size_by_weekpart(file_listing(spark, str(raw)), r"/([0-9]{8})[0-9]{6}").collect()}
+    assert r == {False: (1, 1, 420, 420.0), True: (2, 3, 500, 250.0)}
