@@ -1,5 +1,7 @@
 """Every registered query against its independent DuckDB SQL at sf0.01."""
 
+import re
+
 import duckdb
 import pytest
 
@@ -56,3 +58,18 @@ def test_entry_smoke(spark):
     assert df.count() > 0
     assert df.columns == ["code", "n_name", "day", "n_events", "avg_value",
                           "n_click", "n_view", "n_purchase", "n_error"]
+
+
+def _read_schemas(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [m.group(1) for m in re.finditer(r"ReadSchema: (struct<[^>]*>)", plan)]
+
+
+def test_scans_read_only_the_columns_they_need(spark):
+    cov = _read_schemas(E.queries()["coverage_daily"](spark, SF))
+    assert "struct<ts:timestamp_ntz,user_id:bigint,event_type:string,value:double>" in cov
+    assert "struct<n_nationkey:int,n_name:string>" in cov
+    grp = _read_schemas(E.queries()["raw_group_count_parquet"](spark, SF))
+    assert grp == ["struct<ActionGeo_CountryCode:string>"]
+    pairs = _read_schemas(E.queries()["pair_interactions"](spark, SF))
+    assert "struct<l_orderkey:bigint,l_suppkey:bigint,l_extendedprice:double>" in pairs
