@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from covlens.operators.prepare import normalize_codes
+from covlens.profiles import RAW_EVENT_FIELDS, raw_event_schema
 from covlens.session import session_key, shared_dir
 from covlens.sources.scan import strict_scan
 from covlens.sources.sinks import write_delimited
@@ -112,28 +113,32 @@ EVENTS_SCHEMA = T.StructType([
     T.StructField("props", T.StringType(), True),
 ])
 
-_TEXT_LAYOUTS: dict[tuple[str, str], str] = {}
+_LAYOUTS: dict[tuple[str, str, str], str] = {}
 
 
-def events_text_layout(spark: SparkSession, sf_dir: str) -> str:
-    """``events`` written once per session as tab-separated text, one folder per day.
+def _layout(spark: SparkSession, sf_dir: str, name: str, write) -> str:
+    """A derived table written once per session in the shared folder.
 
-    Lives in the shared checkpoint folder, so every executor can read it.
+    ``write(path)`` writes it; the path is reused until its folder is gone.
     """
-    key = (session_key(spark), os.path.abspath(sf_dir))
-    path = _TEXT_LAYOUTS.get(key)
+    key = (session_key(spark), os.path.abspath(sf_dir), name)
+    path = _LAYOUTS.get(key)
     local = None if path is None or "://" in path else path.removeprefix("file:")
-    if local is not None and not os.path.isdir(local):
-        path = None  # the shared folder was cleared since; write it again
-    if path is None:
-        path = shared_dir(spark, "events-tsv")
-        ev = table(spark, sf_dir, "events")
-        write_delimited(ev.withColumn("ingest_day", F.date_format("ts", "yyyyMMdd")), path,
-                        partition_by=["ingest_day"])
-        _TEXT_LAYOUTS[key] = path
+    if path is None or (local is not None and not os.path.isdir(local)):
+        path = shared_dir(spark, name)
+        write(path)
+        _LAYOUTS[key] = path
     return path
 
 
+def events_text_layout(spark: SparkSession, sf_dir: str) -> str:
+    """``events`` as tab-separated text, one folder per day (binding B5)."""
+    ev = table(spark, sf_dir, "events")
+    return _layout(spark, sf_dir, "events-tsv", lambda path: write_delimited(
+        ev.withColumn("ingest_day", F.date_format("ts", "yyyyMMdd")), path,
+        partition_by=["ingest_day"]))
+
+
 def events_from_text(spark: SparkSession, sf_dir: str,
                      keep_source: bool = False) -> tuple[DataFrame, DataFrame]:
     """(valid, rejects) of the strict scan of the text layout."""
@@ -154,8 +159,6 @@ def raw_feed_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     leaves mostly empty stay NULL. Event codes keep leading zeros and the
     source URL carries the JSON ``props`` text, quotes included.
     """
-    from covlens.profiles import RAW_EVENT_FIELDS, raw_event_schema
-
     ev = table(spark, sf_dir, "events")
     uid, eid = F.col("user_id"), F.col("event_id")
     day = F.date_format("ts", "yyyyMMdd").cast("long")
@@ -195,22 +198,10 @@ def raw_feed_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.date_format("ts", "yyyyMMdd").alias("ingest_day"))
 
 
-_RAW_LAYOUTS: dict[tuple[str, str], str] = {}
-_RAW_CLEAN: dict[tuple[str, str], str] = {}
-
-
 def raw_feed_layout(spark: SparkSession, sf_dir: str) -> str:
-    """The raw feed as tab-separated text, one folder per ingest day, once per session."""
-    key = (session_key(spark), os.path.abspath(sf_dir))
-    path = _RAW_LAYOUTS.get(key)
-    local = None if path is None or "://" in path else path.removeprefix("file:")
-    if local is not None and not os.path.isdir(local):
-        path = None
-    if path is None:
-        path = shared_dir(spark, "raw-feed")
-        write_delimited(raw_feed_frame(spark, sf_dir), path, partition_by=["ingest_day"])
-        _RAW_LAYOUTS[key] = path
-    return path
+    """The raw feed as tab-separated text, one folder per ingest day (binding B6)."""
+    return _layout(spark, sf_dir, "raw-feed", lambda path: write_delimited(
+        raw_feed_frame(spark, sf_dir), path, partition_by=["ingest_day"]))
 
 
 def geo_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -233,24 +224,13 @@ DIRTY_BAD_ID_EVERY = 97        # GlobalEventID becomes "x<id>": not a bigint
 DIRTY_SHORT_EVERY = 89         # last field dropped: 60 fields instead of 61
 DIRTY_BAD_TONE_EVERY = 83      # AvgTone gets a "d" suffix: not a double
 
-_DIRTY_LAYOUTS: dict[tuple[str, str], str] = {}
-
-
 def dirty_feed_layout(spark: SparkSession, sf_dir: str) -> str:
     """The raw feed with deterministic bad lines, as text, once per session.
 
     Every line of ``events`` is kept; some are corrupted so that the strict
     scan must reject them with a known reason.
     """
-    from covlens.profiles import RAW_EVENT_FIELDS
-
-    key = (session_key(spark), os.path.abspath(sf_dir))
-    path = _DIRTY_LAYOUTS.get(key)
-    local = None if path is None or "://" in path else path.removeprefix("file:")
-    if local is not None and not os.path.isdir(local):
-        path = None
-    if path is None:
-        path = shared_dir(spark, "dirty-feed")
+    def write(path: str) -> None:
         raw = raw_feed_frame(spark, sf_dir)
         eid = F.col("GlobalEventID")
         bad_id = eid % DIRTY_BAD_ID_EVERY == 0
@@ -262,8 +242,9 @@ def dirty_feed_layout(spark: SparkSession, sf_dir: str) -> str:
         text["AvgTone"] = F.when(bad_tone, F.concat(text["AvgTone"], F.lit("d"))) \
             .otherwise(text["AvgTone"])
         line = F.concat_ws("\t", *[text[n] for n, _ in RAW_EVENT_FIELDS])
-        line = F.when(short, F.substring_index(line, "\t", len(RAW_EVENT_FIELDS) - 1)).otherwise(line)
+        line = F.when(short, F.substring_index(line, "\t", len(RAW_EVENT_FIELDS) - 1)) \
+            .otherwise(line)
         (raw.select(line.alias("value"), "ingest_day").write.mode("overwrite")
          .partitionBy("ingest_day").text(path))
-        _DIRTY_LAYOUTS[key] = path
-    return path
+
+    return _layout(spark, sf_dir, "dirty-feed", write)
