@@ -73,3 +73,19 @@ def test_scans_read_only_the_columns_they_need(spark):
     assert grp == ["struct<ActionGeo_CountryCode:string>"]
     pairs = _read_schemas(E.queries()["pair_interactions"](spark, SF))
     assert "struct<l_orderkey:bigint,l_suppkey:bigint,l_extendedprice:double>" in pairs
+
+
+def test_filters_reach_the_parquet_scan(spark):
+    from pyspark.sql import functions as F
+
+    from covlens.operators.coverage import code_drilldown
+    from covlens.plans.catalog import _raw_consolidated
+
+    events = _raw_consolidated(spark, SF)
+    drill = code_drilldown(events.where(F.col("SQLDATE") == 20240110), "ActionGeo_CountryCode",
+                           "G3", ["QuadClass"])
+    plan = drill._jdf.queryExecution().executedPlan().toString()
+    scan = [line for line in plan.splitlines() if "FileScan parquet" in line][0]
+    assert "EqualTo(ActionGeo_CountryCode,G3)" in scan            # value filter pushed
+    assert "PartitionFilters: [isnotnull(SQLDATE" in scan and "20240110" in scan
+    assert "ReadSchema: struct<QuadClass:bigint,ActionGeo_CountryCode:string>" in scan
