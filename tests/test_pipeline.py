@@ -51,7 +51,11 @@ def test_clean_then_both_axes(spark, tmp_path):
     assert events.count() == 4
 
     geo = spark.createDataFrame([("US", "United States"), ("RI", "Serbia")], "code string, label string")
-    places = aggregate_places(events, geo, aliases={"RB": "RI"})
+    cov_out = shared_dir(spark, "test-coverage-out")
+    places = aggregate_places(events, geo, cov_out, aliases={"RB": "RI"})
+    written = spark.read.parquet(cov_out)
+    assert written.count() == 2 and "SQLDATE" in written.columns
+    assert sorted(r.SQLDATE for r in written.select("SQLDATE").collect()) == [20240105, 20240105]
     cov = {(r.ActionGeo_CountryCode, r.SQLDATE): r for r in places["coverage"].collect()}
     assert set(cov) == {("US", 20240105), ("RI", 20240105)}
     assert cov[("RI", 20240105)].n_material_conflict == 1
@@ -61,7 +65,9 @@ def test_clean_then_both_axes(spark, tmp_path):
 
     types = spark.createDataFrame([("USA", "country"), ("FRA", "country"), ("EUR", "region")],
                                   "code string, entity_type string")
-    ax2 = aggregate_pairs(events, types)
+    pairs_out = shared_dir(spark, "test-pairs-out")
+    ax2 = aggregate_pairs(events, types, pairs_out)
+    assert spark.read.parquet(pairs_out).count() == 2
     pairs = {(r.Actor1CountryCode, r.Actor2CountryCode): r.n_events for r in ax2["pairs"].collect()}
     assert pairs == {("USA", "FRA"): 1, ("FRA", "USA"): 1}
     pf = ax2["pair_filter"].collect()[0]
