@@ -89,3 +89,13 @@ def test_filters_reach_the_parquet_scan(spark):
     assert "EqualTo(ActionGeo_CountryCode,G3)" in scan            # value filter pushed
     assert "PartitionFilters: [isnotnull(SQLDATE" in scan and "20240110" in scan
     assert "ReadSchema: struct<QuadClass:bigint,ActionGeo_CountryCode:string>" in scan
+
+
+@pytest.mark.parametrize("name, kind", [("join_merge", "SortMergeJoin"),
+                                        ("join_salted", "SortMergeJoin"),
+                                        ("join_broadcast", "BroadcastHashJoin")])
+def test_join_strategy_survives_adaptive_replanning(spark, name, kind):
+    df = E.queries()[name](spark, SF)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString()
+    assert "isFinalPlan=true" in final and kind in final
