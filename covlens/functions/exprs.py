@@ -13,6 +13,7 @@ ColumnOrName = Column | str
 
 
 def as_col(c: ColumnOrName) -> Column:
+    """A column name or a Column, as a Column."""
     return F.col(c) if isinstance(c, str) else c
 
 
@@ -48,6 +49,7 @@ def period_of_int(c: ColumnOrName, unit: str, digits: int = 8) -> Column:
 
 
 def period_of_date(c: ColumnOrName, unit: str) -> Column:
+    """Year, or ``year*100+month``, of a DATE / timestamp column."""
     c = as_col(c)
     if unit == "year":
         return F.year(c).cast("long")

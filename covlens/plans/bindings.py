@@ -68,6 +68,7 @@ def normalized_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def nation_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code dimension ``(n_nationkey, n_name)`` for binding B1."""
     return table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
 
 

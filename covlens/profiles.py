@@ -86,4 +86,5 @@ def raw_event_schema() -> StructType:
 
 
 def required_columns(schema: StructType) -> list[str]:
+    """Names of the fields declared non-nullable."""
     return [f.name for f in schema.fields if not f.nullable]
