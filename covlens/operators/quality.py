@@ -137,6 +137,20 @@ def file_listing(spark: SparkSession, path: str | Sequence[str], glob: str | Non
     return reader.load(paths).select("path", "length", "modificationTime")
 
 
+def prefix_files(listing: DataFrame, fraction: float, path_col: str = "path") -> list[str]:
+    """Paths of the first ``max(1, round(N * fraction))`` listed files, by name.
+
+    The reference's volume subsets: whole slice files in chronological (name)
+    order, chosen before anything is read. Selection runs on the listing with
+    ``prefix_slices``; only the chosen paths come back to the driver, a subset
+    of the file list it already holds for any scan.
+    """
+    from covlens.operators.prepare import prefix_slices
+
+    chosen = prefix_slices(listing.select(path_col), path_col, fraction)
+    return sorted(r[0] for r in chosen.collect())
+
+
 def listed_slices(listing: DataFrame, out: str = "slot",
                   pattern: str = r"/([0-9]{14})[^/]*$") -> DataFrame:
     """Slice start of every listed file, parsed from its path.

@@ -31,7 +31,7 @@ from covlens.operators.prepare import (
 )
 from covlens.operators.quality import (
     file_listing, layout_sizes, layouts_agree, match_rate, missing_slices, null_profile,
-    period_distribution, retrospective_by_slice, size_by_weekpart, size_per_day,
+    period_distribution, prefix_files, retrospective_by_slice, size_by_weekpart, size_per_day,
     slice_completeness, slice_sizes,
     unmatched_codes,
 )
@@ -277,6 +277,9 @@ QUERIES: dict[str, Query] = {
         strict_scan(s, B.raw_feed_layout(s, d), raw_event_schema())[0], "ActionGeo_CountryCode"),
     "raw_group_count_typed": lambda s, d: count_by(
         typed_scan(s, B.raw_feed_layout(s, d), raw_event_schema()), "ActionGeo_CountryCode"),
+    "raw_group_count_prefix": lambda s, d: count_by(
+        typed_scan(s, prefix_files(file_listing(s, B.raw_feed_layout(s, d)), 0.3),
+                   raw_event_schema()), "ActionGeo_CountryCode"),
     "raw_null_profile": lambda s, d: null_profile(
         strict_scan(s, B.raw_feed_layout(s, d), raw_event_schema())[0]),
     "raw_clean": lambda s, d: read_events(s, _raw_clean(s, d)[1], schema=_raw_kept_schema()),

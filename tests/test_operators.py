@@ -455,3 +455,19 @@ def test_size_by_weekpart_normalises_per_day(spark, tmp_path):
     r = {x.weekend: (x.n_days, x.n_files, x.n_bytes, x.bytes_per_day) for x in
          size_by_weekpart(file_listing(spark, str(raw)), r"/([0-9]{8})[0-9]{6}").collect()}
     assert r == {False: (1, 1, 420, 420.0), True: (2, 3, 500, 250.0)}
+
+
+def test_prefix_files_picks_first_files_by_name(spark, tmp_path):
+    from covlens.operators.quality import file_listing, prefix_files
+
+    raw = tmp_path / "slices"
+    raw.mkdir()
+    stamps = ["20260801000000", "20260801001500", "20260801003000", "20260801004500",
+              "20260801010000"]
+    for st in reversed(stamps):
+        (raw / f"{st}.export.CSV").write_text("x\n")
+    listing = file_listing(spark, str(raw))
+    picked = [p.rsplit("/", 1)[1][:14] for p in prefix_files(listing, 0.5)]
+    assert picked == stamps[:2]                      # round(2.5) = 2, half to even
+    assert len(prefix_files(listing, 0.01)) == 1     # at least one file
+    assert len(prefix_files(listing, 1.0)) == 5
