@@ -143,12 +143,14 @@ def prefix_files(listing: DataFrame, fraction: float, path_col: str = "path") ->
     The reference's volume subsets: whole slice files in chronological (name)
     order, chosen before anything is read. Selection runs on the listing with
     ``prefix_slices``; only the chosen paths come back to the driver, a subset
-    of the file list it already holds for any scan.
+    of the file list it already holds for any scan. Paths are glob-escaped,
+    ready to pass to a reader.
     """
     from covlens.operators.prepare import prefix_slices
+    from covlens.sources.scan import literal_path
 
     chosen = prefix_slices(listing.select(path_col), path_col, fraction)
-    return sorted(r[0] for r in chosen.collect())
+    return [literal_path(p) for p in sorted(r[0] for r in chosen.collect())]
 
 
 def listed_slices(listing: DataFrame, out: str = "slot",

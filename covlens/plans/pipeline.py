@@ -23,16 +23,9 @@ from covlens.operators.pairs import pair_filter_report, pair_interactions
 from covlens.operators.prepare import alias_impact, normalize_codes, project
 from covlens.operators.quality import match_rate, unmatched_codes
 from covlens.profiles import KEPT_COLUMNS, QUAD_CLASSES, raw_event_schema
-from covlens.sources.scan import parse_delimited, read_lines, violations
+from covlens.sources.scan import literal_path, parse_delimited, read_lines, violations
 from covlens.sources.sinks import write_partitioned, write_table
 
-def _glob_escape(path: str) -> str:
-    """Escape glob characters so a listed file path is read as itself."""
-    for ch in "\\*?[]{}":
-        path = path.replace(ch, "\\" + ch)
-    return path
-
-
 CLEAN_REPORT_SCHEMA = T.StructType([
     T.StructField("n_lines", T.LongType()), T.StructField("n_valid", T.LongType()),
     T.StructField("n_rejected", T.LongType()), T.StructField("n_kept", T.LongType()),
@@ -77,7 +70,7 @@ def clean(spark: SparkSession, raw_paths: str | Sequence[str], out_path: str, st
     n_lines, n_valid, n_kept = int(m["n_lines"]), int(m["n_valid"]), int(m["n_kept"])
     if rejects_path and n_lines > n_valid:
         # Second pass over only the files that hold rejects, not the whole feed.
-        files = [_glob_escape(f) for f in sorted(m["reject_files"])]
+        files = [literal_path(f) for f in sorted(m["reject_files"])]
         rejects = (parse_delimited(read_lines(spark, files), schema, sep).where(~ok)
                    .select("file_name", "_raw", violations(schema).alias("violations")))
         write_table(rejects, rejects_path)

@@ -26,6 +26,13 @@ TIMESTAMP_PATTERN = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[ T][0-9]{2}:[0-9]{2}:[0-9]{2}(
 BOOLEAN_PATTERN = r"^(true|false)$"
 
 
+def literal_path(path: str) -> str:
+    """Escape glob characters so a listed file path is read as itself."""
+    for ch in "\\*?[]{}":
+        path = path.replace(ch, "\\" + ch)
+    return path
+
+
 def _paths(paths: Paths) -> list[str]:
     return [paths] if isinstance(paths, str) else list(paths)
 

@@ -91,3 +91,12 @@ def test_failfast_raises_only_when_every_column_is_read(spark, tmp_path):
     assert df.select("code").count() == 2          # pruned: the bad id is never parsed
     with pytest.raises(Exception):
         df.collect()                               # all columns read: FAILFAST fires
+
+
+def test_literal_path_reads_a_file_with_glob_characters(spark, tmp_path):
+    from covlens.sources.scan import literal_path
+
+    odd = write_lines(tmp_path / "slice[1]{a}.tsv", ["1\tA\t1.0\tv"])
+    write_lines(tmp_path / "slice1a.tsv", ["2\tB\t2.0\tw"])
+    valid, _ = strict_scan(spark, literal_path("file:" + odd), SCHEMA)
+    assert [r.id for r in valid.collect()] == [1]
