@@ -31,7 +31,8 @@ def n_groups(df: DataFrame, col: str) -> DataFrame:
 def coverage_daily(fact: DataFrame, dim: DataFrame, code: str, day: str, *,
                    dim_key: str, label: str, measure: str, category: str,
                    categories: Mapping, mean_name: str | None = None, scale: int | None = 4,
-                   strategy: str = "auto", ordered: bool = False) -> DataFrame:
+                   strategy: str = "auto", ordered: bool = False,
+                   check_unique: bool = False) -> DataFrame:
     """Axis-1 coverage per (code, label, day).
 
     ``n_events`` counts every row of a matched code; ``categories`` maps a
@@ -51,7 +52,8 @@ def coverage_daily(fact: DataFrame, dim: DataFrame, code: str, day: str, *,
     partial = (fact.where(F.col(code).isNotNull())
                .groupBy(code, day)
                .agg(F.count(F.lit(1)).alias("n_events"), *m_aggs, *cat_aggs))
-    joined = join_dimension(partial, dim.select(dim_key, label), code, dim_key, "inner", strategy)
+    joined = join_dimension(partial, dim.select(dim_key, label), code, dim_key, "inner", strategy,
+                            check_unique=check_unique)
     mean = (ratio("_m_sum", "_m_n") if scale is None
             else mean_from_scaled("_m_sum", "_m_n", scale))
     out = joined.select(code, label, day, "n_events", mean.alias(mean_name),

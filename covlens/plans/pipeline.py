@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from covlens.functions.exprs import pct
 from covlens.operators.coverage import coverage_daily
+from covlens.operators.joins import assert_unique_keys
 from covlens.operators.pairs import pair_filter_report, pair_interactions
 from covlens.operators.prepare import alias_impact, normalize_codes, project
 from covlens.operators.quality import match_rate, unmatched_codes
@@ -85,18 +86,19 @@ def aggregate_places(events: DataFrame, geo: DataFrame, out_path: str | None = N
                      geo_key: str = "code", geo_label: str = "label",
                      aliases: Mapping | None = None, measure: str = "AvgTone",
                      category: str = "QuadClass", categories: Mapping = QUAD_CLASSES,
-                     scale: int | None = 4) -> dict[str, DataFrame]:
+                     scale: int | None = 4, check_unique: bool = True) -> dict[str, DataFrame]:
     """Axis 1 (E2): alias impact, match report, daily coverage per place.
 
     Writes the coverage partitioned by day when ``out_path`` is given.
-    Returns lazy report DataFrames.
+    Returns lazy report DataFrames. ``check_unique`` fails fast on a repeated
+    dimension key, which would otherwise inflate the coverage counts.
     """
     aliases = aliases or {}
     normalized = normalize_codes(events, code, aliases)
     coverage = coverage_daily(normalized, geo, code, day, dim_key=geo_key, label=geo_label,
                               measure=measure, category=category,
                               categories={k: v for k, v in categories.items()},
-                              mean_name="avg_tone", scale=scale)
+                              mean_name="avg_tone", scale=scale, check_unique=check_unique)
     if out_path:
         write_partitioned(coverage, out_path, day, sort=[code])
     return {
@@ -111,8 +113,13 @@ def aggregate_pairs(events: DataFrame, types: DataFrame, out_path: str | None =
                     a: str = "Actor1CountryCode", b: str = "Actor2CountryCode",
                     type_key: str = "code", type_col: str = "entity_type",
                     entity_type: str = "country", measure: str = "AvgTone",
-                    scale: int | None = 4) -> dict[str, DataFrame]:
-    """Axis 2 (E3): match report per role, pair filter accounting, directed pairs."""
+                    scale: int | None = 4, check_unique: bool = True) -> dict[str, DataFrame]:
+    """Axis 2 (E3): match report per role, pair filter accounting, directed pairs.
+
+    ``check_unique`` fails fast on a repeated code in the classification.
+    """
+    if check_unique:
+        assert_unique_keys(types, type_key)
     pairs = pair_interactions(events, types, a, b, type_key=type_key, type_col=type_col,
                               entity_type=entity_type, measure=measure, mean_name="avg_tone",
                               scale=scale)

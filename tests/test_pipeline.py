@@ -84,3 +84,19 @@ def test_clean_rerun_with_narrower_window_keeps_other_days(spark, tmp_path):
     days = sorted(r.SQLDATE for r in spark.read.parquet(out).select("SQLDATE").collect())
     assert days == [20240105, 20240106]
     assert spark.read.parquet(out).where(F.col("SQLDATE") == 20240106).count() == 1
+
+
+def test_axes_refuse_repeated_dimension_keys(spark):
+    import pytest
+
+    events = spark.createDataFrame(
+        [(1, 20240105, "US", "USA", "FRA", 1, 1.0)],
+        "GlobalEventID long, SQLDATE long, ActionGeo_CountryCode string, "
+        "Actor1CountryCode string, Actor2CountryCode string, QuadClass long, AvgTone double")
+    geo = spark.createDataFrame([("US", "United States"), ("US", "USA")], "code string, label string")
+    with pytest.raises(ValueError):
+        aggregate_places(events, geo)
+    types = spark.createDataFrame([("USA", "country"), ("USA", "region")],
+                                  "code string, entity_type string")
+    with pytest.raises(ValueError):
+        aggregate_pairs(events, types)
