@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Functions of this subpackage travel to the executors with their code, so that these need no copy of the library.
+cloudpickle.register_pickle_by_value(sys.modules["covlens.llm"])
+
 #: Bytes of text that one vectorised step works on; bounds the arrays in a Python worker.
 CHUNK_BYTES = 1 << 20
 

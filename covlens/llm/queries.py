@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from covlens.llm import decontaminate, rules
+from covlens.llm import decontaminate, langid, packing, rules
 
 QUERIES = {
     "op1_aho_corasick": decontaminate.op1_aho_corasick,
+    "op4_bm25_packing": packing.op4_bm25_packing,
+    "op5_byte_cnn": langid.op5_byte_cnn,
     "op8_rule_ledger": rules.op8_rule_ledger,
 }
 
