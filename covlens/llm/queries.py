@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from covlens.llm import decontaminate, langid, packing, rules
+from covlens.llm import decontaminate, langid, packing, quality_knn, rules
 
 QUERIES = {
     "op1_aho_corasick": decontaminate.op1_aho_corasick,
     "op4_bm25_packing": packing.op4_bm25_packing,
     "op5_byte_cnn": langid.op5_byte_cnn,
+    "op7_knn_quality": quality_knn.op7_knn_quality,
     "op8_rule_ledger": rules.op8_rule_ledger,
 }
 
