@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import sys
+import uuid
 
 import numpy as np
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from covlens.session import checkpoint_root
+
 # Functions of this subpackage travel to the executors with their code, so that these need no copy of the library.
 cloudpickle.register_pickle_by_value(sys.modules["covlens.llm"])
 
@@ -107,3 +110,27 @@ _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 def is_space(data: np.ndarray) -> np.ndarray:
     """White space of the contracts: space and 0x09 to 0x0D."""
     return _SPACE[data]
+
+
+class Scratch:
+    """Tables written to the shared checkpoint folder, so that a lost executor costs one step at most."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, {}
+
+    def cut(self, df: DataFrame) -> DataFrame:
+        """``df`` as a written table, without its lineage."""
+        path = f"{checkpoint_root(self.spark).rstrip('/')}/covlens/cut-{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[path] = out
+        return out
+
+    def clear(self, *keep: DataFrame) -> None:
+        """Deletes what was written but for the tables that ``keep`` reads."""
+        used = {f.rsplit("/", 1)[0].rsplit("/", 1)[-1] for df in keep for f in df.inputFiles()}
+        hadoop = self.spark._jvm.org.apache.hadoop.fs
+        for path in [p for p in self.paths if p.rsplit("/", 1)[-1] not in used]:
+            at = hadoop.Path(path)
+            at.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(at, True)
+            del self.paths[path]

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from covlens.llm import decontaminate, langid, packing, quality_knn, rules
+from covlens.llm import decontaminate, langid, neardup, packing, quality_knn, rules
 
 QUERIES = {
     "op1_aho_corasick": decontaminate.op1_aho_corasick,
+    "op3_chosen_path": neardup.op3_chosen_path,
     "op4_bm25_packing": packing.op4_bm25_packing,
     "op5_byte_cnn": langid.op5_byte_cnn,
     "op7_knn_quality": quality_knn.op7_knn_quality,
@@ -14,5 +15,6 @@ QUERIES = {
 
 ORACLE = {
     "op1_aho_corasick": decontaminate.OP1_SQL,
+    "op3_chosen_path": neardup.OP3_SQL,
     "op8_rule_ledger": rules.OP8_SQL,
 }
