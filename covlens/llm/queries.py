@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from covlens.llm import decontaminate, langid, neardup, packing, quality_knn, rules
+from covlens.llm import decontaminate, langid, neardup, packing, pii, quality_knn, rules
 
 QUERIES = {
     "op1_aho_corasick": decontaminate.op1_aho_corasick,
+    "op2_feistel_pseudonyms": pii.op2_feistel_pseudonyms,
     "op3_chosen_path": neardup.op3_chosen_path,
     "op4_bm25_packing": packing.op4_bm25_packing,
     "op5_byte_cnn": langid.op5_byte_cnn,
