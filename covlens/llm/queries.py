@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from covlens.llm import decontaminate, langid, neardup, packing, pii, quality_knn, rules
+from covlens.llm import decontaminate, htmltext, langid, neardup, packing, pii, quality_knn, rules
 
 QUERIES = {
     "op1_aho_corasick": decontaminate.op1_aho_corasick,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_chosen_path": neardup.op3_chosen_path,
     "op4_bm25_packing": packing.op4_bm25_packing,
     "op5_byte_cnn": langid.op5_byte_cnn,
+    "op6_boosted_dom": htmltext.op6_boosted_dom,
     "op7_knn_quality": quality_knn.op7_knn_quality,
     "op8_rule_ledger": rules.op8_rule_ledger,
 }
