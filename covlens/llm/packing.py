@@ -19,7 +19,8 @@ An empty table gives no rows. Only the id and text columns are read.
 
 from __future__ import annotations
 
-import zlib
+import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from covlens.llm.common import table
+from covlens.llm.common import chunks, hash_words, joined, table, utf8
 
 WINDOW = 4096
 END_ID = 2
@@ -37,7 +38,9 @@ SHARD_TOKENS = 1 << 20
 SLOTS = 1 << 17
 K1, B = 1.2, 0.75
 #: Entries that a worker's word tables hold before they are emptied.
-CACHE_WORDS = 200_000
+CACHE_WORDS = 300_000
+#: Texts that are encoded together.
+TEXTS_AT_ONCE = 100
 
 
 def default_tokenizer() -> str:
@@ -46,62 +49,83 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-class _Words(dict):
-    """What ``make`` gives for a word, as bytes, remembered for frequent words."""
-
-    def __init__(self, make):
-        super().__init__()
-        self.make = make
-
-    def __missing__(self, word: str) -> bytes:
-        value = self.make(word)
-        if len(word) <= 64:
-            if len(self) >= CACHE_WORDS:
-                self.clear()
-            self[word] = value
-        return value
-
-
-def split(text: str | None) -> list[str]:
-    """Text between line feeds, tabs and spaces; the tokenizer drops white space, so such parts are encoded one by one."""
-    if not isinstance(text, str):
-        return []
-    return [w for w in text.replace("\n", " ").replace("\t", " ").split(" ") if w]
+#: The tokenizer's own pieces of a Latin-1 text in lower case: contractions, letters, one digit, marks.
+_LETTER, _NUMBER, _WHITE = "a-z\u00aa\u00b5\u00ba\u00df-\u00f6\u00f8-\u00ff", "0-9\u00b2\u00b3\u00b9\u00bc-\u00be", "\\t-\\r \u0085\u00a0"
+_PIECES = re.compile(f"'(?:s|t|re|ve|m|ll|d)|[{_LETTER}]+|[{_NUMBER}]|[^{_WHITE}{_LETTER}{_NUMBER}]+")
 
 
 class Encoder:
-    """Token ids of whole texts, with the end id, by the tokenizer file at ``path``."""
+    """Token ids of whole texts, with the end id, by the tokenizer file at ``path``.
+
+    The tokenizer lowers a text, drops its white space and encodes each piece by itself.
+    So the ids of a Latin-1 text's pieces are remembered, and a batch's unknown pieces are
+    encoded together and told apart by their last token, the only one that ends a word.
+    Other texts, and those that may hold a special token, are encoded whole.
+    """
 
     def __init__(self, path: str, end_id: int = END_ID):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the parallelism
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.end = np.array([end_id], "<u4").tobytes()
-        self.words = _Words(lambda w: np.array(self.tokenizer.encode(w, add_special_tokens=False).ids, "<u4").tobytes())
-
-    def __call__(self, words: list[str]) -> np.ndarray:
-        return np.frombuffer(b"".join(map(self.words.__getitem__, words)) + self.end, "<u4")
-
-
-def _slot(word: str) -> bytes:
-    return np.array([zlib.crc32(word.lower().strip(".,;:!?()[]\"'").encode("utf-8", "surrogatepass")) % SLOTS], "<i4").tobytes()
-
-
-def slots_of(cache: _Words, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct word slots and how often each occurs."""
-    return np.unique(np.frombuffer(b"".join(map(cache.__getitem__, words)), "<i4"), return_counts=True)
+        self.known: dict[str, bytes] = {}
+
+    def encode(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+
+    def pieces(self, text) -> list[str] | None:
+        if not isinstance(text, str):
+            return []
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return None
+        return None if "<|" in text else _PIECES.findall(text.lower())
+
+    def __call__(self, texts: list) -> list[np.ndarray]:
+        if len(self.known) > CACHE_WORDS:
+            self.known.clear()
+        known, split = self.known, [self.pieces(t) for t in texts]
+        unknown = list(set().union(*(p for p in split if p)).difference(known))
+        if unknown:
+            ids = self.encode(" ".join(unknown))
+            data, first = ids.tobytes(), 0
+            for piece, end in zip(unknown, (4 * np.flatnonzero(self.ends_word[ids]) + 4).tolist(), strict=True):
+                known[piece] = data[first:end]
+                first = end
+        parts = [self.encode(t).tobytes() if p is None else b"".join(map(known.__getitem__, p)) for t, p in zip(texts, split, strict=True)]
+        return [np.frombuffer(p + self.end, "<u4") for p in parts]
+
+
+_IS_TERM = np.zeros(256, bool)
+_IS_TERM[[*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
+
+
+def slots_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, slot, count) of the distinct word slots of each text, by text; words are runs of letters and digits."""
+    found = []
+    for i, j in chunks(texts):
+        data, begin = joined([t.lower() for t in texts[i:j]])
+        starts, h = hash_words(data, _IS_TERM[data])
+        owner = np.searchsorted(begin, starts, side="right") - 1 + i
+        key, count = np.unique(owner * SLOTS + (h % np.uint64(SLOTS)).astype(np.int64), return_counts=True)
+        found.append((key // SLOTS, key % SLOTS, count))
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.empty(0, np.int64),) * 3
 
 
 def corpus_statistics(docs: DataFrame, text: str = "text") -> tuple[np.ndarray, int, float]:
     """Documents with each word slot, documents, and mean words; SLOTS + 2 numbers reach the driver."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cache, found, n, total = _Words(_slot), np.zeros(SLOTS, np.int64), 0, 0
+        found, n, total = np.zeros(SLOTS, np.int64), 0, 0
         for b in batches:
-            for t in b["text"]:
-                words = split(t)
-                found[slots_of(cache, words)[0]] += 1
-                n, total = n + 1, total + len(words)
+            _, slot, count = slots_of(utf8(b["text"]))
+            found += np.bincount(slot, minlength=SLOTS)
+            n, total = n + len(b), total + int(count.sum())
         at = np.flatnonzero(found)
         yield pd.DataFrame({"slot": np.concatenate((at, [-1, -2])), "n": np.concatenate((found[at], [n, total]))})
 
@@ -221,18 +245,21 @@ def pack(docs: DataFrame, window: int = WINDOW, tokenizer: str | None = None, id
             "doc_tokens": [x[3] for x in r], "sequence_id": [base + x[4] for x in r], "offset": [x[5] for x in r]}).astype({"start": "int64", "length": "int64"})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode, cache, packer = Encoder(path), _Words(_slot), Packer(window)
+        encode, packer = Encoder(path), Packer(window)
         shard, tokens = [], 0
         for b in batches:
-            for doc, t in zip(b["id"], b["text"], strict=True):
-                words = split(t)
-                ids = encode(words)
-                shard.append((None if pd.isna(doc) else doc, ids, *slots_of(cache, words)))
-                tokens += len(ids)
-                if tokens >= shard_tokens:
-                    packer.shard(shard, held.value, mean_words)
-                    shard, tokens = [], 0
-                    yield frame(packer)
+            for i in range(0, len(b), TEXTS_AT_ONCE):
+                part = b.iloc[i : i + TEXTS_AT_ONCE]
+                text, slot, count = slots_of(utf8(part["text"]))
+                edge = np.searchsorted(text, np.arange(len(part) + 1))
+                for k, (doc, ids) in enumerate(zip(part["id"], encode(list(part["text"])), strict=True)):
+                    own = slice(edge[k], edge[k + 1])
+                    shard.append((None if pd.isna(doc) else doc, ids, slot[own], count[own]))
+                    tokens += len(ids)
+                    if tokens >= shard_tokens:
+                        packer.shard(shard, held.value, mean_words)
+                        shard, tokens = [], 0
+                        yield frame(packer)
         if shard:
             packer.shard(shard, held.value, mean_words)
         packer.finish()
