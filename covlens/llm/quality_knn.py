@@ -8,7 +8,7 @@ documents. Every document is compared with every labelled vector by exact cosine
 blocks; the ``NEIGHBOURS`` most similar vote with their labels, weighted by a power of
 the similarity.
 
-At most ``LABELLED`` labelled documents (those with the smallest hash of the text) are
+At most ``LABELLED`` labelled documents (those with the smallest hash) are
 learned from and broadcast, with a projection of ``SLOTS`` x ``RANK`` numbers: both
 bounds hold at every input size. Null texts count as empty; an empty text has its size
 class as its only term. Without labelled rows every score is 0.5. Repeated rows get
@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from covlens.llm.common import chunks, doc_remainder, hash_words, is_space, joined, mix, table, utf8
+from covlens.llm.common import bounded_sample, chunks, doc_remainder, hash_words, is_space, joined, mix, table, utf8
 
 SLOTS = 1 << 14
 RANK = 64
@@ -129,8 +129,8 @@ def vote(vectors: np.ndarray, labelled: np.ndarray, labels: np.ndarray, k: int =
 def score(docs: DataFrame, labelled: DataFrame, text: str = "text", label: str = "label", max_labelled: int = LABELLED) -> DataFrame:
     """``docs`` with ``score``; ``labelled`` has ``text`` and a 0/1 ``label``."""
     body = F.coalesce(F.col(text), F.lit(""))
-    rows = (labelled.where(F.col(label).isNotNull()).select(body.alias("t"), F.col(label).cast("int").alias("y"), F.xxhash64(body).alias("h"))
-            .orderBy("h", "t", "y").limit(max_labelled).collect())
+    known_rows = labelled.where(F.col(label).isNotNull()).select(body.alias("t"), F.col(label).cast("int").alias("y"))
+    rows = bounded_sample(known_rows, F.col("t"), max_labelled).collect()
     held = None
     if rows:
         known = utf8([r["t"] for r in rows])
@@ -152,5 +152,7 @@ def score(docs: DataFrame, labelled: DataFrame, text: str = "text", label: str =
 def op7_knn_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", (doc_remainder(F.col("doc_id"), 3) == 1).alias("held_out"))
     known = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
-    out = score(docs, docs.where("not held_out").join(known, "doc_id"))
+    known = known.where(F.col("label").isNotNull() & (doc_remainder(F.col("doc_id"), 3) != 1))
+    # LABELLED rows at most, so they are sent to the texts
+    out = score(docs, docs.join(F.broadcast(bounded_sample(known, F.col("doc_id"), LABELLED)), "doc_id"))
     return out.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
