@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from covlens.llm.common import replace_columns, table
+from covlens.llm.common import bounded_sample, replace_columns, table
 
 TRAIN_PAGES = 300
 LAYOUTS = 3  # made of each training page
@@ -369,7 +369,7 @@ def fit(sources: list[str], seed: int = 11) -> Boosted:
 def main_text(pages: DataFrame, source: str = "html", max_pages: int = TRAIN_PAGES) -> DataFrame:
     """``pages`` with the column text: the article's blocks, one to a line."""
     body = F.col(f"`{source}`")
-    sample = pages.where(body.isNotNull()).select(F.xxhash64(body).alias("h"), body.alias("s")).orderBy("h", "s").limit(max_pages)
+    sample = bounded_sample(pages.where(body.isNotNull()).select(body.alias("s")), F.col("s"), max_pages)
     held = pages.sparkSession.sparkContext.broadcast(vars(fit([row["s"] for row in sample.collect()])))
 
     @F.pandas_udf("string")

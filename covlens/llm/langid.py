@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from covlens.llm.common import doc_remainder, table, utf8
+from covlens.llm.common import bounded_sample, doc_remainder, table, utf8
 
 WINDOW = 256
 TRAIN_DOCS = 8000
@@ -116,9 +116,8 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", max_docs:
     """A network for rows with a text and a label; ``max_docs`` windows reach the driver."""
     body = F.col(text)
     place = F.pmod(F.xxhash64(body), F.greatest(F.length(body) - WINDOW // 2, F.lit(1))).cast("int") + 1
-    rows = (labelled.where(body.isNotNull() & F.col(lang).isNotNull())
-            .select(F.xxhash64(body, F.lit(1)).alias("h"), F.substring(body, place, F.lit(WINDOW)).alias("t"), F.col(lang).alias("l"))
-            .orderBy("h", "t", "l").limit(max_docs).collect())
+    known = labelled.where(body.isNotNull() & F.col(lang).isNotNull()).select(F.substring(body, place, F.lit(WINDOW)).alias("t"), F.col(lang).alias("l"))
+    rows = bounded_sample(known, F.col("t"), max_docs).collect()
     x = [(windows(utf8([r["t"]])[0])[0][:1], r["l"]) for r in rows if r["t"] and any(c.isalpha() for c in r["t"])]
     if not x:
         return None
