@@ -38,11 +38,11 @@ def bounded_sample(df: DataFrame, key: Column, max_rows: int) -> DataFrame:
     """The ``max_rows`` rows with the smallest hash of ``key`` (all if there are fewer).
 
     Rows are first cut by hash to about twice as many, so that a task passes on few
-    rows whatever its input. Rows of equal key are taken or left by their other columns.
+    rows whatever its input; repeated rows count once.
     """
     share = min(1.0, 2 * max_rows / max(1, df.count()))
     h = F.pmod(F.xxhash64(key, F.lit("sample")), F.lit(1 << 40))
-    cut = df.withColumn("_h", h).where(F.col("_h") < int(share * (1 << 40)))
+    cut = df.withColumn("_h", h).where(F.col("_h") < int(share * (1 << 40))).distinct()
     return cut.orderBy("_h", *df.columns).limit(max_rows).drop("_h")
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from covlens.llm import decontaminate, htmltext, langid, lmscore, neardup, packing, pii, quality_knn, rules
+from covlens.llm import decontaminate, htmltext, langid, lmscore, neardup, packing, pii, quality_knn, rules, substrings
 
 QUERIES = {
     "op1_aho_corasick": decontaminate.op1_aho_corasick,
@@ -13,6 +13,7 @@ QUERIES = {
     "op6_boosted_dom": htmltext.op6_boosted_dom,
     "op7_knn_quality": quality_knn.op7_knn_quality,
     "op8_rule_ledger": rules.op8_rule_ledger,
+    "op9_merged_bwt": substrings.op9_merged_bwt,
     "op10_pseudo_likelihood": lmscore.op10_pseudo_likelihood,
 }
 
