@@ -20,11 +20,12 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pandas as pd
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from covlens.llm.common import table, utf8
+from covlens.llm.common import replace_columns, table, utf8
 
 WINDOW_WORDS = 10
 SHARD_BYTES = 1 << 17
@@ -93,48 +94,56 @@ def char_spans(text: bytes, runs: list[list[int]]) -> list[tuple[int, int]]:
     return [(int(chars[starts[f]]), int(chars[ends[e - 1]])) for f, e in runs]
 
 
-def scan(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW_WORDS, id_col: str = "doc_id", text: str = "text", item_id: str = "item_id",
-         item_text: str = "text", shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """Per document: id, text, n_words, n_hit, items (ids as strings, sorted) and spans ([start, end) characters).
+_RUNS = T.ArrayType(T.ArrayType(T.IntegerType()))
+_FOUND = T.StructType([T.StructField("n_words", T.LongType()), T.StructField("runs", _RUNS), T.StructField("items", T.ArrayType(T.StringType()))])
+_SPANS = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
 
-    Other columns of ``docs`` are left out; join them by id if they are wanted.
-    """
+
+@F.pandas_udf(_SPANS)
+def _char_spans(texts: pd.Series, runs: pd.Series) -> pd.Series:
+    return pd.Series([[{"start": s, "end": e} for s, e in char_spans(t, merge([list(r) for r in rs]))] for t, rs in zip(utf8(texts), runs, strict=True)])
+
+
+@F.pandas_udf("long")
+def _words_hit(runs: pd.Series) -> pd.Series:
+    return pd.Series([sum(e - s for s, e in merge([list(r) for r in rs])) for rs in runs], dtype="int64")
+
+
+def finder(items: Broadcast, n: int):
+    """Column function: a text's words, runs and items by the automaton of ``items``."""
+
+    @F.pandas_udf(_FOUND)
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        a = automaton(items.value, n)
+        for b in batches:
+            got = [matches(a, t) for t in utf8(b)]
+            yield pd.DataFrame({"n_words": [g[0] for g in got], "runs": [g[1] for g in got], "items": [sorted(g[2]) for g in got]})
+
+    return run
+
+
+def scan(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW_WORDS, text: str = "text", item_id: str = "item_id", item_text: str = "text",
+         shard_bytes: int = SHARD_BYTES) -> DataFrame:
+    """``docs`` with n_words, n_hit, items (ids as strings, sorted) and spans ([start, end) characters of the hits)."""
     spark = docs.sparkSession
     items = benchmark.select(F.col(item_id).cast("string").alias("item"), F.col(item_text).alias("body")).where("item is not null and body is not null")
     n_bytes = items.agg(F.coalesce(F.sum(F.octet_length("body")), F.lit(0))).first()[0]
     shards = max(1, -(-n_bytes // shard_bytes))
-    id_field = T.StructField(id_col, docs.schema[id_col].dataType)
-    runs = T.ArrayType(T.ArrayType(T.IntegerType()))
-    state = T.StructType([id_field, T.StructField("text", T.StringType()), T.StructField("n_words", T.LongType()),
-                          T.StructField("runs", runs), T.StructField("items", T.ArrayType(T.StringType()))])
-    out = docs.select(F.col(id_col), F.col(text).alias("text"), F.lit(0).cast("long").alias("n_words"),
-                      F.array().cast(runs).alias("runs"), F.array().cast("array<string>").alias("items"))
+    out = docs
     for s in range(shards):
         part = items.where(F.pmod(F.xxhash64("item", "body"), F.lit(shards)) == s)
         held = spark.sparkContext.broadcast([(r["item"], r["body"]) for r in part.collect()])
-
-        def run(batches: Iterator[pd.DataFrame], held=held) -> Iterator[pd.DataFrame]:
-            a = automaton(held.value, n)
-            for b in batches:
-                got = [matches(a, t) for t in utf8(b["text"])]
-                b["n_words"] = [g[0] for g in got]
-                b["runs"] = [merge([*map(list, r), *g[1]]) for r, g in zip(b["runs"], got, strict=True)]
-                b["items"] = [sorted({*i, *g[2]}) for i, g in zip(b["items"], got, strict=True)]
-                yield b
-
-        out = out.mapInPandas(run, state)
-    hit = F.aggregate("runs", F.lit(0).cast("long"), lambda t, r: t + r[1] - r[0])
-    spans = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
-
-    @F.pandas_udf(spans)
-    def to_chars(texts: pd.Series, all_runs: pd.Series) -> pd.Series:
-        return pd.Series([[{"start": s, "end": e} for s, e in char_spans(t, [list(r) for r in rs])] for t, rs in zip(utf8(texts), all_runs, strict=True)])
-
-    return out.select(id_col, "text", "n_words", hit.alias("n_hit"), "items", to_chars("text", "runs").alias("spans"))
+        out = out.withColumn(f"_found{s}", finder(held, n)(F.col(f"`{text}`")))
+    runs = F.concat(*[F.col(f"_found{s}.runs") for s in range(shards)])
+    out = replace_columns(out, {
+        "n_words": F.col("_found0.n_words"), "n_hit": _words_hit(runs),
+        "items": F.array_sort(F.array_distinct(F.concat(*[F.col(f"_found{s}.items") for s in range(shards)]))),
+        "spans": _char_spans(F.col(f"`{text}`"), runs)})
+    return out.drop(*[f"_found{s}" for s in range(shards)])
 
 
 def op1_aho_corasick(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    out = scan(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
     return out.select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))

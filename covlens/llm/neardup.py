@@ -8,16 +8,16 @@ a node's children are drawn from a hash of its path, and a class follows a child
 it has that token there. Then, level by level:
 
 * a node of at most ``SMALL`` classes is compared exhaustively by tokens;
-* in a larger node everyone is compared with one pivot, and the links found so far
-  make its components. A node of one component is finished; one where at most
+* in a larger node everyone is compared with one pivot, at the roots, and the links found
+  there make its components. A node of one component is finished; one where at most
   ``SMALL`` members lie outside the largest component is finished by comparing those
   with everyone; any other node branches into ``BRANCH`` children;
 * after ``LEVELS`` levels the nodes that are still large are compared in blocks.
 
 Candidates agree in at least ``AGREE`` of the positions (five standard deviations
-below the threshold) and are confirmed on full sets, first one partner of
-each, then whatever still joins two components: a group of copies costs a number of
-comparisons in proportion to its size. Two classes at the threshold meet in a tree
+below the threshold) and are confirmed on full sets: after the roots one partner of
+each, at the end whatever still joins two components. So a group of copies costs a
+number of comparisons in proportion to its size. Two classes at the threshold meet in a tree
 with probability 0.8, so they are missed by all trees with about 3 in a million.
 
 Components are found by alternating large and small stars on tables. Nothing that
@@ -189,25 +189,26 @@ class Components:
         return df.join(known, col, "left").withColumn(out, F.coalesce("_c", F.col(col))).drop("_c")
 
     def add(self, links: DataFrame) -> None:
-        """Joins the components of ``links`` (u, v): large and small stars in turn until nothing moves."""
+        """Joins the components of ``links`` (u, v): large and small stars in turn until only stars are left."""
         if self.labels is not None:
             links = links.unionByName(self.labels.select(F.col("id").alias("u"), F.col("component").alias("v")))
-        edges = links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u > v").distinct()
-        edges, before = self.scratch.cut(edges), None
-        while True:
-            state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-            if state == before:
-                break
-            before = state
+        edges = self.scratch.cut(links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u > v").distinct())
+        while not self.only_stars(edges):
             both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
             least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-            edges = both.join(least, "u").where("v > u and v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-            edges = self.scratch.cut(edges)
-            least = edges.groupBy("u").agg(F.min("v").alias("m"))
-            moved = edges.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+            large = both.join(least, "u").where("v > u and v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+            least = large.groupBy("u").agg(F.min("v").alias("m"))
+            moved = large.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
             edges = self.scratch.cut(moved.unionByName(least.select("u", F.col("m").alias("v"))).where("u > v").distinct())
         self.labels = edges.select(F.col("u").alias("id"), F.col("v").alias("component"))
 
+    @staticmethod
+    def only_stars(edges: DataFrame) -> bool:
+        """No id has two parents, and no parent has one."""
+        ends = edges.select(F.col("u").alias("id"), F.lit(1).alias("child")).unionByName(edges.select(F.col("v").alias("id"), F.lit(0).alias("child")))
+        wrong = ends.groupBy("id").agg(F.sum("child").alias("parents"), F.min("child").alias("least")).where("parents > 1 or (parents = 1 and least = 0)")
+        return wrong.isEmpty()
+
 
 def confirmed(docs: DataFrame, pairs: DataFrame, words: int, similarity: int, scratch: Scratch) -> DataFrame:
     """Pairs (a, b) whose full sets have 100 * intersection >= similarity * union."""
@@ -234,19 +235,10 @@ def confirmed(docs: DataFrame, pairs: DataFrame, words: int, similarity: int, sc
     return right.join(sets.select(F.col("id").alias("a"), F.col("members").alias("x")), "a").where(similar("x", "y")).select(F.col("a").alias("u"), F.col("b").alias("v"))
 
 
-def link(docs: DataFrame, candidates: DataFrame, components: Components, words: int, similarity: int, scratch: Scratch) -> None:
-    """Adds the candidates (a, b, agree) that hold: one partner of each first, then what still joins two components."""
-    candidates = scratch.cut(candidates.groupBy("a", "b").agg(F.max("agree").alias("agree")))
-    if candidates.isEmpty():
-        return
-    for only_one in (True, False):
-        pairs = components.of(components.of(candidates, "a", "ca"), "b", "cb").where("ca != cb")
-        if only_one:
-            pairs = pairs.groupBy("b").agg(F.min(F.struct(F.col("agree") < POSITIONS * 7 // 8, "a")).alias("p")).select(F.col("p.a").alias("a"), "b")
-        pairs = scratch.cut(pairs.select("a", "b"))
-        if pairs.isEmpty():
-            return
-        components.add(confirmed(docs, pairs, words, similarity, scratch))
+def across(candidates: DataFrame, components: Components) -> DataFrame:
+    """Candidates (a, b, agree), once each, that join two components."""
+    once = candidates.groupBy("a", "b").agg(F.max("agree").alias("agree"))
+    return components.of(components.of(once, "a", "ca"), "b", "cb").where("ca != cb").select("a", "b", "agree")
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, similarity: int = 80, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -270,23 +262,28 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: int = 80, id_co
     roots = F.array(*[F.xxhash64(F.lit(t), token(F.lit(t * (POSITIONS // TREES)))) for t in range(TREES)])
     nodes = classes.select(F.explode(roots).alias("path"), F.col("rep").alias("id"))
     tokens, sketches = (classes.select(F.col("rep").alias("id"), c) for c in ("tokens", "sketch"))
+    candidates = None
     for level in range(LEVELS + 1):
         sizes = nodes.groupBy("path").agg(F.count("*").alias("n")).where("n > 1")
         shared = scratch.cut(nodes.join(sizes, "path").join(sketches, "id"))
         large = shared.where(F.col("n") > SMALL)
         found = within_groups(shared.where(F.col("n") <= SMALL), ["path"])
+        if level == 0:
+            pivot = large.groupBy("path").agg(F.min(F.struct(F.xxhash64("path", "id").alias("h"), F.col("id").alias("pivot"), F.col("sketch").alias("other"))).alias("p"))
+            stars = large.join(pivot.select("path", "p.pivot", "p.other"), "path").where("id != pivot").withColumn("agree", agreement("sketch", "other"))
+            stars = stars.where(F.col("agree") >= AGREE).select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b"), "agree")
+            candidates = scratch.cut(across(found.unionByName(stars), components))
+            partner = F.min(F.struct(F.col("agree") < POSITIONS * 7 // 8, "a")).alias("p")
+            first = scratch.cut(candidates.groupBy("b").agg(partner).select(F.col("p.a").alias("a"), "b"))
+            components.add(confirmed(docs, first, words, similarity, scratch))
+        else:
+            candidates = candidates.unionByName(found)
         if large.isEmpty():
-            link(docs, found, components, words, similarity, scratch)
             break
         if level == LEVELS:
-            link(docs, found.unionByName(blocked(components.of(large, "id", "c"))), components, words, similarity, scratch)
+            candidates = candidates.unionByName(blocked(components.of(large, "id", "c")))
             break
-        pivot = large.groupBy("path").agg(F.min(F.struct(F.xxhash64("path", "id").alias("h"), F.col("id").alias("pivot"), F.col("sketch").alias("other"))).alias("p"))
-        stars = large.join(pivot.select("path", "p.pivot", "p.other"), "path").where("id != pivot").withColumn("agree", agreement("sketch", "other"))
-        stars = stars.where(F.col("agree") >= AGREE).select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b"), "agree")
-        link(docs, found.unionByName(stars), components, words, similarity, scratch)
-
-        large = scratch.cut(components.of(large, "id", "c"))
+        large = components.of(large, "id", "c")
         parts = large.groupBy("path", "c").agg(F.count("*").alias("k"))
         main = parts.groupBy("path").agg(F.max(F.struct("k", "c")).alias("m"), F.count("*").alias("parts"), F.sum("k").alias("n"))
         main = main.where("parts > 1").select("path", F.col("m.c").alias("main"), (F.col("n") - F.col("m.k")).alias("outside"))
@@ -295,10 +292,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: int = 80, id_co
         others = few.where("c != main").groupBy("path").agg(F.collect_list(F.struct("id", "sketch")).alias("o"))
         near = few.join(others.select("path", F.col("o.id").alias("ids"), F.col("o.sketch").alias("sketches")), "path")
         near = near.select("id", F.explode(agreeing("sketch", "ids", "sketches")).alias("p")).where("id != p.other")
-        link(docs, near.select(F.least("id", "p.other").alias("a"), F.greatest("id", "p.other").alias("b"), "p.agree"), components, words, similarity, scratch)
+        candidates = candidates.unionByName(near.select(F.least("id", "p.other").alias("a"), F.greatest("id", "p.other").alias("b"), "p.agree"))
         nodes = children(large.where(F.col("outside") > SMALL).select("path", "id").join(tokens, "id"), BRANCH)
+    components.add(confirmed(docs, scratch.cut(across(candidates, components).select("a", "b")), words, similarity, scratch))
 
-    out = components.of(members, "rep", "c") if components.labels is not None else members.withColumn("c", F.col("rep"))
+    out = components.of(members, "rep", "c")
     scratch.clear(out)
     component = F.coalesce("c", "id")
     return out.select(F.col("id").alias(id_col), "n_shingles", component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))
