@@ -1,7 +1,8 @@
 """The corpus pipeline: operators of ``covlens.llm`` in the order in which a corpus is cleaned.
 
 Each stage takes (spark, docs, sf_dir), works on all documents its predecessor kept
-and is written as Parquet before the next one reads it.
+and is written as Parquet before the next one reads it. All but the last return the
+columns of ``documents``; the last returns the pieces of packed sequences.
 """
 
 from __future__ import annotations
@@ -9,9 +10,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from covlens.llm import rules
-from covlens.llm.common import table
+from covlens.llm import decontaminate, neardup, packing, pii, rules
+from covlens.llm.common import Scratch, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -21,13 +23,53 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return rules.apply_policy(rules.ledger(docs)).where("kept").select(docs.columns)
 
 
-STAGES: list[tuple[str, Stage]] = [("quality_rules", quality_rules)]
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each near-duplicate group (five words, 0.8); of repeated ids, one row.
 
+    Rows without an id stay.
+    """
+    repeated = docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    classes = neardup.near_duplicates(docs, words=5, similarity=80)
+    out = docs.join(classes.where("not kept").select("doc_id").distinct(), "doc_id", "left_anti")
+    if not repeated.isEmpty():
+        out = out.join(repeated, "doc_id", "left_anti").unionByName(out.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+    return out.select(docs.columns)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark."""
+    return decontaminate.scan(docs, table(spark, sf_dir, "benchmark")).where("n_hit = 0").select(docs.columns)
+
+
+def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data replaced; n_chars follows the text."""
+    out = pii.pseudonymise(docs).withColumn("n_chars", F.when(F.col("n_replaced") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
+    return out.select(docs.columns)
+
+
+def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of sequences of up to 4096 tokens, with their token ids."""
+    return packing.pack(docs)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality_rules", quality_rules),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("pseudonyms", pseudonyms),
+    ("packing", sequences),
+]
+
+#: Hash functions of the pseudonyms and the tokenizer are not expressible; tests compare with plain versions.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages applied to ``documents``; what each returns is written before the next reads it."""
+    scratch = Scratch(spark)
     docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
+    for i, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if i < len(STAGES) - 1:
+            docs = scratch.cut(docs)
     return docs

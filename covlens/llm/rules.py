@@ -69,7 +69,7 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     p = F.col("_places")
     covered = F.aggregate(
         F.transform(p, lambda x, k: F.least(F.lit(WINDOW), F.coalesce(F.get(p, k + 1) - x, F.lit(WINDOW)))), F.lit(0), lambda a, x: a + x)
-    df = replace_columns(df, {
+    measured = {
         "n_words": _long(F.size(w)),
         "word_chars": _long(F.length(F.array_join(w, ""))),
         "n_symbols": _long(F.length("_body") - F.length(F.translate("_body", SYMBOLS, ""))),
@@ -78,8 +78,11 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
         "n_repeat_words": _long(F.coalesce(covered, F.lit(0))),
         "n_caps_words": _long(F.size(F.filter(w, lambda x: x.rlike(r"\p{Lu}") & ~x.rlike(r"\p{Ll}")))),
         "n_letter_words": _long(F.size(F.filter(w, lambda x: x.rlike(r"\p{L}")))),
-    })
-    return df.drop("_words", "_lines", "_body", "_windows", "_sorted", "_places")
+    }
+    # A generator of one row: a filter on a measurement stays above it instead of measuring again below.
+    taken = {*measured, "_words", "_lines", "_body", "_windows", "_sorted", "_places"}
+    row = F.inline(F.array(F.struct(*[c.alias(name) for name, c in measured.items()])))
+    return df.select(*[df[f"`{c}`"] for c in df.columns if c.lower() not in taken], row)
 
 
 def ledger(docs: DataFrame, text: str = "text") -> DataFrame:
