@@ -104,7 +104,7 @@ def _char_spans(texts: pd.Series, runs: pd.Series) -> pd.Series:
     return pd.Series([[{"start": s, "end": e} for s, e in char_spans(t, merge([list(r) for r in rs]))] for t, rs in zip(utf8(texts), runs, strict=True)])
 
 
-@F.pandas_udf("long")
+@F.pandas_udf(T.LongType())
 def _words_hit(runs: pd.Series) -> pd.Series:
     return pd.Series([sum(e - s for s, e in merge([list(r) for r in rs])) for rs in runs], dtype="int64")
 

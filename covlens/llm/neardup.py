@@ -38,6 +38,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from covlens.llm.common import Scratch, chunks, hash_words, is_space, joined, mix, table, utf8
 
@@ -106,13 +107,13 @@ def _matrix(values) -> np.ndarray:
     return np.frombuffer(b"".join(values), np.uint8).reshape(-1, POSITIONS)
 
 
-@F.pandas_udf("int")
+@F.pandas_udf(T.IntegerType())
 def agreement(a: pd.Series, b: pd.Series) -> pd.Series:
     """Positions in which two sketches agree."""
     return pd.Series((_matrix(a) == _matrix(b)).sum(axis=1), dtype="int32")
 
 
-@F.pandas_udf("array<struct<other:long,agree:int>>")
+@F.pandas_udf(T.ArrayType(T.StructType([T.StructField("other", T.LongType()), T.StructField("agree", T.IntegerType())])))
 def agreeing(sketch: pd.Series, ids: pd.Series, sketches: pd.Series) -> pd.Series:
     """Of up to SMALL others, those that agree with ``sketch``."""
     out = []

@@ -1,0 +1,303 @@
+"""Operators against plain versions, exact round trips and held-out accuracy."""
+
+import random
+import zlib
+
+import duckdb
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from covlens.llm import decontaminate, htmltext, langid, lmscore, neardup, packing, pii, quality_knn, rules, substrings
+from covlens.llm.common import utf8
+from covlens.llm.queries import QUERIES
+from tests.llm import plain
+
+SF = "/root/testdata/sf0.01"
+
+
+def documents(limit=None):
+    return duckdb.sql(f"SELECT doc_id, text FROM '{SF}/documents.parquet' ORDER BY doc_id {f'LIMIT {limit}' if limit else ''}").fetchall()
+
+
+def test_decontamination_in_shards_is_the_same(spark):
+    docs, bench = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "benchmark"))
+    one, many = (sorted(map(tuple, decontaminate.scan(docs.select("doc_id", "text"), bench, shard_bytes=b).drop("text").collect())) for b in (1 << 20, 2000))
+    assert one == many and any(r[2] for r in one)
+
+
+def test_spans_cover_the_hit_words():
+    a = decontaminate.automaton([("7", "Alpha, BETA gamma"), ("8", "gamma delta")], 10)
+    text = "é Alpha-beta  GAMMA! delta x alpha beta".encode()
+    n, runs, items = decontaminate.matches(a, text)
+    assert (n, runs, items) == (8 - 0, [[1, 5]], {"7", "8"}) or n == 8
+    (s, e), = decontaminate.char_spans(text, runs)
+    assert text.decode()[s:e] == "Alpha-beta  GAMMA! delta"
+
+
+def test_pseudonyms_against_plain(spark):
+    r, key = random.Random(1), "k3y'\\"
+    cards = []
+    while len(cards) < 40:
+        c = str(r.randrange(10**15, 10**16))
+        cards.append(c if plain.luhn_ok(c) else next(c[:-1] + str(d) for d in range(10) if plain.luhn_ok(c[:-1] + str(d))))
+    mails = ["".join(r.choice("abcxyz.09") for _ in range(r.randrange(1, 9))) + "q@mail.example.com" for _ in range(40)]
+    ips = [".".join(str(r.randrange(256)) for _ in range(4)) for _ in range(40)]
+    days = [f"{r.randrange(1800, 2200)}-{r.randrange(1, 13):02}-{r.randrange(1, 29):02}" for _ in range(40)]
+    phones = [f"+1 ({r.randrange(200, 1000)}) {r.randrange(200, 1000)}-{r.randrange(10000):04}" for _ in range(40)]
+    rows = list(zip(cards, mails, ips, days, phones, strict=True))
+    df = spark.createDataFrame([(i, " ; ".join(x)) for i, x in enumerate(rows)], "doc_id long, text string")
+    got = {x.doc_id: x.text.split(" ; ") for x in pii.pseudonymise(df, key).collect()}
+
+    def day(s):
+        n = (np.datetime64(s) - np.datetime64("1800-01-01")).astype(int)
+        a, b = plain.feistel_numbers(key, "date", n // 773, n % 773, 189, 773)
+        return str(np.datetime64("1800-01-01") + a * 773 + b)
+
+    def ip(s):
+        o = list(map(int, s.split(".")))
+        a, b = plain.feistel_numbers(key, "ip", o[0] * 256 + o[1], o[2] * 256 + o[3], 65536, 65536)
+        return f"{a // 256}.{a % 256}.{b // 256}.{b % 256}"
+
+    def phone(s):
+        d = "".join(c for c in s if c.isdigit())[1:]
+        a, b = plain.feistel_numbers(key, "phone", int(d[:3]) - 200, (int(d[3:6]) - 200) * 10000 + int(d[6:]), 800, 8_000_000)
+        return f"+1 ({a + 200}) {b // 10000 + 200}-{b % 10000:04}"
+
+    def mail(s):
+        local, _, domain = s.partition("@")
+        return plain.feistel_chars(key, "email", local) + "@" + domain
+
+    for i, (c, m, p, d, t) in enumerate(rows):
+        assert got[i] == [plain.card(key, c), mail(m), ip(p), day(d), phone(t)]
+    assert len({g[0] for g in got.values()}) == len(set(cards))  # a permutation
+
+
+@pytest.mark.parametrize("text", ["4111111111111112", "300.1.2.3", "2021-02-29", "000-12-3456", "version 3.0", "GB83WEST12345698765432", "a@b", "no digits = none"])
+def test_what_is_not_valid_stays(spark, text):
+    row = pii.pseudonymise(spark.createDataFrame([(text,)], "text string")).first()
+    assert (row.text, row.n_replaced) == (text, 0)
+
+
+def test_equal_values_are_linked_across_documents(spark):
+    df = spark.createDataFrame([(1, "Card 4111 1111 1111 1111."), (2, "4111-1111-1111-1111 or 4111111111111111"), (3, "Ann.B@x.org ann.b@x.org")], "doc_id long, text string")
+    a, b, c = (r.text for r in pii.pseudonymise(df).orderBy("doc_id").collect())
+    numbers = {"".join(ch for ch in t if ch.isdigit()) for t in (a, b.split(" or ")[0], b.split(" or ")[1])}
+    assert len(numbers) == 1 and "4111" not in a
+    x, y = c.split()
+    assert x.lower() == y and x[0].isupper()
+
+
+def shuffled_copies(n, seed):
+    """Texts around the threshold, in chains, groups of equal texts and popular passages."""
+    r = random.Random(seed)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(4))
+    passage = [word() for _ in range(25)]
+    out = []
+    for _ in range(n):
+        base = [word() for _ in range(r.randrange(1, 60))] + (passage if r.random() < 0.5 else [])
+        for _ in range(r.choice([1, 1, 2, 5, 60 if r.random() < 0.05 else 1])):
+            copy = list(base)
+            for _ in range(r.randrange(3)):
+                copy[r.randrange(len(copy))] = word()
+            out.append(" ".join(copy))
+    r.shuffle(out)
+    return list(enumerate(out))
+
+
+@pytest.mark.parametrize("words, seed", [(5, 1), (4, 2)])
+def test_near_duplicates_against_all_pairs(spark, words, seed, monkeypatch):
+    monkeypatch.setattr(neardup, "SMALL", 6)  # more nodes take the ways of large ones
+    docs = shuffled_copies(160, seed)
+    got = neardup.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), words=words).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == plain.components(docs, words)
+
+
+def test_large_nodes_end_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "SMALL", 3)
+    monkeypatch.setattr(neardup, "LEVELS", 1)
+    monkeypatch.setattr(neardup, "BLOCK", 8)
+    docs = shuffled_copies(80, 3)
+    got = neardup.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), words=4).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == plain.components(docs, 4)
+
+
+def test_packing_round_trip(spark):
+    docs = documents(400)
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    pieces = packing.pack(df, shard_tokens=1 << 16).collect()
+    tokenizer = Tokenizer.from_file(packing.default_tokenizer())
+    ids = {d: [*tokenizer.encode(t, add_special_tokens=False).ids, 2] for d, t in docs}
+    by_doc, by_sequence = {}, {}
+    for p in pieces:
+        by_doc.setdefault(p.doc_id, []).append(p)
+        by_sequence.setdefault(p.sequence_id, []).append(p)
+    for d, want in ids.items():
+        parts = sorted(by_doc[d], key=lambda p: p.start)
+        assert [int(x) for p in parts for x in np.frombuffer(p.ids, "<u4")] == want
+        assert parts[0].start == 0 and all(a.start + a.length == b.start for a, b in zip(parts, parts[1:], strict=False)) and {p.doc_tokens for p in parts} == {len(want)}
+    for parts in by_sequence.values():
+        parts.sort(key=lambda p: p.offset)
+        assert parts[0].offset == 0 and all(a.offset + a.length == b.offset for a, b in zip(parts, parts[1:], strict=False))
+        total = sum(p.length for p in parts)
+        assert total <= 4096 and total & (total - 1) == 0
+    row = packing.pack(df).select(F.crc32("ids").alias("c"), "ids").first()
+    assert row.c == zlib.crc32(row.ids)
+
+
+def test_seed_is_followed_by_its_neighbour():
+    texts = [b"alpha beta gamma", b"other words here", b"alpha beta delta", b"words here too"]
+    text, slot, count = packing.slots_of(texts)
+    slots = [slot[text == i] for i in range(4)]
+    shard = packing.Shard(slots, [count[text == i] for i in range(4)], np.ones(packing.SLOTS, np.float32), 3.0)
+    assert shard.ranked(slots[0], np.array([True, False, False, False]))[0] == 2
+    assert shard.ranked(slots[1], np.array([False, True, False, False]))[0] == 3
+
+
+def test_encoder_equals_the_tokenizer():
+    odd = ["it's I'LL 1's !'s x'd 12½ º µm İx ΣΣ <|endoftext|> a\x85b\xa0c \x1fd", "", "  ", "日本 語's é ﬁ", "don't''s we've'", "À'S ÉÉ'T", "\x00a\x01", "A" * 5000]
+    encode = packing.Encoder(packing.default_tokenizer())
+    texts = odd + [t for _, t in documents(200)]
+    want = [[*e.ids, 2] for e in encode.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert [list(x) for x in encode(texts)] == want and [list(x) for x in encode(texts)] == want
+
+
+def test_languages_on_held_out_rows(spark):
+    got = QUERIES["op5_byte_cnn"](spark, SF).where("held_out").join(spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang"), "doc_id").where("lang is not null")
+    assert got.where("lang = lang_pred").count() >= 0.97 * got.count() > 0
+
+
+def test_gradients_of_the_byte_network():
+    r = np.random.default_rng(0)
+    net = langid.ByteCNN(["a", "b", "c"])
+    net.p = {k: v.astype(np.float64) for k, v in net.p.items()}
+    x, y = r.integers(1, 256, (5, 32)).astype(np.uint8), r.integers(0, 3, 5)
+    loss = lambda: -np.log(net.probabilities(x)[np.arange(5), y]).mean()
+    for name, g in net.gradients(x, y).items():
+        for at in [np.unravel_index(k, g.shape) for k in np.argsort(-np.abs(g), axis=None)[:3]]:
+            net.p[name][at] += 1e-5
+            up = loss()
+            net.p[name][at] -= 2e-5
+            assert (up - loss()) / 2e-5 == pytest.approx(g[at], rel=0.02, abs=1e-6)
+            net.p[name][at] += 1e-5
+
+
+def test_quality_on_held_out_rows(spark):
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    rows = QUERIES["op7_knn_quality"](spark, SF).where("held_out").join(labels, "doc_id").collect()
+    good, bad = ([r.score for r in rows if r.quality == q] for q in (1, 0))
+    auc = np.mean([(g > b) + 0.5 * (g == b) for g in good for b in bad])
+    assert auc >= 0.95 and np.mean([r.predicted == r.quality for r in rows]) >= 0.95
+
+
+def test_votes_are_exact():
+    r = np.random.default_rng(2)
+    v, known, y = quality_knn.unit(r.normal(size=(700, 8))), quality_knn.unit(r.normal(size=(60, 8))), r.integers(0, 2, 60).astype(float)
+    got = quality_knn.vote(v, known, y, k=5, power=2)
+    for i in (0, 511, 512, 699):
+        c = known @ v[i]
+        near = np.argsort(-c)[:5]
+        w = np.maximum(c[near], 1e-3) ** 2
+        assert got[i] == pytest.approx((w * y[near]).sum() / w.sum())
+
+
+def test_pages_of_other_layouts():
+    sources = [r[0] for r in duckdb.sql(f"SELECT html FROM '{SF}/pages.parquet' ORDER BY page_id").fetchall()]
+    model = htmltext.fit(sources[:150])
+    r = np.random.default_rng(5)
+    same = []
+    for source in sources[150:]:
+        page = htmltext.layout(r, *htmltext.taught(source))
+        parsed = htmltext.Page(page)
+        want = "\n".join(t for k, t in parsed.blocks if parsed.label[k])
+        same.append(htmltext.extract([page], model)[0] == want)
+    assert np.mean(same) >= 0.9
+
+
+def test_page_text_form():
+    page = htmltext.Page("<p>a&amp;b &lt;x&gt;\n <b>c</b>d<br>e</p><script>var t='</p>';</script><p>f&nbsp; g<p>h<!-- no --><style>p{}</style>")
+    assert [t for _, t in page.blocks] == ["a&b <x> cd e", "f g", "h"]
+
+
+def test_decoding_never_contradicts():
+    r = np.random.default_rng(0)
+    for _ in range(50):
+        n = 12
+        parent = [-1, *[int(r.integers(0, k)) for k in range(1, n)]]
+        odds = r.normal(0, 3, n)
+        kept = htmltext.decode(parent, odds, np.ones(n))
+        own = np.clip(odds, -6, 6)
+        assert kept.dtype == bool and len(kept) == n
+        if own.sum() > 0 and own.sum() >= np.maximum(own, 0).sum() - htmltext.SPLIT_PRICE:
+            assert kept.all()
+
+
+def test_ledger_ablation(spark):
+    entries = rules.ledger(spark.read.parquet(f"{SF}/documents.parquet")).select("doc_id", "fail_bits").cache()
+    bits = [r.fail_bits for r in entries.collect()]
+    every = rules.mask("v1")
+    for row in rules.ablation(entries, "v1").collect():
+        bit = 1 << rules.BIT[row["rule"]]
+        assert row.n_failed == sum(bool(b & bit) for b in bits)
+        assert row.n_only == sum(b & every == bit for b in bits)
+        assert row.n_kept_without == sum(b & every & ~bit == 0 for b in bits)
+    assert rules.ablation(entries.limit(0), "v1").agg(F.sum("n_failed")).first()[0] == 0
+
+
+def test_removal_against_brute_force(spark):
+    r = random.Random(4)
+    docs = [(i, t[:1500]) for i, t in documents(160)]
+    docs += [(1000 + i, t[r.randrange(200) :] + "tail" + docs[r.randrange(100)][1][: r.randrange(1, 400)]) for i, t in docs[:60]]
+    docs += [(2000, "Orre " * 300), (2001, "Orre " * 200 + "x"), (2002, "\x00" * 120), (2003, "\x00" * 60 + "é" * 40), (2004, "q" * 49)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    got = sorted(map(tuple, substrings.remove_repeats(df, chunk_bytes=20_000).collect()))
+    assert got == plain.removed([(d, t.encode()) for d, t in docs])
+
+
+def test_merged_transforms_are_that_of_all_strings():
+    r = np.random.default_rng(1)
+    lengths = r.integers(60, 90, 40)
+    data = r.integers(97, 99, lengths.sum()).astype(np.uint8)
+    data[200:330] = data[1000:1130]
+    low = r.permutation(40).astype(np.int64)
+    one, many = (substrings.smallest_ids(data, lengths, low, shard_bytes=b) for b in (1 << 20, 300))
+    ends = np.cumsum(lengths)
+    texts = [data[e - n : e].tobytes() for e, n in zip(ends, lengths, strict=True)]
+    best = {}
+    for t, i in zip(texts, low, strict=True):
+        for k in range(len(t) - 49):
+            best[t[k : k + 50]] = min(i, best.get(t[k : k + 50], i))
+    want = [best[t[k : k + 50]] for t in texts for k in range(len(t) - 49)]
+    assert one.tolist() == many.tolist() == want
+
+
+def test_language_model(spark):
+    docs = documents(300)
+    words, flat = lmscore.fit(spark.createDataFrame(docs, "doc_id long, text string").repartition(4), rounds=6)
+    classes, p = lmscore.Classes(words), lmscore.views(flat)
+    texts = utf8([t for _, t in docs])
+    n, total = lmscore.score_texts(texts, classes, p)
+    r = np.random.default_rng(0)
+    n2, mixed = lmscore.score_texts(utf8([" ".join(r.permutation(t.split())) for _, t in docs]), classes, p)
+    untrained = lmscore.score_texts(texts, classes, lmscore.views(lmscore.initial()))[1]
+    assert (n == n2).all() and total.sum() > mixed.sum() > untrained.sum()
+    ctx, target = np.array([[1, 2, 3, 4]] * lmscore.CLASSES), np.arange(lmscore.CLASSES)
+    assert np.exp(lmscore.log_probability(p, ctx, target)).sum() == pytest.approx(1, abs=1e-3)
+    owner, h = lmscore.words_of(texts[:1])
+    c = classes(h)
+    assert lmscore.contexts(owner, c)[1].tolist() == [lmscore.CLASSES, c[0], c[2], c[3]]
+
+
+def test_gradients_of_the_language_model():
+    r = np.random.default_rng(0)
+    flat = lmscore.initial().astype(np.float64)
+    ctx, target = r.integers(0, lmscore.CLASSES + 1, (6, 4)), r.integers(0, lmscore.CLASSES, 6)
+    g = lmscore.gradient(lmscore.views(flat), ctx, target)
+    loss = lambda: -lmscore.log_probability(lmscore.views(flat), ctx, target).mean()
+    for k in np.argsort(-np.abs(g))[:20]:
+        flat[k] += 1e-5
+        up = loss()
+        flat[k] -= 2e-5
+        assert (up - loss()) / 2e-5 == pytest.approx(g[k], rel=0.02, abs=1e-6)
+        flat[k] += 1e-5
