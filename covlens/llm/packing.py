@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,7 +39,7 @@ SHARD_TOKENS = 1 << 20
 SLOTS = 1 << 17
 K1, B = 1.2, 0.75
 #: Entries that a worker's word tables hold before they are emptied.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 500_000
 #: Texts that are encoded together.
 TEXTS_AT_ONCE = 100
 
@@ -54,13 +55,25 @@ _LETTER, _NUMBER, _WHITE = "a-z\u00aa\u00b5\u00ba\u00df-\u00f6\u00f8-\u00ff", "0
 _PIECES = re.compile(f"'(?:s|t|re|ve|m|ll|d)|[{_LETTER}]+|[{_NUMBER}]|[^{_WHITE}{_LETTER}{_NUMBER}]+")
 
 
+class _Memory(dict):
+    """What ``make`` gives for a key, remembered."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, key: str) -> bytes:
+        value = self[key] = self.make(key)
+        return value
+
+
 class Encoder:
     """Token ids of whole texts, with the end id, by the tokenizer file at ``path``.
 
-    The tokenizer lowers a text, drops its white space and encodes each piece by itself.
-    So the ids of a Latin-1 text's pieces are remembered, and a batch's unknown pieces are
-    encoded together and told apart by their last token, the only one that ends a word.
-    Other texts, and those that may hold a special token, are encoded whole.
+    The tokenizer lowers a text, drops its white space and encodes each piece by itself,
+    so the ids of words and of their pieces are remembered. A piece of a Latin-1 word goes
+    to the tokenizer's model at once, in its letters for bytes; any other word, and one
+    that may hold a special token, goes through the whole tokenizer.
     """
 
     def __init__(self, path: str, end_id: int = END_ID):
@@ -68,37 +81,34 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        vocabulary = self.tokenizer.get_vocab()
-        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.ends_word[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-        self.end = np.array([end_id], "<u4").tobytes()
-        self.known: dict[str, bytes] = {}
-
-    def encode(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
-
-    def pieces(self, text) -> list[str] | None:
-        if not isinstance(text, str):
-            return []
+        self.model = self.tokenizer.model
+        # printable bytes stand for themselves, the others for U+0100 and on
+        shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+        hidden = [b for b in range(256) if b not in shown]
+        self.letters = {b: 0x100 + k for k, b in enumerate(hidden)}
+        self.end = array("I", [end_id]).tobytes()
+        self.pieces, self.words = _Memory(self.piece), _Memory(self.word)
+
+    def piece(self, piece: str) -> bytes:
+        shown = piece if piece.isascii() and piece.isprintable() else piece.encode().decode("latin-1").translate(self.letters)
+        return array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
+
+    def word(self, word: str) -> bytes:
         try:
-            text.encode("latin-1")
+            word.encode("latin-1")
+            plain = "<|" not in word
         except UnicodeEncodeError:
-            return None
-        return None if "<|" in text else _PIECES.findall(text.lower())
+            plain = False
+        if not plain:
+            return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+        return b"".join(map(self.pieces.__getitem__, _PIECES.findall(word.lower())))
 
     def __call__(self, texts: list) -> list[np.ndarray]:
-        if len(self.known) > CACHE_WORDS:
-            self.known.clear()
-        known, split = self.known, [self.pieces(t) for t in texts]
-        unknown = list(set().union(*(p for p in split if p)).difference(known))
-        if unknown:
-            ids = self.encode(" ".join(unknown))
-            data, first = ids.tobytes(), 0
-            for piece, end in zip(unknown, (4 * np.flatnonzero(self.ends_word[ids]) + 4).tolist(), strict=True):
-                known[piece] = data[first:end]
-                first = end
-        parts = [self.encode(t).tobytes() if p is None else b"".join(map(known.__getitem__, p)) for t, p in zip(texts, split, strict=True)]
-        return [np.frombuffer(p + self.end, "<u4") for p in parts]
+        for memory in (self.words, self.pieces):
+            if len(memory) > CACHE_WORDS:
+                memory.clear()
+        split = [t.replace("\n", " ").replace("\t", " ").split(" ") if isinstance(t, str) else [] for t in texts]
+        return [np.frombuffer(b"".join([*map(self.words.__getitem__, ws), self.end]), "<u4") for ws in split]
 
 
 _IS_TERM = np.zeros(256, bool)
