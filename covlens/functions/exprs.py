@@ -61,18 +61,20 @@ def starts_with(c: ColumnOrName, prefix: str) -> Column:
     return as_col(c).cast("string").startswith(prefix)
 
 
-def slice_floor(ts: ColumnOrName, minutes: int = 15) -> Column:
-    """Floor a TIMESTAMP_NTZ to its ``minutes``-wide slice.
+def slice_floor(ts: ColumnOrName, minutes: int = 15, start: ColumnOrName | None = None) -> Column:
+    """Floor a TIMESTAMP_NTZ to its ``minutes``-wide slice, counted from ``start``.
 
-    Built with ``make_timestamp_ntz`` so the result stays time-zone free
-    (``date_trunc`` would return a session-zone timestamp).
+    Any width works: slices are counted in minutes from ``start`` (a TIMESTAMP_NTZ
+    at a whole minute; 1970-01-01 by default), in days and minutes of the day, so
+    no time zone plays a part.
     """
     ts = as_col(ts)
-    return F.make_timestamp_ntz(
-        F.year(ts), F.month(ts), F.dayofmonth(ts), F.hour(ts),
-        (F.floor(F.minute(ts) / F.lit(minutes)) * F.lit(minutes)).cast("int"),
-        F.lit(0),
-    )
+    start = F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00")) if start is None else as_col(start)
+    passed = (F.datediff(F.to_date(ts), F.to_date(start)).cast("long") * 1440
+              + F.hour(ts) * 60 + F.minute(ts) - F.hour(start) * 60 - F.minute(start))
+    floored = F.floor(passed / F.lit(minutes)) * F.lit(minutes)
+    return start + F.make_dt_interval(F.floor(floored / 1440).cast("int"), F.lit(0),
+                                      F.pmod(floored, F.lit(1440)).cast("int"), F.lit(0))
 
 
 def slice_from_file_name(name: ColumnOrName, pattern: str = r"^([0-9]{14})") -> Column:
@@ -132,7 +134,8 @@ def scaled_sum(c: ColumnOrName, scale: int = 4) -> Column:
     A long sum is exact and independent of row order, so the mean is the same
     on every cluster layout and in any SQL engine, and it stays inside
     whole-stage codegen (a DECIMAL(28,4) buffer would not). Values are taken
-    to ``scale`` decimals.
+    to ``scale`` decimals; NaN, infinities and values beyond the range of BIGINT
+    fail the job, so use it where the data's scale is known.
     """
     return F.sum(F.round(as_col(c) * F.lit(float(10 ** scale))).cast("long"))
 
@@ -143,7 +146,7 @@ def mean_from_scaled(total: ColumnOrName, n: ColumnOrName, scale: int = 4) -> Co
                         as_col(n).cast("double"))
 
 
-def exact_mean(c: ColumnOrName, scale: int | None = 4) -> Column:
+def exact_mean(c: ColumnOrName, scale: int | None = None) -> Column:
     """Aggregate: order-independent mean to ``scale`` decimals; NULLs ignored.
 
     ``scale=None`` falls back to Spark's floating ``avg``.

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from covlens.functions.exprs import is_weekend, mean_from_scaled, pct, ratio, scaled_sum
@@ -30,7 +30,7 @@ def n_groups(df: DataFrame, col: str) -> DataFrame:
 
 def coverage_daily(fact: DataFrame, dim: DataFrame, code: str, day: str, *,
                    dim_key: str, label: str, measure: str, category: str,
-                   categories: Mapping, mean_name: str | None = None, scale: int | None = 4,
+                   categories: Mapping, mean_name: str | None = None, scale: int | None = None,
                    strategy: str = "auto", ordered: bool = False,
                    check_unique: bool = False) -> DataFrame:
     """Axis-1 coverage per (code, label, day).
@@ -38,10 +38,21 @@ def coverage_daily(fact: DataFrame, dim: DataFrame, code: str, day: str, *,
     ``n_events`` counts every row of a matched code; ``categories`` maps a
     category value to its output column, and rows of any other value (or
     NULL) are in ``n_events`` only. NULL and unmatched codes are dropped by
-    the inner join. The measure mean ignores NULLs and is exact to ``scale``
-    decimals (``scale=None``: floating ``avg``).
+    the inner join. The measure mean ignores NULLs; it is the floating mean of
+    the values as they are, or with ``scale`` the mean of the values at that many
+    decimals, which no order of rows changes.
     """
-    mean_name = mean_name or f"avg_{measure}"
+    partials = coverage_partials(fact.where(F.col(code).isNotNull()), code, day, measure=measure,
+                                 category=category, categories=categories, scale=scale)
+    return coverage_from_partials(partials, dim, code, day, dim_key=dim_key, label=label,
+                                  categories=categories, mean_name=mean_name or f"avg_{measure}",
+                                  scale=scale, strategy=strategy, ordered=ordered,
+                                  check_unique=check_unique)
+
+
+def coverage_partials(fact: DataFrame, code: str, day: str, *, measure: str, category: str,
+                      categories: Mapping, scale: int | None = None) -> DataFrame:
+    """Counts and sums per (code, day), NULL codes included: what all reports of an axis need."""
     cat_aggs = [F.count_if(F.col(category) == F.lit(v)).alias(name)
                 for v, name in categories.items()]
     if scale is None:
@@ -49,9 +60,17 @@ def coverage_daily(fact: DataFrame, dim: DataFrame, code: str, day: str, *,
                   F.count(measure).alias("_m_n")]
     else:
         m_aggs = [scaled_sum(measure, scale).alias("_m_sum"), F.count(measure).alias("_m_n")]
-    partial = (fact.where(F.col(code).isNotNull())
-               .groupBy(code, day)
-               .agg(F.count(F.lit(1)).alias("n_events"), *m_aggs, *cat_aggs))
+    return fact.groupBy(code, day).agg(F.count(F.lit(1)).alias("n_events"), *m_aggs, *cat_aggs)
+
+
+def coverage_from_partials(partials: DataFrame, dim: DataFrame, code: str, day: str, *,
+                           dim_key: str, label: str, categories: Mapping, mean_name: str,
+                           scale: int | None = None, strategy: str = "auto", ordered: bool = False,
+                           check_unique: bool = False) -> DataFrame:
+    """``coverage_daily`` from ``coverage_partials``, whose codes may have been mapped since."""
+    sums = ["n_events", "_m_n", *categories.values()]
+    partial = partials.groupBy(code, day).agg(
+        *[F.sum(c).cast("long").alias(c) for c in sums], F.sum("_m_sum").alias("_m_sum"))
     joined = join_dimension(partial, dim.select(dim_key, label), code, dim_key, "inner", strategy,
                             check_unique=check_unique)
     mean = (ratio("_m_sum", "_m_n") if scale is None
@@ -88,12 +107,12 @@ def _row_total(cols: Sequence[str]):
 
 
 def category_ratio(coverage: DataFrame, keys: Sequence[str], numerator: Sequence[str],
-                   denominator: Sequence[str], *, top_n: int | None = 15,
+                   denominator: Sequence[str], *, top_n: int | None = None,
                    volume: str = "n_events") -> DataFrame:
     """Per code: numerator and denominator category sums and their ratio.
 
-    Restricted to the ``top_n`` codes by volume (the same set as ``top_codes``),
-    never to a top-n by ratio. Zero denominators give NULL, not ``inf``.
+    With ``top_n``, of the codes with the largest volume (the same set as
+    ``top_codes``, NULL included), never a top-n by ratio. Zero denominators give NULL, not ``inf``.
     """
     keys = list(keys)
     sums = coverage.groupBy(*keys).agg(
@@ -101,10 +120,8 @@ def category_ratio(coverage: DataFrame, keys: Sequence[str], numerator: Sequence
         F.sum(_row_total(numerator)).cast("long").alias("numerator"),
         F.sum(_row_total(denominator)).cast("long").alias("denominator"))
     if top_n is not None:
-        top = (sums.select(*keys, volume)
-               .orderBy(F.col(volume).desc(), *[F.col(k).asc_nulls_first() for k in keys])
-               .limit(top_n).select(*keys))
-        sums = sums.join(F.broadcast(top), keys, "left_semi")
+        sums = (sums.orderBy(F.col(volume).desc(), *[F.col(k).asc_nulls_first() for k in keys])
+                .limit(top_n))
     return sums.withColumn("ratio", ratio("numerator", "denominator"))
 
 
@@ -156,7 +173,6 @@ def code_drilldown(df: DataFrame, code: str, value, by: Sequence[str]) -> DataFr
 def with_share(df: DataFrame, n_col: str, out: str = "pct") -> DataFrame:
     """Add each row's % of the column total.
 
-    For results with a small, fixed number of rows only (buckets, periods):
-    the total is an un-partitioned window over the grouped rows.
+    The total is a scalar subquery, so no task gathers the rows.
     """
-    return df.withColumn(out, pct(n_col, F.sum(n_col).over(Window.partitionBy())))
+    return df.withColumn(out, pct(n_col, df.agg(F.sum(n_col)).scalar()))

@@ -1,8 +1,8 @@
 """Dimension joins and dimension checks: J1-J7, P13, V2, V3, V7.
 
-Broadcast is used only after a bounded size check (``fits_broadcast``): the
-check reads at most ``max_rows + 1`` rows of the dimension. Above the bound
-the join is left to Spark's shuffle join, where AQE splits skewed partitions.
+Nothing here runs a job while a plan is built. By default Spark decides from the
+sizes it measures at run time (AQE) whether a side is broadcast; a caller who asks
+for a broadcast gets it only if the planned size is within a bound in bytes.
 """
 
 from __future__ import annotations
@@ -12,74 +12,81 @@ from pyspark.sql import functions as F
 
 from covlens.functions.exprs import as_col
 
-# A (code, label) dimension row is well under 100 bytes, so this bound keeps a
-# broadcast table under ~20 MB per executor.
-DEFAULT_BROADCAST_ROWS = 200_000
+#: Largest planned size, in bytes, of a side that is broadcast on request.
+DEFAULT_BROADCAST_BYTES = 64 << 20
 
 STRATEGIES = ("auto", "broadcast", "merge", "shuffle_hash")
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    Reads at most ``max_rows + 1`` rows, of one boolean column, in a single
-    stage (``limit`` then an Arrow collect scans partitions incrementally
-    and stops early), so the check costs the same whatever the table size.
-    """
-    probe = df.select(F.lit(True).alias("_")).limit(max_rows + 1)
-    return probe.toArrow().num_rows <= max_rows
+def planned_bytes(df: DataFrame) -> int:
+    """Size of ``df`` as the optimizer estimates it; no job runs."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def place_small_side(dim: DataFrame, strategy: str = "auto",
-                     max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                     max_bytes: int | None = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Apply the join-strategy choice to the dimension side.
 
-    ``auto``: broadcast when the size check passes, else a plain shuffle join.
-    ``broadcast``: broadcast, but fail instead of shipping an unbounded table.
+    ``auto``: no hint; Spark broadcasts by the measured size, and AQE splits skew.
+    ``broadcast``: broadcast, but fail if the planned size is above ``max_bytes``. Rows
+    that came from the driver have no planned size; with ``max_bytes=None`` the caller
+    vouches for the side.
     ``merge`` / ``shuffle_hash``: scoped join hint, no session change (J6).
     """
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}, not {strategy!r}")
     if strategy in ("merge", "shuffle_hash"):
         return dim.hint(strategy)
-    if fits_broadcast(dim, max_rows):
-        return F.broadcast(dim)
     if strategy == "broadcast":
-        raise ValueError(f"dimension has more than {max_rows} rows; refusing to broadcast it")
+        size = 0 if max_bytes is None else planned_bytes(dim)
+        if max_bytes is not None and size > max_bytes:
+            raise ValueError(f"dimension is planned at {size} bytes, above {max_bytes}; refusing to broadcast it")
+        return F.broadcast(dim)
     return dim
 
 
+def unique_by(dim: DataFrame, key: str) -> DataFrame:
+    """``dim``, failing at run time if a value of ``key`` occurs twice (NULL too).
+
+    The check is part of the plan: one aggregate over the dimension, when it is read.
+    """
+    others = [c for c in dim.columns if c != key]
+    rows = dim.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.first(F.struct(*others) if others else F.lit(0)).alias("_row"))
+    message = F.concat(F.lit(f"dimension key {key!r} is not unique, e.g. "), F.coalesce(F.col(key).cast("string"), F.lit("NULL")))
+    checked = rows.where(F.when(F.col("_n") > 1, F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
+    return checked.select(*[F.col(c) if c == key else F.col(f"_row.{c}").alias(c) for c in dim.columns])
+
+
 def join_dimension(fact: DataFrame, dim: DataFrame, on: str, dim_key: str | None = None,
                    how: str = "inner", strategy: str = "auto",
-                   max_rows: int = DEFAULT_BROADCAST_ROWS, check_unique: bool = False,
+                   max_bytes: int | None = DEFAULT_BROADCAST_BYTES, check_unique: bool = False,
                    salt_buckets: int = 1) -> DataFrame:
     """Equi-join a fact table to a dimension.
 
     The dimension key is renamed to ``on`` and joined by name, so the result
     carries one key column. Dimension keys are expected unique: an inner join
-    multiplies fact rows otherwise. ``check_unique=True`` fails fast on a
+    multiplies fact rows otherwise. ``check_unique=True`` makes the job fail on a
     repeated key (one aggregate over the dimension, never over the fact).
 
     ``salt_buckets > 1`` spreads each key of a shuffle join over that many
-    tasks, whatever AQE does: fact rows get a salt from a hash of their own
-    values (deterministic, so a recomputed task sends each row to the same
-    place), and dimension rows are repeated once per salt. Ignored when the
-    dimension is broadcast, where there is no shuffle to skew.
+    tasks, whatever AQE does: fact rows are salted in turn by their place in
+    their task, so equal rows are spread as well, and dimension rows are
+    repeated once per salt. Ignored when the dimension is broadcast, where
+    there is no shuffle to skew.
     """
     dim_key = dim_key or on
     if check_unique:
-        assert_unique_keys(dim, dim_key)
+        dim = unique_by(dim, dim_key)
     if dim_key != on:
         dim = dim.withColumnRenamed(dim_key, on)
-    small = place_small_side(dim, strategy, max_rows)
+    small = place_small_side(dim, strategy, max_bytes)
     hinted = strategy in ("merge", "shuffle_hash")
-    broadcast = not hinted and small is not dim
-    if salt_buckets <= 1 or broadcast:
+    if salt_buckets <= 1 or strategy == "broadcast":
         return fact.join(small, on=on, how=how)
     if how not in ("inner", "left", "left_outer", "left_semi", "left_anti"):
         raise ValueError("salting keeps every dimension row once per salt; use an inner or left join")
     salted_fact = fact.withColumn(
-        "_salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in fact.columns]), F.lit(salt_buckets)))
+        "_salt", F.pmod(F.monotonically_increasing_id(), F.lit(salt_buckets)))
     salted_dim = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"),
                                                               F.lit(salt_buckets - 1).cast("long"))))
     if hinted:
@@ -89,13 +96,13 @@ def join_dimension(fact: DataFrame, dim: DataFrame, on: str, dim_key: str | None
 
 def join_roles(fact: DataFrame, dim: DataFrame, dim_key: str, roles: dict[str, str],
                how: str = "left", strategy: str = "auto",
-               max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+               max_bytes: int | None = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Join one dimension once per role column.
 
     ``roles`` maps an output prefix to a fact column; the dimension's other
-    columns come back as ``<prefix>_<column>``. The size check runs once.
+    columns come back as ``<prefix>_<column>``.
     """
-    small = place_small_side(dim, strategy, max_rows)
+    small = place_small_side(dim, strategy, max_bytes)
     attrs = [c for c in dim.columns if c != dim_key]
     out = fact
     for prefix, fact_col in roles.items():
@@ -130,15 +137,13 @@ def assert_unique_keys(dim: DataFrame, key: str) -> None:
 
 
 def duplicate_labels(dim: DataFrame, code: str, label: str) -> DataFrame:
-    """Labels that appear under more than one code (V3).
+    """(label, code, n_codes) of the labels that appear under more than one code (V3).
 
-    Codes come back sorted and comma-joined; the group is one label, so its
-    size is bounded by the dimension, never by the fact table.
+    One row per code, so no label gathers its codes in one place. NULL is not a label.
     """
-    return (dim.groupBy(label)
-            .agg(F.count_distinct(code).alias("n_codes"),
-                 F.array_join(F.array_sort(F.collect_set(F.col(code))), ",").alias("codes"))
-            .filter(F.col("n_codes") > 1))
+    pairs = dim.where(F.col(label).isNotNull() & F.col(code).isNotNull()).select(label, code).distinct()
+    shared = pairs.groupBy(label).agg(F.count(F.lit(1)).alias("n_codes")).where("n_codes > 1")
+    return pairs.join(shared, label)
 
 
 def dimension_diff(left: DataFrame, right: DataFrame, left_key: str,

@@ -8,7 +8,7 @@ input, whatever the event volume or its skew.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from covlens.functions.exprs import entity_bucket, mean_from_scaled, pair_label, pct, ratio, scaled_sum
@@ -18,21 +18,33 @@ from covlens.operators.joins import join_roles, label_codes, place_small_side
 
 def pair_interactions(fact: DataFrame, types: DataFrame, a: str, b: str, *, type_key: str,
                       type_col: str, entity_type: str, measure: str,
-                      mean_name: str | None = None, scale: int | None = 4,
+                      mean_name: str | None = None, scale: int | None = None,
                       strategy: str = "auto", ordered: bool = False) -> DataFrame:
     """Axis-2 directed pairs (A, B), both sides of ``entity_type``.
 
     (A, B) and (B, A) are different pairs. Returns ``n_events`` and the
-    mean of ``measure`` (NULLs ignored, exact to ``scale`` decimals).
+    mean of ``measure`` (NULLs ignored; see ``coverage_daily`` for ``scale``).
     """
-    mean_name = mean_name or f"avg_{measure}"
+    partials = pair_partials(fact.where(F.col(a).isNotNull() & F.col(b).isNotNull()), a, b,
+                             measure=measure, scale=scale)
+    return pairs_from_partials(partials, types, a, b, type_key=type_key, type_col=type_col,
+                               entity_type=entity_type, mean_name=mean_name or f"avg_{measure}",
+                               scale=scale, strategy=strategy, ordered=ordered)
+
+
+def pair_partials(fact: DataFrame, a: str, b: str, *, measure: str, scale: int | None = None) -> DataFrame:
+    """Counts and sums per (A, B), NULL codes included: what all reports of the axis need."""
     if scale is None:
         m = [F.sum(F.col(measure).cast("double")).alias("_m_sum")]
     else:
         m = [scaled_sum(measure, scale).alias("_m_sum")]
-    partial = (fact.where(F.col(a).isNotNull() & F.col(b).isNotNull())
-               .groupBy(a, b)
-               .agg(F.count(F.lit(1)).alias("n_events"), *m, F.count(measure).alias("_m_n")))
+    return fact.groupBy(a, b).agg(F.count(F.lit(1)).alias("n_events"), *m, F.count(measure).alias("_m_n"))
+
+
+def pairs_from_partials(partial: DataFrame, types: DataFrame, a: str, b: str, *, type_key: str,
+                        type_col: str, entity_type: str, mean_name: str, scale: int | None = None,
+                        strategy: str = "auto", ordered: bool = False) -> DataFrame:
+    """``pair_interactions`` from ``pair_partials``."""
     ok = place_small_side(types.where(F.col(type_col) == F.lit(entity_type))
                           .select(F.col(type_key).alias("_ok")), strategy)
     kept = (partial.join(ok, partial[a] == ok["_ok"], "left_semi")
@@ -43,9 +55,10 @@ def pair_interactions(fact: DataFrame, types: DataFrame, a: str, b: str, *, type
 
 
 def _typed_pairs(fact: DataFrame, types: DataFrame, a: str, b: str, type_key: str,
-                 type_col: str, strategy: str) -> DataFrame:
+                 type_col: str, strategy: str, weight: str | None = None) -> DataFrame:
     """Row counts per (A, B) with each side's entity type (NULL = null/unknown code)."""
-    partial = fact.groupBy(a, b).agg(F.count(F.lit(1)).alias("_n"))
+    n = F.count(F.lit(1)) if weight is None else F.sum(weight).cast("long")
+    partial = fact.groupBy(a, b).agg(n.alias("_n"))
     return join_roles(partial, types.select(type_key, type_col), type_key,
                       {"_ta": a, "_tb": b}, how="left", strategy=strategy)
 
@@ -55,9 +68,13 @@ def _ok(type_c: str, entity_type: str):
 
 
 def pair_filter_report(fact: DataFrame, types: DataFrame, a: str, b: str, *, type_key: str,
-                       type_col: str, entity_type: str, strategy: str = "auto") -> DataFrame:
-    """One row: events total / kept by the pair filter / excluded, with %."""
-    t = _typed_pairs(fact, types, a, b, type_key, type_col, strategy)
+                       type_col: str, entity_type: str, strategy: str = "auto",
+                       weight: str | None = None) -> DataFrame:
+    """One row: events total / kept by the pair filter / excluded, with %.
+
+    ``weight``: the count column of rows that are counts already.
+    """
+    t = _typed_pairs(fact, types, a, b, type_key, type_col, strategy, weight)
     both = _ok(f"_ta_{type_col}", entity_type) & _ok(f"_tb_{type_col}", entity_type)
     return (t.agg(F.sum("_n").cast("long").alias("n_total"),
                   F.coalesce(F.sum(F.when(both, F.col("_n"))), F.lit(0)).cast("long").alias("n_kept"))
@@ -79,8 +96,7 @@ def exclusion_breakdown(fact: DataFrame, types: DataFrame, a: str, b: str, *, ty
     bucket = (F.when(a_ok & b_ok, F.lit("kept")).when(b_ok, F.lit("a_only"))
               .when(a_ok, F.lit("b_only")).otherwise(F.lit("both")))
     grouped = t.groupBy(bucket.alias("outcome")).agg(F.sum("_n").cast("long").alias("n_events"))
-    excl = F.sum(F.when(F.col("outcome") != F.lit("kept"), F.col("n_events"))).over(
-        Window.partitionBy())
+    excl = grouped.where(F.col("outcome") != F.lit("kept")).agg(F.sum("n_events")).scalar()
     return (with_share(grouped, "n_events", "pct_of_total")
             .withColumn("pct_of_excluded",
                         F.when(F.col("outcome") != F.lit("kept"), pct("n_events", excl))))

@@ -7,11 +7,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from covlens.functions.exprs import as_col, pct
-from covlens.operators.joins import DEFAULT_BROADCAST_ROWS, place_small_side
+from covlens.operators.joins import DEFAULT_BROADCAST_BYTES, place_small_side, unique_by
+from covlens.session import delete_path, shared_dir
 
 
 def project(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -49,18 +51,17 @@ def window_period(col: str | Column, start, end, labels=("before", "within", "af
 
 # ---------------------------------------------------------------- aliases
 
-# Above this many aliases a dict is looked up in a map literal, not a CASE chain.
-CASE_LIMIT = 8
-
-
 def check_aliases(aliases: Mapping) -> None:
-    """Aliases are one level: a canonical code may not itself be an alias."""
+    """Aliases are one level, and neither an alias nor a canonical code is None."""
+    if any(a is None or c is None for a, c in aliases.items()):
+        raise ValueError("an alias or canonical code is None")
     chained = sorted({str(c) for c in aliases.values() if c in aliases})
     if chained:
         raise ValueError(f"alias chain: canonical codes {chained} are also aliases")
 
 
-def _alias_frame_ok(aliases: DataFrame, alias_col: str, canonical_col: str) -> None:
+def assert_one_level(aliases: DataFrame, alias_col: str = "alias", canonical_col: str = "canonical") -> None:
+    """Raise when a canonical code of an alias table is itself an alias. Runs a job."""
     chained = (aliases.select(F.col(canonical_col).alias("_c"))
                .join(aliases.select(F.col(alias_col).alias("_c")), "_c", "left_semi")
                .limit(1).collect())
@@ -68,88 +69,84 @@ def _alias_frame_ok(aliases: DataFrame, alias_col: str, canonical_col: str) -> N
         raise ValueError(f"alias chain: canonical code {chained[0][0]!r} is also an alias")
 
 
+def _alias_frame(df: DataFrame, col: str, aliases: Mapping | DataFrame, alias_col: str,
+                 canonical_col: str) -> DataFrame:
+    """(_alias, _canon) rows without NULLs; a repeated alias fails the job that reads them."""
+    if isinstance(aliases, Mapping):
+        check_aliases(aliases)
+        kind = df.schema[col].dataType
+        fields = T.StructType([T.StructField("_alias", kind), T.StructField("_canon", kind)])
+        return df.sparkSession.createDataFrame(list(aliases.items()), fields)
+    rows = aliases.select(F.col(alias_col).alias("_alias"), F.col(canonical_col).alias("_canon"))
+    return unique_by(rows.where("_alias is not null and _canon is not null"), "_alias")
+
+
 def normalize_codes(df: DataFrame, col: str, aliases: Mapping | DataFrame, out: str | None = None,
                     alias_col: str = "alias", canonical_col: str = "canonical",
-                    strategy: str = "auto", max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                    strategy: str = "auto", max_bytes: int | None = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Replace alias codes by their canonical code, once.
 
-    Other codes are unchanged and NULL stays NULL. A small dict becomes one
-    CASE expression; a larger one a map literal looked up in one step (no
-    join either way); a DataFrame map is joined, broadcast when its size check
-    passes, then ``coalesce(canonical, code)``.
+    Other codes are unchanged and NULL stays NULL. A dict of any size is a map
+    literal (no join); a table is joined, and a repeated alias in it fails the
+    job instead of multiplying rows. ``assert_one_level`` checks a table for chains.
     """
     out = out or col
     if isinstance(aliases, Mapping):
         check_aliases(aliases)
         if not aliases:
             return df.withColumn(out, F.col(col))
-        if len(aliases) > CASE_LIMIT:
-            lookup = F.create_map(*[F.lit(x) for kv in aliases.items() for x in kv])
-            return df.withColumn(out, F.coalesce(F.try_element_at(lookup, F.col(col)), F.col(col)))
-        expr = F.when(F.col(col) == F.lit(next(iter(aliases))), F.lit(next(iter(aliases.values()))))
-        for alias, canonical in list(aliases.items())[1:]:
-            expr = expr.when(F.col(col) == F.lit(alias), F.lit(canonical))
-        return df.withColumn(out, expr.otherwise(F.col(col)))
-    _alias_frame_ok(aliases, alias_col, canonical_col)
-    amap = aliases.select(F.col(alias_col).alias("_alias"), F.col(canonical_col).alias("_canon"))
-    amap = place_small_side(amap, strategy, max_rows)
+        lookup = F.create_map(*[F.lit(x) for kv in aliases.items() for x in kv])
+        return df.withColumn(out, F.coalesce(F.try_element_at(lookup, F.col(col)), F.col(col)))
+    amap = place_small_side(_alias_frame(df, col, aliases, alias_col, canonical_col), strategy, max_bytes)
     joined = df.join(amap, df[col] == amap["_alias"], "left")
     return (joined.withColumn(out, F.coalesce(F.col("_canon"), F.col(col)))
             .drop("_alias", "_canon"))
 
 
-def alias_impact(df: DataFrame, col: str, aliases: Mapping) -> DataFrame:
+def alias_impact(df: DataFrame, col: str, aliases: Mapping | DataFrame, weight: str | None = None,
+                 alias_col: str = "alias", canonical_col: str = "canonical") -> DataFrame:
     """Per canonical code: rows before / after normalisation and rows recovered.
 
-    One pass and one conditional aggregate (the reference needed two jobs).
+    One count per code of the fact table, joined to the aliases; a canonical code
+    without rows has zeros. ``weight``: the count column of rows that are counts already.
     """
-    check_aliases(aliases)
-    canon = sorted(set(aliases.values()), key=str)
-    norm = normalize_codes(df.select(col), col, aliases, out="_norm")
-    return (norm.filter(F.col("_norm").isin(canon))
-            .groupBy(F.col("_norm").alias("canonical"))
-            .agg(F.count_if(F.col(col) == F.col("_norm")).alias("n_before"),
-                 F.count(F.lit(1)).alias("n_after"))
+    rows = _alias_frame(df, col, aliases, alias_col, canonical_col)
+    n = F.count(F.lit(1)) if weight is None else F.sum(weight)
+    counts = df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("_code")).agg(n.alias("_n"))
+    members = (rows.select("_canon", F.col("_alias").alias("_code"), F.lit(0).alias("_own"))
+               .unionByName(rows.select("_canon").distinct()
+                            .select("_canon", F.col("_canon").alias("_code"), F.lit(1).alias("_own"))))
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
+    return (members.join(counts, "_code", "left").groupBy(F.col("_canon").alias("canonical"))
+            .agg(total(F.col("_n") * F.col("_own")).alias("n_before"), total(F.col("_n")).alias("n_after"))
             .withColumn("n_recovered", F.col("n_after") - F.col("n_before")))
 
 
 # ---------------------------------------------------------------- prefix subsets
 
-def order_index(units: DataFrame, col: str, out: str = "idx") -> DataFrame:
-    """0-based position of each row of ``units`` in ascending ``col`` order.
-
-    Distributed: range-partition and sort, number rows inside each partition
-    with ``monotonically_increasing_id`` (partition id in the high bits), and
-    add the row count of all earlier partitions. Only the per-partition count
-    table (one row per partition) is small enough to be gathered.
-    """
-    ranged = units.repartitionByRange(F.col(col)).sortWithinPartitions(col)
-    mid = F.monotonically_increasing_id()
-    numbered = ranged.select("*", F.shiftright(mid, 33).alias("_pid"),
-                             mid.bitwiseAND(F.lit((1 << 33) - 1)).alias("_local"))
-    counts = numbered.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.select(
-        "_pid",
-        (F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)))
-        .alias("_offset"))
-    return (numbered.join(F.broadcast(offsets), "_pid")
-            .withColumn(out, F.coalesce(F.col("_offset"), F.lit(0)) + F.col("_local"))
-            .drop("_pid", "_local", "_offset"))
-
-
 def prefix_slices(df: DataFrame, unit_col: str, fraction: float) -> DataFrame:
     """Rows of the first ``max(1, round(N * fraction))`` units in name order.
 
     Units are whole files/slices/days, not random rows; rounding is half to
     even. The kept units form a prefix, so the result is a plain filter
-    ``unit <= cutoff`` with the cutoff found by a scalar subquery — no join
-    and no gathering of the unit list into one task.
+    ``unit <= cutoff``. The cutoff is the unit at that place in the units'
+    order: range partitions of the units are counted, and one of them is
+    searched. Two small jobs run while the plan is built.
     """
     if not 0 < fraction <= 1:
         raise ValueError("fraction must be in (0, 1]")
-    units = df.select(unit_col).where(F.col(unit_col).isNotNull()).distinct()
-    indexed = order_index(units, unit_col)
-    n_units = units.agg(F.count(F.lit(1))).scalar()
-    n_keep = F.greatest(F.lit(1), F.bround(n_units * F.lit(float(fraction))).cast("long"))
-    cutoff = indexed.filter(F.col("idx") < n_keep).agg(F.max(unit_col)).scalar()
-    return df.filter(F.col(unit_col) <= cutoff)
+    spark, path = df.sparkSession, shared_dir(df.sparkSession, "units")
+    units = df.select(F.col(unit_col).alias("unit")).where("unit is not null").distinct()
+    units.repartitionByRange("unit").sortWithinPartitions("unit").withColumn("part", F.spark_partition_id()).write.parquet(path)
+    written = spark.read.schema(T.StructType([T.StructField("unit", df.schema[unit_col].dataType), T.StructField("part", T.IntegerType())])).parquet(path)
+    sizes = sorted((r["part"], r["n"]) for r in written.groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect())
+    keep = max(1, round(sum(n for _, n in sizes) * fraction))
+    for part, n in sizes:
+        if keep <= n:
+            # the largest of the smallest ``keep`` units of this part
+            top = written.where(F.col("part") == part).orderBy("unit").limit(keep).agg(F.max("unit")).first()[0]
+            delete_path(spark, path)
+            return df.filter(F.col(unit_col) <= F.lit(top))
+        keep -= n
+    delete_path(spark, path)
+    return df.filter(F.lit(False))

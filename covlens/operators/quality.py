@@ -39,8 +39,9 @@ def null_profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
             .orderBy(F.col("n_null").desc(), "column"))
 
 
-def _code_counts(df: DataFrame, code: str) -> DataFrame:
-    return df.where(F.col(code).isNotNull()).groupBy(code).agg(F.count(F.lit(1)).alias("_n"))
+def _code_counts(df: DataFrame, code: str, weight: str | None = None) -> DataFrame:
+    n = F.count(F.lit(1)) if weight is None else F.sum(weight).cast("long")
+    return df.where(F.col(code).isNotNull()).groupBy(code).agg(n.alias("_n"))
 
 
 def _dim_keys(dim: DataFrame, dim_key: str, strategy: str) -> DataFrame:
@@ -48,14 +49,14 @@ def _dim_keys(dim: DataFrame, dim_key: str, strategy: str) -> DataFrame:
 
 
 def match_rate(df: DataFrame, code: str, dim: DataFrame, dim_key: str,
-               strategy: str = "auto") -> DataFrame:
+               strategy: str = "auto", weight: str | None = None) -> DataFrame:
     """One row: non-NULL codes, matched / unmatched rows and %.
 
     NULL codes are outside the base (source incompleteness, not a dimension
     gap). Duplicate dimension keys cannot inflate the count: keys are made
-    distinct first.
+    distinct first. ``weight``: the count column of rows that are counts already.
     """
-    counts = _code_counts(df, code)
+    counts = _code_counts(df, code, weight)
     keys = _dim_keys(dim, dim_key, strategy)
     j = counts.join(keys, counts[code] == keys["_k"], "left")
     return (j.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("n_coded"),
@@ -67,9 +68,10 @@ def match_rate(df: DataFrame, code: str, dim: DataFrame, dim_key: str,
 
 
 def unmatched_codes(df: DataFrame, code: str, dim: DataFrame, dim_key: str,
-                    strategy: str = "auto", ordered: bool = True) -> DataFrame:
+                    strategy: str = "auto", ordered: bool = True,
+                    weight: str | None = None) -> DataFrame:
     """Codes absent from the dimension, with their row counts."""
-    counts = _code_counts(df, code)
+    counts = _code_counts(df, code, weight)
     keys = _dim_keys(dim, dim_key, strategy)
     out = (counts.join(keys, counts[code] == keys["_k"], "left_anti")
            .select(code, F.col("_n").alias("n_events")))
@@ -100,15 +102,16 @@ def slice_grid(spark: SparkSession, start, end, step_minutes: int = 15,
     return spark.range(max(n, 0)).select((ntz_literal(s) + offset).alias(out))
 
 
-def _present_slots(df: DataFrame, ts: str, step_minutes: int, out: str) -> DataFrame:
-    return (df.select(slice_floor(ts, step_minutes).alias(out)).where(F.col(out).isNotNull())
+def _present_slots(df: DataFrame, ts: str, start, step_minutes: int, out: str) -> DataFrame:
+    begin = ntz_literal(dt.datetime.fromisoformat(str(start)))
+    return (df.select(slice_floor(ts, step_minutes, begin).alias(out)).where(F.col(out).isNotNull())
             .distinct().withColumn("_present", F.lit(True)))
 
 
 def slice_completeness(df: DataFrame, ts: str, start, end, step_minutes: int = 15) -> DataFrame:
     """One row: expected slots, slots with data, missing slots (V4)."""
     grid = slice_grid(df.sparkSession, start, end, step_minutes, "slot")
-    present = _present_slots(df, ts, step_minutes, "slot")
+    present = _present_slots(df, ts, start, step_minutes, "slot")
     return (grid.join(present, "slot", "left")
             .agg(F.count(F.lit(1)).alias("n_expected"), F.count("_present").alias("n_present"))
             .withColumn("n_missing", F.col("n_expected") - F.col("n_present")))
@@ -117,7 +120,7 @@ def slice_completeness(df: DataFrame, ts: str, start, end, step_minutes: int = 1
 def missing_slices(df: DataFrame, ts: str, start, end, step_minutes: int = 15) -> DataFrame:
     """The expected slots that hold no row (V4)."""
     grid = slice_grid(df.sparkSession, start, end, step_minutes, "slot")
-    present = _present_slots(df, ts, step_minutes, "slot")
+    present = _present_slots(df, ts, start, step_minutes, "slot")
     return grid.join(present, "slot", "left_anti")
 
 
@@ -235,8 +238,7 @@ def period_distribution(df: DataFrame, period: str | Column, out: str = "period"
     """Rows per period with % of all rows.
 
     ``period`` is a column or expression (``functions.period``,
-    ``operators.prepare.window_period``); periods are few, so the % uses a
-    window over the grouped rows.
+    ``operators.prepare.window_period``).
     """
     grouped = df.groupBy(as_col(period).alias(out)).agg(F.count(F.lit(1)).alias("n_events"))
     return with_share(grouped, "n_events", "pct")

@@ -8,16 +8,14 @@ SQL oracle). Every derivation reads the whole table; none filters rows.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from covlens.operators.prepare import normalize_codes
 from covlens.profiles import RAW_EVENT_FIELDS, raw_event_schema
-from covlens.session import session_key, shared_dir
-from covlens.sources.scan import strict_scan
+from covlens.session import path_exists, session_key, shared_dir
+from covlens.sources.scan import dimension, lookup_scan, strict_scan
 from covlens.sources.sinks import write_delimited
 
 # Fixed values of the bindings (parameters of the derived inputs).
@@ -35,6 +33,7 @@ SLICE_MINUTES = 15
 BASE_DAY = "2024-01-01"
 RETRO_MODULUS = 40              # event day = ingest day - user_id % 40 days
 RETRO_BEFORE = "2024-01-01"
+DECIMALS = 4                    # decimals of events.value and l_extendedprice in the given tables
 
 
 _TABLES: dict[tuple[str, str], DataFrame] = {}
@@ -43,7 +42,7 @@ _TABLES: dict[tuple[str, str], DataFrame] = {}
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table; the scan handle (listing and schema) is reused within a session."""
     path = f"{sf_dir}/{name}.parquet"
-    key = (session_key(spark), os.path.abspath(path))
+    key = (session_key(spark), path)
     df = _TABLES.get(key)
     if df is None or df.sparkSession is not spark:
         df = _TABLES[key] = spark.read.parquet(path)
@@ -67,6 +66,11 @@ def normalized_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize_codes(coded_events(spark, sf_dir), "raw_code", ALIASES, out="code")
 
 
+def fine_measure():
+    """A measure with up to 20 decimals, NULL for a third of the users; its sums are exact in any order."""
+    return F.when(F.col("user_id") % 3 != 0, F.floor(F.col("value") * 1000) / F.lit(1048576.0))
+
+
 def nation_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Code dimension ``(n_nationkey, n_name)`` for binding B1."""
     return table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
@@ -122,10 +126,9 @@ def _layout(spark: SparkSession, sf_dir: str, name: str, write) -> str:
 
     ``write(path)`` writes it; the path is reused until its folder is gone.
     """
-    key = (session_key(spark), os.path.abspath(sf_dir), name)
+    key = (session_key(spark), sf_dir, name)
     path = _LAYOUTS.get(key)
-    local = None if path is None or "://" in path else path.removeprefix("file:")
-    if path is None or (local is not None and not os.path.isdir(local)):
+    if path is None or not path_exists(spark, path):
         path = shared_dir(spark, name)
         write(path)
         _LAYOUTS[key] = path
@@ -212,6 +215,20 @@ def geo_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("n_name").alias("label"))
 
 
+def lookup_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The place dimension as a lookup file with CRLF line ends, written once per session and scanned."""
+    def write(path: str) -> None:
+        geo = geo_dim(spark, sf_dir)
+        geo.select(F.concat_ws("\t", "code", F.concat("label", F.lit("\r"))).alias("value")).write.text(path)
+
+    return lookup_scan(spark, _layout(spark, sf_dir, "geo-lookup", write))
+
+
+def dimension_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first five place codes as a dimension from in-memory rows."""
+    return dimension(spark, [(f"G{i}", f"place {i}") for i in range(5)], "code string, label string")
+
+
 def actor_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Actor-code classification ``(code, entity_type)``: ``N<nationkey>``; one key left out."""
     t = entity_types(spark, sf_dir)

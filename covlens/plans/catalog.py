@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from covlens.functions.exprs import period
+from covlens.functions.exprs import day_from_int, period, starts_with
 from covlens.operators.coverage import (
     category_ratio, code_drilldown, count_by, coverage_daily, daily_volume, events_per_day,
     n_groups, top_codes, totals_by_code, volume_vs_base, weekend_drop,
@@ -27,7 +27,7 @@ from covlens.operators.pairs import (
     pair_filter_report, pair_interactions, tone_summary, top_pairs,
 )
 from covlens.operators.prepare import (
-    alias_impact, prefix_slices, time_window, window_period, window_report,
+    alias_impact, normalize_codes, prefix_slices, time_window, window_period, window_report,
 )
 from covlens.operators.quality import (
     file_listing, layout_sizes, layouts_agree, match_rate, missing_slices, null_profile,
@@ -39,7 +39,7 @@ from covlens.plans import bindings as B
 from covlens.plans.pipeline import aggregate_pairs, aggregate_places, clean
 from covlens.profiles import KEPT_COLUMNS, RAW_EVENT_FIELDS, raw_event_schema
 from covlens.session import session_key, shared_dir
-from covlens.sources.scan import line_row_check, read_events, strict_scan, typed_scan
+from covlens.sources.scan import line_row_check, read_events, strict_scan, typed_scan, with_source_file
 from covlens.sources.sinks import roundtrip_check, write_partitioned
 from covlens.streaming.ingest import clean_incremental
 
@@ -54,13 +54,31 @@ CATEGORY_COLS = list(B.CATEGORIES.values())
 def _coverage(spark, d):
     return coverage_daily(B.normalized_events(spark, d), B.nation_dim(spark, d), "code", "day",
                           dim_key="n_nationkey", label="n_name", measure="value",
-                          category="event_type", categories=B.CATEGORIES, mean_name="avg_value")
+                          category="event_type", categories=B.CATEGORIES, mean_name="avg_value",
+                          scale=B.DECIMALS)
+
+
+def _coverage_as_is(spark, d):
+    """The mean of unrounded values with many decimals, some NULL, codes mapped by a table."""
+    ev = B.coded_events(spark, d).withColumn("measure", B.fine_measure())
+    aliases = spark.createDataFrame(list(B.ALIASES.items()), "alias int, canonical int")
+    ev = normalize_codes(ev, "raw_code", aliases, out="code")
+    return coverage_daily(ev, B.nation_dim(spark, d), "code", "day", dim_key="n_nationkey",
+                          label="n_name", measure="measure", category="event_type",
+                          categories=B.CATEGORIES, mean_name="avg_value", ordered=True,
+                          check_unique=True)
+
+
+def _alias_table(spark, n):
+    """``n`` aliases as a dict: codes from 28 up, each to a code below 25."""
+    return {28 + i: (3 + i) % 25 for i in range(n)}
 
 
 def _pairs(spark, d):
     return pair_interactions(B.pair_events(spark, d), B.entity_types(spark, d), "a", "b",
                              type_key="code", type_col="entity_type",
-                             entity_type=B.ENTITY_TYPE, measure="tone", mean_name="avg_tone")
+                             entity_type=B.ENTITY_TYPE, measure="tone", mean_name="avg_tone",
+                             scale=B.DECIMALS)
 
 
 def _pair_kw():
@@ -168,11 +186,66 @@ def _raw_consolidated(spark, d):
 
 def _raw_places(spark, d):
     return aggregate_places(_raw_consolidated(spark, d), B.geo_dim(spark, d),
-                            aliases=B.RAW_ALIASES)
+                            aliases=B.RAW_ALIASES, scale=B.DECIMALS)
 
 
 def _raw_axis2(spark, d):
-    return aggregate_pairs(_raw_consolidated(spark, d), B.actor_types(spark, d))
+    return aggregate_pairs(_raw_consolidated(spark, d), B.actor_types(spark, d), scale=B.DECIMALS)
+
+
+def _raw_places_written(spark, d):
+    """E2's product: the coverage as written, partitioned by day, and read back."""
+    return aggregate_places(_raw_consolidated(spark, d), B.lookup_dim(spark, d), shared_dir(spark, "geo-daily"),
+                            geo_key="code", geo_label="label", aliases=B.RAW_ALIASES, scale=B.DECIMALS)["coverage"]
+
+
+def _raw_pairs_written(spark, d):
+    """E3's product, as written and read back."""
+    return aggregate_pairs(_raw_consolidated(spark, d), B.actor_types(spark, d), shared_dir(spark, "pairs"),
+                           scale=B.DECIMALS)["pairs"]
+
+
+def _raw_day(spark, d):
+    return _raw_consolidated(spark, d).withColumn("day", day_from_int("SQLDATE"))
+
+
+def _raw_category_ratio(spark, d):
+    """Conflict against cooperation per place, over QuadClass; every code, NULL-label ones included."""
+    cov = _raw_places(spark, d)["coverage"]
+    cov = cov.withColumn("label", F.when(F.col("ActionGeo_CountryCode") != "G3", F.col("label")))
+    return category_ratio(cov, ["ActionGeo_CountryCode", "label"], ["n_verbal_conflict", "n_material_conflict"],
+                          ["n_verbal_cooperation", "n_material_cooperation"], top_n=10)
+
+
+def _raw_whole(spark, d):
+    """The consolidated raw feed without a window: the same rows as the text."""
+    key = (session_key(spark), d, "whole")
+    path = _RAW_CONSOLIDATED.get(key)
+    if path is None:
+        path = _RAW_CONSOLIDATED[key] = shared_dir(spark, "raw-whole")
+        clean(spark, B.raw_feed_layout(spark, d), path, 0, 99_999_999)
+    return read_events(spark, path, schema=_raw_kept_schema())
+
+
+def _two_runs(spark, d):
+    """Two incremental cleans of a growing folder, with default arguments: the days to the 15th, then all."""
+    text, out = B.events_text_layout(spark, d), shared_dir(spark, "clean-twice")
+    for glob in ("ingest_day=2024010*/", "ingest_day=*/"):
+        clean_incremental(spark, f"{text}/{glob}", out, _D(B.WINDOW_START), _D(B.WINDOW_END),
+                          schema=B.EVENTS_SCHEMA, kept=CLEAN_KEPT, day_col="day",
+                          derived={"day": F.to_date("ts")})
+    return spark.read.parquet(out).select(*CLEAN_KEPT)
+
+
+def _rows_by_source(spark, d):
+    """Rows of the text layout by the day folder and by whether the file's size is known."""
+    rows = with_source_file(spark.read.text(B.events_text_layout(spark, d)))
+    return rows.groupBy(F.col("ingest_day").cast("string").alias("ingest_day")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if((F.col("source_bytes") > 0) & F.col("source_file").isNotNull()).alias("n_known"))
+
+
+def _completeness(minutes):
+    return lambda s, d: slice_completeness(B.table(s, d, "events"), "ts", B.SLICE_START, B.SLICE_END, minutes)
 
 
 def _clean_incremental(spark, d):
@@ -198,6 +271,10 @@ def _retro_by_file(spark, d):
 QUERIES: dict[str, Query] = {
     # axis 1 and its reports (B1)
     "coverage_daily": _coverage,
+    "coverage_daily_as_is": _coverage_as_is,
+    "alias_impact_of_20": lambda s, d: alias_impact(B.coded_events(s, d), "raw_code", _alias_table(s, 20)),
+    "normalize_codes_of_20": lambda s, d: count_by(normalize_codes(
+        B.coded_events(s, d), "raw_code", _alias_table(s, 20), out="code"), "code"),
     "match_rate": lambda s, d: match_rate(B.normalized_events(s, d), "code",
                                           B.nation_dim(s, d), "n_nationkey"),
     "unmatched_codes": lambda s, d: unmatched_codes(B.normalized_events(s, d), "code",
@@ -261,6 +338,11 @@ QUERIES: dict[str, Query] = {
                                                           B.SLICE_MINUTES),
     "missing_slices": lambda s, d: missing_slices(B.table(s, d, "events"), "ts", B.SLICE_START,
                                                   B.SLICE_END, B.SLICE_MINUTES),
+    "slice_completeness_45": _completeness(45),
+    "slice_completeness_120": _completeness(120),
+    "lookup_scan": lambda s, d: B.lookup_dim(s, d),
+    "rows_by_source": _rows_by_source,
+    "clean_incremental_twice": _two_runs,
     # text layout, strict scan and sinks
     "strict_scan_roundtrip": lambda s, d: B.events_from_text(s, d)[0],
     "line_row_check": lambda s, d: line_row_check(
@@ -285,16 +367,25 @@ QUERIES: dict[str, Query] = {
     "raw_clean": lambda s, d: read_events(s, _raw_clean(s, d)[1], schema=_raw_kept_schema()),
     "raw_clean_report": lambda s, d: _raw_clean(s, d)[0],
     "raw_clean_incremental": _raw_clean_incremental,
-    "raw_group_count_parquet": lambda s, d: count_by(_raw_consolidated(s, d),
-                                                     "ActionGeo_CountryCode"),
+    "raw_group_count_parquet": lambda s, d: count_by(_raw_whole(s, d), "ActionGeo_CountryCode"),
+    "raw_coverage_written": _raw_places_written,
+    "raw_pairs_written": _raw_pairs_written,
+    "raw_weekend_drop": lambda s, d: weekend_drop(_raw_day(s, d), "day"),
+    "raw_category_ratio": _raw_category_ratio,
+    "raw_top_pairs": lambda s, d: top_pairs(_raw_axis2(s, d)["pairs"], "Actor1CountryCode", "Actor2CountryCode", 15),
+    "raw_period_by_month": lambda s, d: period_distribution(_raw_whole(s, d), period("SQLDATE", "month", 8)),
+    "raw_prefix_match": lambda s, d: count_by(
+        _raw_whole(s, d).where(starts_with("SQLDATE", "2024011")), "SQLDATE"),
+    "raw_daily_volume_matched": lambda s, d: daily_volume(join_dimension(
+        _raw_whole(s, d), B.dimension_rows(s, d), "ActionGeo_CountryCode", "code", "left_semi"), "SQLDATE"),
     "raw_coverage": lambda s, d: _raw_places(s, d)["coverage"],
     "raw_match_rate": lambda s, d: _raw_places(s, d)["match_rate"],
     "raw_alias_impact": lambda s, d: _raw_places(s, d)["alias_impact"],
     "raw_join_broadcast": lambda s, d: join_dimension(
-        _raw_consolidated(s, d).select("GlobalEventID", "Actor1CountryCode"), B.actor_types(s, d),
+        _raw_whole(s, d).select("GlobalEventID", "Actor1CountryCode"), B.actor_types(s, d),
         "Actor1CountryCode", "code", "inner", "broadcast"),
     "raw_join_merge": lambda s, d: join_dimension(
-        _raw_consolidated(s, d).select("GlobalEventID", "Actor1CountryCode"), B.actor_types(s, d),
+        _raw_whole(s, d).select("GlobalEventID", "Actor1CountryCode"), B.actor_types(s, d),
         "Actor1CountryCode", "code", "inner", "merge"),
     "raw_pairs": lambda s, d: _raw_axis2(s, d)["pairs"],
     # the dirty raw feed: every bad line rejected with its reason
@@ -524,11 +615,11 @@ ORACLE: dict[str, str] = {
         f"UNION ALL SELECT code, 'right_only' AS side FROM ({TYPES}) t "
         "WHERE code NOT IN (SELECT n_nationkey FROM nation)"),
     "duplicate_labels": (
-        "SELECT n_name, COUNT(DISTINCT n_nationkey) AS n_codes, "
-        "array_to_string(list_sort(list_distinct(list(n_nationkey))), ',') AS codes FROM ("
-        "SELECT n_nationkey, n_name FROM nation UNION ALL "
-        "SELECT n_nationkey + 25 AS n_nationkey, n_name FROM nation WHERE n_nationkey = 0) d "
-        "GROUP BY n_name HAVING COUNT(DISTINCT n_nationkey) > 1"),
+        "WITH d AS (SELECT n_nationkey, n_name FROM nation UNION ALL "
+        "SELECT n_nationkey + 25 AS n_nationkey, n_name FROM nation WHERE n_nationkey = 0), "
+        "g AS (SELECT n_name, COUNT(DISTINCT n_nationkey) AS n_codes FROM d GROUP BY n_name "
+        "HAVING COUNT(DISTINCT n_nationkey) > 1) "
+        "SELECT DISTINCT d.n_name, d.n_nationkey, g.n_codes FROM d JOIN g USING (n_name)"),
     "validate_dimension": (
         "SELECT n_nationkey, COUNT(*) AS n_rows FROM (SELECT * FROM nation UNION ALL "
         "SELECT * FROM nation WHERE n_nationkey = 5) d GROUP BY n_nationkey HAVING COUNT(*) > 1"),
@@ -606,8 +697,66 @@ ORACLE: dict[str, str] = {
         "FROM (SELECT COUNT(*) AS n_lines, COUNT(*) AS n_valid, "
         "COUNT(CASE WHEN SQLDATE BETWEEN 20240105 AND 20240125 THEN 1 END) AS n_kept "
         f"FROM ({RAW}) r) t"),
-    "raw_group_count_parquet": (f"SELECT ActionGeo_CountryCode, COUNT(*) AS n FROM ({RAW_KEPT}) k "
+    "raw_group_count_parquet": (f"SELECT ActionGeo_CountryCode, COUNT(*) AS n FROM ({RAW}) k "
                                 "GROUP BY ActionGeo_CountryCode"),
+    "raw_weekend_drop": (
+        "WITH d AS (SELECT CAST(strptime(CAST(SQLDATE AS VARCHAR), '%Y%m%d') AS DATE) AS day, COUNT(*) AS n_events "
+        f"FROM ({RAW_KEPT}) k GROUP BY 1), "
+        f"a AS (SELECT COUNT(CASE WHEN NOT {WEEKEND} THEN 1 END) AS n_weekdays, "
+        f"COUNT(CASE WHEN {WEEKEND} THEN 1 END) AS n_weekend_days, "
+        f"CAST(SUM(CASE WHEN NOT {WEEKEND} THEN n_events END) AS DOUBLE) AS wd, "
+        f"CAST(SUM(CASE WHEN {WEEKEND} THEN n_events END) AS DOUBLE) AS we FROM d) "
+        "SELECT n_weekdays, n_weekend_days, "
+        "wd / CAST(NULLIF(n_weekdays, 0) AS DOUBLE) AS avg_weekday, "
+        "we / CAST(NULLIF(n_weekend_days, 0) AS DOUBLE) AS avg_weekend, "
+        "CAST(1 AS DOUBLE) - (we / CAST(NULLIF(n_weekend_days, 0) AS DOUBLE)) / "
+        "NULLIF(wd / CAST(NULLIF(n_weekdays, 0) AS DOUBLE), 0) AS weekend_drop FROM a"),
+    "raw_category_ratio": (
+        "SELECT e.ActionGeo_CountryCode, CASE WHEN e.ActionGeo_CountryCode <> 'G3' THEN g.label END AS label, "
+        "COUNT(*) AS n_events, COUNT(CASE WHEN e.QuadClass IN (3, 4) THEN 1 END) AS numerator, "
+        "COUNT(CASE WHEN e.QuadClass IN (1, 2) THEN 1 END) AS denominator, "
+        "CAST(COUNT(CASE WHEN e.QuadClass IN (3, 4) THEN 1 END) AS DOUBLE) / "
+        "CAST(NULLIF(COUNT(CASE WHEN e.QuadClass IN (1, 2) THEN 1 END), 0) AS DOUBLE) AS ratio "
+        f"FROM ({RAW_NORM}) e JOIN ({GEO}) g ON e.ActionGeo_CountryCode = g.code "
+        "GROUP BY 1, 2 ORDER BY n_events DESC, 1 NULLS FIRST, 2 NULLS FIRST LIMIT 10"),
+    "raw_period_by_month": (
+        "WITH g AS (SELECT CAST(SQLDATE // 100 AS BIGINT) AS period, COUNT(*) AS n_events "
+        f"FROM ({RAW}) r GROUP BY 1) "
+        f"SELECT period, n_events, {_pct('n_events', 'SUM(n_events) OVER ()')} AS pct FROM g"),
+    "raw_prefix_match": (f"SELECT SQLDATE, COUNT(*) AS n FROM ({RAW}) r "
+                         "WHERE CAST(SQLDATE AS VARCHAR) LIKE '2024011%' GROUP BY SQLDATE"),
+    "raw_daily_volume_matched": (
+        f"SELECT SQLDATE, COUNT(*) AS n_events FROM ({RAW}) r WHERE ActionGeo_CountryCode IN "
+        "('G0', 'G1', 'G2', 'G3', 'G4') GROUP BY SQLDATE"),
+    "coverage_daily_as_is": (
+        "SELECT e.code, n.n_name, e.day, COUNT(*) AS n_events, "
+        "AVG(CASE WHEN e.user_id % 3 <> 0 THEN floor(e.value * 1000) / 1048576 END) AS avg_value, "
+        "COUNT(CASE WHEN e.event_type = 'click' THEN 1 END) AS n_click, "
+        "COUNT(CASE WHEN e.event_type = 'view' THEN 1 END) AS n_view, "
+        "COUNT(CASE WHEN e.event_type = 'purchase' THEN 1 END) AS n_purchase, "
+        "COUNT(CASE WHEN e.event_type = 'error' THEN 1 END) AS n_error "
+        f"FROM ({B1N}) e JOIN nation n ON e.code = n.n_nationkey GROUP BY e.code, n.n_name, e.day"),
+    "alias_impact_of_20": (
+        f"WITH b AS ({B1}), a AS (SELECT 28 + i AS alias, (3 + i) % 25 AS canonical FROM range(20) t(i)) "
+        "SELECT CAST(c.canonical AS INTEGER) AS canonical, "
+        "(SELECT COUNT(*) FROM b WHERE raw_code = c.canonical) AS n_before, "
+        "(SELECT COUNT(*) FROM b WHERE raw_code = c.canonical OR raw_code IN "
+        "(SELECT alias FROM a WHERE a.canonical = c.canonical)) AS n_after, "
+        "(SELECT COUNT(*) FROM b WHERE raw_code IN (SELECT alias FROM a WHERE a.canonical = c.canonical)) "
+        "AS n_recovered FROM (SELECT DISTINCT canonical FROM a) c"),
+    "normalize_codes_of_20": (
+        "SELECT CASE WHEN raw_code BETWEEN 28 AND 47 THEN CAST((raw_code - 25) % 25 AS INTEGER) ELSE raw_code END "
+        f"AS code, COUNT(*) AS n FROM ({B1}) b GROUP BY 1"),
+    **{f"slice_completeness_{m}": (
+        "SELECT COUNT(*) AS n_expected, COUNT(p.slot) AS n_present, COUNT(*) - COUNT(p.slot) AS n_missing FROM "
+        f"generate_series(TIMESTAMP '2024-01-01 00:00:00', TIMESTAMP '2024-01-30 23:45:00', INTERVAL {m} MINUTE) g(slot) "
+        f"LEFT JOIN (SELECT DISTINCT time_bucket(INTERVAL {m} MINUTE, ts, TIMESTAMP '2024-01-01 00:00:00') AS slot "
+        "FROM events) p ON g.slot = p.slot") for m in (45, 120)},
+    "lookup_scan": GEO,
+    "rows_by_source": ("SELECT strftime(ts, '%Y%m%d') AS ingest_day, COUNT(*) AS n, COUNT(*) AS n_known "
+                       "FROM events GROUP BY 1"),
+    "clean_incremental_twice": (f"SELECT event_id, day, user_id, event_type, value FROM ({B1}) b "
+                                f"WHERE {IN_WINDOW}"),
     "raw_coverage": (
         f"SELECT e.ActionGeo_CountryCode, g.label, e.SQLDATE, COUNT(*) AS n_events, "
         f"{_mean('e.AvgTone')} AS avg_tone, "
@@ -632,9 +781,9 @@ ORACLE: dict[str, str] = {
         f"FROM ({RAW_KEPT}) k JOIN ({RAW_NORM}) n ON k.GlobalEventID = n.GlobalEventID "
         "WHERE n.ActionGeo_CountryCode IN ('G3') GROUP BY n.ActionGeo_CountryCode"),
     "raw_join_broadcast": (f"SELECT k.GlobalEventID, k.Actor1CountryCode, t.entity_type "
-                           f"FROM ({RAW_KEPT}) k JOIN ({ATYPES}) t ON k.Actor1CountryCode = t.code"),
+                           f"FROM ({RAW}) k JOIN ({ATYPES}) t ON k.Actor1CountryCode = t.code"),
     "raw_join_merge": (f"SELECT k.GlobalEventID, k.Actor1CountryCode, t.entity_type "
-                       f"FROM ({RAW_KEPT}) k JOIN ({ATYPES}) t ON k.Actor1CountryCode = t.code"),
+                       f"FROM ({RAW}) k JOIN ({ATYPES}) t ON k.Actor1CountryCode = t.code"),
     "dirty_line_row_check": (
         f"SELECT COUNT(*) AS n_lines, COUNT(*) - COUNT(rule) AS n_valid, COUNT(rule) AS n_rejected, "
         f"COUNT(rule) = 0 AS all_valid FROM ({DIRTY}) x"),
@@ -676,3 +825,10 @@ ORACLE: dict[str, str] = {
         f"FROM (SELECT COUNT(*) AS n_lines, COUNT(*) AS n_valid, "
         f"COUNT(CASE WHEN {IN_WINDOW} THEN 1 END) AS n_kept FROM ({B1}) b) t"),
 }
+
+ORACLE["raw_coverage_written"] = ORACLE["raw_coverage"]
+ORACLE["raw_pairs_written"] = ORACLE["raw_pairs"]
+ORACLE["raw_top_pairs"] = (
+    "SELECT *, Actor1CountryCode || ' → ' || Actor2CountryCode AS pair FROM "
+    f"({ORACLE['raw_pairs']}) x WHERE Actor1CountryCode <> Actor2CountryCode "
+    "ORDER BY n_events DESC, Actor1CountryCode, Actor2CountryCode LIMIT 15")

@@ -3,10 +3,10 @@
 Parameters replace the reference's command-line flags. Reports come back as
 DataFrames; nothing is printed.
 
-``clean`` reads the raw text once: the consolidated write is the only action
-on the text, and the line / valid / kept counts are gathered during that same
-pass by a DataFrame ``Observation`` (the reference re-read the files for
-each count).
+``clean`` parses the raw text once: kept rows and rejects are staged in the shared
+folder by that one pass, which also counts lines, valid and kept rows (a DataFrame
+``Observation``); the tables are written from the stage. Each axis aggregates its
+events once, and its tables and reports all read that aggregate.
 """
 
 from __future__ import annotations
@@ -17,14 +17,14 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from covlens.functions.exprs import pct
-from covlens.operators.coverage import coverage_daily
-from covlens.operators.joins import assert_unique_keys
-from covlens.operators.pairs import pair_filter_report, pair_interactions
+from covlens.operators.coverage import coverage_from_partials, coverage_partials
+from covlens.operators.joins import unique_by
+from covlens.operators.pairs import pair_filter_report, pair_partials, pairs_from_partials
 from covlens.operators.prepare import alias_impact, normalize_codes, project
 from covlens.operators.quality import match_rate, unmatched_codes
 from covlens.profiles import KEPT_COLUMNS, QUAD_CLASSES, raw_event_schema
-from covlens.sources.scan import literal_path, parse_delimited, read_lines, violations
+from covlens.session import delete_path, folder_names, shared_dir
+from covlens.sources.scan import parse_delimited, read_events, violations
 from covlens.sources.sinks import write_partitioned, write_table
 
 CLEAN_REPORT_SCHEMA = T.StructType([
@@ -41,70 +41,95 @@ def clean(spark: SparkSession, raw_paths: str | Sequence[str], out_path: str, st
           rejects_path: str | None = None) -> DataFrame:
     """Raw delimited slices → validated, projected, windowed, day-partitioned Parquet.
 
-    ``derived`` adds computed columns (e.g. a day from a timestamp) before
-    the projection. Rejected records are written to ``rejects_path`` only if
-    there are any: the same pass observes which files hold them, and only
-    those files are read again (a clean feed is read once; a few bad slices
-    cost a few slices). ``overwrite="dynamic"`` keeps days outside this run's
-    window. Returns the one-row removal report.
+    ``derived`` adds computed columns (e.g. a day from a timestamp) before the
+    projection. ``rejects_path`` is always overwritten, with no rows if every
+    record is valid. ``overwrite="dynamic"`` keeps days outside the window; days
+    inside it are this run's, so one whose rows are gone is removed. Files are
+    clustered by day, and a large day is split. Returns the one-row removal report.
     """
     schema = schema or raw_event_schema()
     lines = spark.read.text(raw_paths if isinstance(raw_paths, str) else list(raw_paths))
     lines = lines.select(F.col("value").alias("_raw"),
-                         *([F.col("_metadata.file_path").alias("file_path")] if rejects_path else []))
+                         *([F.col("_metadata.file_name").alias("_file")] if rejects_path else []))
     parsed = parse_delimited(lines, schema, sep)
     for name, expr in (derived or {}).items():
         parsed = parsed.withColumn(name, expr)
     ok = F.col("_ok")
     inside = ok & F.col(day_col).between(F.lit(start), F.lit(end))
     obs = Observation("clean")
-    metrics = [F.count(F.lit(1)).alias("n_lines"), F.count_if(ok).alias("n_valid"),
-               F.count_if(inside).alias("n_kept")]
+    observed = parsed.observe(obs, F.count(F.lit(1)).alias("n_lines"), F.count_if(ok).alias("n_valid"),
+                              F.count_if(inside).alias("n_kept"))
+    staged = observed.select(
+        F.when(inside, F.lit(1)).when(~ok, F.lit(0)).alias("_kind"), *[F.col(f"`{c}`") for c in kept],
+        *([F.when(~ok, F.col("_file")).alias("_file"), F.when(~ok, F.col("_raw")).alias("_raw"),
+           F.when(~ok, violations(schema)).alias("_violations")] if rejects_path else []))
+    staged = staged.where("_kind is not null" if rejects_path else "_kind = 1")
+    stage = shared_dir(spark, "clean-stage")
+    staged.write.partitionBy("_kind").parquet(stage)
+    rows = spark.read.schema(T.StructType([f for f in staged.schema if f.name != "_kind"]
+                                          + [T.StructField("_kind", T.IntegerType())])).parquet(stage)
+    good = project(rows.where("_kind = 1"), [f"`{c}`" for c in kept])
+    days = [r[0] for r in good.select(day_col).distinct().collect()]  # days of one window
+    write_partitioned(good, out_path, day_col, sort=[c for c in kept if c != day_col][:1], overwrite=overwrite)
+    if overwrite == "dynamic":
+        drop_days(spark, out_path, day_col, good.schema[day_col].dataType, start, end, keep=days)
     if rejects_path:
-        # Files holding rejects: at most the file list the driver already has.
-        metrics.append(F.collect_set(F.when(~ok, F.col("file_path"))).alias("reject_files"))
-    observed = parsed.observe(obs, *metrics)
-    consolidated = project(observed.where(inside), [f"`{c}`" for c in kept])
-    # Map-side write: no exchange, so the observed counts come from this one pass.
-    write_partitioned(consolidated, out_path, day_col, overwrite=overwrite, shuffle="none")
+        write_table(rows.where("_kind = 0").select(F.col("_file").alias("file_name"), "_raw",
+                                                   F.col("_violations").alias("violations")), rejects_path)
+    delete_path(spark, stage)
     m = obs.get
     n_lines, n_valid, n_kept = int(m["n_lines"]), int(m["n_valid"]), int(m["n_kept"])
-    if rejects_path and n_lines > n_valid:
-        # Second pass over only the files that hold rejects, not the whole feed.
-        files = [literal_path(f) for f in sorted(m["reject_files"])]
-        rejects = (parse_delimited(read_lines(spark, files), schema, sep).where(~ok)
-                   .select("file_name", "_raw", violations(schema).alias("violations")))
-        write_table(rejects, rejects_path)
     removed = n_valid - n_kept
     return spark.createDataFrame(
         [(n_lines, n_valid, n_lines - n_valid, n_kept, removed,
           (100.0 * removed / n_valid) if n_valid else None)], CLEAN_REPORT_SCHEMA)
 
 
+def drop_days(spark: SparkSession, path: str, day_col: str, kind: T.DataType, start, end, keep) -> None:
+    """Deletes the day folders of ``path`` between ``start`` and ``end`` that are not in ``keep``."""
+    there = [n.partition("=")[2] for n in folder_names(spark, path) if n.startswith(f"{day_col}=")]
+    if not there:
+        return
+    days = spark.createDataFrame([(v,) for v in there], "name string").withColumn("day", F.col("name").try_cast(kind))
+    days = days.where(F.col("day").between(F.lit(start), F.lit(end)))
+    for row in days.collect():
+        if row["day"] not in keep:
+            delete_path(spark, f"{path.rstrip('/')}/{day_col}={row['name']}")
+
+
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in the shared folder: what an axis' tables and reports read."""
+    path = shared_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def aggregate_places(events: DataFrame, geo: DataFrame, out_path: str | None = None, *,
                      code: str = "ActionGeo_CountryCode", day: str = "SQLDATE",
                      geo_key: str = "code", geo_label: str = "label",
-                     aliases: Mapping | None = None, measure: str = "AvgTone",
+                     aliases: Mapping | DataFrame | None = None, measure: str = "AvgTone",
                      category: str = "QuadClass", categories: Mapping = QUAD_CLASSES,
-                     scale: int | None = 4, check_unique: bool = True) -> dict[str, DataFrame]:
+                     scale: int | None = None, check_unique: bool = True) -> dict[str, DataFrame]:
     """Axis 1 (E2): alias impact, match report, daily coverage per place.
 
-    Writes the coverage partitioned by day when ``out_path`` is given.
-    Returns lazy report DataFrames. ``check_unique`` fails fast on a repeated
-    dimension key, which would otherwise inflate the coverage counts.
+    The events are read once, into counts and sums per (raw code, day); alias
+    mapping, reports and coverage work on those. Writes the coverage partitioned
+    by day when ``out_path`` is given and returns the written table. With
+    ``check_unique`` a repeated dimension key fails the job that reads it.
     """
-    aliases = aliases or {}
-    normalized = normalize_codes(events, code, aliases)
-    coverage = coverage_daily(normalized, geo, code, day, dim_key=geo_key, label=geo_label,
-                              measure=measure, category=category,
-                              categories={k: v for k, v in categories.items()},
-                              mean_name="avg_tone", scale=scale, check_unique=check_unique)
+    partials = _written(coverage_partials(events, code, day, measure=measure, category=category,
+                                          categories=categories, scale=scale), "places")
+    normalized = normalize_codes(partials, code, aliases) if aliases is not None else partials
+    coverage = coverage_from_partials(normalized, geo, code, day, dim_key=geo_key, label=geo_label,
+                                      categories=categories, mean_name="avg_tone", scale=scale,
+                                      check_unique=check_unique)
     if out_path:
         write_partitioned(coverage, out_path, day, sort=[code])
+        coverage = read_events(events.sparkSession, out_path, schema=coverage.schema)
     return {
-        "alias_impact": alias_impact(events, code, aliases) if aliases else None,
-        "match_rate": match_rate(normalized, code, geo, geo_key),
-        "unmatched_codes": unmatched_codes(normalized, code, geo, geo_key),
+        "alias_impact": alias_impact(partials, code, aliases, weight="n_events") if aliases is not None else None,
+        "match_rate": match_rate(normalized, code, geo, geo_key, weight="n_events"),
+        "unmatched_codes": unmatched_codes(normalized, code, geo, geo_key, weight="n_events"),
         "coverage": coverage,
     }
 
@@ -113,27 +138,24 @@ def aggregate_pairs(events: DataFrame, types: DataFrame, out_path: str | None =
                     a: str = "Actor1CountryCode", b: str = "Actor2CountryCode",
                     type_key: str = "code", type_col: str = "entity_type",
                     entity_type: str = "country", measure: str = "AvgTone",
-                    scale: int | None = 4, check_unique: bool = True) -> dict[str, DataFrame]:
+                    scale: int | None = None, check_unique: bool = True) -> dict[str, DataFrame]:
     """Axis 2 (E3): match report per role, pair filter accounting, directed pairs.
 
-    ``check_unique`` fails fast on a repeated code in the classification.
+    The events are read once, into counts and sums per (A, B). With
+    ``check_unique`` a repeated code in the classification fails the job.
     """
     if check_unique:
-        assert_unique_keys(types, type_key)
-    pairs = pair_interactions(events, types, a, b, type_key=type_key, type_col=type_col,
-                              entity_type=entity_type, measure=measure, mean_name="avg_tone",
-                              scale=scale)
+        types = unique_by(types.select(type_key, type_col), type_key)
+    partials = _written(pair_partials(events, a, b, measure=measure, scale=scale), "pairs")
+    pairs = pairs_from_partials(partials, types, a, b, type_key=type_key, type_col=type_col,
+                                entity_type=entity_type, mean_name="avg_tone", scale=scale)
     if out_path:
         write_table(pairs, out_path)
+        pairs = read_events(events.sparkSession, out_path, schema=pairs.schema)
     return {
-        "match_rate_a": match_rate(events, a, types, type_key),
-        "match_rate_b": match_rate(events, b, types, type_key),
-        "pair_filter": pair_filter_report(events, types, a, b, type_key=type_key,
-                                          type_col=type_col, entity_type=entity_type),
+        "match_rate_a": match_rate(partials, a, types, type_key, weight="n_events"),
+        "match_rate_b": match_rate(partials, b, types, type_key, weight="n_events"),
+        "pair_filter": pair_filter_report(partials, types, a, b, type_key=type_key,
+                                          type_col=type_col, entity_type=entity_type, weight="n_events"),
         "pairs": pairs,
     }
-
-
-def removal_share(report: DataFrame) -> DataFrame:
-    """% of valid rows removed by the window, from a ``clean`` report."""
-    return report.select(pct("n_removed", "n_valid").alias("pct_removed"))

@@ -52,24 +52,6 @@ QUAD_CLASSES = {
     4: "n_material_conflict",
 }
 
-# Roles of the raw layout's columns, as the operators name them.
-ROLES = {
-    "id": "GlobalEventID",
-    "day": "SQLDATE",
-    "added": "DATEADDED",
-    "actor_a": "Actor1CountryCode",
-    "actor_b": "Actor2CountryCode",
-    "place": "ActionGeo_CountryCode",
-    "place_name": "ActionGeo_Fullname",
-    "place_type": "ActionGeo_Type",
-    "measure": "AvgTone",
-    "category": "QuadClass",
-}
-
-# Slice file names are the slice start, YYYYMMDDHHMMSS, then this suffix.
-SLICE_FILE_SUFFIX = ".export.CSV"
-SLICE_MINUTES = 15
-
 _TYPES = {"L": LongType(), "D": DoubleType(), "S": StringType()}
 
 
@@ -83,8 +65,3 @@ def raw_event_schema() -> StructType:
         StructField(name, _TYPES[code[0]], nullable=not code.endswith("!"))
         for name, code in RAW_EVENT_FIELDS
     ])
-
-
-def required_columns(schema: StructType) -> list[str]:
-    """Names of the fields declared non-nullable."""
-    return [f.name for f in schema.fields if not f.nullable]

@@ -1,14 +1,12 @@
 """Session helpers.
 
-The library never mutates session configuration of a caller's session. The only
-exception is the checkpoint/scratch location: it is read from the session
-(``spark.checkpoint.dir``) and a local one is set only when none is configured,
-which is the case in tests.
+The checkpoint/scratch location is read from the session (``spark.checkpoint.dir``).
+Only in local mode, and only when none is configured, a temporary one is set; on a
+cluster its absence is an error, since executors would not share it.
 """
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -56,6 +54,8 @@ def checkpoint_root(spark: SparkSession) -> str:
             root = spark.sparkContext.getCheckpointDir()
         except Exception:  # noqa: BLE001 - no local context (Spark Connect)
             root = None
+    if not root and not spark.conf.get("spark.master", "").startswith("local"):
+        raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
     if not root:
         root = tempfile.mkdtemp(prefix="covlens-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, root)
@@ -72,9 +72,27 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     Written tables that cut lineage, and round-trip layouts, go here so every
     executor sees them and a lost executor can be recomputed from them.
     """
-    root = checkpoint_root(spark)
-    sep = "" if root.endswith("/") else "/"
-    path = f"{root}{sep}covlens/{name}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", "", 1), exist_ok=True)
-    return path
+    return f"{checkpoint_root(spark).rstrip('/')}/covlens/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def _file_system(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists, on whatever file system Spark resolves it to."""
+    fs, at = _file_system(spark, path)
+    return bool(fs.exists(at))
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Deletes a file or folder that this library wrote."""
+    fs, at = _file_system(spark, path)
+    fs.delete(at, True)
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders right below ``path``; none if it does not exist."""
+    fs, at = _file_system(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(at) if s.isDirectory()] if fs.exists(at) else []

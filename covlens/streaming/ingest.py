@@ -4,9 +4,10 @@ Slices arrive as new files every 15 minutes. The same strict parse, derived
 columns, window filter and projection as ``plans.pipeline.clean`` run as a
 Structured Streaming query over the slice folder, so each run processes only
 files it has not seen. ``trigger(availableNow=True)`` drains what is there and
-stops, which suits a scheduled job. The file sink's metadata log and the
-checkpoint (both in the shared folder) make each slice land exactly once, and
-a restarted or failed run resumes where the last one committed.
+stops, which suits a scheduled job. The checkpoint lies beside the sink's own log in
+the output folder, so both always belong together: each slice lands exactly once over
+any number of runs, and a failed run resumes where the last one committed. Several
+feeds may go to one table one after the other; they share its checkpoint.
 """
 
 from __future__ import annotations
@@ -18,7 +19,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from covlens.profiles import KEPT_COLUMNS, raw_event_schema
-from covlens.session import shared_dir
 from covlens.sources.scan import parse_delimited, violations
 
 
@@ -32,13 +32,18 @@ def clean_incremental(spark: SparkSession, raw_dir: str, out_path: str, start, e
     """Append new slices of ``raw_dir`` to the day-partitioned table at ``out_path``.
 
     Rejected records go to ``rejects_path`` (a second sink of the same
-    stream) when given. By default the available files are processed and the
+    stream) when given. ``checkpoint`` is where the progress is kept, by default
+    in the output folders themselves; one that is given must be used in every run. By default the available files are processed and the
     call blocks until done (``availableNow``). With ``trigger_interval`` (for
     example ``"15 minutes"``, the slice cadence) the streams keep running on a
     processing-time trigger and their handles are returned at once.
     """
     schema = schema or raw_event_schema()
-    checkpoint = checkpoint or shared_dir(spark, "clean-stream-ckpt")
+
+    def log(path: str, name: str) -> str:
+        # readers skip folders that begin with an underscore
+        return f"{checkpoint}/{name}" if checkpoint else f"{path.rstrip('/')}/_checkpoint"
+
     def parsed_stream(source: bool):
         reader = spark.readStream.format("text")
         if max_files_per_trigger:
@@ -62,7 +67,7 @@ def clean_incremental(spark: SparkSession, raw_dir: str, out_path: str, start, e
 
     queries = [
         triggered(valid.writeStream.format("parquet").partitionBy(day_col)
-                  .option("path", out_path).option("checkpointLocation", f"{checkpoint}/valid"))
+                  .option("path", out_path).option("checkpointLocation", log(out_path, "valid")))
         .start()
     ]
     if rejects_path:
@@ -70,7 +75,7 @@ def clean_incremental(spark: SparkSession, raw_dir: str, out_path: str, start, e
             parsed_stream(source=True).where(~ok)
             .select("file_name", "_raw", violations(schema).alias("violations"))
             .writeStream.format("parquet").option("path", rejects_path)
-            .option("checkpointLocation", f"{checkpoint}/rejects")).start())
+            .option("checkpointLocation", log(rejects_path, "rejects"))).start())
     if trigger_interval:
         return queries
     for q in queries:

@@ -18,7 +18,7 @@ from covlens.operators.pairs import (
     pair_filter_report, pair_interactions, top_pairs,
 )
 from covlens.operators.prepare import (
-    alias_impact, normalize_codes, order_index, prefix_slices, window_report,
+    alias_impact, assert_one_level, normalize_codes, prefix_slices, window_report,
 )
 from covlens.operators.quality import (
     layouts_agree, match_rate, missing_slices, null_profile, slice_completeness, unmatched_codes,
@@ -89,7 +89,25 @@ def test_alias_chain_rejected(spark, events):
         normalize_codes(events, "code", {"A": "B", "B": "C"})
     amap = spark.createDataFrame([("A", "B"), ("B", "C")], "alias string, canonical string")
     with pytest.raises(ValueError):
-        normalize_codes(events, "code", amap)
+        assert_one_level(amap)
+    with pytest.raises(ValueError):
+        normalize_codes(events, "code", {"A": None})
+
+
+def test_repeated_alias_fails_instead_of_multiplying_rows(spark, events):
+    amap = spark.createDataFrame([("RB", "RI"), ("RB", "US"), (None, "x"), ("y", None)], "alias string, canonical string")
+    with pytest.raises(Exception, match="not unique"):
+        normalize_codes(events, "code", amap).collect()
+
+
+@pytest.mark.parametrize("n", [1, 2, 20])
+def test_alias_tables_and_dicts_agree_at_every_size(spark, events, n):
+    aliases = {"RB": "RI", **{f"Q{i}": f"Z{i}" for i in range(n - 1)}}
+    amap = spark.createDataFrame(list(aliases.items()), "alias string, canonical string")
+    for f in (lambda a: normalize_codes(events, "code", a), lambda a: alias_impact(events, "code", a)):
+        assert sorted(map(str, f(aliases).collect())) == sorted(map(str, f(amap).collect()))
+    impact = {r.canonical: (r.n_before, r.n_after) for r in alias_impact(events, "code", aliases).collect()}
+    assert len(impact) == n and all(v == (0, 0) for k, v in impact.items() if k != "RI")
 
 
 def test_alias_impact_recovered_equals_alias_rows(events):
@@ -106,23 +124,44 @@ def test_dimension_checks(spark):
     with pytest.raises(ValueError):
         assert_unique_keys(dim, "code")
     d = duplicate_labels(dim, "code", "label").collect()
-    assert [(r.label, r.n_codes, r.codes) for r in d] == [("Equatorial Guinea", 2, "EK,GV")]
+    assert sorted((r.label, r.code, r.n_codes) for r in d) == [("Equatorial Guinea", "EK", 2), ("Equatorial Guinea", "GV", 2)]
     other = spark.createDataFrame([("US",), ("SSD",)], "code string")
     diff = {(r.code, r.side) for r in dimension_diff(dim, other, "code").collect()}
     assert diff == {("GV", "left_only"), ("EK", "left_only"), ("SSD", "right_only")}
 
 
 def test_join_strategies_in_plan(spark, events, geo):
-    b = join_dimension(events, geo, "code", how="inner", strategy="broadcast")
+    b = join_dimension(events, geo, "code", how="inner", strategy="broadcast", max_bytes=None)
     m = join_dimension(events, geo, "code", how="inner", strategy="merge")
     assert "BroadcastHashJoin" in plan_text(b)
     assert "SortMergeJoin" in plan_text(m)
     assert sorted(r.id for r in b.collect()) == sorted(r.id for r in m.collect()) == [1, 2, 7, 8]
     # the size check refuses to broadcast past its bound
     with pytest.raises(ValueError):
-        join_dimension(events, geo, "code", strategy="broadcast", max_rows=2)
-    assert "BroadcastHashJoin" not in plan_text(
-        join_dimension(events, geo.hint("merge"), "code", strategy="auto", max_rows=2))
+        join_dimension(events, spark.range(100).select(F.col("id").cast("string").alias("code")), "code",
+                       strategy="broadcast", max_bytes=100)
+    assert "BroadcastHashJoin" not in plan_text(join_dimension(events, geo.hint("merge"), "code", strategy="auto"))
+
+
+def test_building_plans_runs_no_job(spark, events, geo):
+    from covlens.operators.quality import match_rate
+
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("lazy", "plans only")
+    try:
+        joined = join_dimension(normalize_codes(events, "code", {"RB": "RI"}), geo, "code", check_unique=True)
+        plan_text(joined), plan_text(match_rate(events, "code", geo, "code"))
+        assert list(tracker.getJobIdsForGroup("lazy")) == []
+    finally:
+        spark.sparkContext.setJobGroup("", "")
+
+
+def test_salt_splits_equal_rows(spark, geo):
+    fact = spark.createDataFrame([("US",)] * 800, "code string").coalesce(1)
+    j = join_dimension(fact, geo, "code", strategy="merge", salt_buckets=8)
+    assert j.count() == 800
+    salted = fact.withColumn("s", F.pmod(F.monotonically_increasing_id(), F.lit(8)))
+    assert salted.groupBy("s").count().count() == 8 and "monotonically_increasing_id" in plan_text(j)
 
 
 def test_label_codes_falls_back_to_code(events, geo):
@@ -275,10 +314,9 @@ def test_layouts_agree_detects_difference(spark):
 
 # ---------------------------------------------------------------- subsets and sinks
 
-def test_order_index_spans_partitions(spark):
+def test_prefix_slices_spans_partitions(spark):
     units = spark.range(0, 1000, 1, 7).select((F.col("id") * 3).alias("u"))
-    idx = order_index(units, "u").collect()
-    assert sorted((r.u, r.idx) for r in idx) == [(3 * i, i) for i in range(1000)]
+    assert sorted(r.u for r in prefix_slices(units, "u", 0.407).collect()) == [3 * i for i in range(407)]
 
 
 def test_prefix_slices_rounds_half_to_even(spark):
@@ -321,8 +359,8 @@ def test_dimension_rows_prefix_and_null_flag(spark):
 
 def test_join_dimension_unique_check(spark, events):
     dup = spark.createDataFrame([("US", "a"), ("US", "b")], "code string, label string")
-    with pytest.raises(ValueError):
-        join_dimension(events, dup, "code", check_unique=True)
+    with pytest.raises(Exception, match="not unique"):
+        join_dimension(events, dup, "code", check_unique=True).collect()
     assert join_dimension(events, dup, "code").count() == 6      # inflated: 3 US rows x 2
 
 
@@ -358,7 +396,7 @@ def test_salted_join_equals_plain_join(spark, geo):
 
 def test_salting_skipped_when_broadcast(spark, geo):
     fact = spark.createDataFrame([(1, "US")], "id long, code string")
-    j = join_dimension(fact, geo, "code", strategy="auto", salt_buckets=8)
+    j = join_dimension(fact, geo, "code", strategy="broadcast", salt_buckets=8, max_bytes=None)
     assert "_salt" not in plan_text(j) and "BroadcastHashJoin" in plan_text(j)
     h = join_dimension(fact, geo, "code", strategy="shuffle_hash", salt_buckets=4)
     assert "_salt" in plan_text(h) and h.count() == 1
@@ -407,7 +445,6 @@ def test_file_size_reports(spark, tmp_path):
 
 def test_prefix_and_index_on_empty_input(spark):
     empty = spark.createDataFrame([], "unit long")
-    assert order_index(empty, "unit").count() == 0
     assert prefix_slices(empty, "unit", 0.5).count() == 0
 
 
@@ -423,13 +460,23 @@ def test_large_alias_dict_uses_map_and_matches_join(spark):
     assert got["A10"] == "C3" and got["A55"] == "A55" and got[None] is None and got["C3"] == "C3"
 
 
-def test_fits_broadcast_bound_is_exact(spark):
-    from covlens.operators.joins import fits_broadcast
+def test_mean_of_values_as_they_are(spark, geo):
+    from covlens.operators.coverage import coverage_daily
+
+    kw = dict(dim_key="code", label="label", measure="m", category="c", categories={1: "n_one"}, mean_name="mean")
+    rows = [("US", 1, 0.00004, 1), ("US", 1, 0.00004, 2), ("US", 1, -2.82485875706215, 1), ("US", 1, None, 1), ("US", 2, float("nan"), 1), ("US", 2, 1e300, 1)]
+    got = {r.d: r for r in coverage_daily(spark.createDataFrame(rows, "code string, d int, m double, c int"), geo, "code", "d", **kw).collect()}
+    assert got[1]["mean"] == pytest.approx(-0.94159291902, abs=1e-11) and (got[1].n_events, got[1].n_one) == (4, 3)
+    assert got[2]["mean"] != got[2]["mean"]  # NaN, as avg gives
+
+
+@pytest.mark.parametrize("step, present", [(15, 2), (45, 2), (120, 2), (240, 1)])
+def test_slices_of_any_width_count_from_the_grids_start(spark, step, present):
+    from covlens.operators.quality import slice_completeness
 
-    df = spark.range(0, 100, 1, 7)
-    assert fits_broadcast(df, 100) is True
-    assert fits_broadcast(df, 99) is False
-    assert fits_broadcast(spark.range(0), 0) is True
+    ts = spark.sql("SELECT * FROM VALUES (TIMESTAMP_NTZ'2024-01-01 01:30:00'), (TIMESTAMP_NTZ'2024-01-01 03:30:00') AS t(ts)")
+    r = slice_completeness(ts, "ts", "2024-01-01 00:00:00", "2024-01-01 23:59:00", step).first()
+    assert (r.n_expected, r.n_present) == (1439 // step + 1, present)
 
 
 def test_map_side_partitioned_write(spark):

@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from covlens.plans.catalog import ORACLE, QUERIES
 
 SF = "/root/testdata/sf0.01"
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
@@ -36,19 +37,19 @@ def _norm(rows, cols):
     return sorted(tuple(repr(r[i]) for i in order) for r in rows)
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, con, name):
-    df = E.queries()[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     _assert_plan_ok(df)
     rows = [tuple(r) for r in df.collect()]
-    res = con.sql(E.oracle_sql()[name])
+    res = con.sql(ORACLE[name])
     assert sorted(df.columns) == sorted(res.columns)
     assert _norm(rows, df.columns) == _norm(res.fetchall(), res.columns)
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - set(E.oracle_sql())))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE)))
 def test_rows_only_query_runs(spark, name):
-    df = E.queries()[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     _assert_plan_ok(df)
     assert df.count() > 0
 
@@ -66,12 +67,12 @@ def _read_schemas(df):
 
 
 def test_scans_read_only_the_columns_they_need(spark):
-    cov = _read_schemas(E.queries()["coverage_daily"](spark, SF))
+    cov = _read_schemas(QUERIES["coverage_daily"](spark, SF))
     assert "struct<ts:timestamp_ntz,user_id:bigint,event_type:string,value:double>" in cov
     assert "struct<n_nationkey:int,n_name:string>" in cov
-    grp = _read_schemas(E.queries()["raw_group_count_parquet"](spark, SF))
+    grp = _read_schemas(QUERIES["raw_group_count_parquet"](spark, SF))
     assert grp == ["struct<ActionGeo_CountryCode:string>"]
-    pairs = _read_schemas(E.queries()["pair_interactions"](spark, SF))
+    pairs = _read_schemas(QUERIES["pair_interactions"](spark, SF))
     assert "struct<l_orderkey:bigint,l_suppkey:bigint,l_extendedprice:double>" in pairs
 
 
@@ -95,7 +96,7 @@ def test_filters_reach_the_parquet_scan(spark):
                                         ("join_salted", "SortMergeJoin"),
                                         ("join_broadcast", "BroadcastHashJoin")])
 def test_join_strategy_survives_adaptive_replanning(spark, name, kind):
-    df = E.queries()[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     df.collect()
     final = df._jdf.queryExecution().executedPlan().toString()
     assert "isFinalPlan=true" in final and kind in final

@@ -94,9 +94,41 @@ def test_axes_refuse_repeated_dimension_keys(spark):
         "GlobalEventID long, SQLDATE long, ActionGeo_CountryCode string, "
         "Actor1CountryCode string, Actor2CountryCode string, QuadClass long, AvgTone double")
     geo = spark.createDataFrame([("US", "United States"), ("US", "USA")], "code string, label string")
-    with pytest.raises(ValueError):
-        aggregate_places(events, geo)
+    with pytest.raises(Exception, match="not unique"):
+        aggregate_places(events, geo)["coverage"].collect()
     types = spark.createDataFrame([("USA", "country"), ("USA", "region")],
                                   "code string, entity_type string")
-    with pytest.raises(ValueError):
-        aggregate_pairs(events, types)
+    with pytest.raises(Exception, match="not unique"):
+        aggregate_pairs(events, types)["pairs"].collect()
+
+
+def test_rejects_on_odd_paths_and_after_a_repair(spark, tmp_path):
+    raw, out, rej = tmp_path / "raw a%b" / "h=10%3A00", str(tmp_path / "out"), str(tmp_path / "rej")
+    line = write_lines(raw / "20240105000000.export.CSV", [raw_line(1, 20240105, "US", "USA", "FRA", 1, 1.0), "broken"])
+    report = clean(spark, str(raw.parent), out, 20240101, 20240131, rejects_path=rej).first()
+    assert (report.n_lines, report.n_rejected, report.n_kept) == (2, 1, 1)
+    bad = spark.read.parquet(rej).first()
+    assert bad["_raw"] == "broken" and bad.violations[0].startswith("expected 61 fields")
+    write_lines(raw / "20240105000000.export.CSV", [raw_line(1, 20240105, "US", "USA", "FRA", 1, 1.0)])
+    assert clean(spark, str(raw.parent), out, 20240101, 20240131, rejects_path=rej).first().n_rejected == 0
+    assert line and spark.read.parquet(rej).count() == 0
+
+
+def test_withdrawn_day_goes_and_days_outside_stay(spark, tmp_path):
+    out, old, new = str(tmp_path / "out"), tmp_path / "old", tmp_path / "new"
+    write_lines(old / "a.CSV", [raw_line(i, 20240104 + i, "US", "USA", "FRA", 1, 1.0) for i in range(3)])
+    write_lines(new / "a.CSV", [raw_line(9, 20240105, "US", "USA", "FRA", 1, 1.0)])
+    clean(spark, str(old), out, 20240101, 20240131)
+    report = clean(spark, str(new), out, 20240105, 20240131).first()
+    days = sorted(r.SQLDATE for r in spark.read.parquet(out).collect())
+    assert report.n_kept == 1 and days == [20240104, 20240105]
+
+
+def test_files_of_a_day_are_few(spark, tmp_path):
+    import glob
+
+    raw, out = tmp_path / "raw", str(tmp_path / "out")
+    for i in range(40):
+        write_lines(raw / f"{i:02}.CSV", [raw_line(i * 100 + k, 20240101 + k % 10, "US", "USA", "FRA", 1, 1.0) for k in range(30)])
+    clean(spark, str(raw), out, 20240101, 20240131)
+    assert len(glob.glob(f"{out}/*/*.parquet")) <= 20
