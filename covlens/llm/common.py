@@ -59,18 +59,17 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 _BYTE_VALUES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
-_powers = np.ones(1, dtype=np.uint64)
+_powers: dict[str, np.ndarray] = {}
 
 
-def powers(n: int) -> np.ndarray:
-    """The first ``n`` powers of the hash base modulo 2**64."""
-    global _powers
-    if len(_powers) < n:
-        with np.errstate(over="ignore"):
-            steps = np.full(max(n, 2 * len(_powers)), _BASE, dtype=np.uint64)
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first powers of the hash base and of its inverse modulo 2**64, ``n`` at least; made once a task."""
+    if len(_powers.get("up", ())) < n:
+        for name, base in (("up", _BASE), ("down", np.uint64(pow(int(_BASE), -1, 1 << 64)))):
+            steps = np.full(n + n // 8, base, np.uint64)
             steps[0] = 1
-            _powers = np.cumprod(steps)
-    return _powers[:n]
+            _powers[name] = np.cumprod(steps)
+    return _powers["up"], _powers["down"]
 
 
 def hash_words(data: np.ndarray, is_word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -79,17 +78,15 @@ def hash_words(data: np.ndarray, is_word: np.ndarray) -> tuple[np.ndarray, np.nd
     A word's hash is the polynomial of its bytes' random values in a fixed odd
     base, finalised; it depends on the word alone. Runs may not be cut by the caller.
     """
-    edges = np.diff(np.concatenate(([0], is_word.view(np.int8), [0])))
-    starts, ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
-    if not len(starts):
-        return starts, np.empty(0, np.uint64)
-    lengths = ends - starts
-    at = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    inside = data[is_word]
+    first, last = is_word.copy(), is_word.copy()
+    first[1:] &= ~is_word[:-1]
+    last[:-1] &= ~is_word[1:]
+    starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
     with np.errstate(over="ignore"):
-        terms = _BYTE_VALUES[inside] * powers(int(lengths.max()))[at]
-        sums = np.add.reduceat(terms, np.cumsum(lengths) - lengths)
-        return starts, mix(sums + lengths.astype(np.uint64))
+        up, down = powers(len(data))
+        sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(_BYTE_VALUES[data] * up[: len(data)], out=sums[1:])
+        return starts, mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
 def chunks(texts: list[bytes], limit: int = CHUNK_BYTES):

@@ -94,11 +94,12 @@ class Encoder:
         return array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
 
     def word(self, word: str) -> bytes:
-        try:
-            word.encode("latin-1")
+        if word.isascii():
+            if word.isalpha():
+                return self.pieces[word.lower()]
             plain = "<|" not in word
-        except UnicodeEncodeError:
-            plain = False
+        else:
+            plain = max(word) < "\u0100" and "<|" not in word
         if not plain:
             return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
         return b"".join(map(self.pieces.__getitem__, _PIECES.findall(word.lower())))
@@ -121,9 +122,10 @@ def slots_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     for i, j in chunks(texts):
         data, begin = joined([t.lower() for t in texts[i:j]])
         starts, h = hash_words(data, _IS_TERM[data])
-        owner = np.searchsorted(begin, starts, side="right") - 1 + i
-        key, count = np.unique(owner * SLOTS + (h % np.uint64(SLOTS)).astype(np.int64), return_counts=True)
-        found.append((key // SLOTS, key % SLOTS, count))
+        owner = np.searchsorted(begin, starts, side="right") - 1
+        small = np.int32 if j - i < 1 << 13 else np.int64
+        key, count = np.unique(owner.astype(small) * small(SLOTS) + (h & np.uint64(SLOTS - 1)).astype(small), return_counts=True)
+        found.append((key.astype(np.int64) // SLOTS + i, key % SLOTS, count))
     return tuple(np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.empty(0, np.int64),) * 3
 
 
