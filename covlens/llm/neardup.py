@@ -15,9 +15,9 @@ it has that token there. Then, level by level:
 * after ``LEVELS`` levels the nodes that are still large are compared in blocks.
 
 Candidates agree in at least ``AGREE`` of the positions (five standard deviations
-below the threshold) and are confirmed on full sets: after the roots one partner of
-each, at the end whatever still joins two components. So a group of copies costs a
-number of comparisons in proportion to its size. Two classes at the threshold meet in a tree
+below the threshold) and are confirmed on full sets, after the roots and at the end: first
+the likeliest partner of each, then whatever still joins two components. So a group of
+copies costs a number of comparisons in proportion to its size. Two classes at the threshold meet in a tree
 with probability 0.8, so they are missed by all trees with about 3 in a million.
 
 Components are found by alternating large and small stars on tables. Nothing that
@@ -33,6 +33,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -46,6 +47,8 @@ POSITIONS, TREES, BRANCH, LEVELS = 64, 8, 3, 3
 SMALL = 32
 AGREE = 36
 BLOCK = 256
+#: Most ids (of 8 bytes) that are broadcast to find their texts.
+BROADCAST_IDS = 1_000_000
 _ODD = mix(np.arange(1, POSITIONS + 65, dtype=np.uint64)) | np.uint64(1)
 _XOR = mix(np.arange(1001, 1001 + POSITIONS, dtype=np.uint64))
 
@@ -173,7 +176,7 @@ def within_groups(rows: DataFrame, keys: list[str], across: str | None = None) -
 def children(rows: DataFrame, branch: int) -> DataFrame:
     """(path, id) of the ``branch`` children of every row's node; the node's path alone picks the positions."""
     options = [F.xxhash64("path", F.lit(k), token(F.pmod(F.xxhash64("path", F.lit(k)), F.lit(POSITIONS)).cast("int"))) for k in range(branch)]
-    return rows.select(F.explode(F.array(*options)).alias("path"), "id")
+    return rows.select(F.explode(F.array(*options)).alias("path"), "id", "c")
 
 
 class Components:
@@ -211,9 +214,11 @@ class Components:
         return wrong.isEmpty()
 
 
-def confirmed(docs: DataFrame, pairs: DataFrame, words: int, similarity: int, scratch: Scratch) -> DataFrame:
-    """Pairs (a, b) whose full sets have 100 * intersection >= similarity * union."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+def sets_of(docs: DataFrame, pairs: DataFrame, words: int, scratch: Scratch) -> DataFrame:
+    """(id, members) of the ids of ``pairs`` (a, b): their full sets, written once."""
+    ids = scratch.cut(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
+    if ids.count() <= BROADCAST_IDS:  # else the texts are shuffled
+        ids = F.broadcast(ids)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -221,9 +226,13 @@ def confirmed(docs: DataFrame, pairs: DataFrame, words: int, similarity: int, sc
             for i, j in chunks(texts):
                 yield pd.DataFrame({"id": b["id"].iloc[i:j].array, "members": [s.tobytes() for s in shingle_sets(texts[i:j], words)]})
 
-    sets = scratch.cut(docs.join(ids, "id", "left_semi").mapInPandas(run, "id long, members binary").where("length(members) > 0"))
+    return scratch.cut(docs.join(ids, "id", "left_semi").mapInPandas(run, "id long, members binary").where("length(members) > 0"))
 
-    @F.pandas_udf("boolean")
+
+def confirmed(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+    """Links (u, v): pairs (a, b) whose full sets have 100 * intersection >= similarity * union."""
+
+    @F.pandas_udf(T.BooleanType())
     def similar(x: pd.Series, y: pd.Series) -> pd.Series:
         out = []
         for p, q in zip(x, y, strict=True):
@@ -236,6 +245,24 @@ def confirmed(docs: DataFrame, pairs: DataFrame, words: int, similarity: int, sc
     return right.join(sets.select(F.col("id").alias("a"), F.col("members").alias("x")), "a").where(similar("x", "y")).select(F.col("a").alias("u"), F.col("b").alias("v"))
 
 
+def link(docs: DataFrame, candidates: DataFrame, components: Components, words: int, similarity: int, scratch: Scratch) -> None:
+    """Joins components by the candidates (a, b, agree) that hold: the likeliest partner of each first, then the rest.
+
+    What the first links have joined is not compared again, so a group of copies
+    costs a number of comparisons in proportion to its size.
+    """
+    left = scratch.cut(across(candidates, components))
+    if left.isEmpty():
+        return
+    sets = sets_of(docs, left, words, scratch)
+    best = F.min(F.struct(-F.col("agree"), "a")).alias("p")
+    pairs = scratch.cut(left.groupBy("b").agg(best).select(F.col("p.a").alias("a"), "b"))
+    components.add(confirmed(pairs, sets, similarity))
+    pairs = scratch.cut(across(left, components).select("a", "b"))
+    if not pairs.isEmpty():
+        components.add(confirmed(pairs, sets, similarity))
+
+
 def across(candidates: DataFrame, components: Components) -> DataFrame:
     """Candidates (a, b, agree), once each, that join two components."""
     once = candidates.groupBy("a", "b").agg(F.max("agree").alias("agree"))
@@ -263,28 +290,27 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: int = 80, id_co
     roots = F.array(*[F.xxhash64(F.lit(t), token(F.lit(t * (POSITIONS // TREES)))) for t in range(TREES)])
     nodes = classes.select(F.explode(roots).alias("path"), F.col("rep").alias("id"))
     tokens, sketches = (classes.select(F.col("rep").alias("id"), c) for c in ("tokens", "sketch"))
-    candidates = None
+    later: list[DataFrame] = []
     for level in range(LEVELS + 1):
-        sizes = nodes.groupBy("path").agg(F.count("*").alias("n")).where("n > 1")
+        # below the roots only nodes of several components are of interest
+        sizes = nodes.groupBy("path").agg(F.count("*").alias("n"), (F.count("*") if level == 0 else F.min("c") != F.max("c")).alias("open"))
+        sizes = sizes.where("n > 1 and open" if level else "n > 1").select("path", "n")
         shared = scratch.cut(nodes.join(sizes, "path").join(sketches, "id"))
         large = shared.where(F.col("n") > SMALL)
-        found = within_groups(shared.where(F.col("n") <= SMALL), ["path"])
+        found = within_groups(shared.where(F.col("n") <= SMALL), ["path"], across="c" if level else None)
         if level == 0:
             pivot = large.groupBy("path").agg(F.min(F.struct(F.xxhash64("path", "id").alias("h"), F.col("id").alias("pivot"), F.col("sketch").alias("other"))).alias("p"))
             stars = large.join(pivot.select("path", "p.pivot", "p.other"), "path").where("id != pivot").withColumn("agree", agreement("sketch", "other"))
             stars = stars.where(F.col("agree") >= AGREE).select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b"), "agree")
-            candidates = scratch.cut(across(found.unionByName(stars), components))
-            partner = F.min(F.struct(F.col("agree") < POSITIONS * 7 // 8, "a")).alias("p")
-            first = scratch.cut(candidates.groupBy("b").agg(partner).select(F.col("p.a").alias("a"), "b"))
-            components.add(confirmed(docs, first, words, similarity, scratch))
+            link(docs, found.unionByName(stars), components, words, similarity, scratch)
+            large = components.of(large, "id", "c")
         else:
-            candidates = candidates.unionByName(found)
+            later.append(found)
         if large.isEmpty():
             break
         if level == LEVELS:
-            candidates = candidates.unionByName(blocked(components.of(large, "id", "c")))
+            later.append(blocked(large))
             break
-        large = components.of(large, "id", "c")
         parts = large.groupBy("path", "c").agg(F.count("*").alias("k"))
         main = parts.groupBy("path").agg(F.max(F.struct("k", "c")).alias("m"), F.count("*").alias("parts"), F.sum("k").alias("n"))
         main = main.where("parts > 1").select("path", F.col("m.c").alias("main"), (F.col("n") - F.col("m.k")).alias("outside"))
@@ -293,9 +319,10 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: int = 80, id_co
         others = few.where("c != main").groupBy("path").agg(F.collect_list(F.struct("id", "sketch")).alias("o"))
         near = few.join(others.select("path", F.col("o.id").alias("ids"), F.col("o.sketch").alias("sketches")), "path")
         near = near.select("id", F.explode(agreeing("sketch", "ids", "sketches")).alias("p")).where("id != p.other")
-        candidates = candidates.unionByName(near.select(F.least("id", "p.other").alias("a"), F.greatest("id", "p.other").alias("b"), "p.agree"))
-        nodes = children(large.where(F.col("outside") > SMALL).select("path", "id").join(tokens, "id"), BRANCH)
-    components.add(confirmed(docs, scratch.cut(across(candidates, components).select("a", "b")), words, similarity, scratch))
+        later.append(near.select(F.least("id", "p.other").alias("a"), F.greatest("id", "p.other").alias("b"), "p.agree"))
+        nodes = children(large.where(F.col("outside") > SMALL).select("path", "id", "c").join(tokens, "id"), BRANCH)
+    if later:
+        link(docs, reduce(DataFrame.unionByName, later), components, words, similarity, scratch)
 
     out = components.of(members, "rep", "c")
     scratch.clear(out)
