@@ -62,7 +62,7 @@ def clean(spark: SparkSession, raw_paths: str | Sequence[str], out_path: str, st
     staged = observed.select(
         F.when(inside, F.lit(1)).when(~ok, F.lit(0)).alias("_kind"), *[F.col(f"`{c}`") for c in kept],
         *([F.when(~ok, F.col("_file")).alias("_file"), F.when(~ok, F.col("_raw")).alias("_raw"),
-           F.when(~ok, violations(schema)).alias("_violations")] if rejects_path else []))
+           F.when(~ok, violations(schema, sep)).alias("_violations")] if rejects_path else []))
     staged = staged.where("_kind is not null" if rejects_path else "_kind = 1")
     stage = shared_dir(spark, "clean-stage")
     staged.write.partitionBy("_kind").parquet(stage)

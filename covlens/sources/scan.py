@@ -84,57 +84,62 @@ def _ident(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+#: Types whose text the CSV parser reads strictly; the others come as text and are guarded here.
+_CSV_STRICT = (T.LongType, T.IntegerType, T.ShortType, T.ByteType, T.StringType)
+
+
 def parse_delimited(lines: DataFrame, schema: T.StructType, sep: str = "\t",
                     line_col: str = "_raw") -> DataFrame:
-    """Typed columns, a ``_ok`` flag and one flag per check, for each text line.
-
-    An empty field is NULL; a non-empty field must match its type's text
-    pattern and then cast; a declared non-nullable field must be present;
-    the line must have exactly as many fields as the schema.
-
-    The line is split once. All values and checks are computed in one
-    projection (common subexpressions shared) and unpacked through
-    ``inline``: a filter on ``_ok`` cannot be pushed below that generator,
-    so it never re-splits the line per check. ``_ok`` is a plain boolean,
-    which keeps the valid-row path inside whole-stage code generation; the
-    reasons array (``violations``) is built only for rejected rows. The
-    expressions are handed over as SQL text in one call, so a wide schema
-    costs no per-expression round trips from Python.
+    """Typed columns and a plain boolean ``_ok`` for each text line.
+
+    An empty field is NULL; a non-empty field must have its type's text form;
+    a declared non-nullable field must be present; the line must have exactly
+    as many fields as the schema.
+
+    Spark's CSV parser splits the line, converts integers and reports a wrong
+    number of fields. What it would accept too freely (``1d``, ``NaN``, padded
+    decimals) is read as text, checked by pattern and cast here. All of it is
+    unpacked by one generator, so a filter on ``_ok`` is not pushed below it and
+    no line is parsed twice. Reasons are made from the line itself, for rejected
+    rows alone (``violations``).
     """
-    n = len(schema.fields)
-    staged = lines.select("*", F.split(F.col(line_col), _split_pattern(sep), -1).alias("_f"))
-    members = ["'_nf', size(_f)"]
-    failed = [f"size(_f) <> {n}"]
+    for field in schema.fields:
+        _guard(field.dataType)
+    fields = [T.StructField(f"c{i}", f.dataType if isinstance(f.dataType, _CSV_STRICT) else T.StringType())
+              for i, f in enumerate(schema.fields)] + [T.StructField("bad", T.StringType())]
+    options = {"sep": sep, "quote": "", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "bad",
+               "maxColumns": str(max(20480, 2 * len(fields)))}
+    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in fields)
+    staged = lines.select("*", F.from_csv(F.col(line_col), ddl, options).alias("_p"))
+    raw = _ident(line_col)
+    members, failed = [], [f"{raw} = ''", "_p IS NULL", "_p.bad IS NOT NULL"]
     for i, field in enumerate(schema.fields):
-        cell = f"nullif(try_element_at(_f, {i + 1}), '')"
-        if isinstance(field.dataType, T.StringType):
-            members.append(f"{_sql_str(field.name)}, {cell}")
-        else:
+        value = cell = f"_p.c{i}"
+        if not isinstance(field.dataType, _CSV_STRICT):
             value = f"try_cast({cell} AS {field.dataType.simpleString()})"
-            guard = _sql_str(_guard(field.dataType))
-            bad = f"({cell} IS NOT NULL AND (NOT {cell} RLIKE {guard} OR {value} IS NULL))"
-            members += [f"{_sql_str(field.name)}, {value}", f"'_bad{i}', {bad}"]
-            failed.append(bad)
+            failed.append(f"({cell} IS NOT NULL AND (NOT {cell} RLIKE {_sql_str(_guard(field.dataType))} OR {value} IS NULL))")
         if not field.nullable:
-            members.append(f"'_req{i}', ({cell} IS NULL)")
-            failed.append(f"({cell} IS NULL)")
+            failed.append(f"{cell} IS NULL")
+        members.append(f"{_sql_str(field.name)}, {value}")
     members.append(f"'_ok', NOT ({' OR '.join(failed)})")
     keep = [_ident(c) for c in lines.columns]
     return staged.selectExpr(*keep, f"inline(array(named_struct({', '.join(members)})))")
 
 
-def violations(schema: T.StructType) -> Column:
-    """``array<string>`` of reasons for a row of ``parse_delimited`` (rejects only)."""
+def violations(schema: T.StructType, sep: str = "\t", line_col: str = "_raw") -> Column:
+    """``array<string>`` of reasons of a rejected line, from the line itself."""
     n = len(schema.fields)
-    reasons = [f"CASE WHEN _nf <> {n} THEN concat('expected {n} fields, found ', "
-               f"CAST(_nf AS STRING)) END"]
+    reasons = [f"CASE WHEN size(f) <> {n} THEN concat('expected {n} fields, found ', CAST(size(f) AS STRING)) END"]
     for i, field in enumerate(schema.fields):
+        cell = f"nullif(try_element_at(f, {i + 1}), '')"
         if not isinstance(field.dataType, T.StringType):
             msg = _sql_str(f"{field.name}: not a {field.dataType.simpleString()}")
-            reasons.append(f"CASE WHEN _bad{i} THEN {msg} END")
+            bad = f"NOT {cell} RLIKE {_sql_str(_guard(field.dataType))} OR try_cast({cell} AS {field.dataType.simpleString()}) IS NULL"
+            reasons.append(f"CASE WHEN {cell} IS NOT NULL AND ({bad}) THEN {msg} END")
         if not field.nullable:
-            reasons.append(f"CASE WHEN _req{i} THEN {_sql_str(field.name + ': required')} END")
-    return F.expr(f"array_compact(array({', '.join(reasons)}))")
+            reasons.append(f"CASE WHEN {cell} IS NULL THEN {_sql_str(field.name + ': required')} END")
+    cells = f"array(split({_ident(line_col)}, {_sql_str(_split_pattern(sep))}, -1))"
+    return F.expr(f"element_at(transform({cells}, f -> array_compact(array({', '.join(reasons)}))), 1)")
 
 
 def read_lines(spark: SparkSession, paths: Paths, source: bool = True) -> DataFrame:
@@ -162,7 +167,7 @@ def strict_scan(spark: SparkSession, paths: Paths, schema: T.StructType,
     parsed = parse_delimited(read_lines(spark, paths, source=keep_source), schema, sep)
     valid = parsed.where("_ok").select(*[F.col(f"`{f.name}`") for f in schema.fields], *source)
     rejects = (parse_delimited(read_lines(spark, paths), schema, sep).where(~F.col("_ok"))
-               .select("file_name", "_raw", violations(schema).alias("violations")))
+               .select("file_name", "_raw", violations(schema, sep).alias("violations")))
     return valid, rejects
 
 

@@ -73,7 +73,7 @@ def clean_incremental(spark: SparkSession, raw_dir: str, out_path: str, start, e
     if rejects_path:
         queries.append(triggered(
             parsed_stream(source=True).where(~ok)
-            .select("file_name", "_raw", violations(schema).alias("violations"))
+            .select("file_name", "_raw", violations(schema, sep).alias("violations"))
             .writeStream.format("parquet").option("path", rejects_path)
             .option("checkpointLocation", log(rejects_path, "rejects"))).start())
     if trigger_interval:
