@@ -8,8 +8,8 @@ a node's children are drawn from a hash of its path, and a class follows a child
 it has that token there. Then, level by level:
 
 * a node of at most ``SMALL`` classes is compared exhaustively by tokens;
-* in a larger node everyone is compared with one pivot, at the roots, and the links found
-  there make its components. A node of one component is finished; one where at most
+* in a larger node everyone is compared with PIVOTS pivots, at the roots, and the links
+  found there make its components. A node of one component is finished; one where at most
   ``SMALL`` members lie outside the largest component is finished by comparing those
   with everyone; any other node branches into ``BRANCH`` children;
 * after ``LEVELS`` levels the nodes that are still large are compared in blocks.
@@ -43,7 +43,9 @@ from pyspark.sql import types as T
 
 from covlens.llm.common import Scratch, chunks, hash_words, is_space, joined, mix, table, utf8
 
-POSITIONS, TREES, BRANCH, LEVELS = 64, 8, 3, 3
+POSITIONS, TREES, BRANCH, LEVELS = 64, 8, 2, 3
+#: Pivots of a large node at the roots.
+PIVOTS = 4
 SMALL = 32
 AGREE = 36
 BLOCK = 256
@@ -299,7 +301,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: int = 80, id_co
         large = shared.where(F.col("n") > SMALL)
         found = within_groups(shared.where(F.col("n") <= SMALL), ["path"], across="c" if level else None)
         if level == 0:
-            pivot = large.groupBy("path").agg(F.min(F.struct(F.xxhash64("path", "id").alias("h"), F.col("id").alias("pivot"), F.col("sketch").alias("other"))).alias("p"))
+            pivot = large.groupBy("path", F.pmod(F.xxhash64("id", "path"), F.lit(PIVOTS)).alias("turn")).agg(F.min(F.struct(F.xxhash64("path", "id").alias("h"), F.col("id").alias("pivot"), F.col("sketch").alias("other"))).alias("p"))
             stars = large.join(pivot.select("path", "p.pivot", "p.other"), "path").where("id != pivot").withColumn("agree", agreement("sketch", "other"))
             stars = stars.where(F.col("agree") >= AGREE).select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b"), "agree")
             link(docs, found.unionByName(stars), components, words, similarity, scratch)
