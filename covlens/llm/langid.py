@@ -28,7 +28,7 @@ TRAIN_DOCS = 8000
 EMBED, WIDTHS, FILTERS = 8, (2, 3, 4), 16
 EPOCHS, BATCH, RATE = 6, 64, 0.01
 #: Windows that a worker convolves at a time.
-BLOCK = 256
+BLOCK = 64
 
 
 def windows(text: bytes, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
