@@ -10,7 +10,7 @@ it has that token there. Then, level by level:
 * a node of at most ``SMALL`` classes is compared exhaustively by tokens;
 * in a larger node everyone is compared with PIVOTS pivots, at the roots, and the links
   found there make its components. A node of one component is finished; one where at most
-  ``SMALL`` members lie outside the largest component is finished by comparing those
+  ``FEW`` members lie outside the largest component is finished by comparing those
   with everyone; any other node branches into ``BRANCH`` children;
 * after ``LEVELS`` levels the nodes that are still large are compared in blocks.
 
@@ -46,7 +46,7 @@ from covlens.llm.common import Scratch, chunks, hash_words, is_space, joined, mi
 POSITIONS, TREES, BRANCH, LEVELS = 64, 8, 2, 3
 #: Pivots of a large node at the roots.
 PIVOTS = 4
-SMALL = 32
+SMALL, FEW = 10, 32
 AGREE = 36
 BLOCK = 256
 #: Most ids (of 8 bytes) that are broadcast to find their texts.
@@ -120,7 +120,7 @@ def agreement(a: pd.Series, b: pd.Series) -> pd.Series:
 
 @F.pandas_udf(T.ArrayType(T.StructType([T.StructField("other", T.LongType()), T.StructField("agree", T.IntegerType())])))
 def agreeing(sketch: pd.Series, ids: pd.Series, sketches: pd.Series) -> pd.Series:
-    """Of up to SMALL others, those that agree with ``sketch``."""
+    """Of up to FEW others, those that agree with ``sketch``."""
     out = []
     for s, i, o in zip(sketch, ids, sketches, strict=True):
         n = (_matrix(o) == np.frombuffer(s, np.uint8)).sum(axis=1)
@@ -145,15 +145,14 @@ def within_groups(rows: DataFrame, keys: list[str], across: str | None = None) -
             earlier = np.flatnonzero(key != key[-1])
             last = int(earlier[-1]) + 1 if len(earlier) else 0
             if last:
-                yield pairs(b.iloc[:last])
+                yield from pairs(b.iloc[:last])
             rest = b.iloc[last:]
         if rest is not None and len(rest):
-            yield pairs(rest)
+            yield from pairs(rest)
 
-    def pairs(b: pd.DataFrame) -> pd.DataFrame:
+    def pairs(b: pd.DataFrame) -> Iterator[pd.DataFrame]:
         key, ids, sketch = b["key"].to_numpy(), b["id"].to_numpy(), _matrix(b["sketch"])
         part = b["part"].to_numpy()
-        a, c, n = [], [], []
         for d in range(1, len(key)):
             i = np.flatnonzero(key[:-d] == key[d:])
             if not len(i):
@@ -162,12 +161,9 @@ def within_groups(rows: DataFrame, keys: list[str], across: str | None = None) -
             for k in range(0, len(i), 1 << 16):
                 at = i[k : k + (1 << 16)]
                 agree = (sketch[at] == sketch[at + d]).sum(axis=1)
-                near = agree >= AGREE
-                a.append(ids[at[near]]), c.append(ids[at[near] + d]), n.append(agree[near])
-        if not a:
-            return pd.DataFrame({"a": [], "b": [], "agree": []}).astype({"a": "int64", "b": "int64", "agree": "int32"})
-        a, c = np.concatenate(a), np.concatenate(c)
-        return pd.DataFrame({"a": np.minimum(a, c), "b": np.maximum(a, c), "agree": np.concatenate(n).astype("int32")})
+                at, agree = at[agree >= AGREE], agree[agree >= AGREE]
+                if len(at):
+                    yield pd.DataFrame({"a": np.minimum(ids[at], ids[at + d]), "b": np.maximum(ids[at], ids[at + d]), "agree": agree.astype("int32")})
 
     key = F.xxhash64(*keys)
     part = F.col(across) if across else F.lit(0).cast("long")
@@ -317,12 +313,12 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: int = 80, id_co
         main = parts.groupBy("path").agg(F.max(F.struct("k", "c")).alias("m"), F.count("*").alias("parts"), F.sum("k").alias("n"))
         main = main.where("parts > 1").select("path", F.col("m.c").alias("main"), (F.col("n") - F.col("m.k")).alias("outside"))
         large = scratch.cut(large.drop("n").join(main, "path"))
-        few = large.where(F.col("outside") <= SMALL)
+        few = large.where(F.col("outside") <= FEW)
         others = few.where("c != main").groupBy("path").agg(F.collect_list(F.struct("id", "sketch")).alias("o"))
         near = few.join(others.select("path", F.col("o.id").alias("ids"), F.col("o.sketch").alias("sketches")), "path")
         near = near.select("id", F.explode(agreeing("sketch", "ids", "sketches")).alias("p")).where("id != p.other")
         later.append(near.select(F.least("id", "p.other").alias("a"), F.greatest("id", "p.other").alias("b"), "p.agree"))
-        nodes = children(large.where(F.col("outside") > SMALL).select("path", "id", "c").join(tokens, "id"), BRANCH)
+        nodes = children(large.where(F.col("outside") > FEW).select("path", "id", "c").join(tokens, "id"), BRANCH)
     if later:
         link(docs, reduce(DataFrame.unionByName, later), components, words, similarity, scratch)
 

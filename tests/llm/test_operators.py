@@ -108,7 +108,8 @@ def shuffled_copies(n, seed):
 
 @pytest.mark.parametrize("words, seed", [(5, 1), (4, 2)])
 def test_near_duplicates_against_all_pairs(spark, words, seed, monkeypatch):
-    monkeypatch.setattr(neardup, "SMALL", 6)  # more nodes take the ways of large ones
+    monkeypatch.setattr(neardup, "SMALL", 4)
+    monkeypatch.setattr(neardup, "FEW", 6)  # more nodes take the ways of large ones
     docs = shuffled_copies(160, seed)
     got = neardup.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), words=words).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == plain.components(docs, words)
@@ -116,6 +117,7 @@ def test_near_duplicates_against_all_pairs(spark, words, seed, monkeypatch):
 
 def test_large_nodes_end_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(neardup, "SMALL", 3)
+    monkeypatch.setattr(neardup, "FEW", 3)
     monkeypatch.setattr(neardup, "LEVELS", 1)
     monkeypatch.setattr(neardup, "BLOCK", 8)
     docs = shuffled_copies(80, 3)
