@@ -23,6 +23,7 @@ from __future__ import annotations
 import html as entities
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -38,9 +39,12 @@ SPLIT_PRICE = 1.0
 PAGES_AT_ONCE = 256
 
 # HTML element names by their role.
-RAW = "script style noscript template textarea iframe svg math select option button object canvas title head".split()
+RAW = set("script style textarea title".split())  # nothing but their end tag, or the end of the page, ends them
+#: Left out with what they hold, if they are closed; without end tag, options and buttons reach to the next tag of a block and the others hold nothing.
+DROPPED = set("noscript template iframe svg select option button object canvas annotation annotation-xml".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = set("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
+INLINE |= set("math maction menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover semantics".split())
 #: An opening tag of the value closes an open element of the key.
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "tbody", "tfoot"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}}
 # Words in class, id and role that tell what a container is for.
@@ -60,13 +64,69 @@ TAG_KIND = {"article": "content", "main": "content", "nav": "menu", "menu": "men
 TAGS = {t: i + 1 for i, t in enumerate("p h1 h2 h3 h4 h5 h6 div section article main ul ol li table tr td th blockquote pre dl dd dt figure figcaption header footer nav aside form body address".split())}
 
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(?P<raw>" + "|".join(RAW) + r")(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)"
     r"|<[!?][^>]*+>|<(?P<end>/)?(?P<tag>[a-zA-Z][^\s/>]*+)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>", re.S | re.I)
+_RAW_END = {t: re.compile(rf"</{t}\s*>|\Z", re.I) for t in RAW}
+_RAW_END_IN_SVG = {t: re.compile(rf"</{t}\s*>|(?=</svg\s*>)|\Z", re.I) for t in RAW}
 _ATTR = re.compile(r"""\b(class|id|role|data-y)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _NAME = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _SPACES = re.compile(r"\s+")
-_HEAD_TO_BODY = re.compile(r"<head(?=[\s>])", re.I)
+
+
+class Token(NamedTuple):
+    """A comment or declaration (no name), a raw element as a whole or a tag."""
+
+    start: int
+    stop: int
+    name: str
+    end: bool
+    attrs: str
+    gap: bool  # it parts the words beside it
+
+    @property
+    def empty(self) -> bool:
+        return self.attrs.rstrip().endswith("/")
+
+
+def tokens(source: str) -> list[Token]:
+    """Tokens in page order. In svg a raw element may be self-closed, and does not reach beyond it."""
+    out, at, svg = [], 0, 0
+    while m := _TOKEN.search(source, at):
+        at, name, attrs = m.end(), (m["tag"] or "").lower(), m["attrs"] or ""
+        if name in RAW and not m["end"]:
+            if not (svg and attrs.rstrip().endswith("/")):
+                at = (_RAW_END_IN_SVG if svg else _RAW_END)[name].search(source, at).end()
+            out.append(Token(m.start(), at, "", False, "", True))
+            continue
+        t = Token(m.start(), at, name, bool(m["end"]), attrs, m[0].startswith("<![CDATA["))
+        if name == "svg" and (t.end or not t.empty):
+            svg = max(0, svg - 1) if t.end else svg + 1
+        out.append(t)
+    return out
+
+
+def dropped(found: list[Token], size: int) -> dict[int, tuple[int, int]]:
+    """By the place of a DROPPED element's tag: the place of the first token after the element, and the character there."""
+    out, opened = {}, {}
+    for i, t in enumerate(found):
+        if t.name not in DROPPED:
+            continue
+        if not t.end:
+            out[i] = i + 1, t.stop
+            if t.name != "svg" or not t.empty:
+                opened.setdefault(t.name, []).append(i)
+        elif opened.get(t.name):
+            out[opened[t.name].pop()] = i + 1, t.stop
+    for i in [*opened.get("button", []), *(i for i in out if found[i].name == "option")]:
+        k = next((k for k in range(i + 1, len(found)) if found[k].name and found[k].name not in INLINE), None)
+        if k is None:
+            out[i] = len(found), size
+        elif found[k].end and found[k].name == found[i].name:
+            out[i] = k + 1, found[k].stop
+        else:
+            out[i] = k, found[k].start
+    return out
 
 
 class Page:
@@ -91,26 +151,33 @@ class Page:
                 if "a" in inline:
                     self.links[stack[-1][0]] += len(text.strip())
 
-        for m in _TOKEN.finditer(source):
-            add(source[at : m.start()])
-            at = m.end()
-            tag = m["tag"]
-            if tag is None:
-                if m["raw"] or m[0].startswith("<![CDATA["):
+        found = tokens(source)
+        beyond, k = dropped(found, len(source)), 0
+        while k < len(found):
+            m = found[k]
+            add(source[at : m.start])
+            at, tag = m.stop, m.name
+            k += 1
+            if not tag:
+                if m.gap:
+                    pieces.append(" ")
+                continue
+            if tag in DROPPED:
+                if not m.end:
                     pieces.append(" ")
+                    k, at = beyond[k - 1]
                 continue
-            tag = tag.lower()
             if tag in INLINE:
                 if tag in ("br", "img", "wbr"):
                     pieces.append(" " if tag != "wbr" else "")
                 elif tag == "a":
-                    inline.append("a") if not m["end"] else inline.clear()
+                    inline.append("a") if not m.end else inline.clear()
                 continue
             if tag in ("html", "body", "head"):
                 continue
             flush()
             inline.clear()
-            if m["end"]:
+            if m.end:
                 if any(t == tag for _, t in stack[1:]):
                     while stack[-1][1] != tag:
                         stack.pop()
@@ -122,7 +189,7 @@ class Page:
                 stack.pop()
             kinds = 1 << KINDS.index(TAG_KIND[tag]) if tag in TAG_KIND else 0
             label = None
-            for a in _ATTR.finditer(m["attrs"]):
+            for a in _ATTR.finditer(m.attrs):
                 value = a[2] or a[3] or a[4] or ""
                 if a[1].lower() == "data-y":
                     label = int(value)
@@ -135,7 +202,7 @@ class Page:
             self.kinds.append(kinds)
             self.label.append(label if label is not None else self.label[stack[-1][0]])
             self.links.append(0)
-            if not m["attrs"].rstrip().endswith("/"):
+            if not m.empty:
                 stack.append((len(self.tag) - 1, tag))
         add(source[at:])
         flush()

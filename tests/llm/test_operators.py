@@ -222,6 +222,23 @@ def test_page_text_form():
     assert [t for _, t in page.blocks] == ["a&b <x> cd e", "f g", "h"]
 
 
+@pytest.mark.parametrize("source, want", [
+    ("<html><head><title>x</title><body><article><p>A text.</p></article>", ["A text."]),
+    ("<html><head><title>x</title><style>p{}</style><meta charset=utf-8><p>A text.</p>", ["A text."]),
+    ("<article><p>One <svg class='i'/> two</p><p>Three</p>", ["One two", "Three"]),
+    ("<p>One <svg> two</p><p>Three</p><svg><title/><path/></svg><p>Four</p>", ["One two", "Three", "Four"]),
+    ("<p>One <svg><title>t<path/></svg> two</p>", ["One two"]),
+    ("<p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math> be, or <math/> not", ["Let x=2 be, or not"]),
+    ("<datalist><option>A<option>B</datalist><p>Three</p>", ["Three"]),
+    ("<select><option>A<option>B</select><p>Three</p>", ["Three"]),
+    ("<p>One</p><button>Go<p>Two</p><button>x<b>y</b></button><p>Three</p>", ["One", "Two", "Three"]),
+    ("<p>One <iframe src=x> two</p><noscript><p>Three</p>", ["One two", "Three"]),
+    ("<p>One</p><noscript><p>no</p></noscript><template><p>no</p></template><script>'<p>no</p>'", ["One"]),
+])
+def test_unclosed_and_empty_elements_keep_the_page(source, want):
+    assert [t for _, t in htmltext.Page(source).blocks] == want
+
+
 def test_decoding_never_contradicts():
     r = np.random.default_rng(0)
     for _ in range(50):
