@@ -14,7 +14,8 @@ are equal in every document:
 
 Kept as they are: separators, an e-mail's domain, a phone's country code, an IBAN's
 country, whatever fails validation. Null texts stay null with 0 replaced; a text
-without digit, ``@`` and ``=`` is passed through; repeated rows are treated alike.
+that ``SOME`` does not find is passed through, as every pattern needs one of its
+characters; repeated rows are treated alike.
 Nothing is shuffled. The key is a parameter: whoever has it can undo the mapping.
 """
 
@@ -33,13 +34,15 @@ PATTERNS: list[tuple[str, str]] = [
     ("secret", r'(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}(?![A-Za-z0-9])|(?i:token|password|passwd|secret|api[_-]?key)\s{0,2}[=:]\s{0,2}"?[A-Za-z0-9_+/-]{8,}+)'),
     ("email", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]{1,63}+(?:\.[A-Za-z0-9-]{1,63}+)+"),
     ("ip", r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\w|\.\d)"),
-    ("date", r"(?<![\w./-])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{2}\.\d{2}\.\d{4}|\d{2}/\d{2}/\d{4}|\d{2}-\d{2}-\d{4})(?![\w/]|[.-]\d)"),
+    ("date", r"(?<![\w./-])(?:\d{4}-\d{1,2}-\d{1,2}|\d{4}/\d{1,2}/\d{1,2}|\d{1,2}\.\d{1,2}\.\d{4}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}-\d{1,2}-\d{4})(?!(?!T\d)[\w/]|[.-]\d)"),
     ("ssn", r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"),
-    ("phone", r"(?<![\w+])(?:\+1[ .-]?(?:\(\d{3}\)|\d{3})[ .-]?\d{3}[ .-]?\d{4}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4}|\+[2-9]\d{0,2}(?:[ .-]?\(?\d{1,4}\)?){2,5})(?!\w)"),
+    ("phone", r"(?<![\w+])(?:\+1[ .-]?(?:\(\d{3}\)|\d{3})[ .-]?\d{3}[ .-]?\d{4}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4}|[2-9]\d{2} [2-9]\d{2} \d{4}|\+[2-9]\d{0,2}(?:[ .-]?\(?\d{1,4}\)?){2,5})(?!\w)"),
     ("card", r"(?<!\w)(?:\d{13,19}|\d{4}(?: \d{4}){2} \d{1,7}|\d{4}(?:-\d{4}){2}-\d{1,7}|\d{4} \d{6} \d{5}|\d{4}-\d{6}-\d{5})(?!\w)"),
     ("iban", r"(?<!\w)[A-Z]{2}\d{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)(?!\w)"),
 ]
 ANY = "|".join(f"(?:{p})" for _, p in PATTERNS)
+#: Implied by every pattern.
+SOME = "[0-9@=:]|AKIA"
 
 
 def quoted(s: str) -> str:
@@ -130,16 +133,18 @@ def pseudonym(m: str, key: str) -> str:
             day = f"datediff(make_date({y}, {mo}, {d}), date'1800-01-01')"
             f = bound(day, "n", feistel_numbers(key, "date", "int(n / 773)", "n % 773", 189, 773))
             out = bound(f, "v", f"date_format(date_add(date'1800-01-01', cast(v.l * 773 + v.r as int)), '{pattern}')")
+            # a day or month of one digit: none has a leading zero
+            out = bound(out, "o", f"if(length({m}) < 10, regexp_replace(o, '(^|[./-])0', '$1'), o)")
             return f"when {y} between 1800 and 2199 and {mo} between 1 and 12 and {d} >= 1 and {d} <= {days} then {out}"
 
-        at = lambda first, size: f"cast(substr({m}, {first}, {size}) as int)"
-        sep = f"substr({m}, 5, 1)"
-        ymd = " ".join(f"when {sep} = '{s}' then case {form(at(1, 4), at(6, 2), at(9, 2), f'yyyy{s}MM{s}dd')} else {m} end" for s in "-/")
+        x, y, z = (f"cast(split({m}, '[./-]')[{i}] as int)" for i in range(3))
+        sep = f"if({m} rlike '^[0-9]{{4}}', substr({m}, 5, 1), substr({m}, -5, 1))"
+        ymd = " ".join(f"when {m} rlike '^[0-9]{{4}}' and {sep} = '{s}' then case {form(x, y, z, f'yyyy{s}MM{s}dd')} else {m} end" for s in "-/")
         last = " ".join(
-            f"when substr({m}, 3, 1) = '{s}' then case {' '.join(form(at(7, 4), at(*mo), at(*d), p) for mo, d, p in ways)} else {m} end"
-            for s, ways in ((".", [((4, 2), (1, 2), "dd.MM.yyyy")]),
-                            ("/", [((1, 2), (4, 2), "MM/dd/yyyy"), ((4, 2), (1, 2), "dd/MM/yyyy")]),
-                            ("-", [((4, 2), (1, 2), "dd-MM-yyyy"), ((1, 2), (4, 2), "MM-dd-yyyy")])))
+            f"when {sep} = '{s}' then case {' '.join(form(z, mo, d, p) for mo, d, p in ways)} else {m} end"
+            for s, ways in ((".", [(y, x, "dd.MM.yyyy")]),
+                            ("/", [(x, y, "MM/dd/yyyy"), (y, x, "dd/MM/yyyy")]),
+                            ("-", [(y, x, "dd-MM-yyyy"), (x, y, "MM-dd-yyyy")])))
         return f"case {ymd} {last} else {m} end"
 
     def ssn() -> str:
@@ -177,7 +182,7 @@ def kind_of(m: str) -> str:
 def pseudonymise(docs: DataFrame, key: str = DEFAULT_KEY, text: str = "text") -> DataFrame:
     """``docs`` with ``text`` rewritten, n_replaced (values changed) and kinds (their kinds, sorted)."""
     body = F.col(f"`{text}`")
-    some = body.rlike("[0-9@=]")
+    some = body.rlike(SOME)
     df = docs.withColumn("_found", F.when(some, F.regexp_extract_all(body, F.lit(ANY), F.lit(0))))
     df = df.withColumn("_between", F.when(F.size("_found") > 0, F.split(body, ANY, -1)))
     df = df.withColumn("_new", F.when(F.size("_found") > 0, F.expr(f"transform(_found, m -> {pseudonym('m', key)})")))
