@@ -327,6 +327,23 @@ def test_language_model(spark):
     assert lmscore.contexts(owner, c)[1].tolist() == [lmscore.CLASSES, c[0], c[2], c[3]]
 
 
+@pytest.mark.parametrize("rounds", [1, 2, 3])
+def test_every_word_trains_once(spark, rounds):
+    docs = spark.createDataFrame(documents(60), "doc_id long, text string")
+    words, flat = lmscore.vocabulary(docs), lmscore.initial()
+    want = sum(len(lmscore.words_of(utf8([t]))[1]) for _, t in documents(60))
+    trained = []
+    for parts in (1, 3):
+        seen = []
+        with pytest.MonkeyPatch.context() as m:
+            m.setattr(lmscore, "average", lambda rows, f=lmscore.average: seen.append(rows["words"].sum()) or f(rows))
+            for number in range(rounds):
+                lmscore.train_round(docs.repartition(parts), words, flat, "text", number, rounds)
+        assert sum(seen) == want
+        trained.append(seen)
+    assert trained[0] == trained[1]  # whatever the partitions
+
+
 def test_gradients_of_the_language_model():
     r = np.random.default_rng(0)
     flat = lmscore.initial().astype(np.float64)
