@@ -344,6 +344,21 @@ def test_every_word_trains_once(spark, rounds):
     assert trained[0] == trained[1]  # whatever the partitions
 
 
+def test_words_of_a_bucket_have_their_own_probability(spark, monkeypatch):
+    monkeypatch.setattr(lmscore, "most_frequent", lambda counts: np.array([], np.int64))  # every word is in a bucket
+    rows = documents(40) + [(1000, None), (1001, ""), (1002, "unheardof")]
+    docs = spark.createDataFrame(rows[:-1], "doc_id long, text string").repartition(3)
+    model = lmscore.fit(docs, rounds=1)
+    hashes = {i: lmscore.words_of(utf8([t]))[1] for i, t in rows}
+    h, n = np.unique(np.concatenate([hashes[i] for i, _ in rows[:-1]]), return_counts=True)
+    count, total = dict(zip(h.tolist(), n.tolist(), strict=True)), np.bincount(h.view(np.uint64) % 256, n, minlength=256)
+    got = {r.doc_id: r for r in lmscore.score(spark.createDataFrame(rows, "doc_id long, text string").repartition(2), model).collect()}
+    for i, t in rows:
+        classes = lmscore.score_texts(utf8([t]), lmscore.Classes(model[0]), lmscore.views(model[1]))[1][0]
+        want = classes + sum(np.log(count.get(w, 1) / (total[w % 256] + 1)) for w in hashes[i].tolist())
+        assert got[i].log_prob == pytest.approx(want, rel=1e-5) and got[i].n_words == len(hashes[i])
+
+
 def test_gradients_of_the_language_model():
     r = np.random.default_rng(0)
     flat = lmscore.initial().astype(np.float64)
