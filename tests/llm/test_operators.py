@@ -1,6 +1,7 @@
 """Operators against plain versions, exact round trips and held-out accuracy."""
 
 import datetime
+import math
 import random
 import zlib
 
@@ -359,6 +360,16 @@ def test_words_of_a_bucket_have_their_own_probability(spark, monkeypatch):
         assert got[i].log_prob == pytest.approx(want, rel=1e-5) and got[i].n_words == len(hashes[i])
 
 
+def test_stated_miss_rate_of_near_duplicates():
+    rejected = sum(math.comb(neardup.POSITIONS, k) * 0.8**k * 0.2 ** (neardup.POSITIONS - k) for k in range(neardup.AGREE))
+    meet = 1.0
+    for _ in range(neardup.LEVELS):
+        meet = 1 - (1 - 0.8 * meet) ** neardup.BRANCH
+    small, large = (p + rejected for p in (0.2**neardup.TREES, (1 - 0.8 * meet) ** neardup.TREES))
+    assert round(small * 1e6) == 7 and round(large * 1e5) == 2
+    assert "about 7 in a million, or about 2 in 100,000" in neardup.__doc__
+
+
 def test_gradients_of_the_language_model():
     r = np.random.default_rng(0)
     flat = lmscore.initial().astype(np.float64)
