@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from covlens.llm import decontaminate, htmltext, langid, lmscore, neardup, packing, pii, quality_knn, rules, substrings
+from covlens.llm import conversations, decontaminate, htmltext, langid, lmscore, neardup, packing, pii, quality_knn, rules, substrings
 
 QUERIES = {
     "op1_aho_corasick": decontaminate.op1_aho_corasick,
@@ -15,10 +15,12 @@ QUERIES = {
     "op8_rule_ledger": rules.op8_rule_ledger,
     "op9_merged_bwt": substrings.op9_merged_bwt,
     "op10_pseudo_likelihood": lmscore.op10_pseudo_likelihood,
+    "op11_glr_repair": conversations.op11_glr_repair,
 }
 
 ORACLE = {
     "op1_aho_corasick": decontaminate.OP1_SQL,
     "op3_chosen_path": neardup.OP3_SQL,
     "op8_rule_ledger": rules.OP8_SQL,
+    "op11_glr_repair": conversations.OP11_SQL,
 }
