@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from covlens.llm import conversations, decontaminate, htmltext, langid, lmscore, neardup, packing, pii, quality_knn, rules, substrings, whitening
+from covlens.llm import conversations, decontaminate, htmltext, langid, lmscore, neardup, packing, pii, quality_knn, rules, substrings, toxicity, whitening
 
 QUERIES = {
     "op1_aho_corasick": decontaminate.op1_aho_corasick,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_pseudo_likelihood": lmscore.op10_pseudo_likelihood,
     "op11_glr_repair": conversations.op11_glr_repair,
     "op12_refined_whitening": whitening.op12_refined_whitening,
+    "op13_clause_grammar": toxicity.op13_clause_grammar,
 }
 
 ORACLE = {
