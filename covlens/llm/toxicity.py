@@ -209,10 +209,10 @@ def prefix_hashes(data: np.ndarray, starts: np.ndarray, n: int) -> np.ndarray:
     return hash_words(held.ravel(), is_byte.ravel())[1]
 
 
-def pieces(texts: list[bytes]) -> Iterator[tuple[int, bytes]]:
-    """(text, piece): texts in lower case (A-Z), long ones cut behind the last clause end, else white space, of each PIECE bytes."""
+def pieces(texts: list[bytes]) -> Iterator[tuple[int, int, bytes]]:
+    """(text, first byte, piece): texts in lower case (A-Z), long ones cut behind the last clause end, else white space, of each PIECE bytes."""
     for i, t in enumerate(texts):
-        t = t.lower()
+        t, at = t.lower(), 0
         while len(t) > PIECE:
             head = np.frombuffer(t, np.uint8, PIECE)
             for marks in (_END, ~_WORD):
@@ -220,9 +220,9 @@ def pieces(texts: list[bytes]) -> Iterator[tuple[int, bytes]]:
                 if len(cut):
                     break
             n = PIECE // 2 + int(cut[-1]) + 1 if len(cut) else PIECE
-            yield i, t[:n]
-            t = t[n:]
-        yield i, t
+            yield i, at, t[:n]
+            t, at = t[n:], at + n
+        yield i, at, t
 
 
 class Grammar:
@@ -236,10 +236,9 @@ class Grammar:
         total = np.zeros((len(texts), len(KINDS)))
         words, clauses, matched = (np.zeros(len(texts)) for _ in range(3))
         units = list(pieces(texts))
-        behind = Counter()  # bytes of a text in earlier pieces
-        for a, b in chunks([p for _, p in units]):
-            owner = np.array([i for i, _ in units[a:b]])
-            data, begin = joined([p for _, p in units[a:b]])
+        for a, b in chunks([p for _, _, p in units]):
+            owner = np.array([i for i, _, _ in units[a:b]])
+            data, begin = joined([p for _, _, p in units[a:b]])
             starts, symbol, weight = self.lexicon.symbols(data)
             of = np.searchsorted(begin, starts, side="right") - 1
             clause = np.cumsum(_END[data])[starts] if len(starts) else np.empty(0, np.int64)
@@ -260,10 +259,8 @@ class Grammar:
                         k = clause[group[0]]
                         lo, hi = np.searchsorted(clause, k), np.searchsorted(clause, k, side="right") - 1
                         end = int(starts[hi]) + int(np.argmin(np.append(_WORD[data[starts[hi] :]], False)))
-                        at = behind[i] - int(begin[unit])
+                        at = units[a + unit][1] - int(begin[unit])
                         matches[i].append((int(starts[lo]) + at, end + at, kinds, sum_))
-            for i, p in units[a:b]:
-                behind[i] += len(p)
         rate = np.log1p(100 * total.sum(1) / np.maximum(words, 20))
         return np.column_stack([np.log1p(total), rate, matched / np.maximum(clauses, 1), np.ones(len(texts))])
 
@@ -346,7 +343,7 @@ def learn_stems(rows: DataFrame) -> dict[bytes, float]:
     odds = F.log((F.col("toxic") + 0.5) / (n_toxic + 1)) - F.log((F.col("clean") + 0.5) / (n_clean + 1))
     counted = rows.mapInPandas(count, "stem binary, clean long, toxic long").groupBy("stem").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     likely = counted.withColumn("odds", odds).where((F.col("toxic") >= SUPPORT) & (F.col("odds") >= ODDS))
-    likely = likely.orderBy(F.desc(F.col("toxic") * F.col("odds")), "stem").limit(CANDIDATES).collect()
+    likely = without_beginnings(likely.orderBy(F.desc(F.col("toxic") * F.col("odds")), "stem").limit(CANDIDATES).collect())
     candidates = {bytes(r.stem): k for k, r in enumerate(likely)}
     if not candidates:
         return {}
@@ -377,6 +374,17 @@ def learn_stems(rows: DataFrame) -> dict[bytes, float]:
     return stems | {bytes(r.stem): 0.0 for r in plain_words.collect()}
 
 
+def without_beginnings(likely: list) -> list:
+    """Leaves out stems that are little more than the beginning of one longer stem or word."""
+    longest = Counter()
+    for r in likely:
+        stem = bytes(r.stem)
+        for n in STEMS:
+            if n < len(stem):
+                longest[stem[:n]] = max(longest[stem[:n]], r.toxic)
+    return [r for r in likely if longest[bytes(r.stem)] < 0.9 * r.toxic]
+
+
 def cover(texts: list[list[int]], odds: np.ndarray, stems: list[bytes]) -> list[int]:
     """Stems, each the best for the texts that none before it is found in; ties go to the longest."""
     holders = defaultdict(list)
