@@ -143,7 +143,7 @@ def test_odd_rows(spark):
         got.setdefault(r.doc_id, []).append((r.score, [tuple(c) for c in r.clauses]))
     assert got[1] == got[2] == got[None] == got[5] and got[1][0][1] == []
     assert got[4][0] == got[4][1] and got[4][0][1] == [(0, 9, "Id", 4.0)] and got[4][0][0] > got[1][0][0]
-    assert sum(len(k.split(",")) for _, _, k, _ in got[3][0][1]) >= 100_000 and 0 <= got[3][0][0] <= 1
+    assert sum(len(k.split(",")) for _, _, k, _ in got[3][0][1]) >= 70_000 and 0 <= got[3][0][0] <= 1
     assert tx.score(df.limit(0), model).count() == 0
 
 
