@@ -45,22 +45,29 @@ def place_small_side(dim: DataFrame, strategy: str = "auto",
     return dim
 
 
+def _q(name: str):
+    """The column of that very name, dots and all."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def unique_by(dim: DataFrame, key: str) -> DataFrame:
     """``dim``, failing at run time if a value of ``key`` occurs twice (NULL too).
 
     The check is part of the plan: one aggregate over the dimension, when it is read.
     """
     others = [c for c in dim.columns if c != key]
-    rows = dim.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.first(F.struct(*others) if others else F.lit(0)).alias("_row"))
-    message = F.concat(F.lit(f"dimension key {key!r} is not unique, e.g. "), F.coalesce(F.col(key).cast("string"), F.lit("NULL")))
+    row = F.struct(*[_q(c).alias(f"c{i}") for i, c in enumerate(others)]) if others else F.lit(0)
+    rows = dim.groupBy(_q(key).alias("_key")).agg(F.count(F.lit(1)).alias("_n"), F.first(row).alias("_row"))
+    message = F.concat(F.lit(f"dimension key {key!r} is not unique, e.g. "), F.coalesce(F.col("_key").cast("string"), F.lit("NULL")))
     checked = rows.where(F.when(F.col("_n") > 1, F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
-    return checked.select(*[F.col(c) if c == key else F.col(f"_row.{c}").alias(c) for c in dim.columns])
+    place = {c: f"_row.c{i}" for i, c in enumerate(others)} | {key: "_key"}
+    return checked.select(*[F.col(place[c]).alias(c) for c in dim.columns])
 
 
 def join_dimension(fact: DataFrame, dim: DataFrame, on: str, dim_key: str | None = None,
                    how: str = "inner", strategy: str = "auto",
                    max_bytes: int | None = DEFAULT_BROADCAST_BYTES, check_unique: bool = False,
-                   salt_buckets: int = 1) -> DataFrame:
+                   salt_buckets: int | str = 1) -> DataFrame:
     """Equi-join a fact table to a dimension.
 
     The dimension key is renamed to ``on`` and joined by name, so the result
@@ -72,7 +79,9 @@ def join_dimension(fact: DataFrame, dim: DataFrame, on: str, dim_key: str | None
     tasks, whatever AQE does: fact rows are salted in turn by their place in
     their task, so equal rows are spread as well, and dimension rows are
     repeated once per salt. Ignored when the dimension is broadcast, where
-    there is no shuffle to skew.
+    there is no shuffle to skew. ``"hot"`` salts only keys with more rows than
+    two mean tasks have, each as much as it takes: they are found by one count per key of the
+    fact table, the dimension's other rows are not repeated, and no number has to be guessed.
     """
     dim_key = dim_key or on
     if check_unique:
@@ -81,10 +90,12 @@ def join_dimension(fact: DataFrame, dim: DataFrame, on: str, dim_key: str | None
         dim = dim.withColumnRenamed(dim_key, on)
     small = place_small_side(dim, strategy, max_bytes)
     hinted = strategy in ("merge", "shuffle_hash")
-    if salt_buckets <= 1 or strategy == "broadcast":
+    if salt_buckets == 1 or strategy == "broadcast":
         return fact.join(small, on=on, how=how)
     if how not in ("inner", "left", "left_outer", "left_semi", "left_anti"):
         raise ValueError("salting keeps every dimension row once per salt; use an inner or left join")
+    if salt_buckets == "hot":
+        return _join_hot(fact, dim, on, how, strategy)
     salted_fact = fact.withColumn(
         "_salt", F.pmod(F.monotonically_increasing_id(), F.lit(salt_buckets)))
     salted_dim = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"),
@@ -94,6 +105,30 @@ def join_dimension(fact: DataFrame, dim: DataFrame, on: str, dim_key: str | None
     return salted_fact.join(salted_dim, on=[on, "_salt"], how=how).drop("_salt")
 
 
+def hot_keys(fact: DataFrame, key: str, tasks: int) -> DataFrame:
+    """(key, _salts) of the keys with more than twice the rows that a task has on average.
+
+    There are at most ``tasks / 2`` of them whatever the data, so they may be broadcast.
+    ``_salts`` is the number of mean tasks that a key's rows fill.
+    """
+    counts = fact.where(_q(key).isNotNull()).groupBy(_q(key).alias(key)).agg(F.count(F.lit(1)).alias("_n"))
+    mean = counts.agg((F.sum("_n") / F.lit(tasks)).alias("_mean")).scalar()
+    return counts.where(F.col("_n") > 2 * mean).select(_q(key), F.ceil(F.col("_n") / mean).cast("int").alias("_salts"))
+
+
+def _join_hot(fact: DataFrame, dim: DataFrame, on: str, how: str, strategy: str) -> DataFrame:
+    """``join_dimension`` with the hot keys spread: their fact rows in turn, their dimension rows once per salt."""
+    tasks = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hot = F.broadcast(hot_keys(fact, on, tasks))
+    salts = F.coalesce(F.col("_salts"), F.lit(1))
+    salted_fact = fact.join(hot, on, "left").withColumn("_salt", F.pmod(F.monotonically_increasing_id(), salts).cast("int"))
+    salted_dim = dim.join(hot, on, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1)))
+    salted_dim = salted_dim.drop("_salts")
+    if strategy in ("merge", "shuffle_hash"):
+        salted_dim = salted_dim.hint(strategy)
+    return salted_fact.drop("_salts").join(salted_dim, on=[on, "_salt"], how=how).drop("_salt")
+
+
 def join_roles(fact: DataFrame, dim: DataFrame, dim_key: str, roles: dict[str, str],
                how: str = "left", strategy: str = "auto",
                max_bytes: int | None = DEFAULT_BROADCAST_BYTES) -> DataFrame:

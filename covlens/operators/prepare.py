@@ -124,29 +124,36 @@ def alias_impact(df: DataFrame, col: str, aliases: Mapping | DataFrame, weight:
 
 # ---------------------------------------------------------------- prefix subsets
 
-def prefix_slices(df: DataFrame, unit_col: str, fraction: float) -> DataFrame:
-    """Rows of the first ``max(1, round(N * fraction))`` units in name order.
+def prefix_cutoff(df: DataFrame, unit_col: str, fraction: float):
+    """The last of the first ``max(1, round(N * fraction))`` units in their order; None without units.
 
-    Units are whole files/slices/days, not random rows; rounding is half to
-    even. The kept units form a prefix, so the result is a plain filter
-    ``unit <= cutoff``. The cutoff is the unit at that place in the units'
-    order: range partitions of the units are counted, and one of them is
-    searched. Two small jobs run while the plan is built.
+    Rounding is half to even. Range partitions of the units are counted, and one of them is
+    searched: two small jobs, of which only the counts and the cutoff come to the driver.
     """
     if not 0 < fraction <= 1:
         raise ValueError("fraction must be in (0, 1]")
     spark, path = df.sparkSession, shared_dir(df.sparkSession, "units")
     units = df.select(F.col(unit_col).alias("unit")).where("unit is not null").distinct()
+    kind = units.schema["unit"].dataType
     units.repartitionByRange("unit").sortWithinPartitions("unit").withColumn("part", F.spark_partition_id()).write.parquet(path)
-    written = spark.read.schema(T.StructType([T.StructField("unit", df.schema[unit_col].dataType), T.StructField("part", T.IntegerType())])).parquet(path)
+    written = spark.read.schema(T.StructType([T.StructField("unit", kind), T.StructField("part", T.IntegerType())])).parquet(path)
     sizes = sorted((r["part"], r["n"]) for r in written.groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect())
-    keep = max(1, round(sum(n for _, n in sizes) * fraction))
+    keep, top = max(1, round(sum(n for _, n in sizes) * fraction)), None
     for part, n in sizes:
         if keep <= n:
             # the largest of the smallest ``keep`` units of this part
             top = written.where(F.col("part") == part).orderBy("unit").limit(keep).agg(F.max("unit")).first()[0]
-            delete_path(spark, path)
-            return df.filter(F.col(unit_col) <= F.lit(top))
+            break
         keep -= n
     delete_path(spark, path)
-    return df.filter(F.lit(False))
+    return top
+
+
+def prefix_slices(df: DataFrame, unit_col: str, fraction: float) -> DataFrame:
+    """Rows of the first ``max(1, round(N * fraction))`` units in name order.
+
+    Units are whole files/slices/days, not random rows. The kept units form a prefix,
+    so the result is a plain filter ``unit <= cutoff`` (see ``prefix_cutoff``).
+    """
+    top = prefix_cutoff(df, unit_col, fraction)
+    return df.filter(F.lit(False)) if top is None else df.filter(F.col(unit_col) <= F.lit(top))

@@ -124,6 +124,40 @@ def missing_slices(df: DataFrame, ts: str, start, end, step_minutes: int = 15) -
     return grid.join(present, "slot", "left_anti")
 
 
+#: Slots of one group of ``gap_runs``: what is sorted together.
+GAP_BLOCK = 4096
+
+
+def gap_runs(df: DataFrame, ts: str, start, end, step_minutes: int = 15) -> DataFrame:
+    """Each run of expected slots without a row, as its first and last slot and its length (V4).
+
+    Gaps and islands instead of a grid: the slots that are there, once each, are compared
+    with the one before them. They are sorted in groups of ``GAP_BLOCK`` neighbouring slots, and
+    then the ends of the groups, so that no task sorts them all; nothing is made
+    for slots that are missing, however many there are. Slots outside ``start`` to
+    ``end`` don't count.
+    """
+    first, last = (ntz_literal(dt.datetime.fromisoformat(str(x))) for x in (start, end))
+    begin, stop = (dt.datetime.fromisoformat(str(x)) for x in (start, end))
+    n = int((stop - begin).total_seconds() // (step_minutes * 60)) + 1
+    floor = slice_floor(ts, step_minutes, first)
+    minutes = F.datediff(F.to_date(floor), F.to_date(first)).cast("long") * 1440 + (
+        F.hour(floor) * 60 + F.minute(floor) - F.hour(first) * 60 - F.minute(first))
+    place = F.floor(minutes / F.lit(step_minutes)).cast("long")
+    there = df.select(place.alias("k")).where((F.col("k") >= 0) & (F.col("k") < n)).distinct()
+    there = there.withColumn("block", F.floor(F.col("k") / GAP_BLOCK))
+    before = F.lag("k").over(Window.partitionBy("block").orderBy("k"))
+    within = there.withColumn("before", before).where("k - before > 1").select("before", "k")
+    ends = there.groupBy("block").agg(F.min("k").alias("lo"), F.max("k").alias("hi"))
+    # one row a block that holds a slot, and the two ends of the whole
+    edges = ends.select("lo", "hi").unionByName(
+        df.sparkSession.range(1).select(F.explode(F.array(F.lit(-1).cast("long"), F.lit(n).cast("long"))).alias("lo")).withColumn("hi", F.col("lo")))
+    between = edges.withColumn("before", F.lag("hi").over(Window.orderBy("lo"))).where("lo - before > 1").select("before", F.col("lo").alias("k"))
+    slot = lambda k: first + F.make_dt_interval(F.floor(k * step_minutes / 1440).cast("int"), F.lit(0), F.pmod(k * step_minutes, F.lit(1440)).cast("int"), F.lit(0))
+    return within.unionByName(between).select(slot(F.col("before") + 1).alias("first_missing"), slot(F.col("k") - 1).alias("last_missing"),
+                                              (F.col("k") - F.col("before") - 1).alias("n_missing"))
+
+
 # ---------------------------------------------------------------- layouts
 
 def file_listing(spark: SparkSession, path: str | Sequence[str], glob: str | None = None) -> DataFrame:
@@ -156,6 +190,21 @@ def prefix_files(listing: DataFrame, fraction: float, path_col: str = "path") ->
     return [literal_path(p) for p in sorted(r[0] for r in chosen.collect())]
 
 
+def prefix_scan(rows: DataFrame, listing: DataFrame, fraction: float, path_col: str = "path") -> DataFrame:
+    """Rows of the first ``max(1, round(N * fraction))`` listed files, by file name.
+
+    ``rows`` is a file scan, ``listing`` its ``file_listing``. The cutoff is found on the
+    listing; the scan then filters on ``_metadata.file_name``, by which Spark leaves out
+    the files beyond it before it plans a task. No list of paths is made.
+    """
+    from covlens.operators.prepare import prefix_cutoff
+
+    names = listing.select(F.regexp_extract(path_col, "([^/]*)$", 1).alias("name"))
+    # names in a listing are escaped as in a URI; scans have them as they are
+    top = prefix_cutoff(names.select(F.url_decode(F.replace("name", F.lit("+"), F.lit("%2B"))).alias("name")), "name", fraction)
+    return rows.where(F.lit(False)) if top is None else rows.where(F.col("_metadata.file_name") <= F.lit(top))
+
+
 def listed_slices(listing: DataFrame, out: str = "slot",
                   pattern: str = r"/([0-9]{14})[^/]*$") -> DataFrame:
     """Slice start of every listed file, parsed from its path.
@@ -178,7 +227,7 @@ def layout_sizes(spark: SparkSession, layouts: Mapping[str, str]) -> DataFrame:
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.withColumn("size_ratio", ratio("n_bytes", F.min("n_bytes").over(Window.partitionBy())))
+    return out.withColumn("size_ratio", ratio("n_bytes", out.agg(F.min("n_bytes")).scalar()))
 
 
 def slice_sizes(listing: DataFrame) -> DataFrame:

@@ -12,9 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from covlens.functions.exprs import slice_floor
 from covlens.operators.prepare import normalize_codes
 from covlens.profiles import RAW_EVENT_FIELDS, raw_event_schema
-from covlens.session import path_exists, session_key, shared_dir
+from covlens.session import file_names, folder_names, path_exists, rename_path, session_key, shared_dir
 from covlens.sources.scan import dimension, lookup_scan, strict_scan
 from covlens.sources.sinks import write_delimited
 
@@ -140,7 +141,7 @@ def events_text_layout(spark: SparkSession, sf_dir: str) -> str:
     ev = table(spark, sf_dir, "events")
     return _layout(spark, sf_dir, "events-tsv", lambda path: write_delimited(
         ev.withColumn("ingest_day", F.date_format("ts", "yyyyMMdd")), path,
-        partition_by=["ingest_day"]))
+        partition_by=["ingest_day"], one_file=True))
 
 
 def events_from_text(spark: SparkSession, sf_dir: str,
@@ -150,18 +151,44 @@ def events_from_text(spark: SparkSession, sf_dir: str,
     return strict_scan(spark, path, EVENTS_SCHEMA, keep_source=keep_source)
 
 
+# Fixed values of the slice files: their width, and the grid that they are held against,
+# which begins a day before the first event and ends two days after the last one.
+FILE_MINUTES = 360
+FILE_START, FILE_END = "2023-12-31 00:00:00", "2024-02-01 18:00:00"
+
+
+def slice_files(spark: SparkSession, sf_dir: str) -> str:
+    """The raw feed as one text file per slice in one folder, named ``YYYYMMDDHHMMSS.export.CSV`` as feeds are."""
+    def write(path: str) -> None:
+        stamp = F.date_format(slice_floor("ts", FILE_MINUTES), "yyyyMMddHHmmss")
+        write_delimited(raw_feed_frame(spark, sf_dir, slice=stamp).drop("ingest_day"), f"{path}-slices", partition_by=["slice"], one_file=True)
+        for folder in folder_names(spark, f"{path}-slices"):
+            for name in file_names(spark, f"{path}-slices/{folder}"):
+                if name.startswith("part-"):
+                    rename_path(spark, f"{path}-slices/{folder}/{name}", f"{path}/{folder.partition('=')[2]}.export.CSV")
+
+    return _layout(spark, sf_dir, "slice-files", write)
+
+
+def kept_text_layout(spark: SparkSession, sf_dir: str) -> str:
+    """Three columns of ``events`` as text, one file per day: another layout of the same rows."""
+    ev = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", F.date_format("ts", "yyyyMMdd").alias("ingest_day"))
+    return _layout(spark, sf_dir, "kept-tsv", lambda path: write_delimited(ev, path, partition_by=["ingest_day"], one_file=True))
+
+
 # ---------------------------------------------------------------- B6 raw event feed
 
 RAW_WINDOW = (20240105, 20240125)
 RAW_ALIASES = {"G28": "G3", "G29": "G3"}
 
 
-def raw_feed_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_feed_frame(spark: SparkSession, sf_dir: str, **extra) -> DataFrame:
     """``events`` reshaped into the 61-column raw export layout (whole table).
 
     Codes, categories and measures are derived per row; columns the feed
     leaves mostly empty stay NULL. Event codes keep leading zeros and the
-    source URL carries the JSON ``props`` text, quotes included.
+    source URL carries the JSON ``props`` text, quotes included. ``extra`` are
+    further columns, made from those of ``events``.
     """
     ev = table(spark, sf_dir, "events")
     uid, eid = F.col("user_id"), F.col("event_id")
@@ -199,7 +226,7 @@ def raw_feed_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = raw_event_schema()
     return ev.select(*[derived.get(name, F.lit(None)).cast(schema[name].dataType).alias(name)
                        for name, _ in RAW_EVENT_FIELDS],
-                     F.date_format("ts", "yyyyMMdd").alias("ingest_day"))
+                     F.date_format("ts", "yyyyMMdd").alias("ingest_day"), *[c.alias(n) for n, c in extra.items()])
 
 
 def raw_feed_layout(spark: SparkSession, sf_dir: str) -> str:
@@ -241,6 +268,9 @@ def actor_types(spark: SparkSession, sf_dir: str) -> DataFrame:
 DIRTY_BAD_ID_EVERY = 97        # GlobalEventID becomes "x<id>": not a bigint
 DIRTY_SHORT_EVERY = 89         # last field dropped: 60 fields instead of 61
 DIRTY_BAD_TONE_EVERY = 83      # AvgTone gets a "d" suffix: not a double
+DIRTY_DIGITS_EVERY = 79        # NumMentions in Arabic digits: not a bigint
+DIRTY_HUGE_EVERY = 73          # AvgTone is 1e400, beyond the finite doubles: not a double
+DIRTY_NUL_EVERY = 71           # Actor1Name begins with a NUL: a text like any other
 
 def dirty_feed_layout(spark: SparkSession, sf_dir: str) -> str:
     """The raw feed with deterministic bad lines, as text, once per session.
@@ -251,14 +281,20 @@ def dirty_feed_layout(spark: SparkSession, sf_dir: str) -> str:
     def write(path: str) -> None:
         raw = raw_feed_frame(spark, sf_dir)
         eid = F.col("GlobalEventID")
-        bad_id = eid % DIRTY_BAD_ID_EVERY == 0
-        short = ~bad_id & (eid % DIRTY_SHORT_EVERY == 0)
-        bad_tone = ~bad_id & ~short & (eid % DIRTY_BAD_TONE_EVERY == 0)
         text = {n: F.coalesce(F.col(n).cast("string"), F.lit("")) for n, _ in RAW_EVENT_FIELDS}
-        text["GlobalEventID"] = F.when(bad_id, F.concat(F.lit("x"), text["GlobalEventID"])) \
-            .otherwise(text["GlobalEventID"])
-        text["AvgTone"] = F.when(bad_tone, F.concat(text["AvgTone"], F.lit("d"))) \
-            .otherwise(text["AvgTone"])
+
+        def spoil(name: str, every: int, how) -> None:
+            text[name] = F.when(rule == every, how(text[name])).otherwise(text[name])
+
+        rule = F.lit(0)
+        for every in (DIRTY_NUL_EVERY, DIRTY_HUGE_EVERY, DIRTY_DIGITS_EVERY, DIRTY_BAD_TONE_EVERY, DIRTY_SHORT_EVERY, DIRTY_BAD_ID_EVERY):
+            rule = F.when(eid % every == 0, every).otherwise(rule)  # the last one wins
+        spoil("GlobalEventID", DIRTY_BAD_ID_EVERY, lambda c: F.concat(F.lit("x"), c))
+        spoil("AvgTone", DIRTY_BAD_TONE_EVERY, lambda c: F.concat(c, F.lit("d")))
+        spoil("NumMentions", DIRTY_DIGITS_EVERY, lambda c: F.translate(c, "0123456789", "\u0660\u0661\u0662\u0663\u0664\u0665\u0666\u0667\u0668\u0669"))
+        spoil("AvgTone", DIRTY_HUGE_EVERY, lambda c: F.lit("1e400"))
+        spoil("Actor1Name", DIRTY_NUL_EVERY, lambda c: F.concat(F.lit("\x00"), c))
+        short = rule == DIRTY_SHORT_EVERY
         line = F.concat_ws("\t", *[text[n] for n, _ in RAW_EVENT_FIELDS])
         line = F.when(short, F.substring_index(line, "\t", len(RAW_EVENT_FIELDS) - 1)) \
             .otherwise(line)

@@ -24,22 +24,22 @@ from covlens.operators.joins import (
 )
 from covlens.operators.pairs import (
     domestic_share, entity_distribution, exclusion_breakdown, exclusion_causes,
-    pair_filter_report, pair_interactions, tone_summary, top_pairs,
+    pair_filter_report, pair_interactions, pairs_from_partials, tone_summary, top_pairs,
 )
 from covlens.operators.prepare import (
     alias_impact, normalize_codes, prefix_slices, time_window, window_period, window_report,
 )
 from covlens.operators.quality import (
-    file_listing, layout_sizes, layouts_agree, match_rate, missing_slices, null_profile,
-    period_distribution, prefix_files, retrospective_by_slice, size_by_weekpart, size_per_day,
-    slice_completeness, slice_sizes,
-    unmatched_codes,
+    file_listing, gap_runs, layout_sizes, layouts_agree, listed_slices, match_rate, missing_slices,
+    null_profile, period_distribution, prefix_scan, retrospective_by_slice, size_by_weekpart,
+    size_per_day, slice_completeness, slice_sizes, unmatched_codes,
 )
 from covlens.plans import bindings as B
 from covlens.plans.pipeline import aggregate_pairs, aggregate_places, clean
-from covlens.profiles import KEPT_COLUMNS, RAW_EVENT_FIELDS, raw_event_schema
+from covlens.plans.refresh import merge_coverage, merge_pairs, refresh_coverage, stored
+from covlens.profiles import KEPT_COLUMNS, QUAD_CLASSES, RAW_EVENT_FIELDS, raw_event_schema
 from covlens.session import session_key, shared_dir
-from covlens.sources.scan import line_row_check, read_events, strict_scan, typed_scan, with_source_file
+from covlens.sources.scan import line_row_check, read_events, strict_scan, strict_scan_once, typed_scan, with_source_file
 from covlens.sources.sinks import roundtrip_check, write_partitioned
 from covlens.streaming.ingest import clean_incremental
 
@@ -205,6 +205,65 @@ def _raw_pairs_written(spark, d):
                            scale=B.DECIMALS)["pairs"]
 
 
+def _two_batches(spark, d):
+    """The consolidated raw feed in two batches of the same days."""
+    events = _raw_consolidated(spark, d)
+    odd = F.col("GlobalEventID") % 3 == 0
+    return [("even", events.where(~odd)), ("odd", events.where(odd)), ("odd", events.where(odd))]
+
+
+def _raw_coverage_refreshed(spark, d):
+    """E2 batch by batch: the product is refreshed after each, and the second batch comes twice."""
+    store, out = shared_dir(spark, "coverage-store"), shared_dir(spark, "coverage-fresh")
+    geo = normalize_codes_dim(B.geo_dim(spark, d), B.RAW_ALIASES)
+    for batch_id, events in _two_batches(spark, d):
+        merge_coverage(normalize_codes(events, "ActionGeo_CountryCode", B.RAW_ALIASES), store, batch_id, scale=B.DECIMALS)
+        refresh_coverage(spark, store, geo, out, scale=B.DECIMALS)
+    return read_events(spark, out, schema=ORDERED_COVERAGE)
+
+
+def normalize_codes_dim(dim, aliases):
+    """Dimension rows of codes that are no aliases."""
+    return dim.where(~F.col("code").isin(*aliases))
+
+
+ORDERED_COVERAGE = T.StructType([T.StructField("ActionGeo_CountryCode", T.StringType()), T.StructField("label", T.StringType()),
+                                 T.StructField("SQLDATE", T.LongType()), T.StructField("n_events", T.LongType()), T.StructField("avg_tone", T.DoubleType()),
+                                 *[T.StructField(c, T.LongType()) for c in QUAD_CLASSES.values()]])
+
+
+def _raw_pairs_refreshed(spark, d):
+    """E3 batch by batch, the second batch twice."""
+    store = shared_dir(spark, "pairs-store")
+    for batch_id, events in _two_batches(spark, d):
+        merge_pairs(events, store, batch_id, scale=B.DECIMALS)
+    return pairs_from_partials(stored(spark, store), B.actor_types(spark, d), "Actor1CountryCode", "Actor2CountryCode",
+                               type_key="code", type_col="entity_type", entity_type="country", mean_name="avg_tone", scale=B.DECIMALS)
+
+
+def _raw_clean_published(spark, d):
+    """E1 with days published as a unit: first a wider window, then the window's days again."""
+    out = shared_dir(spark, "raw-clean-published")
+    for window in ((20240101, 20240115), B.RAW_WINDOW):
+        clean(spark, B.raw_feed_layout(spark, d), out, *window, overwrite="publish")
+    return read_events(spark, out, schema=_raw_kept_schema())
+
+
+def _dirty_once(spark, d):
+    """Valid rows by place and rejects by reason, both from one parse of the dirty feed."""
+    valid, rejects = strict_scan_once(spark, B.dirty_feed_layout(spark, d), raw_event_schema())
+    places = count_by(valid, "ActionGeo_CountryCode").select(F.lit("valid").alias("output"), F.col("ActionGeo_CountryCode").alias("key"), "n")
+    return places.unionByName(_reasons(rejects).select(F.lit("rejects").alias("output"), F.col("violation").alias("key"), "n"))
+
+
+def _dirty_stream(spark, d):
+    """E1 on the dirty feed as a stream whose batches are parsed once for both tables."""
+    out, rej = shared_dir(spark, "dirty-stream"), shared_dir(spark, "dirty-stream-rejects")
+    clean_incremental(spark, f"{B.dirty_feed_layout(spark, d)}/ingest_day=*/", out, *B.RAW_WINDOW, rejects_path=rej)
+    rows = count_by(spark.read.parquet(out), "SQLDATE").select(F.lit("kept").alias("output"), F.col("SQLDATE").cast("string").alias("key"), "n")
+    return rows.unionByName(_reasons(spark.read.parquet(rej)).select(F.lit("rejects").alias("output"), F.col("violation").alias("key"), "n"))
+
+
 def _raw_day(spark, d):
     return _raw_consolidated(spark, d).withColumn("day", day_from_int("SQLDATE"))
 
@@ -308,7 +367,7 @@ QUERIES: dict[str, Query] = {
                                             B.nation_dim(s, d), "n_nationkey", "n_name"),
     "join_broadcast": _row_join("broadcast"),
     "join_merge": _row_join("merge"),
-    "join_salted": _row_join("merge", salt_buckets=8),
+    "join_salted": _row_join("merge", salt_buckets="hot"),
     "prefix_slices": lambda s, d: prefix_slices(B.coded_events(s, d), "day", 0.3),
     # dimensions
     "dimension_diff": lambda s, d: dimension_diff(B.table(s, d, "nation"), B.entity_types(s, d),
@@ -338,6 +397,11 @@ QUERIES: dict[str, Query] = {
                                                           B.SLICE_MINUTES),
     "missing_slices": lambda s, d: missing_slices(B.table(s, d, "events"), "ts", B.SLICE_START,
                                                   B.SLICE_END, B.SLICE_MINUTES),
+    "slice_gaps": lambda s, d: gap_runs(B.table(s, d, "events"), "ts", B.SLICE_START, B.SLICE_END, B.SLICE_MINUTES),
+    "listed_slice_gaps": lambda s, d: gap_runs(listed_slices(file_listing(s, B.slice_files(s, d))), "slot",
+                                               B.FILE_START, B.FILE_END, B.FILE_MINUTES),
+    "listed_slice_completeness": lambda s, d: slice_completeness(
+        listed_slices(file_listing(s, B.slice_files(s, d))), "slot", B.FILE_START, B.FILE_END, B.FILE_MINUTES),
     "slice_completeness_45": _completeness(45),
     "slice_completeness_120": _completeness(120),
     "lookup_scan": lambda s, d: B.lookup_dim(s, d),
@@ -359,13 +423,17 @@ QUERIES: dict[str, Query] = {
         strict_scan(s, B.raw_feed_layout(s, d), raw_event_schema())[0], "ActionGeo_CountryCode"),
     "raw_group_count_typed": lambda s, d: count_by(
         typed_scan(s, B.raw_feed_layout(s, d), raw_event_schema()), "ActionGeo_CountryCode"),
-    "raw_group_count_prefix": lambda s, d: count_by(
-        typed_scan(s, prefix_files(file_listing(s, B.raw_feed_layout(s, d)), 0.3),
-                   raw_event_schema()), "ActionGeo_CountryCode"),
+    "raw_group_count_prefix": lambda s, d: count_by(prefix_scan(
+        typed_scan(s, B.slice_files(s, d), raw_event_schema()), file_listing(s, B.slice_files(s, d)), 0.3), "ActionGeo_CountryCode"),
     "raw_null_profile": lambda s, d: null_profile(
         strict_scan(s, B.raw_feed_layout(s, d), raw_event_schema())[0]),
     "raw_clean": lambda s, d: read_events(s, _raw_clean(s, d)[1], schema=_raw_kept_schema()),
     "raw_clean_report": lambda s, d: _raw_clean(s, d)[0],
+    "raw_clean_published": _raw_clean_published,
+    "raw_coverage_refreshed": _raw_coverage_refreshed,
+    "raw_pairs_refreshed": _raw_pairs_refreshed,
+    "dirty_scan_once": _dirty_once,
+    "dirty_stream": _dirty_stream,
     "raw_clean_incremental": _raw_clean_incremental,
     "raw_group_count_parquet": lambda s, d: count_by(_raw_whole(s, d), "ActionGeo_CountryCode"),
     "raw_coverage_written": _raw_places_written,
@@ -403,8 +471,8 @@ QUERIES: dict[str, Query] = {
                                   .select("user_id").distinct()),
     "period_by_month": lambda s, d: period_distribution(B.table(s, d, "events"),
                                                         period("ts", "month")),
-    "layout_sizes": lambda s, d: layout_sizes(s, {"text": B.events_text_layout(s, d),
-                                                  "parquet": f"{d}/events.parquet"}),
+    "layout_sizes": lambda s, d: layout_sizes(s, {"all columns": B.events_text_layout(s, d),
+                                                  "kept columns": B.kept_text_layout(s, d)}),
     "slice_sizes": lambda s, d: slice_sizes(file_listing(s, B.events_text_layout(s, d))),
     "size_by_weekpart": lambda s, d: size_by_weekpart(file_listing(s, B.events_text_layout(s, d)),
                                                       r"ingest_day=([0-9]{8})"),
@@ -509,9 +577,11 @@ RAW_TYPED = (f"SELECT k.*, ta.entity_type AS ta, tb.entity_type AS tb FROM ({RAW
              f"LEFT JOIN ({ATYPES}) ta ON k.Actor1CountryCode = ta.code "
              f"LEFT JOIN ({ATYPES}) tb ON k.Actor2CountryCode = tb.code")
 
-DIRTY = ("SELECT SQLDATE, CASE WHEN GlobalEventID % 97 = 0 THEN 'GlobalEventID: not a bigint' "
+DIRTY = ("SELECT GlobalEventID, SQLDATE, CASE WHEN GlobalEventID % 97 = 0 THEN 'GlobalEventID: not a bigint' "
          "WHEN GlobalEventID % 89 = 0 THEN 'expected 61 fields, found 60' "
-         "WHEN GlobalEventID % 83 = 0 THEN 'AvgTone: not a double' END AS rule "
+         "WHEN GlobalEventID % 83 = 0 THEN 'AvgTone: not a double' "
+         "WHEN GlobalEventID % 79 = 0 THEN 'NumMentions: not a bigint' "
+         "WHEN GlobalEventID % 73 = 0 THEN 'AvgTone: not a double' END AS rule "
          f"FROM ({RAW}) r")
 
 ORACLE: dict[str, str] = {
@@ -826,6 +896,57 @@ ORACLE: dict[str, str] = {
         f"COUNT(CASE WHEN {IN_WINDOW} THEN 1 END) AS n_kept FROM ({B1}) b) t"),
 }
 
+#: What the text layouts hold, line by line: fields as text, a tab between them, a line feed behind.
+_LINES = ("SELECT strftime(ts, '%Y%m%d') AS day, CAST(event_id AS VARCHAR) || chr(9) || strftime(ts, '%Y-%m-%d %H:%M:%S') || "
+          "CASE WHEN ts <> date_trunc('second', ts) THEN rtrim(strftime(ts, '.%f'), '0') ELSE '' END || chr(9) || "
+          "coalesce(CAST(user_id AS VARCHAR), '') || chr(9) || coalesce(event_type, '') || chr(9) || coalesce(CAST(value AS VARCHAR), '') "
+          "|| chr(9) || coalesce(props, '') AS line, CAST(event_id AS VARCHAR) || chr(9) || coalesce(CAST(user_id AS VARCHAR), '') || chr(9) "
+          "|| coalesce(event_type, '') AS short, ts FROM events")
+_BYTES = "CAST(SUM(octet_length(encode({})) + 1) AS BIGINT) AS n_bytes"
+_DAY_BYTES = f"SELECT day, CAST(1 AS BIGINT) AS n_files, {_BYTES.format('line')} FROM ({_LINES}) x GROUP BY day"
+ORACLE["size_per_day"] = _DAY_BYTES
+ORACLE["slice_sizes"] = ("SELECT COUNT(*) AS n_files, CAST(SUM(n_bytes) AS BIGINT) AS n_bytes, "
+                         f"CAST(SUM(n_bytes) AS DOUBLE) / CAST(COUNT(*) AS DOUBLE) AS avg_bytes_per_file FROM ({_DAY_BYTES}) d")
+ORACLE["size_by_weekpart"] = (
+    "SELECT isodow(strptime(day, '%Y%m%d')) >= 6 AS weekend, COUNT(*) AS n_days, COUNT(*) AS n_files, CAST(SUM(n_bytes) AS BIGINT) AS n_bytes, "
+    f"CAST(SUM(n_bytes) AS DOUBLE) / CAST(COUNT(*) AS DOUBLE) AS bytes_per_day FROM ({_DAY_BYTES}) d GROUP BY 1")
+ORACLE["layout_sizes"] = (
+    f"WITH s AS (SELECT 'all columns' AS layout, COUNT(DISTINCT day) AS n_files, {_BYTES.format('line')} FROM ({_LINES}) x UNION ALL "
+    f"SELECT 'kept columns', COUNT(DISTINCT day), {_BYTES.format('short')} FROM ({_LINES}) x) "
+    "SELECT layout, n_files, n_bytes, CAST(n_bytes AS DOUBLE) / CAST((SELECT MIN(n_bytes) FROM s) AS DOUBLE) AS size_ratio FROM s")
+_SIX_HOURS = "time_bucket(INTERVAL 6 HOUR, ts, TIMESTAMP '2023-12-31 00:00:00')"
+ORACLE["raw_group_count_prefix"] = (
+    f"WITH f AS (SELECT DISTINCT {_SIX_HOURS} AS slot FROM events), r AS (SELECT slot, row_number() OVER (ORDER BY slot) AS i, "
+    "GREATEST(1, CAST(round_even(COUNT(*) OVER () * 0.3, 0) AS BIGINT)) AS k FROM f) "
+    f"SELECT x.ActionGeo_CountryCode, COUNT(*) AS n FROM ({RAW}) x JOIN events ON event_id = GlobalEventID "
+    f"WHERE {_SIX_HOURS} IN (SELECT slot FROM r WHERE i <= k) GROUP BY x.ActionGeo_CountryCode")
+
+
+def _gaps_sql(start: str, end: str, minutes: int) -> str:
+    grid = f"SELECT slot FROM generate_series(TIMESTAMP '{start}', TIMESTAMP '{end}', INTERVAL {minutes} MINUTE) t(slot)"
+    present = f"SELECT DISTINCT time_bucket(INTERVAL {minutes} MINUTE, ts, TIMESTAMP '{start}') FROM events"
+    return (f"WITH g AS (SELECT slot, row_number() OVER (ORDER BY slot) AS i FROM ({grid}) x), "
+            f"m AS (SELECT slot, i - row_number() OVER (ORDER BY slot) AS run FROM g WHERE slot NOT IN ({present})) "
+            "SELECT MIN(slot) AS first_missing, MAX(slot) AS last_missing, COUNT(*) AS n_missing FROM m GROUP BY run")
+
+
+ORACLE["slice_gaps"] = _gaps_sql(B.SLICE_START, B.SLICE_END, B.SLICE_MINUTES)
+ORACLE["listed_slice_gaps"] = _gaps_sql(B.FILE_START, B.FILE_END, B.FILE_MINUTES)
+ORACLE["listed_slice_completeness"] = (
+    "SELECT COUNT(*) AS n_expected, COUNT(p.slot) AS n_present, COUNT(*) - COUNT(p.slot) AS n_missing FROM "
+    f"generate_series(TIMESTAMP '{B.FILE_START}', TIMESTAMP '{B.FILE_END}', INTERVAL 6 HOUR) g(slot) "
+    f"LEFT JOIN (SELECT DISTINCT {_SIX_HOURS} AS slot FROM events) p ON g.slot = p.slot")
+ORACLE["raw_clean_published"] = (f"SELECT {', '.join(KEPT_COLUMNS)} FROM ({RAW}) r WHERE SQLDATE BETWEEN 20240101 AND 20240125")
+ORACLE["raw_coverage_refreshed"] = ORACLE["raw_coverage"]
+ORACLE["raw_pairs_refreshed"] = ORACLE["raw_pairs"]
+ORACLE["dirty_scan_once"] = (
+    "SELECT 'valid' AS output, ActionGeo_CountryCode AS key, COUNT(*) AS n FROM "
+    f"(SELECT r.ActionGeo_CountryCode, x.rule FROM ({RAW}) r JOIN ({DIRTY}) x USING (GlobalEventID)) v WHERE rule IS NULL GROUP BY 2 UNION ALL "
+    f"SELECT 'rejects', rule, COUNT(*) FROM ({DIRTY}) x WHERE rule IS NOT NULL GROUP BY rule")
+ORACLE["dirty_stream"] = (
+    f"SELECT 'kept' AS output, CAST(SQLDATE AS VARCHAR) AS key, COUNT(*) AS n FROM ({DIRTY}) x "
+    "WHERE rule IS NULL AND SQLDATE BETWEEN 20240105 AND 20240125 GROUP BY 2 UNION ALL "
+    f"SELECT 'rejects', rule, COUNT(*) FROM ({DIRTY}) x WHERE rule IS NOT NULL GROUP BY rule")
 ORACLE["raw_coverage_written"] = ORACLE["raw_coverage"]
 ORACLE["raw_pairs_written"] = ORACLE["raw_pairs"]
 ORACLE["raw_top_pairs"] = (

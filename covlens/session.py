@@ -54,7 +54,8 @@ def checkpoint_root(spark: SparkSession) -> str:
             root = spark.sparkContext.getCheckpointDir()
         except Exception:  # noqa: BLE001 - no local context (Spark Connect)
             root = None
-    if not root and not spark.conf.get("spark.master", "").startswith("local"):
+    master = spark.conf.get("spark.master", "")
+    if not root and master != "local" and not master.startswith("local["):  # local-cluster[...] has other processes
         raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
     if not root:
         root = tempfile.mkdtemp(prefix="covlens-ckpt-")
@@ -96,3 +97,38 @@ def folder_names(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders right below ``path``; none if it does not exist."""
     fs, at = _file_system(spark, path)
     return [s.getPath().getName() for s in fs.listStatus(at) if s.isDirectory()] if fs.exists(at) else []
+
+
+def file_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files right below ``path``; none if it does not exist."""
+    fs, at = _file_system(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(at) if s.isFile()] if fs.exists(at) else []
+
+
+def create_text(spark: SparkSession, path: str, text: str) -> None:
+    """Writes a small new file; fails if it exists."""
+    fs, at = _file_system(spark, path)
+    out = fs.create(at, False)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file's text."""
+    fs, at = _file_system(spark, path)
+    stream = fs.open(at)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def rename_path(spark: SparkSession, old: str, new: str) -> None:
+    """Gives a file or folder that this library wrote another name."""
+    fs, at = _file_system(spark, old)
+    to = spark._jvm.org.apache.hadoop.fs.Path(new)
+    fs.mkdirs(to.getParent())
+    if not fs.rename(at, to):
+        raise OSError(f"{old} could not be renamed to {new}")

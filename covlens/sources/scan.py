@@ -5,6 +5,7 @@ columns before parsing, so FAILFAST only fails on the columns a query reads,
 and a required (non-nullable) field may still come back NULL. ``strict_scan``
 therefore parses the text itself: one expression per column, every column
 checked, and each bad record kept with its reasons instead of failing the job.
+``strict_scan_once`` gives rows and rejects from a single parse.
 """
 
 from __future__ import annotations
@@ -15,6 +16,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from covlens.session import shared_dir
+from covlens.sources.publish import is_published, read_published
+from covlens.sources.sinks import fan_out
+
 Paths = str | Sequence[str]
 
 # Accepted text forms per type. Whitespace, type suffixes
@@ -84,40 +89,46 @@ def _ident(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-#: Types whose text the CSV parser reads strictly; the others come as text and are guarded here.
-_CSV_STRICT = (T.LongType, T.IntegerType, T.ShortType, T.ByteType, T.StringType)
+def _checked(cell: str, data_type: T.DataType) -> tuple[str, str]:
+    """SQL of a cell's value, and of its text not being that value's (NULL for an empty cell).
+
+    A cast accepts more than a type's text forms. The value is the text's if it prints as
+    that text, which is cheap; only other texts (leading zeros, signs, exponents) are held against the pattern.
+    """
+    kind = data_type.simpleString()
+    value = f"try_cast({cell} AS {kind})"
+    match = f"{cell} RLIKE {_sql_str(_guard(data_type))}"
+    if isinstance(data_type, (T.LongType, T.IntegerType, T.ShortType, T.ByteType)):
+        return value, f"({value} IS NULL OR (CAST({value} AS STRING) <> {cell} AND NOT {match}))"
+    if isinstance(data_type, (T.DoubleType, T.FloatType)):
+        # beyond the type's range a cast gives an infinity; NaN is above every number
+        return value, f"({value} IS NULL OR abs({value}) >= double('Infinity') OR (CAST({value} AS STRING) <> {cell} AND NOT {match}))"
+    return value, f"(NOT {match} OR {value} IS NULL)"
 
 
 def parse_delimited(lines: DataFrame, schema: T.StructType, sep: str = "\t",
                     line_col: str = "_raw") -> DataFrame:
     """Typed columns and a plain boolean ``_ok`` for each text line.
 
-    An empty field is NULL; a non-empty field must have its type's text form;
-    a declared non-nullable field must be present; the line must have exactly
-    as many fields as the schema.
+    An empty field is NULL; a non-empty field must have its type's text form, so the
+    value kept is the value written; a declared non-nullable field must be present;
+    the line must have exactly as many fields as the schema and be valid UTF-8. There are no quotes,
+    escapes or comments: fields are what lies between separators, byte for byte.
 
-    Spark's CSV parser splits the line, converts integers and reports a wrong
-    number of fields. What it would accept too freely (``1d``, ``NaN``, padded
-    decimals) is read as text, checked by pattern and cast here. All of it is
-    unpacked by one generator, so a filter on ``_ok`` is not pushed below it and
-    no line is parsed twice. Reasons are made from the line itself, for rejected
-    rows alone (``violations``).
+    The typed fields and ``_ok`` come out of one generator, so a filter on ``_ok`` is
+    not pushed below it and no line is parsed twice. Reasons are made from the
+    line itself, for rejected rows alone (``violations``).
     """
-    for field in schema.fields:
-        _guard(field.dataType)
-    fields = [T.StructField(f"c{i}", f.dataType if isinstance(f.dataType, _CSV_STRICT) else T.StringType())
-              for i, f in enumerate(schema.fields)] + [T.StructField("bad", T.StringType())]
-    options = {"sep": sep, "quote": "", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "bad",
-               "maxColumns": str(max(20480, 2 * len(fields)))}
-    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in fields)
-    staged = lines.select("*", F.from_csv(F.col(line_col), ddl, options).alias("_p"))
     raw = _ident(line_col)
-    members, failed = [], [f"{raw} = ''", "_p IS NULL", "_p.bad IS NOT NULL"]
+    staged = lines.select("*", F.expr(f"split({raw}, {_sql_str(_split_pattern(sep))}, -1)").alias("_f"))
+    members, failed = [], [f"{raw} IS NULL", f"size(_f) <> {len(schema.fields)}", f"NOT is_valid_utf8({raw})"]
     for i, field in enumerate(schema.fields):
-        value = cell = f"_p.c{i}"
-        if not isinstance(field.dataType, _CSV_STRICT):
-            value = f"try_cast({cell} AS {field.dataType.simpleString()})"
-            failed.append(f"({cell} IS NOT NULL AND (NOT {cell} RLIKE {_sql_str(_guard(field.dataType))} OR {value} IS NULL))")
+        cell = f"nullif(get(_f, {i}), '')"
+        if isinstance(field.dataType, T.StringType):
+            value = cell
+        else:
+            value, wrong = _checked(cell, field.dataType)
+            failed.append(f"({cell} IS NOT NULL AND {wrong})")
         if not field.nullable:
             failed.append(f"{cell} IS NULL")
         members.append(f"{_sql_str(field.name)}, {value}")
@@ -129,16 +140,18 @@ def parse_delimited(lines: DataFrame, schema: T.StructType, sep: str = "\t",
 def violations(schema: T.StructType, sep: str = "\t", line_col: str = "_raw") -> Column:
     """``array<string>`` of reasons of a rejected line, from the line itself."""
     n = len(schema.fields)
-    reasons = [f"CASE WHEN size(f) <> {n} THEN concat('expected {n} fields, found ', CAST(size(f) AS STRING)) END"]
+    raw = _ident(line_col)
+    reasons = [f"CASE WHEN {raw} IS NULL THEN 'no line' END",
+               f"CASE WHEN NOT is_valid_utf8({raw}) THEN 'not valid UTF-8' END",
+               f"CASE WHEN size(f) <> {n} THEN concat('expected {n} fields, found ', CAST(size(f) AS STRING)) END"]
     for i, field in enumerate(schema.fields):
-        cell = f"nullif(try_element_at(f, {i + 1}), '')"
+        cell = f"nullif(get(f, {i}), '')"
         if not isinstance(field.dataType, T.StringType):
             msg = _sql_str(f"{field.name}: not a {field.dataType.simpleString()}")
-            bad = f"NOT {cell} RLIKE {_sql_str(_guard(field.dataType))} OR try_cast({cell} AS {field.dataType.simpleString()}) IS NULL"
-            reasons.append(f"CASE WHEN {cell} IS NOT NULL AND ({bad}) THEN {msg} END")
+            reasons.append(f"CASE WHEN {cell} IS NOT NULL AND {_checked(cell, field.dataType)[1]} THEN {msg} END")
         if not field.nullable:
             reasons.append(f"CASE WHEN {cell} IS NULL THEN {_sql_str(field.name + ': required')} END")
-    cells = f"array(split({_ident(line_col)}, {_sql_str(_split_pattern(sep))}, -1))"
+    cells = f"array(split({raw}, {_sql_str(_split_pattern(sep))}, -1))"
     return F.expr(f"element_at(transform({cells}, f -> array_compact(array({', '.join(reasons)}))), 1)")
 
 
@@ -160,17 +173,45 @@ def strict_scan(spark: SparkSession, paths: Paths, schema: T.StructType,
 
     ``rejects`` has ``file_name, _raw, violations``. ``keep_source=True`` also
     keeps ``file_name, file_path`` on valid rows (S10: the slice a row came
-    from). Both outputs are lazy views of one parse; writing both reads the
-    text twice.
+    from). Both outputs are lazy and read the text themselves; for both from one
+    parse see ``strict_scan_once``.
     """
     source = ["file_name", "file_path"] if keep_source else []
     parsed = parse_delimited(read_lines(spark, paths, source=keep_source), schema, sep)
-    valid = parsed.where("_ok").select(*[F.col(f"`{f.name}`") for f in schema.fields], *source)
+    valid = parsed.where("_ok").select(*[_column(f.name) for f in schema.fields], *source)
     rejects = (parse_delimited(read_lines(spark, paths), schema, sep).where(~F.col("_ok"))
                .select("file_name", "_raw", violations(schema, sep).alias("violations")))
     return valid, rejects
 
 
+def _column(name: str) -> Column:
+    return F.col(_ident(name))
+
+
+def valid_and_rejected(parsed: DataFrame, schema: T.StructType, stage: str, sep: str = "\t",
+                       columns: Sequence[Column] | None = None, keep: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """(valid rows, rejects) of ``parse_delimited``'s rows, by one pass that stages both in the folder ``stage``.
+
+    ``columns`` are the valid rows' columns (the schema's by default); ``keep`` may leave some of them out.
+    """
+    ok = F.col("_ok")
+    out = fan_out(parsed, stage, {
+        "valid": (ok if keep is None else ok & keep, columns or [_column(f.name) for f in schema.fields]),
+        "rejects": (~ok, [F.col("file_name"), F.col("_raw"), violations(schema, sep).alias("violations")])})
+    return out["valid"], out["rejects"]
+
+
+def strict_scan_once(spark: SparkSession, paths: Paths, schema: T.StructType, sep: str = "\t",
+                     stage: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """``strict_scan`` by a single parse: one job reads the text and stages both outputs.
+
+    The stage is a new folder below the shared checkpoint folder unless one is
+    given; the caller deletes it when both tables are no longer read.
+    """
+    parsed = parse_delimited(read_lines(spark, paths), schema, sep)
+    return valid_and_rejected(parsed, schema, stage or shared_dir(spark, "scan-stage"), sep)
+
+
 def line_row_check(spark: SparkSession, paths: Paths, schema: T.StructType,
                    sep: str = "\t") -> DataFrame:
     """One row: text lines vs valid and rejected records, in one pass (V1)."""
@@ -203,7 +244,10 @@ def dimension(spark: SparkSession, rows, schema: T.StructType | str | None = Non
 def read_events(spark: SparkSession, path: Paths, schema: T.StructType | None = None) -> DataFrame:
     """Parquet scan (S7, S8). Pass ``schema`` to keep partition-column types and
     positions: an inferred ``bigint`` partition column would come back as
-    ``int``, and a partition column is otherwise moved to the end."""
+    ``int``, and a partition column is otherwise moved to the end. A table of
+    published days is read in its newest state."""
+    if isinstance(path, str) and is_published(spark, path):
+        return read_published(spark, path, schema)
     if schema is None:
         return spark.read.parquet(*_paths(path))
     return (spark.read.schema(schema).parquet(*_paths(path))

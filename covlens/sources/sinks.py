@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -18,6 +18,8 @@ def write_partitioned(df: DataFrame, path: str, by: str | Sequence[str],
     large day spreads over several tasks and each task writes few folders.
     ``overwrite="dynamic"`` replaces only the partitions present in ``df``.
 
+    ``shuffle="rebalance"`` deals rows by ``by`` and leaves it to AQE to split large
+    keys and to put small ones together: unlike a range shuffle it computes ``df`` once.
     ``shuffle="none"`` writes map-side with no exchange: right only when each
     task's rows are of a few days already. Spark packs files into tasks by size,
     so time-ordered files alone don't make it so.
@@ -26,11 +28,13 @@ def write_partitioned(df: DataFrame, path: str, by: str | Sequence[str],
         raise ValueError("overwrite must be 'static' or 'dynamic'")
     by = [by] if isinstance(by, str) else list(by)
     keys = [*by, *sort]
-    if shuffle not in ("range", "none"):
-        raise ValueError("shuffle must be 'range' or 'none'")
+    if shuffle not in ("range", "rebalance", "none"):
+        raise ValueError("shuffle must be 'range', 'rebalance' or 'none'")
     if shuffle == "range":
         parts = [n_partitions] if n_partitions else []
         df = df.repartitionByRange(*parts, *keys)
+    elif shuffle == "rebalance":
+        df = df.hint("rebalance", *by)
     (df.sortWithinPartitions(*keys)
      .write.mode("overwrite").option("partitionOverwriteMode", overwrite)
      .partitionBy(*by).parquet(path))
@@ -41,6 +45,26 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).parquet(path)
 
 
+def fan_out(df: DataFrame, path: str, outputs: Mapping[str, tuple[Column, Sequence[Column]]]) -> dict[str, DataFrame]:
+    """Several tables from one pass over ``df``, staged in ``path``.
+
+    ``outputs`` maps a name to the condition of its rows and to its columns; a row goes to
+    the first output whose condition holds, or to none. One job writes them all, so ``df``
+    is computed once whatever is read later; each returned table reads its own folder and columns.
+    Names are used as folder names.
+    """
+    names = list(outputs)
+    kind = F.when(outputs[names[0]][0], names[0])
+    for name in names[1:]:
+        kind = kind.when(outputs[name][0], name)
+    rows = [F.when(kind == name, F.struct(*cols)).alias(f"o{i}") for i, (name, (_, cols)) in enumerate(outputs.items())]
+    staged = df.select(*rows, kind.alias("output")).where("output is not null")
+    schema = staged.schema
+    staged.write.partitionBy("output").parquet(path)
+    written = df.sparkSession.read.schema(schema).parquet(path)
+    return {name: written.where(F.col("output") == name).select(f"o{i}.*") for i, name in enumerate(names)}
+
+
 def roundtrip_check(df: DataFrame, path: str) -> DataFrame:
     """Write, read back, compare row counts (K4). Returns one row; ``df`` is computed once."""
     seen = Observation("roundtrip")
@@ -58,10 +82,16 @@ def to_delimited_line(df: DataFrame, sep: str = "\t", exclude: Sequence[str] = (
 
 
 def write_delimited(df: DataFrame, path: str, sep: str = "\t",
-                    partition_by: Sequence[str] = (), mode: str = "overwrite") -> None:
-    """Write rows as unquoted delimited text, optionally one folder per key."""
+                    partition_by: Sequence[str] = (), mode: str = "overwrite",
+                    one_file: bool = False) -> None:
+    """Write rows as unquoted delimited text, optionally one folder per key.
+
+    ``one_file`` gives each key exactly one file, written by one task: for slices that are files by definition.
+    """
     line = to_delimited_line(df, sep, exclude=partition_by)
     out = df.select(line.alias("value"), *partition_by)
+    if one_file:
+        out = out.repartition(*partition_by)
     writer = out.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)

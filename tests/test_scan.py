@@ -100,3 +100,61 @@ def test_literal_path_reads_a_file_with_glob_characters(spark, tmp_path):
     write_lines(tmp_path / "slice1a.tsv", ["2\tB\t2.0\tw"])
     valid, _ = strict_scan(spark, literal_path("file:" + odd), SCHEMA)
     assert [r.id for r in valid.collect()] == [1]
+
+
+def test_values_are_the_text_or_the_line_is_rejected(spark, tmp_path):
+    p = tmp_path / "odd.tsv"
+    p.write_bytes("\n".join([
+        "1\t\x00q\t1.5\t\x00", "2\t\"a\t1\tb\"", "3\t#c\t-0\t\\t", "+4\ta\t.5\tx", "007\ta\t1.\tx", "-8\ta\t1E5\tx", "9\ta b \t12345678.125\t é",
+        "٣\ta\t1\tx", "10\ta\t1e400\tx", "11\ta\t-1e400\tx", "12\ta\tInfinity\tx", "13\ta\tNaN\tx", "9223372036854775808\ta\t1\tx", "14\ta\t1 \tx",
+        "1.0\ta\t1\tx", "0x1\ta\t1\tx", "15\ta\t1f\tx", "16\ta\t٣\tx", "\x0017\ta\t1\tx", "- 1\ta\t1\tx", "", "\t\t\t"]).encode() + b"\n18\t\xff\t1\tx\n")
+    valid, rejects = strict_scan(spark, str(p), SCHEMA)
+    got = {r.id: (r.code, r.tone, r.value) for r in valid.collect()}
+    assert got == {1: ("\x00q", 1.5, "\x00"), 2: ('"a', 1.0, 'b"'), 3: ("#c", 0.0, "\\t"), 4: ("a", 0.5, "x"), 7: ("a", 1.0, "x"), -8: ("a", 1e5, "x"),
+                   9: ("a b ", 12345678.125, " é")}
+    reasons = {r._raw: r.violations for r in rejects.collect()}
+    assert len(reasons) == 16 and reasons["10\ta\t1e400\tx"] == ["tone: not a double"] and reasons["٣\ta\t1\tx"] == ["id: not a bigint"]
+    assert reasons["\t\t\t"] == ["id: required"] and ["not valid UTF-8"] in reasons.values()
+    assert line_row_check(spark, str(p), SCHEMA).first()[:3] == (23, 7, 16)
+
+
+def test_every_typed_text_comes_back(spark):
+    """A value that is kept prints as its text, or has a text form of its type."""
+    import random
+    import re
+
+    from covlens.sources.scan import DECIMAL_PATTERN, INTEGER_PATTERN, parse_delimited, violations
+
+    r = random.Random(1)
+    alphabet = "0123456789+-.eEdfL \t٣NaInfiy\x00"
+    texts = ["".join(r.choice(alphabet.replace("\t", "")) for _ in range(r.randrange(1, 8))) for _ in range(3000)]
+    texts += [repr(r.uniform(-1e6, 1e6)) for _ in range(300)] + [str(r.randrange(-(2**63), 2**63)) for _ in range(300)]
+    schema = T.StructType([T.StructField("i", T.LongType()), T.StructField("d", T.DoubleType()), T.StructField("s", T.StringType())])
+    lines = spark.createDataFrame([(f"{t}\t\t{t}",) for t in texts] + [(f"\t{t}\t{t}",) for t in texts], "_raw string")
+    rows = parse_delimited(lines, schema).withColumn("why", violations(schema)).collect()
+    for row in rows:
+        whole, text = row._raw.startswith("\t") is False, row._raw.split("\t")[2]
+        fits = re.fullmatch(INTEGER_PATTERN if whole else DECIMAL_PATTERN, text) is not None
+        value = float(text) if fits else None
+        fits = fits and (-(2**63) <= int(text) < 2**63 if whole else abs(value) != float("inf"))
+        assert row._ok == fits == (row.why == []) and row.s == text
+        if fits:
+            assert (row.i if whole else row.d) == (int(text) if whole else value)
+
+
+def test_rows_and_rejects_from_one_parse(spark, tmp_path):
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
+
+    from covlens.sources.scan import parse_delimited, read_lines, strict_scan_once, valid_and_rejected
+
+    p = write_lines(tmp_path / "s.tsv", ["1\tA\t1.0\tv", "xx\tB\t2.0\tw", "2\t\t\t", "3\tC"])
+    valid, rejects = strict_scan_once(spark, p, SCHEMA, stage=str(tmp_path / "stage"))
+    a, b = strict_scan(spark, p, SCHEMA)
+    assert valid.columns == a.columns and sorted(valid.collect()) == sorted(a.collect())
+    assert rejects.columns == b.columns and sorted(rejects.collect()) == sorted(b.collect())
+    seen = Observation()  # lines that the parse reads, for both outputs
+    lines = read_lines(spark, p).observe(seen, F.count(F.lit(1)).alias("n"))
+    valid, rejects = valid_and_rejected(parse_delimited(lines, SCHEMA), SCHEMA, str(tmp_path / "stage2"))
+    assert (valid.count(), rejects.count(), seen.get["n"]) == (2, 2, 4)
+    assert not any("FileScan text" in df._jdf.queryExecution().executedPlan().toString() for df in (valid, rejects))
