@@ -121,7 +121,8 @@ def _join_hot(fact: DataFrame, dim: DataFrame, on: str, how: str, strategy: str)
     tasks = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     hot = F.broadcast(hot_keys(fact, on, tasks))
     salts = F.coalesce(F.col("_salts"), F.lit(1))
-    salted_fact = fact.join(hot, on, "left").withColumn("_salt", F.pmod(F.monotonically_increasing_id(), salts).cast("int"))
+    # hashed, since a key may come in every so many rows
+    salted_fact = fact.join(hot, on, "left").withColumn("_salt", F.pmod(F.xxhash64(F.monotonically_increasing_id()), salts).cast("int"))
     salted_dim = dim.join(hot, on, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1)))
     salted_dim = salted_dim.drop("_salts")
     if strategy in ("merge", "shuffle_hash"):

@@ -199,10 +199,10 @@ def prefix_scan(rows: DataFrame, listing: DataFrame, fraction: float, path_col:
     """
     from covlens.operators.prepare import prefix_cutoff
 
-    names = listing.select(F.regexp_extract(path_col, "([^/]*)$", 1).alias("name"))
-    # names in a listing are escaped as in a URI; scans have them as they are
-    top = prefix_cutoff(names.select(F.url_decode(F.replace("name", F.lit("+"), F.lit("%2B"))).alias("name")), "name", fraction)
-    return rows.where(F.lit(False)) if top is None else rows.where(F.col("_metadata.file_name") <= F.lit(top))
+    top = prefix_cutoff(listing.select(F.regexp_extract(path_col, "([^/]*)$", 1).alias("name")), "name", fraction)
+    # a scan has names escaped as in a URI, a listing as they are
+    name = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+    return rows.where(F.lit(False)) if top is None else rows.where(name <= F.lit(top))
 
 
 def listed_slices(listing: DataFrame, out: str = "slot",

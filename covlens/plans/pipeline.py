@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -62,9 +63,9 @@ def clean(spark: SparkSession, raw_paths: str | Sequence[str], out_path: str, st
     ok = F.col("_ok")
     inside_window = ok & F.col(day_col).between(F.lit(start), F.lit(end))
     obs = Observation("clean")
-    observed = parsed.observe(obs, F.count(F.lit(1)).alias("n_lines"), F.count_if(ok).alias("n_valid"),
-                              F.count_if(inside_window).alias("n_kept"),
-                              F.collect_set(F.when(inside_window, F.col(day_col))).alias("days"))  # days of one window
+    counts = [F.count(F.lit(1)).alias("n_lines"), F.count_if(ok).alias("n_valid"), F.count_if(inside_window).alias("n_kept"),
+              F.collect_set(F.when(inside_window, F.col(day_col))).alias("days")]  # days of one window
+    observed = parsed.observe(obs, *counts)
     columns = [F.col(f"`{c}`") for c in kept]
     reject = [F.col("_file").alias("file_name"), F.col("_raw"), violations(schema, sep).alias("violations")] if rejects_path else []
     sort = [c for c in kept if c != day_col][:1]
@@ -80,7 +81,10 @@ def clean(spark: SparkSession, raw_paths: str | Sequence[str], out_path: str, st
     else:
         write_partitioned(observed.where(inside_window).select(*columns), out_path, day_col, sort=sort,
                           overwrite=overwrite, shuffle="rebalance")
-    m = obs.get
+    try:
+        m = obs.get
+    except Py4JJavaError:  # where nothing was to be written, AQE has left the observed part out
+        m = parsed.agg(*counts).first().asDict()
     if overwrite == "dynamic":
         drop_days(spark, out_path, day_col, day_type, start, end, keep=list(m["days"]))
     n_lines, n_valid, n_kept = int(m["n_lines"]), int(m["n_valid"]), int(m["n_kept"])

@@ -89,50 +89,63 @@ def _ident(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def _checked(cell: str, data_type: T.DataType) -> tuple[str, str]:
-    """SQL of a cell's value, and of its text not being that value's (NULL for an empty cell).
+_INTEGERS = (T.LongType, T.IntegerType, T.ShortType, T.ByteType)
 
-    A cast accepts more than a type's text forms. The value is the text's if it prints as
-    that text, which is cheap; only other texts (leading zeros, signs, exponents) are held against the pattern.
-    """
-    kind = data_type.simpleString()
-    value = f"try_cast({cell} AS {kind})"
-    match = f"{cell} RLIKE {_sql_str(_guard(data_type))}"
-    if isinstance(data_type, (T.LongType, T.IntegerType, T.ShortType, T.ByteType)):
-        return value, f"({value} IS NULL OR (CAST({value} AS STRING) <> {cell} AND NOT {match}))"
+#: The CSV parser's quote and comment sign: a character that no line holds, so there are none.
+_NO_LINE_HOLDS = "\r"
+_LINE_ENDS = r"(instr({0}, '\r') > 0 OR instr({0}, '\n') > 0)"
+
+
+def _wrong(cell: str, value: str, data_type: T.DataType) -> str:
+    """SQL: the text ``cell``, not NULL, has not the form of its type, or no ``value`` in it."""
+    wrong = f"NOT {cell} RLIKE {_sql_str(_guard(data_type))} OR {value} IS NULL"
     if isinstance(data_type, (T.DoubleType, T.FloatType)):
-        # beyond the type's range a cast gives an infinity; NaN is above every number
-        return value, f"({value} IS NULL OR abs({value}) >= double('Infinity') OR (CAST({value} AS STRING) <> {cell} AND NOT {match}))"
-    return value, f"(NOT {match} OR {value} IS NULL)"
+        wrong += f" OR abs({value}) >= double('Infinity')"  # beyond the type's range a cast gives an infinity
+    return f"({wrong})"
 
 
 def parse_delimited(lines: DataFrame, schema: T.StructType, sep: str = "\t",
                     line_col: str = "_raw") -> DataFrame:
     """Typed columns and a plain boolean ``_ok`` for each text line.
 
-    An empty field is NULL; a non-empty field must have its type's text form, so the
-    value kept is the value written; a declared non-nullable field must be present;
-    the line must have exactly as many fields as the schema and be valid UTF-8. There are no quotes,
-    escapes or comments: fields are what lies between separators, byte for byte.
-
-    The typed fields and ``_ok`` come out of one generator, so a filter on ``_ok`` is
-    not pushed below it and no line is parsed twice. Reasons are made from the
-    line itself, for rejected rows alone (``violations``).
+    An empty field is NULL; a non-empty field must have its type's text form; a declared
+    non-nullable field must be present; the line must have exactly as many fields as the schema,
+    be valid UTF-8 and hold no line end. There are no quotes, escapes or
+    comments: fields are what lies between separators, byte for byte.
+
+    Spark's CSV parser splits the line, converts integers and reports a wrong
+    number of fields; its quote and comment sign are set to a character that no accepted line holds.
+    It takes decimal digits of any script, which a line of ASCII alone cannot
+    have, so only the integers of other lines are looked at again. What it would accept too
+    freely otherwise (``1d``, ``NaN``, ``1e400``, padded decimals) is read as text, checked by pattern
+    and cast here. All of it is unpacked by one generator, so a filter on ``_ok`` is not pushed
+    below it and no line is parsed twice. Reasons are made from the line itself, for rejected
+    rows alone (``violations``).
     """
+    for field in schema.fields:
+        _guard(field.dataType)
+    by_parser = (*_INTEGERS, T.StringType)
+    fields = [T.StructField(f"c{i}", f.dataType if isinstance(f.dataType, by_parser) else T.StringType())
+              for i, f in enumerate(schema.fields)] + [T.StructField("bad", T.StringType())]
+    options = {"sep": sep, "quote": _NO_LINE_HOLDS, "comment": _NO_LINE_HOLDS, "mode": "PERMISSIVE",
+               "columnNameOfCorruptRecord": "bad", "maxColumns": str(max(20480, 2 * len(fields)))}
+    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in fields)
+    staged = lines.select("*", F.from_csv(F.col(line_col), ddl, options).alias("_p"))
     raw = _ident(line_col)
-    staged = lines.select("*", F.expr(f"split({raw}, {_sql_str(_split_pattern(sep))}, -1)").alias("_f"))
-    members, failed = [], [f"{raw} IS NULL", f"size(_f) <> {len(schema.fields)}", f"NOT is_valid_utf8({raw})"]
+    members, failed = [], ["_p IS NULL", f"{raw} = ''", "_p.bad IS NOT NULL", f"NOT is_valid_utf8({raw})", _LINE_ENDS.format(raw)]
     for i, field in enumerate(schema.fields):
-        cell = f"nullif(get(_f, {i}), '')"
-        if isinstance(field.dataType, T.StringType):
-            value = cell
-        else:
-            value, wrong = _checked(cell, field.dataType)
-            failed.append(f"({cell} IS NOT NULL AND {wrong})")
+        value = cell = f"_p.c{i}"
+        if not isinstance(field.dataType, by_parser):
+            value = f"try_cast({cell} AS {field.dataType.simpleString()})"
+            failed.append(f"({cell} IS NOT NULL AND {_wrong(cell, value, field.dataType)})")
         if not field.nullable:
             failed.append(f"{cell} IS NULL")
         members.append(f"{_sql_str(field.name)}, {value}")
-    members.append(f"'_ok', NOT ({' OR '.join(failed)})")
+    other_digits = " OR ".join(f"get(f, {i}) RLIKE '[^0-9+-]'" for i, f in enumerate(schema.fields) if isinstance(f.dataType, _INTEGERS))
+    if other_digits:
+        cells = f"array(split({raw}, {_sql_str(_split_pattern(sep))}, -1))"
+        failed.append(f"CASE WHEN octet_length({raw}) > length({raw}) THEN exists({cells}, f -> {other_digits}) ELSE false END")
+    members.append(f"'_ok', NOT coalesce({' OR '.join(failed)}, true)")
     keep = [_ident(c) for c in lines.columns]
     return staged.selectExpr(*keep, f"inline(array(named_struct({', '.join(members)})))")
 
@@ -143,12 +156,14 @@ def violations(schema: T.StructType, sep: str = "\t", line_col: str = "_raw") ->
     raw = _ident(line_col)
     reasons = [f"CASE WHEN {raw} IS NULL THEN 'no line' END",
                f"CASE WHEN NOT is_valid_utf8({raw}) THEN 'not valid UTF-8' END",
+               f"CASE WHEN {_LINE_ENDS.format(raw)} THEN 'holds a line end' END",
                f"CASE WHEN size(f) <> {n} THEN concat('expected {n} fields, found ', CAST(size(f) AS STRING)) END"]
     for i, field in enumerate(schema.fields):
         cell = f"nullif(get(f, {i}), '')"
         if not isinstance(field.dataType, T.StringType):
-            msg = _sql_str(f"{field.name}: not a {field.dataType.simpleString()}")
-            reasons.append(f"CASE WHEN {cell} IS NOT NULL AND {_checked(cell, field.dataType)[1]} THEN {msg} END")
+            kind = field.dataType.simpleString()
+            wrong = _wrong(cell, f"try_cast({cell} AS {kind})", field.dataType)
+            reasons.append(f"CASE WHEN {cell} IS NOT NULL AND {wrong} THEN {_sql_str(f'{field.name}: not a {kind}')} END")
         if not field.nullable:
             reasons.append(f"CASE WHEN {cell} IS NULL THEN {_sql_str(field.name + ': required')} END")
     cells = f"array(split({raw}, {_sql_str(_split_pattern(sep))}, -1))"

@@ -26,6 +26,7 @@ from covlens.operators.quality import (
 from covlens.session import shared_dir
 from covlens.sources.scan import read_events
 from covlens.sources.sinks import write_partitioned
+from tests.conftest import write_lines
 
 GEO = [("US", "United States"), ("RI", "Serbia"), ("FR", "France")]
 TYPES = [("USA", "country"), ("FRA", "country"), ("EUR", "region"), ("PRI", "territory")]
@@ -518,3 +519,80 @@ def test_prefix_files_picks_first_files_by_name(spark, tmp_path):
     assert picked == stamps[:2]                      # round(2.5) = 2, half to even
     assert len(prefix_files(listing, 0.01)) == 1     # at least one file
     assert len(prefix_files(listing, 1.0)) == 5
+
+
+def test_hot_keys_are_salted_alone(spark, geo):
+    """A key with a third of the rows is spread over the tasks; the dimension's other rows stay single."""
+    from covlens.operators.joins import hot_keys
+
+    codes = [r.code for r in geo.collect()]
+    fact = spark.range(9000).select("id", F.when(F.col("id") % 3 == 0, F.lit(codes[0])).when(F.col("id") % 97 == 0, F.lit(None).cast("string"))
+                                    .otherwise(F.concat(F.lit("c"), F.col("id") % 500)).alias("code"))
+    dim = geo.unionByName(spark.range(500).select(F.concat(F.lit("c"), F.col("id")).alias("code"), *[F.lit("x").alias(c) for c in geo.columns if c != "code"]))
+    assert [(r.code, r._salts) for r in hot_keys(fact, "code", 8).collect()] == [(codes[0], 3)]
+    hot = join_dimension(fact, dim, "code", strategy="merge", salt_buckets="hot")
+    plain = join_dimension(fact, dim, "code", strategy="merge")
+    assert hot.columns == plain.columns and sorted(hot.collect()) == sorted(plain.collect())
+    left = join_dimension(fact, dim, "code", how="left", strategy="merge", salt_buckets="hot")
+    assert left.count() == 9000 + plain.count() - fact.join(dim, "code", "left_semi").count()
+    text = plan_text(hot)
+    assert "_salt" in text and "SortMergeJoin" in text
+    spread = fact.join(F.broadcast(hot_keys(fact, "code", 8)), "code", "left").withColumn("s", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.coalesce("_salts", F.lit(1))))
+    most = spread.groupBy("code", "s").count().agg(F.max("count")).first()[0]
+    assert most <= 1.2 * 9000 / 8
+
+
+def test_no_key_is_hot_among_equals(spark):
+    from covlens.operators.joins import hot_keys
+
+    assert hot_keys(spark.range(1000).select((F.col("id") % 50).alias("k")), "k", 8).count() == 0
+    assert hot_keys(spark.range(0).select(F.col("id").alias("k")), "k", 8).count() == 0
+
+
+def test_names_with_dots(spark):
+    from covlens.operators.joins import unique_by
+
+    dim = spark.createDataFrame([("a", 1), ("b", 2)], "`co.de` string, `lab.el` int")
+    assert sorted(map(tuple, unique_by(dim, "co.de").collect())) == [("a", 1), ("b", 2)]
+    assert unique_by(dim, "lab.el").columns == ["co.de", "lab.el"]
+
+
+def gaps(spark, stamps, start, end, minutes):
+    from covlens.operators.quality import gap_runs
+
+    df = spark.createDataFrame([(s,) for s in stamps], "ts string").select(F.to_timestamp_ntz("ts").alias("ts"))
+    return sorted((str(r.first_missing), str(r.last_missing), r.n_missing) for r in gap_runs(df, "ts", start, end, minutes).collect())
+
+
+def test_gap_runs(spark, monkeypatch):
+    from covlens.operators import quality
+
+    day = "2024-01-01 "
+    assert gaps(spark, [], day + "00:00:00", day + "01:00:00", 15) == [(day + "00:00:00", day + "01:00:00", 5)]
+    stamps = [day + "00:15:00", day + "00:20:00", day + "01:00:00", "2023-12-31 00:00:00", "2024-02-01 00:00:00"]
+    want = [(day + "00:00:00", day + "00:00:00", 1), (day + "00:30:00", day + "00:45:00", 2), (day + "01:15:00", day + "01:30:00", 2)]
+    for block in (4096, 2, 1):
+        monkeypatch.setattr(quality, "GAP_BLOCK", block)
+        assert gaps(spark, stamps, day + "00:00:00", day + "01:30:00", 15) == want
+    assert gaps(spark, [day + "00:00:00"], day + "00:00:00", day + "00:44:00", 45) == []
+
+
+def test_prefix_scan_reads_the_first_files_only(spark, tmp_path):
+    from covlens.operators.quality import file_listing, prefix_scan
+
+    for i in range(10):
+        write_lines(tmp_path / "f" / f"2024010{i}000000 a+b%41.CSV", [f"{i}"])
+    path = str(tmp_path / "f")
+    df = prefix_scan(spark.read.text(path), file_listing(spark, path), 0.3)
+    assert sorted(r.value for r in df.collect()) == ["0", "1", "2"]
+    assert df._jdf.queryExecution().executedPlan().collectLeaves().head().selectedPartitions().totalNumberOfFiles() == 3
+    assert prefix_scan(spark.read.text(path), file_listing(spark, path, glob="*.none"), 0.3).count() == 0
+
+
+def test_a_pipeline_scan_reads_only_kept_columns(spark, tmp_path):
+    """Reports read their columns off the consolidated table, not the kept twelve."""
+    from covlens.plans.catalog import QUERIES
+
+    df = QUERIES["raw_match_rate"](spark, "/root/testdata/sf0.001")
+    scans = [line for line in plan_text(df).splitlines() if "ReadSchema" in line and "ActionGeo" in line]
+    assert scans and all("SOURCEURL" not in s and "Actor1" not in s for s in scans)

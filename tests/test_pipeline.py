@@ -132,3 +132,13 @@ def test_files_of_a_day_are_few(spark, tmp_path):
         write_lines(raw / f"{i:02}.CSV", [raw_line(i * 100 + k, 20240101 + k % 10, "US", "USA", "FRA", 1, 1.0) for k in range(30)])
     clean(spark, str(raw), out, 20240101, 20240131)
     assert len(glob.glob(f"{out}/*/*.parquet")) <= 20
+
+
+def test_a_window_without_rows(spark, tmp_path):
+    raw, out = tmp_path / "raw", str(tmp_path / "out")
+    write_lines(raw / "a.CSV", [raw_line(1, 20240105, "US", "", "", 1, 0.0), "broken"])
+    clean(spark, str(raw), out, 20240101, 20240131)
+    for mode in ("dynamic", "publish"):
+        report = clean(spark, str(raw), out if mode == "dynamic" else out + "2", 20240201, 20240229, overwrite=mode).first()
+        assert (report.n_lines, report.n_valid, report.n_rejected, report.n_kept, report.n_removed) == (2, 1, 1, 0, 1)
+    assert spark.read.parquet(out).count() == 1

@@ -118,6 +118,15 @@ def test_values_are_the_text_or_the_line_is_rejected(spark, tmp_path):
     assert line_row_check(spark, str(p), SCHEMA).first()[:3] == (23, 7, 16)
 
 
+def test_a_line_with_a_line_end_inside_is_no_line(spark):
+    from covlens.sources.scan import parse_delimited, violations
+
+    lines = spark.createDataFrame([("1\ta\rb\t1\tx",), ("2\ta\t1\tx\n3\tb\t1\ty",), (None,), ("4\té\t1\tx",), ("\r",)], "_raw string")
+    rows = parse_delimited(lines, SCHEMA).withColumn("why", violations(SCHEMA)).collect()
+    assert [r._ok for r in rows] == [False, False, False, True, False]
+    assert rows[0].why == ["holds a line end"] and "holds a line end" in rows[1].why and rows[2].why[0] == "no line" and rows[3].why == []
+
+
 def test_every_typed_text_comes_back(spark):
     """A value that is kept prints as its text, or has a text form of its type."""
     import random
