@@ -8,14 +8,18 @@ a node's children are drawn from a hash of its path, and a class follows a child
 it has that token there. Then, level by level:
 
 * a node of at most ``SMALL`` classes is compared exhaustively by tokens;
-* in a larger node everyone is compared with PIVOTS pivots, at the roots, and the links
-  found there make its components. A node of one component is finished; one where at most
+* in a larger root everyone outside its largest component is compared with PIVOTS pivots of that
+  component (any rows as long as there is none), and the links found there make its
+  components. The first tree's roots come first, so the other trees meet a group of copies as one
+  component. A node of one component is finished; one where at most
   ``FEW`` members lie outside the largest component is finished by comparing those
   with everyone; any other node branches into ``BRANCH`` children;
-* after ``LEVELS`` levels the nodes that are still large are compared in blocks.
+* after ``LEVELS`` levels the nodes that are still large are compared in blocks, where each
+  member is given its likeliest partners of other components first, then more of them,
+  and at last all that agree, as far as they still join two components.
 
 Candidates agree in at least ``AGREE`` of the positions (five standard deviations
-below the threshold) and are confirmed on full sets, after the roots and at the end: first
+below the threshold) and are confirmed on full sets, after each of these steps: first
 the likeliest partner of each, then whatever still joins two components. So a group of
 copies costs a number of comparisons in proportion to its size. Two classes at a threshold of 0.8 meet in a tree
 with probability 0.8 if its root nodes are small, and with 0.753 if their nodes stay large through all ``LEVELS``.
@@ -33,6 +37,7 @@ of the graph. Other columns of the input are not read.
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections.abc import Iterator
 from functools import reduce
 
@@ -48,6 +53,8 @@ POSITIONS, TREES, BRANCH, LEVELS = 64, 8, 2, 3
 #: Pivots of a large node at the roots.
 PIVOTS = 4
 SMALL, FEW = 10, 32
+#: Partners that a row of a node still large is given in turn; after them all that agree.
+FIRST = (1, 16)
 AGREE = 36
 BLOCK = 256
 #: Most ids (of 8 bytes) that are broadcast to find their texts.
@@ -129,11 +136,12 @@ def agreeing(sketch: pd.Series, ids: pd.Series, sketches: pd.Series) -> pd.Serie
     return pd.Series(out)
 
 
-def within_groups(rows: DataFrame, keys: list[str], across: str | None = None) -> DataFrame:
+def within_groups(rows: DataFrame, keys: list[str], across: str | None = None, best: int | None = None) -> DataFrame:
     """Agreeing pairs (a < b) of rows with equal ``keys``; groups are bounded by the caller.
 
-    With ``across``, only pairs that differ in that column. Rows are dealt by key and
-    sorted, and a worker compares each row with those up to one group's size behind it.
+    With ``across``, only pairs that differ in that column. With ``best``, only each row's ``best``
+    likeliest partners, and ``more`` tells of pairs of which a row has further ones. Rows are dealt by
+    key and sorted, and a worker holds the groups of a batch, each a bounded number of rows.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -154,6 +162,10 @@ def within_groups(rows: DataFrame, keys: list[str], across: str | None = None) -
     def pairs(b: pd.DataFrame) -> Iterator[pd.DataFrame]:
         key, ids, sketch = b["key"].to_numpy(), b["id"].to_numpy(), _matrix(b["sketch"])
         part = b["part"].to_numpy()
+        if best is not None:
+            for i, j in itertools.pairwise([0, *(np.flatnonzero(key[1:] != key[:-1]) + 1), len(key)]):
+                yield from likeliest(ids[i:j], sketch[i:j], part[i:j])
+            return
         for d in range(1, len(key)):
             i = np.flatnonzero(key[:-d] == key[d:])
             if not len(i):
@@ -164,12 +176,26 @@ def within_groups(rows: DataFrame, keys: list[str], across: str | None = None) -
                 agree = (sketch[at] == sketch[at + d]).sum(axis=1)
                 at, agree = at[agree >= AGREE], agree[agree >= AGREE]
                 if len(at):
-                    yield pd.DataFrame({"a": np.minimum(ids[at], ids[at + d]), "b": np.maximum(ids[at], ids[at + d]), "agree": agree.astype("int32")})
+                    yield out(ids[at], ids[at + d], agree, np.zeros(len(at), bool))
+
+    def likeliest(ids: np.ndarray, sketch: np.ndarray, part: np.ndarray) -> Iterator[pd.DataFrame]:
+        for i in range(0, len(ids), 64):
+            agree = (sketch[i : i + 64, None, :] == sketch[None, :, :]).sum(axis=2)
+            agree[(ids[i : i + 64, None] == ids[None, :]) | ((part[i : i + 64, None] == part[None, :]) if across else False)] = 0
+            order = np.argsort(-agree, axis=1, kind="stable")[:, : best + 1]
+            top = np.take_along_axis(agree, order, 1)
+            at, k = np.nonzero(top[:, :best] >= AGREE)
+            if len(at):
+                more = (top[:, best] >= AGREE) if top.shape[1] > best else np.zeros(len(top), bool)
+                yield out(ids[i + at], ids[order[at, k]], top[at, k], more[at])
+
+    def out(a, b, agree, more) -> pd.DataFrame:
+        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b), "agree": agree.astype("int32"), "more": more})
 
     key = F.xxhash64(*keys)
     part = F.col(across) if across else F.lit(0).cast("long")
     dealt = rows.select(key.alias("key"), "id", "sketch", part.alias("part")).repartition("key").sortWithinPartitions("key")
-    return dealt.mapInPandas(run, "a long, b long, agree int")
+    return dealt.mapInPandas(run, "a long, b long, agree int, more boolean")
 
 
 def children(rows: DataFrame, branch: int) -> DataFrame:
@@ -271,9 +297,11 @@ def across(candidates: DataFrame, components: Components) -> DataFrame:
 def near_duplicates(docs: DataFrame, words: int = 5, similarity: int = 80, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row of ``docs``: id, n_shingles, component_id (smallest id reachable), kept (id = component_id).
 
-    ``similarity`` is the least Jaccard similarity of linked texts in hundredths, 80 or more.
+    ``similarity`` is the least Jaccard similarity of linked texts in hundredths, 80 or more (``AGREE`` is made for that).
     Ids are cast to long. A row without an id has no component and is kept.
     """
+    if not 80 <= similarity <= 100:
+        raise ValueError("similarity must be 80 to 100")
     scratch = Scratch(docs.sparkSession)
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text"))
     rows = scratch.cut(fingerprints(docs, words))
@@ -286,42 +314,59 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: int = 80, id_co
     if not same_id.isEmpty():
         components.add(same_id)
 
-    roots = F.array(*[F.xxhash64(F.lit(t), token(F.lit(t * (POSITIONS // TREES)))) for t in range(TREES)])
-    nodes = classes.select(F.explode(roots).alias("path"), F.col("rep").alias("id"))
     tokens, sketches = (classes.select(F.col("rep").alias("id"), c) for c in ("tokens", "sketch"))
+    kept = [rows, classes]
+
+    def tidy(*more: DataFrame) -> None:
+        scratch.clear(*kept, *more, *([components.labels] if components.labels is not None else []))
+
+    # the first tree's roots join the groups of copies, so that the others meet each group as one component
+    for trees in (range(1), range(TREES)):
+        first = len(trees) == 1
+        nodes = components.of(classes.select(F.posexplode(roots(trees)).alias("tree", "path"), F.col("rep").alias("id")), "id", "c")
+        shared = scratch.cut(with_sizes(nodes, scratch).join(sketches, "id"))
+        seen = F.lit(False) if first else F.col("tree") == 0
+        small = shared.where((F.col("n") <= SMALL) & ~seen)
+        large = shared.where(F.col("n") > SMALL)
+        found = scratch.cut(within_groups(small, ["path"], across="c").drop("more").unionByName(stars(large, scratch)))
+        link(docs, found, components, words, similarity, scratch)
+        if first:
+            tidy()
+
     later: list[DataFrame] = []
     for level in range(LEVELS + 1):
-        # below the roots only nodes of several components are of interest
-        sizes = nodes.groupBy("path").agg(F.count("*").alias("n"), (F.count("*") if level == 0 else F.min("c") != F.max("c")).alias("open"))
-        sizes = sizes.where("n > 1 and open" if level else "n > 1").select("path", "n")
-        shared = scratch.cut(nodes.join(sizes, "path").join(sketches, "id"))
-        large = shared.where(F.col("n") > SMALL)
-        found = within_groups(shared.where(F.col("n") <= SMALL), ["path"], across="c" if level else None)
-        if level == 0:
-            pivot = large.groupBy("path", F.pmod(F.xxhash64("id", "path"), F.lit(PIVOTS)).alias("turn")).agg(F.min(F.struct(F.xxhash64("path", "id").alias("h"), F.col("id").alias("pivot"), F.col("sketch").alias("other"))).alias("p"))
-            stars = large.join(pivot.select("path", "p.pivot", "p.other"), "path").where("id != pivot").withColumn("agree", agreement("sketch", "other"))
-            stars = stars.where(F.col("agree") >= AGREE).select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b"), "agree")
-            link(docs, found.unionByName(stars), components, words, similarity, scratch)
-            large = components.of(large, "id", "c")
-        else:
-            later.append(found)
+        if level:
+            shared = scratch.cut(with_sizes(nodes, scratch).join(sketches, "id"))
+            later.append(scratch.cut(within_groups(shared.where(F.col("n") <= SMALL), ["path"], across="c").drop("more")))
+            large = shared.where(F.col("n") > SMALL)
         if large.isEmpty():
             break
+        large = scratch.cut(with_main(components.of(large.select("path", "id", "sketch"), "id", "c"), scratch))
         if level == LEVELS:
-            later.append(blocked(large))
             break
-        parts = large.groupBy("path", "c").agg(F.count("*").alias("k"))
-        main = parts.groupBy("path").agg(F.max(F.struct("k", "c")).alias("m"), F.count("*").alias("parts"), F.sum("k").alias("n"))
-        main = main.where("parts > 1").select("path", F.col("m.c").alias("main"), (F.col("n") - F.col("m.k")).alias("outside"))
-        large = scratch.cut(large.drop("n").join(main, "path"))
         few = large.where(F.col("outside") <= FEW)
-        others = few.where("c != main").groupBy("path").agg(F.collect_list(F.struct("id", "sketch")).alias("o"))
+        others = scratch.cut(few.where("c != main").groupBy("path").agg(F.collect_list(F.struct("id", "sketch")).alias("o")))
         near = few.join(others.select("path", F.col("o.id").alias("ids"), F.col("o.sketch").alias("sketches")), "path")
         near = near.select("id", F.explode(agreeing("sketch", "ids", "sketches")).alias("p")).where("id != p.other")
-        later.append(near.select(F.least("id", "p.other").alias("a"), F.greatest("id", "p.other").alias("b"), "p.agree"))
-        nodes = children(large.where(F.col("outside") > FEW).select("path", "id", "c").join(tokens, "id"), BRANCH)
+        later.append(scratch.cut(near.select(F.least("id", "p.other").alias("a"), F.greatest("id", "p.other").alias("b"), "p.agree")))
+        nodes = scratch.cut(children(large.where(F.col("outside") > FEW).select("path", "id", "c").join(tokens, "id"), BRANCH))
+        tidy(large, nodes, *later)
     if later:
         link(docs, reduce(DataFrame.unionByName, later), components, words, similarity, scratch)
+    tidy(large)
+
+    # what is still large: the likeliest partners first, until none is left out
+    for best in (*FIRST, None):
+        large = components.of(large.select("path", "id", "sketch"), "id", "c")
+        large = scratch.cut(with_main(large, scratch))
+        if large.isEmpty():
+            break
+        found = scratch.cut(blocked(large, best))
+        link(docs, found.drop("more"), components, words, similarity, scratch)
+        if not found.where("more").isEmpty():
+            tidy(large)
+            continue
+        break
 
     out = components.of(members, "rep", "c")
     scratch.clear(out)
@@ -329,13 +374,52 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: int = 80, id_co
     return out.select(F.col("id").alias(id_col), "n_shingles", component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))
 
 
-def blocked(large: DataFrame) -> DataFrame:
-    """All agreeing pairs of different components in nodes of any size, in pairs of blocks of about BLOCK rows."""
+def roots(trees: range) -> Column:
+    """Paths of a class' root nodes, in the order of ``trees``."""
+    return F.array(*[F.xxhash64(F.lit(t), token(F.lit(t * (POSITIONS // TREES)))) for t in trees])
+
+
+def with_sizes(nodes: DataFrame, scratch: Scratch) -> DataFrame:
+    """Rows of nodes (path, id, c) that hold several components, with their size n.
+
+    The sizes are a table of their own, so that Spark can split a node that holds many rows.
+    """
+    sizes = nodes.groupBy("path").agg(F.count("*").alias("n"), (F.min("c") != F.max("c")).alias("open")).where("open")
+    return nodes.join(scratch.cut(sizes.select("path", "n")), "path")
+
+
+def with_main(large: DataFrame, scratch: Scratch) -> DataFrame:
+    """Rows (path, id, sketch, c) of nodes with several components, with n, the largest one (main) and how many are outside it."""
+    parts = large.groupBy("path", "c").agg(F.count("*").alias("k"))
+    main = parts.groupBy("path").agg(F.max(F.struct("k", "c")).alias("m"), F.count("*").alias("parts"), F.sum("k").alias("n"))
+    main = main.where("parts > 1").select("path", "n", F.col("m.c").alias("main"), (F.col("n") - F.col("m.k")).alias("outside"))
+    return large.join(scratch.cut(main), "path")
+
+
+def stars(large: DataFrame, scratch: Scratch) -> DataFrame:
+    """Agreeing pairs (a, b, agree) of PIVOTS rows of each node's largest component with the rows outside it."""
+    rows = with_main(large.select("path", "id", "sketch", "c"), scratch)
+    h = F.xxhash64("path", "id")
+    turn = F.pmod(F.xxhash64("id", "path"), F.lit(PIVOTS))
+    # components of one row each have no main one: then pivots are any rows
+    centre = (F.col("c") == F.col("main")) | (F.col("outside") == F.col("n") - 1)
+    pivot = rows.where(centre).groupBy("path", turn.alias("turn")).agg(F.min(F.struct(h.alias("h"), F.col("id").alias("pivot"), F.col("sketch").alias("other"))).alias("p"))
+    pivot = scratch.cut(pivot.select("path", "p.pivot", "p.other"))
+    outside = rows.where((F.col("c") != F.col("main")) | (F.col("outside") == F.col("n") - 1)).select("path", "id", "sketch")
+    met = outside.join(pivot, "path").where("id != pivot").withColumn("agree", agreement("sketch", "other"))
+    return met.where(F.col("agree") >= AGREE).select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b"), "agree")
+
+
+def blocked(large: DataFrame, best: int | None) -> DataFrame:
+    """Agreeing pairs of different components in nodes of any size, in pairs of blocks of about BLOCK rows.
+
+    With ``best``, each row's likeliest ones in each pair of blocks.
+    """
     n_blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     df = large.withColumn("block", F.pmod(F.xxhash64("id"), n_blocks).cast("int"))
     df = df.withColumn("other", F.explode(F.sequence(F.lit(0), n_blocks - 1)))
     df = df.withColumn("lo", F.least("block", "other")).withColumn("hi", F.greatest("block", "other"))
-    return within_groups(df, ["path", "lo", "hi"], across="c")
+    return within_groups(df, ["path", "lo", "hi"], across="c", best=best)
 
 
 def op3_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
