@@ -65,10 +65,10 @@ TAGS = {t: i + 1 for i, t in enumerate("p h1 h2 h3 h4 h5 h6 div section article
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)"
-    r"|<[!?][^>]*+>|<(?P<end>/)?(?P<tag>[a-zA-Z][^\s/>]*+)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>", re.S | re.I)
+    r"|<[!?][^>]*+>|<(?P<end>/)?(?P<tag>[a-zA-Z][^\s/>]*+)(?P<attrs>(?:[^>=]|=\s*+(?:\"[^\"]*\"|'[^']*'|[^\s>]*+))*+)(?:>|\Z)", re.S | re.I)
 _RAW_END = {t: re.compile(rf"</{t}\s*>|\Z", re.I) for t in RAW}
 _RAW_END_IN_SVG = {t: re.compile(rf"</{t}\s*>|(?=</svg\s*>)|\Z", re.I) for t in RAW}
-_ATTR = re.compile(r"""\b(class|id|role|data-y)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_ATTR = re.compile(r"""([^\s/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|(\S*)))?""")
 _NAME = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _SPACES = re.compile(r"\s+")
@@ -130,9 +130,14 @@ def dropped(found: list[Token], size: int) -> dict[int, tuple[int, int]]:
 
 
 class Page:
-    """Block elements in page order, and the text blocks with the element each belongs to."""
+    """Block elements in page order, and the text blocks with the element each belongs to.
 
-    def __init__(self, source: str):
+    A quote opens a value right behind its ``=`` alone, and reaches to the next one like it; without one, and
+    anywhere else, it is a character. A tag that is open at the end of the page has no text.
+    ``labelled`` reads the labels that ``layout`` writes; other pages may hold any attributes.
+    """
+
+    def __init__(self, source: str, labelled: bool = False):
         self.tag, self.parent, self.kinds, self.label = ["body"], [-1], [0], [None]
         self.blocks: list[tuple[int, str]] = []
         self.links: list[int] = [0]  # characters of link text, own
@@ -190,9 +195,10 @@ class Page:
             kinds = 1 << KINDS.index(TAG_KIND[tag]) if tag in TAG_KIND else 0
             label = None
             for a in _ATTR.finditer(m.attrs):
-                value = a[2] or a[3] or a[4] or ""
-                if a[1].lower() == "data-y":
+                value, name = a[2] or a[3] or a[4] or "", a[1].lower()
+                if labelled and name == "data-y":
                     label = int(value)
+                if name not in ("class", "id", "role"):
                     continue
                 for word in _NAME.findall(_CAMEL.sub(" ", value).lower()):
                     if word in _KIND:
@@ -418,7 +424,7 @@ def fit(sources: list[str], seed: int = 11) -> Boosted:
     xs, ys = [], []
     pages = [layout(r, *x) for x in lessons for _ in range(LAYOUTS * max(1, 30 // len(lessons)))]
     for source in pages:
-        page = Page(source)
+        page = Page(source, labelled=True)
         x = page.features()
         at = sorted({k for k, _ in page.blocks})
         xs.append(x[at])

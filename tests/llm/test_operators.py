@@ -33,7 +33,7 @@ def test_spans_cover_the_hit_words():
     a = decontaminate.automaton([("7", "Alpha, BETA gamma"), ("8", "gamma delta")], 10)
     text = "é Alpha-beta  GAMMA! delta x alpha beta".encode()
     n, runs, items = decontaminate.matches(a, text)
-    assert (n, runs, items) == (8 - 0, [[1, 5]], {"7", "8"}) or n == 8
+    assert (n, [list(map(int, x)) for x in runs], items) == (8, [[1, 5]], {"7", "8"})
     (s, e), = decontaminate.char_spans(text, runs)
     assert text.decode()[s:e] == "Alpha-beta  GAMMA! delta"
 
@@ -231,7 +231,7 @@ def test_pages_of_other_layouts():
     same = []
     for source in sources[150:]:
         page = htmltext.layout(r, *htmltext.taught(source))
-        parsed = htmltext.Page(page)
+        parsed = htmltext.Page(page, labelled=True)
         want = "\n".join(t for k, t in parsed.blocks if parsed.label[k])
         same.append(htmltext.extract([page], model)[0] == want)
     assert np.mean(same) >= 0.9
@@ -253,6 +253,14 @@ def test_page_text_form():
     ("<select><option>A<option>B</select><p>Three</p>", ["Three"]),
     ("<p>One</p><button>Go<p>Two</p><button>x<b>y</b></button><p>Three</p>", ["One", "Two", "Three"]),
     ("<p>One <iframe src=x> two</p><noscript><p>Three</p>", ["One two", "Three"]),
+    ('<div data-y="top"><p>A text.</p></div>', ["A text."]),
+    ("<p>One <a title=don't>two</a> three</p><p>Four</p><p>It's five</p>", ["One two three", "Four", "It's five"]),
+    ('<p class="x>Hello</p>', ["Hello"]),
+    ("<p class='x>Hello</p><p>Two</p>", ["Hello", "Two"]),
+    ('<p title="a > b" class=\'c "d\'>One</p><p title = "x">Two</p>', ["One", "Two"]),
+    ("<p title=>One</p><p =x>Two</p><p don't>Three</p>", ["One", "Two", "Three"]),
+    ('<p>One</p><p class="x', ["One"]),
+    ("<p>1 < 2 and 3 <4", ["1 < 2 and 3 <4"]),
     ("<p>One</p><noscript><p>no</p></noscript><template><p>no</p></template><script>'<p>no</p>'", ["One"]),
 ])
 def test_unclosed_and_empty_elements_keep_the_page(source, want):
@@ -382,3 +390,52 @@ def test_gradients_of_the_language_model():
         flat[k] -= 2e-5
         assert (up - loss()) / 2e-5 == pytest.approx(g[k], rel=0.02, abs=1e-6)
         flat[k] += 1e-5
+
+
+def test_tags_against_another_parser():
+    """Texts and tags of odd markup as Python's own parser sees them."""
+    from html.parser import HTMLParser
+
+    class Plain(HTMLParser):
+        def __init__(self):
+            super().__init__(convert_charrefs=False)
+            self.out = []
+
+        def handle_starttag(self, tag, attrs):
+            self.out.append((tag, dict(attrs).get("class") or ""))
+
+        def handle_startendtag(self, tag, attrs):
+            self.handle_starttag(tag, attrs)
+
+        def handle_data(self, data):
+            if self.out and isinstance(self.out[-1], str):
+                self.out[-1] += data
+            else:
+                self.out.append(data)
+
+    r = random.Random(8)
+    values = ["x", "don't", "a>b", 'say "hi"', "", "a b", "it''s", "class=menu"]
+
+    def attribute():
+        name, value = r.choice(["class", "title", "data-y", "href"]), r.choice(values)
+        forms = [f"{name}", *([f'{name}="{value}"', f'{name} = "{value}"'] if '"' not in value else []), *([f"{name}='{value}'"] if "'" not in value else [])]
+        return r.choice(forms + ([f"{name}={value}"] if value and not set(value) & set(" >") and value[0] not in "'\"" else []))
+
+    for _ in range(500):
+        parts = []
+        for _ in range(r.randrange(1, 8)):
+            attrs = {}
+            for _ in range(r.randrange(4)):
+                a = attribute()
+                attrs.setdefault(a.split("=")[0].strip(), a)
+            parts.append(f"<{r.choice(['p', 'div', 'li'])}{''.join(' ' + a for a in attrs.values())}>" + r.choice(["text", "it's", '"quoted"', "a b"]))
+        source = "".join(parts)
+        plain = Plain()
+        plain.feed(source)
+        plain.close()
+        got = []
+        found = htmltext.tokens(source)
+        for t, following in zip(found, [*found[1:], None], strict=True):
+            given = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in reversed(list(htmltext._ATTR.finditer(t.attrs)))}
+            got += [(t.name, given.get("class", "")), source[t.stop : following.start if following else None]]
+        assert got == plain.out
