@@ -18,33 +18,43 @@ from covlens.llm.common import Scratch, table
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def _held(docs: DataFrame) -> DataFrame:
+    """The text, and all columns as they are in one of their own, out of the way of what an operator adds."""
+    return docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("document"), F.col("text"))
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality policy keeps."""
-    return rules.apply_policy(rules.ledger(docs)).where("kept").select(docs.columns)
+    return rules.apply_policy(rules.ledger(_held(docs))).where("kept").select("document.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each near-duplicate group (five words, 0.8); of repeated ids, one row.
+    """Of each near-duplicate group (five words, 0.8) the row with the smallest id; rows without an id all stay.
 
-    Rows without an id stay.
+    Each row is judged by its own text: rows of one id whose texts are unlike all stay.
     """
-    repeated = docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    classes = neardup.near_duplicates(docs, words=5, similarity=80)
-    out = docs.join(classes.where("not kept").select("doc_id").distinct(), "doc_id", "left_anti")
-    if not repeated.isEmpty():
-        out = out.join(repeated, "doc_id", "left_anti").unionByName(out.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
-    return out.select(docs.columns)
+    scratch = Scratch(spark)
+    rows = scratch.cut(_held(docs).withColumn("row", F.monotonically_increasing_id()))
+    classes = neardup.near_duplicates(rows.where("document.doc_id is not null"), words=5, similarity=80, id_col="row")
+    groups = classes.join(classes.where("not kept").select("component_id").distinct(), "component_id", "left_semi")
+    groups = scratch.cut(groups.select("row", "component_id"))
+    members = groups.join(rows.select("row", F.col("document.doc_id").alias("doc_id")), "row")
+    first = members.groupBy("component_id").agg(F.min(F.struct("doc_id", "row")).alias("first"))
+    dropped = groups.join(first.select(F.col("first.row").alias("row")), "row", "left_anti").select("row")
+    return rows.join(dropped, "row", "left_anti").select("document.*")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark."""
-    return decontaminate.scan(docs, table(spark, sf_dir, "benchmark")).where("n_hit = 0").select(docs.columns)
+    return decontaminate.scan(_held(docs), table(spark, sf_dir, "benchmark")).where("n_hit = 0").select("document.*")
 
 
 def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data replaced; n_chars follows the text."""
-    out = pii.pseudonymise(docs).withColumn("n_chars", F.when(F.col("n_replaced") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return out.select(docs.columns)
+    out = pii.pseudonymise(_held(docs))
+    n_chars = F.when(F.col("n_replaced") > 0, F.length("text").cast("long")).otherwise(F.col("document.n_chars"))
+    new = {"text": F.col("text"), "n_chars": n_chars}
+    return out.select(*[new.get(c.lower(), F.col(f"document.`{c}`")).alias(c) for c in docs.columns])
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -29,6 +29,14 @@ def replace_columns(df: DataFrame, cols: dict[str, Column]) -> DataFrame:
     return df.select(*[df[f"`{c}`"] for c in df.columns if c.lower() not in taken], *[v.alias(k) for k, v in cols.items()])
 
 
+def spare(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores behind it as it takes to be no column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def doc_remainder(doc_id: Column, divisor: int) -> Column:
     """crc32 of doc_id written as text, modulo ``divisor`` (null id: the empty text)."""
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(divisor))

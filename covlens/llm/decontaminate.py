@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from covlens.llm.common import replace_columns, table, utf8
+from covlens.llm.common import replace_columns, spare, table, utf8
 
 WINDOW_WORDS = 10
 SHARD_BYTES = 1 << 17
@@ -129,17 +129,17 @@ def scan(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW_WORDS, text: str
     items = benchmark.select(F.col(item_id).cast("string").alias("item"), F.col(item_text).alias("body")).where("item is not null and body is not null")
     n_bytes = items.agg(F.coalesce(F.sum(F.octet_length("body")), F.lit(0))).first()[0]
     shards = max(1, -(-n_bytes // shard_bytes))
-    out = docs
+    out, names = docs, [spare(docs, f"_found{s}_") for s in range(shards)]
     for s in range(shards):
         part = items.where(F.pmod(F.xxhash64("item", "body"), F.lit(shards)) == s)
         held = spark.sparkContext.broadcast([(r["item"], r["body"]) for r in part.collect()])
-        out = out.withColumn(f"_found{s}", finder(held, n)(F.col(f"`{text}`")))
-    runs = F.concat(*[F.col(f"_found{s}.runs") for s in range(shards)])
+        out = out.withColumn(names[s], finder(held, n)(F.col(f"`{text}`")))
+    runs = F.concat(*[F.col(f"{n}.runs") for n in names])
     out = replace_columns(out, {
-        "n_words": F.col("_found0.n_words"), "n_hit": _words_hit(runs),
-        "items": F.array_sort(F.array_distinct(F.concat(*[F.col(f"_found{s}.items") for s in range(shards)]))),
+        "n_words": F.col(f"{names[0]}.n_words"), "n_hit": _words_hit(runs),
+        "items": F.array_sort(F.array_distinct(F.concat(*[F.col(f"{n}.items") for n in names]))),
         "spans": _char_spans(F.col(f"`{text}`"), runs)})
-    return out.drop(*[f"_found{s}" for s in range(shards)])
+    return out.drop(*names)
 
 
 def op1_aho_corasick(spark: SparkSession, sf_dir: str) -> DataFrame:

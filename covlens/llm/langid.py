@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from covlens.llm.common import bounded_sample, doc_remainder, table, utf8
+from covlens.llm.common import bounded_sample, doc_remainder, replace_columns, spare, table, utf8
 
 WINDOW = 256
 TRAIN_DOCS = 8000
@@ -162,8 +162,8 @@ def predict(docs: DataFrame, net: ByteCNN | None, text: str = "text") -> DataFra
                 out[i] = (net.labels[k], min(1.0, float(sums[i, k] / total[i])))
             yield pd.DataFrame(out, columns=["lang_pred", "score"])
 
-    p = run(F.col(text))
-    return docs.withColumn("_p", p).select(*[F.col(f"`{c}`") for c in docs.columns if c not in ("lang_pred", "score")], "_p.lang_pred", "_p.score")
+    name = spare(docs, "_p")
+    return replace_columns(docs.withColumn(name, run(F.col(f"`{text}`"))), {c: F.col(f"{name}.{c}") for c in ("lang_pred", "score")}).drop(name)
 
 
 def op5_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from covlens.llm.common import replace_columns, table
+from covlens.llm.common import spare, table
 
 ROUNDS = 8
 DEFAULT_KEY = "covlens"
@@ -183,19 +183,18 @@ def pseudonymise(docs: DataFrame, key: str = DEFAULT_KEY, text: str = "text") ->
     """``docs`` with ``text`` rewritten, n_replaced (values changed) and kinds (their kinds, sorted)."""
     body = F.col(f"`{text}`")
     some = body.rlike(SOME)
-    df = docs.withColumn("_found", F.when(some, F.regexp_extract_all(body, F.lit(ANY), F.lit(0))))
-    df = df.withColumn("_between", F.when(F.size("_found") > 0, F.split(body, ANY, -1)))
-    df = df.withColumn("_new", F.when(F.size("_found") > 0, F.expr(f"transform(_found, m -> {pseudonym('m', key)})")))
-    df = df.withColumn("_changed", F.when(F.size("_found") > 0, F.filter(F.arrays_zip("_found", "_new"), lambda x: x["_found"] != x["_new"])))
-    joined = F.array_join(F.zip_with("_between", F.concat("_new", F.array(F.lit(""))), lambda b, n: F.concat(b, n)), "")
-    kinds = F.array_sort(F.array_distinct(F.expr(f"transform(_changed, x -> {kind_of('x._found')})")))
-    out = replace_columns(df, {
-        text: F.when(F.size("_changed") > 0, joined).otherwise(body),
-        "n_replaced": F.coalesce(F.size(F.col("_changed")), F.lit(0)).cast("long"),
-        "kinds": F.coalesce(kinds, F.array().cast("array<string>")),
-    })
-    order = [c for c in docs.columns if c not in ("n_replaced", "kinds")]
-    return out.select(*[F.col(f"`{c}`") for c in order], "n_replaced", "kinds")
+    found, between, new, changed = (spare(docs, n) for n in ("_found", "_between", "_new", "_changed"))
+    df = docs.withColumn(found, F.when(some, F.regexp_extract_all(body, F.lit(ANY), F.lit(0))))
+    df = df.withColumn(between, F.when(F.size(found) > 0, F.split(body, ANY, -1)))
+    df = df.withColumn(new, F.when(F.size(found) > 0, F.expr(f"transform({found}, m -> {pseudonym('m', key)})")))
+    pairs = F.zip_with(found, new, lambda a, b: F.struct(a.alias("old"), b.alias("new")))
+    df = df.withColumn(changed, F.when(F.size(found) > 0, F.filter(pairs, lambda x: x["old"] != x["new"])))
+    joined = F.array_join(F.zip_with(between, F.concat(new, F.array(F.lit(""))), lambda b, n: F.concat(b, n)), "")
+    kinds = F.array_sort(F.array_distinct(F.expr(f"transform({changed}, x -> {kind_of('x.old')})")))
+    added = {"n_replaced": F.coalesce(F.size(F.col(changed)), F.lit(0)).cast("long"), "kinds": F.coalesce(kinds, F.array().cast("array<string>"))}
+    rewritten = F.when(F.size(changed) > 0, joined).otherwise(body)
+    kept = [c for c in docs.columns if c.lower() not in added]
+    return df.select(*[rewritten.alias(c) if c.lower() == text.lower() else df[f"`{c}`"] for c in kept], *[v.alias(n) for n, v in added.items()])
 
 
 def op2_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from covlens.llm.common import Scratch, bounded_sample, chunks, doc_remainder, hash_words, joined, replace_columns, table, utf8
+from covlens.llm.common import Scratch, bounded_sample, chunks, doc_remainder, hash_words, joined, replace_columns, spare, table, utf8
 
 LABELLED = 4096
 CANDIDATES = 20_000
@@ -462,8 +462,8 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
             yield pd.DataFrame({"score": 1 / (1 + np.exp(-np.clip(z, -500, 500))), "clauses": [in_points(t, m) for t, m in zip(texts, matches, strict=True)]})
 
     both = run(F.col(f"`{text}`"))
-    named = replace_columns(docs.withColumn("_toxicity_", both), {"score": F.col("_toxicity_.score"), "clauses": F.col("_toxicity_.clauses")})
-    return named.drop("_toxicity_")
+    name = spare(docs, "_toxicity")
+    return replace_columns(docs.withColumn(name, both), {"score": F.col(f"{name}.score"), "clauses": F.col(f"{name}.clauses")}).drop(name)
 
 
 def in_points(text: bytes, matches: list[tuple]) -> list[dict]:

@@ -75,3 +75,23 @@ def test_defined_results(spark, docs):
 def test_langid_without_labels(spark, docs):
     net = langid.train(docs.withColumn("lang", F.lit(None).cast("string")))
     assert {r.lang_pred for r in langid.predict(docs, net).collect()} == {"und"}
+
+
+#: Names that operators use inside; a column that an operator returns takes the place of the input's, all others stay.
+CLASHES = ["_found", "_between", "_new", "_changed", "_p", "_s", "_row", "_gain", "_found0", "_found0_", "_place", "_toxicity", "Kinds", "Score", "a.b", "x y"]
+RETURNED = {"pii": ["text", "n_replaced", "kinds"], "langid": ["lang_pred", "score"], "lmscore": ["n_words", "log_prob", "mean_log_prob"],
+            "decontaminate": ["n_words", "n_hit", "items", "spans"], "quality_knn": ["score"], "rules": []}
+
+
+@pytest.mark.parametrize("name", sorted(RETURNED))
+def test_clashing_columns_keep_their_values(spark, name, tmp_path):
+    rows = [(1, "Some plain text of several words, by ann@example.org.", 1, "en"), (2, None, 0, "de"), (3, "other words are here", 1, "en")]
+    schema = "doc_id long, text string, label int, lang string, " + ", ".join(f"`{c}` string" for c in CLASHES)
+    df = spark.createDataFrame([(*r, *[f"o{i}" for i in range(len(CLASHES))]) for r in rows], schema)
+    out = OPERATORS[name](spark, df)
+    lower = [c.lower() for c in out.columns]
+    assert len(lower) == len(set(lower))
+    out.write.parquet(str(tmp_path / "out"))
+    gone = {c.lower() for c in RETURNED[name]}
+    for row in out.collect():
+        assert [row[c] for c in CLASHES if c.lower() not in gone] == [f"o{i}" for i, c in enumerate(CLASHES) if c.lower() not in gone]

@@ -53,3 +53,23 @@ def test_repeated_ids_leave_one_row(spark):
     docs = spark.createDataFrame([(1, "a text of five words or more", "en", "s", 1), (1, "a text of five words or more", "en", "s", 1), (None, "a", None, None, None), (None, "a", None, None, None)],
                                  "doc_id long, text string, lang string, source string, n_chars long")
     assert corpus_pipeline.near_duplicates(spark, docs, SF).count() == 3
+
+
+def test_rows_of_one_id_are_judged_by_their_texts(spark):
+    a, b = "a text of five words or more", "quite another text that is of five words or more as well"
+    docs = spark.createDataFrame([(1, a, "en", "s", 1), (1, b, "en", "s", 1), (0, a, "en", "s", 1)], "doc_id long, text string, lang string, source string, n_chars long")
+    assert sorted((r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, docs, SF).collect()) == [(0, a), (1, b)]
+
+
+def test_columns_of_any_name_come_back_as_they_are(spark):
+    names = ["kept", "N_WORDS", "fail_bits", "n_hit", "items", "spans", "n_replaced", "Kinds", "_found", "_new", "_changed", "_found0_", "row", "component_id", "document", "a.b", "set_key"]
+    text = "Several different words make up this plain text, and none of them is said twice in it. Mail ann@example.org or call."
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{n}` string" for n in names)
+    docs = spark.createDataFrame([(7, text, "en", "s", len(text), *[f"o{i}" for i in range(len(names))])], schema)
+    out = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, out, SF)
+        assert out.columns == docs.columns, name
+    row = out.first()
+    assert [row[n] for n in names] == [f"o{i}" for i in range(len(names))] and row.text != text and row.n_chars == len(row.text)
+    assert out.dtypes == docs.dtypes
