@@ -71,13 +71,20 @@ _powers: dict[str, np.ndarray] = {}
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first powers of the hash base and of its inverse modulo 2**64, ``n`` at least; made once a task."""
-    if len(_powers.get("up", ())) < n:
-        for name, base in (("up", _BASE), ("down", np.uint64(pow(int(_BASE), -1, 1 << 64)))):
-            steps = np.full(n + n // 8, base, np.uint64)
-            steps[0] = 1
-            _powers[name] = np.cumprod(steps)
-    return _powers["up"], _powers["down"]
+    """The first powers of the hash base and of its inverse modulo 2**64, ``n`` at least.
+
+    A worker keeps those of a chunk; a longer text's are made for it alone.
+    """
+    if len(_powers.get("up", ())) >= n:
+        return _powers["up"], _powers["down"]
+    out = []
+    for base in (_BASE, np.uint64(pow(int(_BASE), -1, 1 << 64))):
+        steps = np.full(n + n // 8, base, np.uint64)
+        steps[0] = 1
+        out.append(np.cumprod(steps, out=steps))
+    if n <= 2 * CHUNK_BYTES:
+        _powers.update(up=out[0], down=out[1])
+    return out[0], out[1]
 
 
 def hash_words(data: np.ndarray, is_word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -1,8 +1,10 @@
 """Lexical retrieval packing: documents that share rare words share a sequence.
 
-Documents are packed into windows of ``WINDOW`` tokens. Each partition reads its
-documents into shards of about ``SHARD_TOKENS`` tokens and builds a BM25 inverted
-index of every shard. The document that opens a window is its seed: the shard's
+Documents are packed into windows of ``WINDOW`` tokens. Spark first deals the documents of the whole
+corpus by their rarest word that any other document has, so that lexical neighbours meet wherever
+they come from; a word that is the rarest one of more documents than a task should hold is dealt to several.
+Each partition reads its documents, in the order of those words, into shards of about
+``SHARD_TOKENS`` tokens and builds a BM25 inverted index of every shard. The document that opens a window is its seed: the shard's
 unused documents, best BM25 score first, fill the rest, and the one that meets the
 end of the window is cut there and seeds the next. A window that is open when a
 shard ends goes on in the next shard, so only the last window of a partition is
@@ -11,7 +13,8 @@ is padded.
 
 Document frequencies and the mean length are counted over the whole corpus, in
 ``SLOTS`` hashed words: the table is of a fixed size and is all that is broadcast.
-Nothing is shuffled but those counts; a worker holds one shard.
+The texts' words are counted once, and the counts are written beside the texts and
+shuffled with them; a worker holds one shard.
 
 Null and empty texts are a single end token. Repeated rows are packed once each.
 An empty table gives no rows. Only the id and text columns are read.
@@ -19,6 +22,7 @@ An empty table gives no rows. Only the id and text columns are read.
 
 from __future__ import annotations
 
+import itertools
 import os
 import re
 from array import array
@@ -31,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from covlens.llm.common import chunks, hash_words, joined, table, utf8
+from covlens.llm.common import Scratch, chunks, hash_words, joined, table, utf8
 
 WINDOW = 4096
 END_ID = 2
@@ -39,7 +43,9 @@ SHARD_TOKENS = 1 << 20
 SLOTS = 1 << 17
 K1, B = 1.2, 0.75
 #: Entries that a worker's word tables hold before they are emptied.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 300_000
+#: Most documents of one rarest word that are dealt to one task.
+DEALT_TOGETHER = 20_000
 #: Texts that are encoded together.
 TEXTS_AT_ONCE = 100
 
@@ -129,19 +135,35 @@ def slots_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return tuple(np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.empty(0, np.int64),) * 3
 
 
-def corpus_statistics(docs: DataFrame, text: str = "text") -> tuple[np.ndarray, int, float]:
-    """Documents with each word slot, documents, and mean words; SLOTS + 2 numbers reach the driver."""
+def counted(docs: DataFrame, id_col: str, text: str) -> DataFrame:
+    """id, text, and the text's distinct word slots (by number) with their counts, as 32-bit integers."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for i in range(0, len(b), TEXTS_AT_ONCE):
+                part = b.iloc[i : i + TEXTS_AT_ONCE]
+                text, slot, count = slots_of(utf8(part["text"]))
+                edge = np.searchsorted(text, np.arange(len(part) + 1))
+                slot, count = slot.astype("<i4"), count.astype("<i4")
+                own = list(itertools.pairwise(edge))
+                yield part.assign(slots=[slot[i:j].tobytes() for i, j in own], counts=[count[i:j].tobytes() for i, j in own])
+
+    schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("text", T.StringType()), T.StructField("slots", T.BinaryType()), T.StructField("counts", T.BinaryType())])
+    return docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text}`").alias("text")).mapInPandas(run, schema)
+
+
+def corpus_statistics(rows: DataFrame) -> tuple[np.ndarray, int, float]:
+    """Documents with each word slot, documents, and mean words of ``counted`` rows; SLOTS + 2 numbers reach the driver."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         found, n, total = np.zeros(SLOTS, np.int64), 0, 0
         for b in batches:
-            _, slot, count = slots_of(utf8(b["text"]))
-            found += np.bincount(slot, minlength=SLOTS)
-            n, total = n + len(b), total + int(count.sum())
+            found += np.bincount(np.frombuffer(b"".join(b["slots"]), "<i4"), minlength=SLOTS)
+            n, total = n + len(b), total + int(np.frombuffer(b"".join(b["counts"]), "<i4").sum(dtype=np.int64))
         at = np.flatnonzero(found)
         yield pd.DataFrame({"slot": np.concatenate((at, [-1, -2])), "n": np.concatenate((found[at], [n, total]))})
 
-    counts = docs.select(F.col(text).alias("text")).mapInPandas(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
+    counts = rows.select("slots", "counts").mapInPandas(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
     by = dict(zip(counts["slot"], counts["n"], strict=True))
     n, total = int(by.pop(-1, 0)), int(by.pop(-2, 0))
     df = np.zeros(SLOTS, np.int64)
@@ -149,13 +171,27 @@ def corpus_statistics(docs: DataFrame, text: str = "text") -> tuple[np.ndarray,
     return df, n, total / n if n else 0.0
 
 
+def rarest(slots: list[bytes], df: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each text the slot that the fewest texts have, but two at least (-1 without any), and how many have it."""
+    slot = np.frombuffer(b"".join(slots), "<i4")
+    sizes = np.array([len(s) // 4 for s in slots])
+    owner = np.repeat(np.arange(len(slots)), sizes)
+    shared = df[slot] >= 2
+    slot, owner = slot[shared], owner[shared]
+    order = np.lexsort((slot, df[slot], owner))
+    first = order[np.flatnonzero(np.diff(owner[order], prepend=-1))]
+    out, n = np.full(len(slots), -1, np.int64), np.ones(len(slots), np.int64)
+    out[owner[first]], n[owner[first]] = slot[first], df[slot[first]]
+    return out, n
+
+
 class Shard:
     """An inverted index of some documents: per word slot, who holds it and with which BM25 weight."""
 
     def __init__(self, slots: list[np.ndarray], counts: list[np.ndarray], idf: np.ndarray, mean_words: float):
         self.slots, self.idf, self.n = slots, idf, len(slots)
         sizes = np.array([len(s) for s in slots])
-        term, doc = np.concatenate(slots), np.repeat(np.arange(self.n), sizes)
+        term, doc = np.concatenate(slots), np.repeat(np.arange(self.n, dtype=np.int32), sizes)
         tf = np.concatenate(counts).astype(np.float32)
         length = np.array([c.sum() for c in counts], np.float32)[doc]
         weight = tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / max(mean_words, 1)))
@@ -243,8 +279,20 @@ def pack(docs: DataFrame, window: int = WINDOW, tokenizer: str | None = None, id
     ``window`` must be a power of two. ``tokenizer`` must exist on every executor.
     """
     path = tokenizer or default_tokenizer()
-    df, n, mean_words = corpus_statistics(docs, text)
+    rows = Scratch(docs.sparkSession).cut(counted(docs, id_col, text))
+    df, n, mean_words = corpus_statistics(rows)
     held = docs.sparkSession.sparkContext.broadcast(np.log1p((n - df + 0.5) / (df + 0.5)).astype(np.float32))
+    seen = docs.sparkSession.sparkContext.broadcast(df)
+
+    @F.pandas_udf("word long, parts long")
+    def rare(slots: pd.Series) -> pd.DataFrame:
+        word, n = rarest(list(slots), seen.value)
+        return pd.DataFrame({"word": word, "parts": -(-n // DEALT_TOGETHER)})
+
+    placed = rows.withColumn("rare", rare("slots")).select("*", "rare.word", "rare.parts")
+    # without a shared word a document has no neighbours, and any place will do
+    part = F.when(F.col("word") < 0, F.pmod(F.xxhash64("text"), F.lit(SLOTS))).otherwise(F.pmod(F.xxhash64("text", "id"), F.col("parts")))
+    dealt = placed.withColumn("part", part).repartition("word", "part").sortWithinPartitions("word", "part").select("id", "text", "slots", "counts")
     id_type = docs.schema[id_col].dataType
     schema = T.StructType([T.StructField(id_col, id_type), T.StructField("start", T.LongType()), T.StructField("length", T.LongType()), T.StructField("ids", T.BinaryType()),
                            T.StructField("doc_tokens", T.LongType()), T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
@@ -262,11 +310,8 @@ def pack(docs: DataFrame, window: int = WINDOW, tokenizer: str | None = None, id
         for b in batches:
             for i in range(0, len(b), TEXTS_AT_ONCE):
                 part = b.iloc[i : i + TEXTS_AT_ONCE]
-                text, slot, count = slots_of(utf8(part["text"]))
-                edge = np.searchsorted(text, np.arange(len(part) + 1))
-                for k, (doc, ids) in enumerate(zip(part["id"], encode(list(part["text"])), strict=True)):
-                    own = slice(edge[k], edge[k + 1])
-                    shard.append((None if pd.isna(doc) else doc, ids, slot[own], count[own]))
+                for doc, ids, slots, counts in zip(part["id"], encode(list(part["text"])), part["slots"], part["counts"], strict=True):
+                    shard.append((None if pd.isna(doc) else doc, ids, np.frombuffer(slots, "<i4"), np.frombuffer(counts, "<i4")))
                     tokens += len(ids)
                     if tokens >= shard_tokens:
                         packer.shard(shard, held.value, mean_words)
@@ -277,7 +322,7 @@ def pack(docs: DataFrame, window: int = WINDOW, tokenizer: str | None = None, id
         packer.finish()
         yield frame(packer)
 
-    return docs.select(F.col(id_col).alias("id"), F.col(text).alias("text")).mapInPandas(run, schema)
+    return dealt.mapInPandas(run, schema)
 
 
 def op4_bm25_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,18 +16,24 @@ Kept as they are: separators, an e-mail's domain, a phone's country code, an IBA
 country, whatever fails validation. Null texts stay null with 0 replaced; a text
 that ``SOME`` does not find is passed through, as every pattern needs one of its
 characters; repeated rows are treated alike.
-Nothing is shuffled. The key is a parameter: whoever has it can undo the mapping.
+Nothing is shuffled. Whoever has the key can undo the mapping, so there is none in the code: it is
+a parameter, or the setting ``KEY_CONF`` of the session, or else drawn anew in each session, which
+links values within the session only.
 """
 
 from __future__ import annotations
 
+import secrets
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from covlens.llm.common import spare, table
+from covlens.session import session_key
 
 ROUNDS = 8
-DEFAULT_KEY = "covlens"
+KEY_CONF = "spark.covlens.pseudonym.key"
+_drawn: dict[str, str] = {}
 
 #: Kind, and its pattern. At a place the first that fits counts.
 PATTERNS: list[tuple[str, str]] = [
@@ -179,8 +185,17 @@ def kind_of(m: str) -> str:
     return "case " + " ".join(f"when {m} rlike {quoted('^(?:' + p + ')$')} then '{kind}'" for kind, p in PATTERNS) + " end"
 
 
-def pseudonymise(docs: DataFrame, key: str = DEFAULT_KEY, text: str = "text") -> DataFrame:
-    """``docs`` with ``text`` rewritten, n_replaced (values changed) and kinds (their kinds, sorted)."""
+def session_secret(spark: SparkSession) -> str:
+    """The key of the session: as set, or drawn once."""
+    return spark.conf.get(KEY_CONF, None) or _drawn.setdefault(session_key(spark), secrets.token_hex(16))
+
+
+def pseudonymise(docs: DataFrame, key: str | None = None, text: str = "text") -> DataFrame:
+    """``docs`` with ``text`` rewritten, n_replaced (values changed) and kinds (their kinds, sorted).
+
+    Without ``key`` the session's is used (``session_secret``).
+    """
+    key = key or session_secret(docs.sparkSession)
     body = F.col(f"`{text}`")
     some = body.rlike(SOME)
     found, between, new, changed = (spare(docs, n) for n in ("_found", "_between", "_new", "_changed"))

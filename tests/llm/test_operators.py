@@ -93,6 +93,17 @@ def test_found_whatever_else_the_text_holds(spark, monkeypatch, text, kind):
     assert pii.pseudonymise(df).collect() == [a, b]
 
 
+def test_the_key_is_the_sessions_unless_given(spark):
+    df = spark.createDataFrame([("Mail ann@example.org.",)], "text string")
+    text = lambda *key: pii.pseudonymise(df, *key).first().text
+    assert text() == text() and text("a") == text("a") != text("b") and text() != text("a")
+    spark.conf.set(pii.KEY_CONF, "a")
+    try:
+        assert text() == text("a")
+    finally:
+        spark.conf.unset(pii.KEY_CONF)
+
+
 def test_dates_keep_their_form(spark):
     days = ["2024-03-05T10:00:00Z", "03/05/2024", "3/5/2024", "5.3.2024", "2024-3-5"]
     iso, us, short, dotted, plain_iso = (r.text for r in pii.pseudonymise(spark.createDataFrame([(x,) for x in days], "text string")).collect())
