@@ -15,6 +15,9 @@ from covlens.session import checkpoint_root
 # Functions of this subpackage travel to the executors with their code, so that these need no copy of the library.
 cloudpickle.register_pickle_by_value(sys.modules["covlens.llm"])
 
+#: Most bytes, as written, of a table that is sent to all executors for a join.
+SIDE_BYTES = 4 << 20
+
 #: Bytes of text that one vectorised step works on; bounds the arrays in a Python worker.
 CHUNK_BYTES = 1 << 20
 
@@ -150,6 +153,17 @@ class Scratch:
         self.paths[path] = out
         return out
 
+    def size(self, df: DataFrame) -> int:
+        """Bytes of a table that ``cut`` has written."""
+        path = next(p for p, written in self.paths.items() if written is df)
+        at = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return at.getFileSystem(self.spark._jsc.hadoopConfiguration()).getContentSummary(at).getLength()
+
+    def side(self, df: DataFrame, max_bytes: int = SIDE_BYTES) -> DataFrame:
+        """``df`` as a written table, to be broadcast in a join if it is no larger than ``max_bytes``."""
+        out = self.cut(df)
+        return F.broadcast(out) if self.size(out) <= max_bytes else out
+
     def clear(self, *keep: DataFrame) -> None:
         """Deletes what was written but for the tables that ``keep`` reads."""
         used = {f.rsplit("/", 1)[0].rsplit("/", 1)[-1] for df in keep for f in df.inputFiles()}

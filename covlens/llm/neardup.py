@@ -47,7 +47,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from covlens.llm.common import Scratch, chunks, hash_words, is_space, joined, mix, table, utf8
+from covlens.llm.common import SIDE_BYTES, Scratch, chunks, hash_words, is_space, joined, mix, table, utf8
 
 POSITIONS, TREES, BRANCH, LEVELS = 64, 8, 2, 3
 #: Pivots of a large node at the roots.
@@ -57,8 +57,8 @@ SMALL, FEW = 10, 32
 FIRST = (1, 16)
 AGREE = 36
 BLOCK = 256
-#: Most ids (of 8 bytes) that are broadcast to find their texts.
-BROADCAST_IDS = 1_000_000
+#: Links that one task contracts at a time.
+LOCAL_LINKS = 250_000
 _ODD = mix(np.arange(1, POSITIONS + 65, dtype=np.uint64)) | np.uint64(1)
 _XOR = mix(np.arange(1001, 1001 + POSITIONS, dtype=np.uint64))
 
@@ -199,9 +199,33 @@ def within_groups(rows: DataFrame, keys: list[str], across: str | None = None, b
 
 
 def children(rows: DataFrame, branch: int) -> DataFrame:
-    """(path, id) of the ``branch`` children of every row's node; the node's path alone picks the positions."""
+    """(path, id, c, sketch) of the ``branch`` children of every row's node; the node's path alone picks the positions."""
     options = [F.xxhash64("path", F.lit(k), token(F.pmod(F.xxhash64("path", F.lit(k)), F.lit(POSITIONS)).cast("int"))) for k in range(branch)]
-    return rows.select(F.explode(F.array(*options)).alias("path"), "id", "c")
+    return rows.select(F.explode(F.array(*options)).alias("path"), "id", "c", "sketch")
+
+
+def contracted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Links (u, v) of a part as (id, the least id that they join it with)."""
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        top = x
+        while (up := parent.get(top, top)) != top:
+            top = up
+        while (up := parent.get(x, x)) != top:
+            parent[x], x = top, up
+        return top
+
+    for b in batches:
+        for u, v in zip(b["u"].tolist(), b["v"].tolist(), strict=True):
+            a, c = root(u), root(v)
+            if a != c:
+                parent[max(a, c)] = min(a, c)
+    ids = list(parent)
+    for i in range(0, len(ids), 1 << 16):
+        some = ids[i : i + (1 << 16)]
+        out = pd.DataFrame({"u": some, "v": [root(x) for x in some]}, dtype="int64")
+        yield out[out["u"] != out["v"]]
 
 
 class Components:
@@ -210,25 +234,33 @@ class Components:
     def __init__(self, scratch: Scratch):
         self.scratch = scratch
         self.labels: DataFrame | None = None
+        self.few = True  # labels are broadcast
 
     def of(self, df: DataFrame, col: str, out: str) -> DataFrame:
         if self.labels is None:
             return df.withColumn(out, F.col(col))
         known = self.labels.select(F.col("id").alias(col), F.col("component").alias("_c"))
-        return df.join(known, col, "left").withColumn(out, F.coalesce("_c", F.col(col))).drop("_c")
+        return df.join(F.broadcast(known) if self.few else known, col, "left").withColumn(out, F.coalesce("_c", F.col(col))).drop("_c")
 
     def add(self, links: DataFrame) -> None:
-        """Joins the components of ``links`` (u, v): large and small stars in turn until only stars are left."""
+        """Joins the components of ``links`` (u, v).
+
+        Links are first contracted within parts of about LOCAL_LINKS of them, each to stars around its
+        components' least ids; then large and small stars take turns until only stars are left.
+        """
         if self.labels is not None:
             links = links.unionByName(self.labels.select(F.col("id").alias("u"), F.col("component").alias("v")))
         edges = self.scratch.cut(links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u > v").distinct())
-        while not self.only_stars(edges):
+        parts = max(1, -(-self.scratch.size(edges) // (8 * LOCAL_LINKS)))  # of at least 8 bytes each, mostly
+        edges = self.scratch.cut(edges.repartition(parts).mapInPandas(contracted, "u long, v long").distinct() if parts > 1 else edges.coalesce(1).mapInPandas(contracted, "u long, v long"))
+        while parts > 1 and not self.only_stars(edges):
             both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
             least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
             large = both.join(least, "u").where("v > u and v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
             least = large.groupBy("u").agg(F.min("v").alias("m"))
             moved = large.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
             edges = self.scratch.cut(moved.unionByName(least.select("u", F.col("m").alias("v"))).where("u > v").distinct())
+        self.few = self.scratch.size(edges) <= SIDE_BYTES
         self.labels = edges.select(F.col("u").alias("id"), F.col("v").alias("component"))
 
     @staticmethod
@@ -241,9 +273,7 @@ class Components:
 
 def sets_of(docs: DataFrame, pairs: DataFrame, words: int, scratch: Scratch) -> DataFrame:
     """(id, members) of the ids of ``pairs`` (a, b): their full sets, written once."""
-    ids = scratch.cut(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
-    if ids.count() <= BROADCAST_IDS:  # else the texts are shuffled
-        ids = F.broadcast(ids)
+    ids = scratch.side(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())  # if they are too many, the texts are shuffled
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -314,7 +344,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: int = 80, id_co
     if not same_id.isEmpty():
         components.add(same_id)
 
-    tokens, sketches = (classes.select(F.col("rep").alias("id"), c) for c in ("tokens", "sketch"))
+    tokens = classes.select(F.col("rep").alias("id"), "tokens")
     kept = [rows, classes]
 
     def tidy(*more: DataFrame) -> None:
@@ -323,8 +353,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: int = 80, id_co
     # the first tree's roots join the groups of copies, so that the others meet each group as one component
     for trees in (range(1), range(TREES)):
         first = len(trees) == 1
-        nodes = components.of(classes.select(F.posexplode(roots(trees)).alias("tree", "path"), F.col("rep").alias("id")), "id", "c")
-        shared = scratch.cut(with_sizes(nodes, scratch).join(sketches, "id"))
+        nodes = components.of(classes.select(F.posexplode(roots(trees)).alias("tree", "path"), F.col("rep").alias("id"), "sketch"), "id", "c")
+        shared = scratch.cut(with_sizes(nodes, scratch))
         seen = F.lit(False) if first else F.col("tree") == 0
         small = shared.where((F.col("n") <= SMALL) & ~seen)
         large = shared.where(F.col("n") > SMALL)
@@ -336,7 +366,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: int = 80, id_co
     later: list[DataFrame] = []
     for level in range(LEVELS + 1):
         if level:
-            shared = scratch.cut(with_sizes(nodes, scratch).join(sketches, "id"))
+            shared = scratch.cut(with_sizes(nodes, scratch))
             later.append(scratch.cut(within_groups(shared.where(F.col("n") <= SMALL), ["path"], across="c").drop("more")))
             large = shared.where(F.col("n") > SMALL)
         if large.isEmpty():
@@ -345,11 +375,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: int = 80, id_co
         if level == LEVELS:
             break
         few = large.where(F.col("outside") <= FEW)
-        others = scratch.cut(few.where("c != main").groupBy("path").agg(F.collect_list(F.struct("id", "sketch")).alias("o")))
+        others = scratch.side(few.where("c != main").groupBy("path").agg(F.collect_list(F.struct("id", "sketch")).alias("o")))
         near = few.join(others.select("path", F.col("o.id").alias("ids"), F.col("o.sketch").alias("sketches")), "path")
         near = near.select("id", F.explode(agreeing("sketch", "ids", "sketches")).alias("p")).where("id != p.other")
         later.append(scratch.cut(near.select(F.least("id", "p.other").alias("a"), F.greatest("id", "p.other").alias("b"), "p.agree")))
-        nodes = scratch.cut(children(large.where(F.col("outside") > FEW).select("path", "id", "c").join(tokens, "id"), BRANCH))
+        nodes = scratch.cut(children(large.where(F.col("outside") > FEW).select("path", "id", "c", "sketch").join(tokens, "id"), BRANCH))
         tidy(large, nodes, *later)
     if later:
         link(docs, reduce(DataFrame.unionByName, later), components, words, similarity, scratch)
@@ -385,7 +415,7 @@ def with_sizes(nodes: DataFrame, scratch: Scratch) -> DataFrame:
     The sizes are a table of their own, so that Spark can split a node that holds many rows.
     """
     sizes = nodes.groupBy("path").agg(F.count("*").alias("n"), (F.min("c") != F.max("c")).alias("open")).where("open")
-    return nodes.join(scratch.cut(sizes.select("path", "n")), "path")
+    return nodes.join(scratch.side(sizes.select("path", "n")), "path")
 
 
 def with_main(large: DataFrame, scratch: Scratch) -> DataFrame:
@@ -393,7 +423,7 @@ def with_main(large: DataFrame, scratch: Scratch) -> DataFrame:
     parts = large.groupBy("path", "c").agg(F.count("*").alias("k"))
     main = parts.groupBy("path").agg(F.max(F.struct("k", "c")).alias("m"), F.count("*").alias("parts"), F.sum("k").alias("n"))
     main = main.where("parts > 1").select("path", "n", F.col("m.c").alias("main"), (F.col("n") - F.col("m.k")).alias("outside"))
-    return large.join(scratch.cut(main), "path")
+    return large.join(scratch.side(main), "path")
 
 
 def stars(large: DataFrame, scratch: Scratch) -> DataFrame:
@@ -404,7 +434,7 @@ def stars(large: DataFrame, scratch: Scratch) -> DataFrame:
     # components of one row each have no main one: then pivots are any rows
     centre = (F.col("c") == F.col("main")) | (F.col("outside") == F.col("n") - 1)
     pivot = rows.where(centre).groupBy("path", turn.alias("turn")).agg(F.min(F.struct(h.alias("h"), F.col("id").alias("pivot"), F.col("sketch").alias("other"))).alias("p"))
-    pivot = scratch.cut(pivot.select("path", "p.pivot", "p.other"))
+    pivot = scratch.side(pivot.select("path", "p.pivot", "p.other"))
     outside = rows.where((F.col("c") != F.col("main")) | (F.col("outside") == F.col("n") - 1)).select("path", "id", "sketch")
     met = outside.join(pivot, "path").where("id != pivot").withColumn("agree", agreement("sketch", "other"))
     return met.where(F.col("agree") >= AGREE).select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b"), "agree")
