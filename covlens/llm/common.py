@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import sys
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark import cloudpickle
@@ -139,6 +141,18 @@ def is_space(data: np.ndarray) -> np.ndarray:
     return _SPACE[data]
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """Within, jobs hand workers at most ``rows`` rows at a time; the session's setting comes back after."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 class Scratch:
     """Tables written to the shared checkpoint folder, so that a lost executor costs one step at most."""
 

@@ -47,7 +47,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from covlens.llm.common import SIDE_BYTES, Scratch, chunks, hash_words, is_space, joined, mix, table, utf8
+from covlens.llm.common import SIDE_BYTES, Scratch, chunks, hash_words, is_space, joined, mix, small_batches, table, utf8
 
 POSITIONS, TREES, BRANCH, LEVELS = 64, 8, 2, 3
 #: Pivots of a large node at the roots.
@@ -324,21 +324,12 @@ def across(candidates: DataFrame, components: Components) -> DataFrame:
     return components.of(components.of(once, "a", "ca"), "b", "cb").where("ca != cb").select("a", "b", "agree")
 
 
-def near_duplicates(docs: DataFrame, words: int = 5, similarity: int = 80, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row of ``docs``: id, n_shingles, component_id (smallest id reachable), kept (id = component_id).
-
-    ``similarity`` is the least Jaccard similarity of linked texts in hundredths, 80 or more (``AGREE`` is made for that).
-    Ids are cast to long. A row without an id has no component and is kept.
-    """
-    if not 80 <= similarity <= 100:
-        raise ValueError("similarity must be 80 to 100")
-    scratch = Scratch(docs.sparkSession)
-    docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text"))
+def linked(docs: DataFrame, words: int, similarity: int, scratch: Scratch, components: Components) -> DataFrame:
+    """Joins in ``components`` what is similar among ``docs`` (id, text); returns (id, n_shingles, set_key, rep), rep standing for rows of equal sets."""
     rows = scratch.cut(fingerprints(docs, words))
     classes = rows.where("set_key is not null and id is not null").groupBy("set_key").agg(F.min("id").alias("rep"), F.first("tokens").alias("tokens"), F.first("sketch").alias("sketch"))
     classes = scratch.cut(classes)
     members = rows.select("id", "n_shingles", "set_key").join(classes.select("set_key", "rep"), "set_key", "left")
-    components = Components(scratch)
     twice = members.where("rep is not null").groupBy("id").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo < hi")
     same_id = scratch.cut(members.join(twice, "id").select(F.col("rep").alias("u"), F.col("lo").alias("v")))
     if not same_id.isEmpty():
@@ -397,7 +388,21 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: int = 80, id_co
             tidy(large)
             continue
         break
+    return members
+
 
+def near_duplicates(docs: DataFrame, words: int = 5, similarity: int = 80, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """Per row of ``docs``: id, n_shingles, component_id (smallest id reachable), kept (id = component_id).
+
+    ``similarity`` is the least Jaccard similarity of linked texts in hundredths, 80 or more (``AGREE`` is made for that).
+    Ids are cast to long. A row without an id has no component and is kept.
+    """
+    if not 80 <= similarity <= 100:
+        raise ValueError("similarity must be 80 to 100")
+    scratch = Scratch(docs.sparkSession)
+    components = Components(scratch)
+    with small_batches(docs.sparkSession):  # rows carry texts and sets
+        members = linked(docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text")), words, similarity, scratch, components)
     out = components.of(members, "rep", "c")
     scratch.clear(out)
     component = F.coalesce("c", "id")
