@@ -3,6 +3,7 @@
 import datetime
 import math
 import random
+import time
 import zlib
 
 import duckdb
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from covlens.llm import decontaminate, htmltext, langid, lmscore, neardup, packing, pii, quality_knn, rules, substrings
-from covlens.llm.common import utf8
+from covlens.llm.common import Scratch, utf8
 from covlens.llm.queries import QUERIES
 from tests.llm import plain
 
@@ -330,6 +331,51 @@ def test_merged_transforms_are_that_of_all_strings():
     assert one.tolist() == many.tolist() == want
 
 
+def test_merging_takes_no_longer_for_more_shards():
+    bwt = np.tile(np.arange(1, 65, dtype=np.uint8), 6400)
+    took = []
+    for shards in (4, 800):
+        first = time.process_time()
+        substrings.merged([part.copy() for part in np.split(bwt, shards)], 4)
+        took.append(time.process_time() - first)
+    assert took[1] < 8 * took[0]
+
+
+def test_order_of_suffixes_and_least_hashes():
+    r = np.random.default_rng(5)
+    for kind, most in ((np.uint8, 3), (np.uint8, 255), (np.uint16, 256)):
+        symbols = r.integers(0, most + 1, 2000).astype(kind)
+        symbols[100:400] = 1
+        symbols[-1] = 0
+        ends = np.flatnonzero(symbols == 0)
+        left = [symbols[i : ends[np.searchsorted(ends, i)]].tolist() for i in range(len(symbols))]
+        assert substrings.suffixes(symbols).tolist() == sorted(range(len(symbols)), key=lambda i, left=left: (left[i], i))
+    assert substrings.suffixes(np.array([1, 0], np.uint8)).tolist() == [1, 0]
+    huge = np.array([1 << 62, 5, 1 << 62, 0])
+    assert substrings.ordered(huge)[0].tolist() == [3, 1, 0, 2]
+    data = r.integers(0, 4, 3 * substrings.PIECE + 77).astype(np.uint8)
+    data[substrings.PIECE - 60 : substrings.PIECE + 60] = data[:120]
+    h = substrings.least_hashes(np.append(data, np.zeros(substrings.LENGTH + 16, np.uint8)), len(data))
+    at = np.flatnonzero(h[: 120 - substrings.LENGTH + 1] == h[substrings.PIECE - 60 : substrings.PIECE + 61 - substrings.LENGTH])
+    assert len(at) == 120 - substrings.LENGTH + 1 and len(np.unique(h)) > len(h) // 50
+
+
+def shuffle_files(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return sum(files.apply(i).getName().startswith("shuffle_") for i in range(files.size()))
+
+
+def test_written_tables_leave_no_shuffle_files(spark):
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, had = spark.conf.get(setting, None), shuffle_files(spark)
+    out = Scratch(spark).cut(spark.range(20_000).repartition(4, "id").groupBy((F.col("id") % 7).alias("k")).count())
+    until = time.time() + 10
+    while shuffle_files(spark) > had and time.time() < until:
+        time.sleep(0.1)
+    assert shuffle_files(spark) <= had and out.count() == 7
+    assert spark.conf.get(setting, None) == before
+
+
 def test_language_model(spark):
     docs = documents(300)
     words, flat = lmscore.fit(spark.createDataFrame(docs, "doc_id long, text string").repartition(4), rounds=6)
