@@ -13,8 +13,8 @@ is padded.
 
 Document frequencies and the mean length are counted over the whole corpus, in
 ``SLOTS`` hashed words: the table is of a fixed size and is all that is broadcast.
-The texts' words are counted once, and the counts are written beside the texts and
-shuffled with them; a worker holds one shard.
+The texts' words are counted twice, for these figures and where the documents are dealt, from where
+the counts are shuffled beside the texts; nothing else is written. A worker holds one shard.
 
 Null and empty texts are a single end token. Repeated rows are packed once each.
 An empty table gives no rows. Only the id and text columns are read.
@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from covlens.llm.common import Scratch, chunks, hash_words, joined, table, utf8
+from covlens.llm.common import chunks, hash_words, joined, table, utf8
 
 WINDOW = 4096
 END_ID = 2
@@ -135,35 +135,21 @@ def slots_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return tuple(np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.empty(0, np.int64),) * 3
 
 
-def counted(docs: DataFrame, id_col: str, text: str) -> DataFrame:
-    """id, text, and the text's distinct word slots (by number) with their counts, as 32-bit integers."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            for i in range(0, len(b), TEXTS_AT_ONCE):
-                part = b.iloc[i : i + TEXTS_AT_ONCE]
-                text, slot, count = slots_of(utf8(part["text"]))
-                edge = np.searchsorted(text, np.arange(len(part) + 1))
-                slot, count = slot.astype("<i4"), count.astype("<i4")
-                own = list(itertools.pairwise(edge))
-                yield part.assign(slots=[slot[i:j].tobytes() for i, j in own], counts=[count[i:j].tobytes() for i, j in own])
-
-    schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("text", T.StringType()), T.StructField("slots", T.BinaryType()), T.StructField("counts", T.BinaryType())])
-    return docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text}`").alias("text")).mapInPandas(run, schema)
-
-
-def corpus_statistics(rows: DataFrame) -> tuple[np.ndarray, int, float]:
-    """Documents with each word slot, documents, and mean words of ``counted`` rows; SLOTS + 2 numbers reach the driver."""
+def corpus_statistics(docs: DataFrame, text: str) -> tuple[np.ndarray, int, float]:
+    """Documents with each word slot, documents, and mean words; SLOTS + 2 numbers reach the driver."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         found, n, total = np.zeros(SLOTS, np.int64), 0, 0
         for b in batches:
-            found += np.bincount(np.frombuffer(b"".join(b["slots"]), "<i4"), minlength=SLOTS)
-            n, total = n + len(b), total + int(np.frombuffer(b"".join(b["counts"]), "<i4").sum(dtype=np.int64))
+            for i in range(0, len(b), 10 * TEXTS_AT_ONCE):
+                _, slot, times = slots_of(utf8(b["text"].iloc[i : i + 10 * TEXTS_AT_ONCE]))
+                found += np.bincount(slot, minlength=SLOTS)
+                total += int(times.sum())
+            n += len(b)
         at = np.flatnonzero(found)
         yield pd.DataFrame({"slot": np.concatenate((at, [-1, -2])), "n": np.concatenate((found[at], [n, total]))})
 
-    counts = rows.select("slots", "counts").mapInPandas(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
+    counts = docs.select(F.col(f"`{text}`").alias("text")).mapInPandas(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
     by = dict(zip(counts["slot"], counts["n"], strict=True))
     n, total = int(by.pop(-1, 0)), int(by.pop(-2, 0))
     df = np.zeros(SLOTS, np.int64)
@@ -171,20 +157,40 @@ def corpus_statistics(rows: DataFrame) -> tuple[np.ndarray, int, float]:
     return df, n, total / n if n else 0.0
 
 
-def rarest(slots: list[bytes], df: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of each text the slot that the fewest texts have, but two at least (-1 without any), and how many have it."""
-    slot = np.frombuffer(b"".join(slots), "<i4")
-    sizes = np.array([len(s) // 4 for s in slots])
-    owner = np.repeat(np.arange(len(slots)), sizes)
+def rarest(owner: np.ndarray, slot: np.ndarray, texts: int, df: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each text the slot that the fewest texts have, but two at least (-1 without any), and how many have it; of ``slots_of``."""
     shared = df[slot] >= 2
     slot, owner = slot[shared], owner[shared]
-    order = np.lexsort((slot, df[slot], owner))
-    first = order[np.flatnonzero(np.diff(owner[order], prepend=-1))]
-    out, n = np.full(len(slots), -1, np.int64), np.ones(len(slots), np.int64)
-    out[owner[first]], n[owner[first]] = slot[first], df[slot[first]]
+    out, n = np.full(texts, -1, np.int64), np.ones(texts, np.int64)
+    first = np.flatnonzero(np.diff(owner, prepend=-1))
+    if len(first):
+        least = np.minimum.reduceat(df[slot] * SLOTS + slot, first)
+        out[owner[first]], n[owner[first]] = least % SLOTS, least // SLOTS
     return out, n
 
 
+def counted(docs: DataFrame, id_col: str, text: str, df) -> DataFrame:
+    """id, text, its distinct word slots (by number) with their counts, as 32-bit integers, its rarest shared word and in how many parts that is dealt.
+
+    ``df`` is a broadcast of the documents that have each slot.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for i in range(0, len(b), TEXTS_AT_ONCE):
+                part = b.iloc[i : i + TEXTS_AT_ONCE]
+                owner, slot, count = slots_of(utf8(part["text"]))
+                word, n = rarest(owner, slot, len(part), df.value)
+                edge = np.searchsorted(owner, np.arange(len(part) + 1))
+                slot, count = slot.astype("<i4"), count.astype("<i4")
+                own = list(itertools.pairwise(edge))
+                yield part.assign(slots=[slot[i:j].tobytes() for i, j in own], counts=[count[i:j].tobytes() for i, j in own], word=word, parts=-(-n // DEALT_TOGETHER))
+
+    schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("text", T.StringType()), T.StructField("slots", T.BinaryType()),
+                           T.StructField("counts", T.BinaryType()), T.StructField("word", T.LongType()), T.StructField("parts", T.LongType())])
+    return docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text}`").alias("text")).mapInPandas(run, schema)
+
+
 class Shard:
     """An inverted index of some documents: per word slot, who holds it and with which BM25 weight."""
 
@@ -279,17 +285,9 @@ def pack(docs: DataFrame, window: int = WINDOW, tokenizer: str | None = None, id
     ``window`` must be a power of two. ``tokenizer`` must exist on every executor.
     """
     path = tokenizer or default_tokenizer()
-    rows = Scratch(docs.sparkSession).cut(counted(docs, id_col, text))
-    df, n, mean_words = corpus_statistics(rows)
+    df, n, mean_words = corpus_statistics(docs, text)
     held = docs.sparkSession.sparkContext.broadcast(np.log1p((n - df + 0.5) / (df + 0.5)).astype(np.float32))
-    seen = docs.sparkSession.sparkContext.broadcast(df)
-
-    @F.pandas_udf("word long, parts long")
-    def rare(slots: pd.Series) -> pd.DataFrame:
-        word, n = rarest(list(slots), seen.value)
-        return pd.DataFrame({"word": word, "parts": -(-n // DEALT_TOGETHER)})
-
-    placed = rows.withColumn("rare", rare("slots")).select("*", "rare.word", "rare.parts")
+    placed = counted(docs, id_col, text, docs.sparkSession.sparkContext.broadcast(df))
     # without a shared word a document has no neighbours, and any place will do
     part = F.when(F.col("word") < 0, F.pmod(F.xxhash64("text"), F.lit(SLOTS))).otherwise(F.pmod(F.xxhash64("text", "id"), F.col("parts")))
     dealt = placed.withColumn("part", part).repartition("word", "part").sortWithinPartitions("word", "part").select("id", "text", "slots", "counts")

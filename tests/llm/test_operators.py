@@ -180,6 +180,21 @@ def test_packing_round_trip(spark):
     assert row.c == zlib.crc32(row.ids)
 
 
+def test_packing_writes_no_second_copy_of_the_texts(spark, monkeypatch):
+    def cut(self, df):
+        raise AssertionError("a table is written")
+
+    monkeypatch.setattr(Scratch, "cut", cut)
+    assert packing.pack(spark.createDataFrame(documents(20), "doc_id long, text string")).select("doc_id").distinct().count() == 20
+
+
+def test_rarest_shared_word():
+    df = np.array([9, 1, 4, 2, 2, 1])
+    word, n = packing.rarest(np.array([0, 0, 0, 2, 2, 3, 4, 4]), np.array([0, 1, 2, 3, 4, 5, 0, 4]), 6, df)
+    assert word.tolist() == [2, -1, 3, -1, 4, -1] and n.tolist() == [4, 1, 2, 1, 2, 1]
+    assert packing.rarest(np.empty(0, np.int64), np.empty(0, np.int64), 1, df)[0].tolist() == [-1]
+
+
 def test_seed_is_followed_by_its_neighbour():
     texts = [b"alpha beta gamma", b"other words here", b"alpha beta delta", b"words here too"]
     text, slot, count = packing.slots_of(texts)
