@@ -57,6 +57,8 @@ SMALL, FEW = 10, 32
 FIRST = (1, 16)
 AGREE = 36
 BLOCK = 256
+#: Bytes of text that a worker hashes at a time; its arrays take some 40 times as many.
+TEXT_BYTES = 1 << 17
 #: Links that one task contracts at a time.
 LOCAL_LINKS = 250_000
 _ODD = mix(np.arange(1, POSITIONS + 65, dtype=np.uint64)) | np.uint64(1)
@@ -65,7 +67,7 @@ _XOR = mix(np.arange(1001, 1001 + POSITIONS, dtype=np.uint64))
 
 def shingle_sets(texts: list[bytes], words: int) -> Iterator[np.ndarray]:
     """The sorted distinct shingle hashes of each text; a shorter text is one shingle."""
-    for i, j in chunks(texts):
+    for i, j in chunks(texts, TEXT_BYTES):
         data, begin = joined([t.lower() for t in texts[i:j]])
         starts, h = hash_words(data, ~is_space(data))
         edges = np.searchsorted(starts, np.append(begin, len(data)))
@@ -98,7 +100,7 @@ def fingerprints(docs: DataFrame, words: int) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             texts = utf8(b["text"])
-            for i, j in chunks(texts):
+            for i, j in chunks(texts, TEXT_BYTES):
                 sets = list(shingle_sets(texts[i:j], words))
                 full = [s for s in sets if len(s)]
                 tokens = minwise(full) if full else np.empty((0, POSITIONS), "<u4")
@@ -278,7 +280,7 @@ def sets_of(docs: DataFrame, pairs: DataFrame, words: int, scratch: Scratch) ->
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             texts = utf8(b["text"])
-            for i, j in chunks(texts):
+            for i, j in chunks(texts, TEXT_BYTES):
                 yield pd.DataFrame({"id": b["id"].iloc[i:j].array, "members": [s.tobytes() for s in shingle_sets(texts[i:j], words)]})
 
     return scratch.cut(docs.join(ids, "id", "left_semi").mapInPandas(run, "id long, members binary").where("length(members) > 0"))

@@ -4,16 +4,18 @@ import datetime
 import math
 import random
 import time
+import tracemalloc
 import zlib
 
 import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from covlens.llm import decontaminate, htmltext, langid, lmscore, neardup, packing, pii, quality_knn, rules, substrings
-from covlens.llm.common import Scratch, utf8
+from covlens.llm.common import Scratch, _powers, utf8
 from covlens.llm.queries import QUERIES
 from tests.llm import plain
 
@@ -157,6 +159,27 @@ def test_large_nodes_end_in_blocks(spark, monkeypatch):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == plain.components(docs, 4)
 
 
+def test_fingerprints_need_little_memory_for_many_texts():
+    r = np.random.default_rng(6)
+    text = " ".join(map(str, r.integers(0, 10**6, 700)))
+    docs = [f"{i} {text}" for i in range(250)]
+    expected = [len({tuple(w[k : k + 5]) for k in range(len(w) - 4)}) for w in map(str.split, docs)]
+    run = []
+
+    class Docs:  # what fingerprints hands to Spark, called here
+        @staticmethod
+        def mapInPandas(function, schema):
+            run.append(function)
+
+    neardup.fingerprints(Docs, 5)
+    _powers.clear()
+    tracemalloc.start()
+    out = pd.concat(run[0](iter([pd.DataFrame({"id": range(len(docs)), "text": docs})])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert out["n_shingles"].tolist() == expected and peak < 20 << 20
+
+
 def test_packing_round_trip(spark):
     docs = documents(400)
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
