@@ -8,20 +8,17 @@ a node's children are drawn from a hash of its path, and a class follows a child
 it has that token there. Then, level by level:
 
 * a node of at most ``SMALL`` classes is compared exhaustively by tokens;
-* in a larger root everyone outside its largest component is compared with PIVOTS pivots of that
-  component (any rows as long as there is none), and the links found there make its
-  components. The first tree's roots come first, so the other trees meet a group of copies as one
-  component. A node of one component is finished; one where at most
-  ``FEW`` members lie outside the largest component is finished by comparing those
-  with everyone; any other node branches into ``BRANCH`` children;
-* after ``LEVELS`` levels the nodes that are still large are compared in blocks, where each
-  member is given its likeliest partners of other components first, then more of them,
-  and at last all that agree, as far as they still join two components.
-
-Candidates agree in at least ``AGREE`` of the positions (five standard deviations
-below the threshold) and are confirmed on full sets, after each of these steps: first
-the likeliest partner of each, then whatever still joins two components. So a group of
-copies costs a number of comparisons in proportion to its size. Two classes at a threshold of 0.8 meet in a tree
+* so is a larger one with at most ``FEW`` members outside its largest component: they meet all others,
+  block by block, and the members of the component do not meet each other;
+* any other node branches into ``BRANCH`` children;
+* large roots are first compared within blocks of about ``BLOCK`` members, which joins their copies. The first
+  tree's roots come first, so that the other trees meet a group of copies as one component;
+* after ``LEVELS`` levels all blocks outside the largest component meet all other blocks.
+
+Two members that agree in at least ``AGREE`` of the positions (five standard deviations
+below the threshold) are compared by their full sets, which travel to where their node is compared, and only links that join
+two components leave it: no list of candidate pairs is made, and a block yields fewer links than it has members.
+Two classes at a threshold of 0.8 meet in a tree
 with probability 0.8 if its root nodes are small, and with 0.753 if their nodes stay large through all ``LEVELS``.
 With what ``AGREE`` rejects (4 in a million) they are missed with about 7 in a million, or about 2 in 100,000.
 
@@ -45,18 +42,12 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from covlens.llm.common import SIDE_BYTES, Scratch, chunks, hash_words, is_space, joined, mix, small_batches, table, utf8
 
 POSITIONS, TREES, BRANCH, LEVELS = 64, 8, 2, 3
-#: Pivots of a large node at the roots.
-PIVOTS = 4
-SMALL, FEW = 10, 32
-#: Partners that a row of a node still large is given in turn; after them all that agree.
-FIRST = (1, 16)
+SMALL, FEW, BLOCK = 512, 512, 512
 AGREE = 36
-BLOCK = 256
 #: Bytes of text that a worker hashes at a time; its arrays take some 40 times as many.
 TEXT_BYTES = 1 << 17
 #: Links that one task contracts at a time.
@@ -122,88 +113,92 @@ def _matrix(values) -> np.ndarray:
     return np.frombuffer(b"".join(values), np.uint8).reshape(-1, POSITIONS)
 
 
-@F.pandas_udf(T.IntegerType())
-def agreement(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Positions in which two sketches agree."""
-    return pd.Series((_matrix(a) == _matrix(b)).sum(axis=1), dtype="int32")
-
-
-@F.pandas_udf(T.ArrayType(T.StructType([T.StructField("other", T.LongType()), T.StructField("agree", T.IntegerType())])))
-def agreeing(sketch: pd.Series, ids: pd.Series, sketches: pd.Series) -> pd.Series:
-    """Of up to FEW others, those that agree with ``sketch``."""
-    out = []
-    for s, i, o in zip(sketch, ids, sketches, strict=True):
-        n = (_matrix(o) == np.frombuffer(s, np.uint8)).sum(axis=1)
-        out.append([{"other": int(i[k]), "agree": int(n[k])} for k in np.flatnonzero(n >= AGREE)])
-    return pd.Series(out)
-
-
-def within_groups(rows: DataFrame, keys: list[str], across: str | None = None, best: int | None = None) -> DataFrame:
-    """Agreeing pairs (a < b) of rows with equal ``keys``; groups are bounded by the caller.
-
-    With ``across``, only pairs that differ in that column. With ``best``, only each row's ``best``
-    likeliest partners, and ``more`` tells of pairs of which a row has further ones. Rows are dealt by
-    key and sorted, and a worker holds the groups of a batch, each a bounded number of rows.
-    """
+def by_key(rows: DataFrame, work, schema: str) -> DataFrame:
+    """``work`` on frames that hold whole groups of equal ``key``, dealt by key and sorted; groups are bounded by the caller."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rest = None
+        rest: list[pd.DataFrame] = []
         for b in batches:
-            b = b if rest is None else pd.concat([rest, b], ignore_index=True)
             if not len(b):
                 continue
             key = b["key"].to_numpy()
             earlier = np.flatnonzero(key != key[-1])
             last = int(earlier[-1]) + 1 if len(earlier) else 0
-            if last:
-                yield from pairs(b.iloc[:last])
-            rest = b.iloc[last:]
-        if rest is not None and len(rest):
-            yield from pairs(rest)
+            if last or (rest and rest[-1]["key"].iloc[0] != key[0]):
+                yield from work(pd.concat([*rest, b.iloc[:last]], ignore_index=True))
+                rest = []
+            rest.append(b.iloc[last:])
+        if rest:
+            yield from work(pd.concat(rest, ignore_index=True))
 
-    def pairs(b: pd.DataFrame) -> Iterator[pd.DataFrame]:
-        key, ids, sketch = b["key"].to_numpy(), b["id"].to_numpy(), _matrix(b["sketch"])
-        part = b["part"].to_numpy()
-        if best is not None:
-            for i, j in itertools.pairwise([0, *(np.flatnonzero(key[1:] != key[:-1]) + 1), len(key)]):
-                yield from likeliest(ids[i:j], sketch[i:j], part[i:j])
-            return
+    return rows.repartition("key").sortWithinPartitions("key").mapInPandas(run, schema)
+
+
+def with_partners(rows: DataFrame) -> DataFrame:
+    """Of rows (key, id, c, sketch) those that agree with one of another component in their group."""
+
+    def work(b: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        key, c, sketch = b["key"].to_numpy(), b["c"].to_numpy(), _matrix(b["sketch"])
+        found = np.zeros(len(b), bool)
         for d in range(1, len(key)):
             i = np.flatnonzero(key[:-d] == key[d:])
             if not len(i):
                 break
-            i = i[(ids[i] != ids[i + d]) & ((part[i] != part[i + d]) if across else True)]
-            for k in range(0, len(i), 1 << 16):
-                at = i[k : k + (1 << 16)]
-                agree = (sketch[at] == sketch[at + d]).sum(axis=1)
-                at, agree = at[agree >= AGREE], agree[agree >= AGREE]
-                if len(at):
-                    yield out(ids[at], ids[at + d], agree, np.zeros(len(at), bool))
-
-    def likeliest(ids: np.ndarray, sketch: np.ndarray, part: np.ndarray) -> Iterator[pd.DataFrame]:
-        for i in range(0, len(ids), 64):
-            agree = (sketch[i : i + 64, None, :] == sketch[None, :, :]).sum(axis=2)
-            agree[(ids[i : i + 64, None] == ids[None, :]) | ((part[i : i + 64, None] == part[None, :]) if across else False)] = 0
-            order = np.argsort(-agree, axis=1, kind="stable")[:, : best + 1]
-            top = np.take_along_axis(agree, order, 1)
-            at, k = np.nonzero(top[:, :best] >= AGREE)
-            if len(at):
-                more = (top[:, best] >= AGREE) if top.shape[1] > best else np.zeros(len(top), bool)
-                yield out(ids[i + at], ids[order[at, k]], top[at, k], more[at])
-
-    def out(a, b, agree, more) -> pd.DataFrame:
-        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b), "agree": agree.astype("int32"), "more": more})
-
-    key = F.xxhash64(*keys)
-    part = F.col(across) if across else F.lit(0).cast("long")
-    dealt = rows.select(key.alias("key"), "id", "sketch", part.alias("part")).repartition("key").sortWithinPartitions("key")
-    return dealt.mapInPandas(run, "a long, b long, agree int, more boolean")
+            i = i[c[i] != c[i + d]]
+            agree = (sketch[i] == sketch[i + d]).sum(axis=1) >= AGREE
+            found[i[agree]] = found[i[agree] + d] = True
+        if found.any():
+            yield b[found]
+
+    return by_key(rows.select("key", "id", "c", "sketch"), work, "key long, id long, c long, sketch binary")
+
+
+def joining(rows: DataFrame, similarity: int) -> DataFrame:
+    """Links (u, v) that join the components of each group of rows (key, id, c, sketch, members).
+
+    Rows that agree are linked if 100 * intersection >= similarity * union of their full sets;
+    those that are joined already are not compared.
+    """
+
+    def work(b: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        key, ids, sketch = b["key"].to_numpy(), b["id"].to_numpy(), _matrix(b["sketch"])
+        edges = [0, *(np.flatnonzero(key[1:] != key[:-1]) + 1), len(key)]
+        links = []
+        for i, j in itertools.pairwise(edges):
+            sets = [np.frombuffer(m, np.uint64) for m in b["members"].iloc[i:j]]
+            links += [(ids[i + x], ids[i + y]) for x, y in spanning(sets, sketch[i:j], b["c"].to_numpy()[i:j], similarity)]
+        if links:
+            yield pd.DataFrame(links, columns=["u", "v"])
+
+    return by_key(rows.select("key", "id", "c", "sketch", "members"), work, "u long, v long")
+
+
+def spanning(sets: list[np.ndarray], sketch: np.ndarray, c: np.ndarray, similarity: int) -> Iterator[tuple[int, int]]:
+    """Similar pairs of places that join two components, each pair joining two that those before it have not."""
+    values, member = np.unique(np.concatenate(sets), return_inverse=True)
+    n = np.array([len(s) for s in sets])
+    first = np.cumsum(n) - n
+    seen, label = np.zeros(len(values), np.int32), c.copy()
+    for i in range(len(sets) - 1):
+        other = np.flatnonzero(label[i + 1 :] != label[i]) + i + 1
+        other = other[(sketch[other] == sketch[i]).sum(axis=1) >= AGREE]
+        if not len(other):
+            continue
+        own = member[first[i] : first[i] + n[i]]
+        seen[own] = 1
+        lo, hi = other[0], other[-1]
+        common = np.add.reduceat(seen[member[first[lo] : first[hi] + n[hi]]], first[lo : hi + 1] - first[lo])[other - lo]
+        seen[own] = 0
+        for j in other[100 * common >= similarity * (n[i] + n[other] - common)]:
+            if label[j] != label[i]:
+                yield i, int(j)
+                label[label == label[j]] = label[i]
 
 
 def children(rows: DataFrame, branch: int) -> DataFrame:
-    """(path, id, c, sketch) of the ``branch`` children of every row's node; the node's path alone picks the positions."""
+    """(path, id, sketch) of the ``branch`` children of every row's node; the node's path alone picks the positions."""
     options = [F.xxhash64("path", F.lit(k), token(F.pmod(F.xxhash64("path", F.lit(k)), F.lit(POSITIONS)).cast("int"))) for k in range(branch)]
-    return rows.select(F.explode(F.array(*options)).alias("path"), "id", "c", "sketch")
+    return rows.select(F.explode(F.array(*options)).alias("path"), "id", "sketch")
 
 
 def contracted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -273,9 +268,9 @@ class Components:
         return wrong.isEmpty()
 
 
-def sets_of(docs: DataFrame, pairs: DataFrame, words: int, scratch: Scratch) -> DataFrame:
-    """(id, members) of the ids of ``pairs`` (a, b): their full sets, written once."""
-    ids = scratch.side(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())  # if they are too many, the texts are shuffled
+def sets_of(docs: DataFrame, found: DataFrame, words: int, scratch: Scratch) -> DataFrame:
+    """(id, members) of the ids of ``found``: their full sets, written once."""
+    ids = scratch.side(found.select("id").distinct())  # if they are too many, the texts are shuffled
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -286,44 +281,15 @@ def sets_of(docs: DataFrame, pairs: DataFrame, words: int, scratch: Scratch) ->
     return scratch.cut(docs.join(ids, "id", "left_semi").mapInPandas(run, "id long, members binary").where("length(members) > 0"))
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
-    """Links (u, v): pairs (a, b) whose full sets have 100 * intersection >= similarity * union."""
-
-    @F.pandas_udf(T.BooleanType())
-    def similar(x: pd.Series, y: pd.Series) -> pd.Series:
-        out = []
-        for p, q in zip(x, y, strict=True):
-            total = (len(p) + len(q)) // 8
-            common = total - len(np.unique(np.concatenate((np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64)))))
-            out.append(100 * common >= similarity * (total - common))
-        return pd.Series(out, dtype=bool)
-
-    right = pairs.join(sets.select(F.col("id").alias("b"), F.col("members").alias("y")), "b")
-    return right.join(sets.select(F.col("id").alias("a"), F.col("members").alias("x")), "a").where(similar("x", "y")).select(F.col("a").alias("u"), F.col("b").alias("v"))
-
-
-def link(docs: DataFrame, candidates: DataFrame, components: Components, words: int, similarity: int, scratch: Scratch) -> None:
-    """Joins components by the candidates (a, b, agree) that hold: the likeliest partner of each first, then the rest.
-
-    What the first links have joined is not compared again, so a group of copies
-    costs a number of comparisons in proportion to its size.
-    """
-    left = scratch.cut(across(candidates, components))
-    if left.isEmpty():
+def link(docs: DataFrame, found: DataFrame, components: Components, words: int, similarity: int, scratch: Scratch) -> None:
+    """Joins the components of what is similar within the groups of ``found`` (key, id, c, sketch)."""
+    found = scratch.cut(found)
+    if found.isEmpty():
         return
-    sets = sets_of(docs, left, words, scratch)
-    best = F.min(F.struct(-F.col("agree"), "a")).alias("p")
-    pairs = scratch.cut(left.groupBy("b").agg(best).select(F.col("p.a").alias("a"), "b"))
-    components.add(confirmed(pairs, sets, similarity))
-    pairs = scratch.cut(across(left, components).select("a", "b"))
-    if not pairs.isEmpty():
-        components.add(confirmed(pairs, sets, similarity))
-
-
-def across(candidates: DataFrame, components: Components) -> DataFrame:
-    """Candidates (a, b, agree), once each, that join two components."""
-    once = candidates.groupBy("a", "b").agg(F.max("agree").alias("agree"))
-    return components.of(components.of(once, "a", "ca"), "b", "cb").where("ca != cb").select("a", "b", "agree")
+    sets = sets_of(docs, found, words, scratch)
+    links = scratch.cut(joining(found.join(sets, "id"), similarity))
+    if not links.isEmpty():
+        components.add(links)
 
 
 def linked(docs: DataFrame, words: int, similarity: int, scratch: Scratch, components: Components) -> DataFrame:
@@ -343,53 +309,38 @@ def linked(docs: DataFrame, words: int, similarity: int, scratch: Scratch, compo
     def tidy(*more: DataFrame) -> None:
         scratch.clear(*kept, *more, *([components.labels] if components.labels is not None else []))
 
-    # the first tree's roots join the groups of copies, so that the others meet each group as one component
-    for trees in (range(1), range(TREES)):
-        first = len(trees) == 1
-        nodes = components.of(classes.select(F.posexplode(roots(trees)).alias("tree", "path"), F.col("rep").alias("id"), "sketch"), "id", "c")
-        shared = scratch.cut(with_sizes(nodes, scratch))
-        seen = F.lit(False) if first else F.col("tree") == 0
-        small = shared.where((F.col("n") <= SMALL) & ~seen)
-        large = shared.where(F.col("n") > SMALL)
-        found = scratch.cut(within_groups(small, ["path"], across="c").drop("more").unionByName(stars(large, scratch)))
+    def still_open(nodes: DataFrame) -> DataFrame:
+        return scratch.cut(with_main(components.of(nodes, "id", "c"), scratch))
+
+    def compare(found: DataFrame) -> None:
         link(docs, found, components, words, similarity, scratch)
-        if first:
-            tidy()
 
+    every = classes.select(F.posexplode(roots(range(TREES))).alias("tree", "path"), F.col("rep").alias("id"), "sketch")
+
+    # the first tree's roots join the groups of copies, so that the others meet each group as one component
+    nodes = every.where("tree = 0").drop("tree")
+    for turn in range(2):
+        shared = still_open(nodes)
+        nodes = shared.where(F.col("n") > SMALL).select("path", "id", "sketch")
+        compare(with_partners(in_blocks(shared, turn)))
+        tidy(shared)
+        if nodes.isEmpty():
+            break
+
+    shared = still_open(every)
+    compare(with_partners(in_blocks(shared.where((F.col("tree") > 0) | (F.col("n") > SMALL)), 2)))
+    nodes = shared.where(F.col("n") > SMALL).select("path", "id", "sketch")
     later: list[DataFrame] = []
     for level in range(LEVELS + 1):
-        if level:
-            shared = scratch.cut(with_sizes(nodes, scratch))
-            later.append(scratch.cut(within_groups(shared.where(F.col("n") <= SMALL), ["path"], across="c").drop("more")))
-            large = shared.where(F.col("n") > SMALL)
-        if large.isEmpty():
-            break
-        large = scratch.cut(with_main(components.of(large.select("path", "id", "sketch"), "id", "c"), scratch))
-        if level == LEVELS:
+        shared = still_open(nodes)
+        if shared.isEmpty():
             break
-        few = large.where(F.col("outside") <= FEW)
-        others = scratch.side(few.where("c != main").groupBy("path").agg(F.collect_list(F.struct("id", "sketch")).alias("o")))
-        near = few.join(others.select("path", F.col("o.id").alias("ids"), F.col("o.sketch").alias("sketches")), "path")
-        near = near.select("id", F.explode(agreeing("sketch", "ids", "sketches")).alias("p")).where("id != p.other")
-        later.append(scratch.cut(near.select(F.least("id", "p.other").alias("a"), F.greatest("id", "p.other").alias("b"), "p.agree")))
-        nodes = scratch.cut(children(large.where(F.col("outside") > FEW).select("path", "id", "c", "sketch").join(tokens, "id"), BRANCH))
-        tidy(large, nodes, *later)
+        ready = ((F.col("n") <= SMALL) | (F.col("outside") <= FEW)) if level < LEVELS else F.lit(True)
+        later.append(scratch.cut(with_partners(meetings(shared.where(ready)))))
+        nodes = scratch.cut(children(shared.where(~ready).select("path", "id", "sketch").join(tokens, "id"), BRANCH))
+        tidy(nodes, *later)
     if later:
-        link(docs, reduce(DataFrame.unionByName, later), components, words, similarity, scratch)
-    tidy(large)
-
-    # what is still large: the likeliest partners first, until none is left out
-    for best in (*FIRST, None):
-        large = components.of(large.select("path", "id", "sketch"), "id", "c")
-        large = scratch.cut(with_main(large, scratch))
-        if large.isEmpty():
-            break
-        found = scratch.cut(blocked(large, best))
-        link(docs, found.drop("more"), components, words, similarity, scratch)
-        if not found.where("more").isEmpty():
-            tidy(large)
-            continue
-        break
+        compare(reduce(DataFrame.unionByName, later))
     return members
 
 
@@ -405,7 +356,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: int = 80, id_co
     components = Components(scratch)
     with small_batches(docs.sparkSession):  # rows carry texts and sets
         members = linked(docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text")), words, similarity, scratch, components)
-    out = components.of(members, "rep", "c")
+        out = scratch.cut(components.of(members, "rep", "c").select("id", "n_shingles", "c"))
     scratch.clear(out)
     component = F.coalesce("c", "id")
     return out.select(F.col("id").alias(id_col), "n_shingles", component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))
@@ -416,47 +367,36 @@ def roots(trees: range) -> Column:
     return F.array(*[F.xxhash64(F.lit(t), token(F.lit(t * (POSITIONS // TREES)))) for t in trees])
 
 
-def with_sizes(nodes: DataFrame, scratch: Scratch) -> DataFrame:
-    """Rows of nodes (path, id, c) that hold several components, with their size n.
+def with_main(nodes: DataFrame, scratch: Scratch) -> DataFrame:
+    """Rows (path, id, c and others) of nodes with several components, with their size n, the largest one (main) and how many are outside it.
 
     The sizes are a table of their own, so that Spark can split a node that holds many rows.
     """
-    sizes = nodes.groupBy("path").agg(F.count("*").alias("n"), (F.min("c") != F.max("c")).alias("open")).where("open")
-    return nodes.join(scratch.side(sizes.select("path", "n")), "path")
-
-
-def with_main(large: DataFrame, scratch: Scratch) -> DataFrame:
-    """Rows (path, id, sketch, c) of nodes with several components, with n, the largest one (main) and how many are outside it."""
-    parts = large.groupBy("path", "c").agg(F.count("*").alias("k"))
+    parts = nodes.groupBy("path", "c").agg(F.count("*").alias("k"))
     main = parts.groupBy("path").agg(F.max(F.struct("k", "c")).alias("m"), F.count("*").alias("parts"), F.sum("k").alias("n"))
     main = main.where("parts > 1").select("path", "n", F.col("m.c").alias("main"), (F.col("n") - F.col("m.k")).alias("outside"))
-    return large.join(scratch.side(main), "path")
+    return nodes.join(scratch.side(main), "path")
 
 
-def stars(large: DataFrame, scratch: Scratch) -> DataFrame:
-    """Agreeing pairs (a, b, agree) of PIVOTS rows of each node's largest component with the rows outside it."""
-    rows = with_main(large.select("path", "id", "sketch", "c"), scratch)
-    h = F.xxhash64("path", "id")
-    turn = F.pmod(F.xxhash64("id", "path"), F.lit(PIVOTS))
-    # components of one row each have no main one: then pivots are any rows
-    centre = (F.col("c") == F.col("main")) | (F.col("outside") == F.col("n") - 1)
-    pivot = rows.where(centre).groupBy("path", turn.alias("turn")).agg(F.min(F.struct(h.alias("h"), F.col("id").alias("pivot"), F.col("sketch").alias("other"))).alias("p"))
-    pivot = scratch.side(pivot.select("path", "p.pivot", "p.other"))
-    outside = rows.where((F.col("c") != F.col("main")) | (F.col("outside") == F.col("n") - 1)).select("path", "id", "sketch")
-    met = outside.join(pivot, "path").where("id != pivot").withColumn("agree", agreement("sketch", "other"))
-    return met.where(F.col("agree") >= AGREE).select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b"), "agree")
+def in_blocks(rows: DataFrame, turn: int) -> DataFrame:
+    """Rows of ``with_main`` as groups (key, id, c, sketch): nodes of up to SMALL rows, and blocks of about BLOCK rows of larger ones, others in each turn."""
+    blocks = F.when(F.col("n") > SMALL, F.ceil(F.col("n") / BLOCK)).otherwise(1).cast("long")
+    return rows.select(F.xxhash64("path", F.pmod(F.xxhash64("id", F.lit(turn)), blocks), F.lit(turn)).alias("key"), "id", "c", "sketch")
 
 
-def blocked(large: DataFrame, best: int | None) -> DataFrame:
-    """Agreeing pairs of different components in nodes of any size, in pairs of blocks of about BLOCK rows.
+def meetings(rows: DataFrame) -> DataFrame:
+    """Rows of ``with_main`` as groups (key, id, c, sketch) in which all of a node that are in different components meet.
 
-    With ``best``, each row's likeliest ones in each pair of blocks.
+    In a node of more than SMALL rows those outside the main component are dealt to blocks of about FEW, and those in it to others
+    of about BLOCK; a group is two blocks, one at least of the former. So a node with up to FEW outside is written twice at most.
     """
-    n_blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    df = large.withColumn("block", F.pmod(F.xxhash64("id"), n_blocks).cast("int"))
-    df = df.withColumn("other", F.explode(F.sequence(F.lit(0), n_blocks - 1)))
-    df = df.withColumn("lo", F.least("block", "other")).withColumn("hi", F.greatest("block", "other"))
-    return within_groups(df, ["path", "lo", "hi"], across="c", best=best)
+    outer, inner = F.ceil(F.col("outside") / FEW).cast("int"), F.ceil((F.col("n") - F.col("outside")) / BLOCK).cast("int")
+    h = F.xxhash64("id", F.lit("block"))
+    block = F.when(F.col("c") == F.col("main"), outer + F.pmod(h, inner).cast("int")).otherwise(F.pmod(h, outer).cast("int"))
+    others = F.sequence(F.lit(0), F.when(F.col("c") == F.col("main"), outer).otherwise(outer + inner) - 1)
+    others = F.when(F.col("n") > SMALL, F.filter(others, lambda o: o != F.col("block"))).otherwise(F.array(F.lit(-1)))
+    df = rows.withColumn("block", F.when(F.col("n") > SMALL, block).otherwise(-1)).withColumn("other", F.explode(others))
+    return df.select(F.xxhash64("path", F.least("block", "other"), F.greatest("block", "other")).alias("key"), "id", "c", "sketch")
 
 
 def op3_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:

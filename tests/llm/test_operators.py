@@ -159,6 +159,31 @@ def test_large_nodes_end_in_blocks(spark, monkeypatch):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == plain.components(docs, 4)
 
 
+def test_unlinked_lookalikes_are_not_listed_by_pairs(spark, monkeypatch):
+    n, base = 120, [f"w{i}" for i in range(100)]
+    docs = [(i, " ".join(f"own{i}x{k}" if k in (20, 50, 80) else w for k, w in enumerate(base))) for i in range(n)]  # 85 of 109 shingles in common
+    written, cut = [], neardup.Scratch.cut
+
+    def counted(self, df):
+        out = cut(self, df)
+        written.append(out.count())
+        return out
+
+    monkeypatch.setattr(neardup.Scratch, "cut", counted)
+    got = neardup.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), words=4).collect()
+    assert all(r.kept for r in got) and len(got) == n
+    assert max(written) <= neardup.TREES * n
+
+
+def test_links_of_a_group_span_its_components():
+    own = lambda *more: np.array(sorted([*range(90), *more]), np.uint64)
+    sets = [own(*range(100 * i, 100 * i + 8)) for i in range(1, 6)] + [np.arange(10**6, 10**6 + 50, dtype=np.uint64)]
+    alike = np.zeros((6, neardup.POSITIONS), np.uint8)
+    assert len(list(neardup.spanning(sets, alike, np.arange(6), 80))) == 4
+    assert len(list(neardup.spanning(sets, alike, np.array([0, 0, 0, 3, 3, 5]), 80))) == 1
+    assert not list(neardup.spanning(sets, alike, np.arange(6), 90))
+
+
 def test_fingerprints_need_little_memory_for_many_texts():
     r = np.random.default_rng(6)
     text = " ".join(map(str, r.integers(0, 10**6, 700)))
