@@ -40,7 +40,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     groups = scratch.cut(groups.select("row", "component_id"))
     members = groups.join(rows.select("row", F.col("document.doc_id").alias("doc_id")), "row")
     first = members.groupBy("component_id").agg(F.min(F.struct("doc_id", "row")).alias("first"))
-    dropped = groups.join(first.select(F.col("first.row").alias("row")), "row", "left_anti").select("row")
+    dropped = scratch.side(groups.join(first.select(F.col("first.row").alias("row")), "row", "left_anti").select("row"))
+    scratch.clear(rows, dropped)
     return rows.join(dropped, "row", "left_anti").select("document.*")
 
 

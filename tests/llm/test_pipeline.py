@@ -1,11 +1,14 @@
 """The corpus pipeline against plain versions of its decisions."""
 
+from pathlib import Path
+
 import duckdb
 import numpy as np
 
 import corpus_pipeline
 from covlens.llm.common import Scratch, table
 from covlens.llm import decontaminate, rules
+from covlens.session import checkpoint_root
 from tests.llm import plain
 
 SF = "/root/testdata/sf0.01"
@@ -55,6 +58,16 @@ def test_repeated_ids_leave_one_row(spark):
     assert corpus_pipeline.near_duplicates(spark, docs, SF).count() == 3
 
 
+def test_near_duplicates_leave_one_copy_of_the_rows(spark):
+    def cuts():
+        return set(Path(checkpoint_root(spark).removeprefix("file:"), "covlens").glob("cut-*"))
+
+    docs = spark.createDataFrame([(i, f"text {i // 2} of five words or more", "en", "s", 1) for i in range(20)], "doc_id long, text string, lang string, source string, n_chars long")
+    before = cuts()
+    out = corpus_pipeline.near_duplicates(spark, docs, SF)
+    assert len(cuts() - before) == 3 and out.count() == 10  # the rows, their classes and those dropped
+
+
 def test_rows_of_one_id_are_judged_by_their_texts(spark):
     a, b = "a text of five words or more", "quite another text that is of five words or more as well"
     docs = spark.createDataFrame([(1, a, "en", "s", 1), (1, b, "en", "s", 1), (0, a, "en", "s", 1)], "doc_id long, text string, lang string, source string, n_chars long")
