@@ -48,6 +48,8 @@ from covlens.llm.common import SIDE_BYTES, Scratch, chunks, hash_words, is_space
 POSITIONS, TREES, BRANCH, LEVELS = 64, 8, 2, 3
 SMALL, FEW, BLOCK = 512, 512, 512
 AGREE = 36
+#: Most groups of an id that are listed beside it.
+MANY = 256
 #: Bytes of text that a worker hashes at a time; its arrays take some 40 times as many.
 TEXT_BYTES = 1 << 17
 #: Links that one task contracts at a time.
@@ -153,6 +155,40 @@ def with_partners(rows: DataFrame) -> DataFrame:
     return by_key(rows.select("key", "id", "c", "sketch"), work, "key long, id long, c long, sketch binary")
 
 
+def once(rows: DataFrame) -> DataFrame:
+    """Of rows (key, id, c, sketch) those that agree in their group with one that they meet in no group of a smaller key.
+
+    So a pair that meets in several groups is compared in the first of them alone. An id of more than MANY groups is taken to meet its partners there only.
+    """
+
+    def work(b: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        key, c, sketch = b["key"].to_numpy(), b["c"].to_numpy(), _matrix(b["sketch"])
+        found = np.zeros(len(b), bool)
+        for i, j in itertools.pairwise([0, *(np.flatnonzero(key[1:] != key[:-1]) + 1), len(key)]):
+            before = [np.asarray(k, np.int64) for k in b["keys"].iloc[i:j]]
+            before = [k[k < key[i]] for k in before]
+            names, name = np.unique(np.concatenate(before), return_inverse=True)
+            row = np.repeat(np.arange(j - i), [*map(len, before)])
+            met = np.zeros((j - i, j - i), bool)
+            for k in range(0, len(names), BLOCK):
+                own = (name >= k) & (name < k + BLOCK)
+                member = np.zeros((j - i, BLOCK), np.float32)
+                member[row[own], name[own] - k] = 1
+                met |= member @ member.T > 0
+            new = ~met & (c[i:j, None] != c[i:j])
+            for x in np.flatnonzero(new.any(axis=1)):
+                other = np.flatnonzero(new[x, x + 1 :]) + x + 1
+                other = other[(sketch[i + other] == sketch[i + x]).sum(axis=1) >= AGREE]
+                if len(other):
+                    found[i + x] = found[i + other] = True
+        if found.any():
+            yield b[["key", "id", "c", "sketch"]][found]
+
+    ids = rows.groupBy("id").agg(F.first("sketch").alias("sketch"), F.collect_list(F.struct("key", "c")).alias("_places"))
+    ids = ids.withColumn("keys", F.when(F.size("_places") <= MANY, F.col("_places.key")).otherwise(F.array().cast("array<bigint>")))
+    return by_key(ids.select("id", "sketch", "keys", F.inline("_places")), work, "key long, id long, c long, sketch binary")
+
+
 def joining(rows: DataFrame, similarity: int) -> DataFrame:
     """Links (u, v) that join the components of each group of rows (key, id, c, sketch, members).
 
@@ -281,13 +317,22 @@ def sets_of(docs: DataFrame, found: DataFrame, words: int, scratch: Scratch) ->
     return scratch.cut(docs.join(ids, "id", "left_semi").mapInPandas(run, "id long, members binary").where("length(members) > 0"))
 
 
+def by_id(rows: DataFrame, what: Column, table: DataFrame) -> DataFrame:
+    """``rows`` (id, sketch and others) with the columns of ``table``, joined once per id; of the others only the struct ``what`` stays.
+
+    An id is in several groups of every tree: the join makes as many rows as there are ids, not groups.
+    """
+    ids = rows.groupBy("id").agg(F.first("sketch").alias("sketch"), F.collect_list(what).alias("_places"))
+    return ids.join(table, "id").withColumn("_place", F.explode("_places")).select("*", "_place.*").drop("_places", "_place")
+
+
 def link(docs: DataFrame, found: DataFrame, components: Components, words: int, similarity: int, scratch: Scratch) -> None:
     """Joins the components of what is similar within the groups of ``found`` (key, id, c, sketch)."""
-    found = scratch.cut(found)
+    found = scratch.cut(once(found))
     if found.isEmpty():
         return
     sets = sets_of(docs, found, words, scratch)
-    links = scratch.cut(joining(found.join(sets, "id"), similarity))
+    links = scratch.cut(joining(by_id(found, F.struct("key", "c"), sets), similarity))
     if not links.isEmpty():
         components.add(links)
 
@@ -337,7 +382,7 @@ def linked(docs: DataFrame, words: int, similarity: int, scratch: Scratch, compo
             break
         ready = ((F.col("n") <= SMALL) | (F.col("outside") <= FEW)) if level < LEVELS else F.lit(True)
         later.append(scratch.cut(with_partners(meetings(shared.where(ready)))))
-        nodes = scratch.cut(children(shared.where(~ready).select("path", "id", "sketch").join(tokens, "id"), BRANCH))
+        nodes = scratch.cut(children(by_id(shared.where(~ready), F.struct("path"), tokens), BRANCH))
         tidy(nodes, *later)
     if later:
         compare(reduce(DataFrame.unionByName, later))

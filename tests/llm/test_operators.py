@@ -559,3 +559,16 @@ def test_tags_against_another_parser():
             given = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in reversed(list(htmltext._ATTR.finditer(t.attrs)))}
             got += [(t.name, given.get("class", "")), source[t.stop : following.start if following else None]]
         assert got == plain.out
+
+
+def test_a_pair_travels_to_one_of_its_groups_and_a_set_is_joined_once(spark):
+    same, other = bytes(neardup.POSITIONS), bytes([9] * neardup.POSITIONS)
+    rows = [(key, i, i, same) for key in (3, 5, 8) for i in (1, 2)] + [(8, 4, 4, same), (5, 6, 6, other), (9, 1, 1, same), (9, 6, 6, other), (11, 2, 7, same), (11, 7, 7, same)]
+    found = spark.createDataFrame(rows, "key long, id long, c long, sketch binary")
+    kept = neardup.once(found)
+    assert sorted((r.key, r.id) for r in kept.collect()) == [(3, 1), (3, 2), (8, 1), (8, 2), (8, 4)]
+    sets = spark.createDataFrame([(i, bytes([i])) for i in (1, 2, 4)], "id long, members binary")
+    joined = neardup.by_id(kept, F.struct("key", "c"), sets)
+    assert sorted((r.key, r.id, r.c, bytes(r.sketch), bytes(r.members)) for r in joined.collect()) == [(k, i, i, same, bytes([i])) for k, i in [(3, 1), (3, 2), (8, 1), (8, 2), (8, 4)]]
+    many = spark.createDataFrame([(key, i, i, same) for key in range(neardup.MANY + 1) for i in (1, 2)], "key long, id long, c long, sketch binary")
+    assert neardup.once(many).count() == many.count()
