@@ -48,6 +48,8 @@ CACHE_WORDS = 300_000
 DEALT_TOGETHER = 20_000
 #: Texts that are encoded together.
 TEXTS_AT_ONCE = 100
+#: Bytes of text whose words are hashed together; the arrays stay in a core's cache.
+HASHED_BYTES = 1 << 17
 
 
 def default_tokenizer() -> str:
@@ -125,7 +127,7 @@ _IS_TERM[[*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
 def slots_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text, slot, count) of the distinct word slots of each text, by text; words are runs of letters and digits."""
     found = []
-    for i, j in chunks(texts):
+    for i, j in chunks(texts, HASHED_BYTES):
         data, begin = joined([t.lower() for t in texts[i:j]])
         starts, h = hash_words(data, _IS_TERM[data])
         owner = np.searchsorted(begin, starts, side="right") - 1
@@ -203,15 +205,12 @@ class Shard:
         weight = tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / max(mean_words, 1)))
         order = np.argsort(term, kind="stable")
         self.doc, self.weight = doc[order], weight[order] * idf[term[order]]
-        self.term, self.first = np.unique(term[order], return_index=True)
-        self.last = np.append(self.first[1:], len(term))
+        self.edge = np.concatenate(([0], np.cumsum(np.bincount(term, minlength=SLOTS))))  # of each slot's holders
 
     def ranked(self, query: np.ndarray, used: np.ndarray) -> np.ndarray:
         """Unused documents by BM25 score for the words of ``query``; ties by place."""
-        at = np.searchsorted(self.term, query)
-        at = at[at < len(self.term)]
-        at = at[np.isin(self.term[at], query)]
-        first, size = self.first[at], self.last[at] - self.first[at]
+        first = self.edge[query]
+        size = self.edge[query + 1] - first
         index = np.repeat(first - (np.cumsum(size) - size), size) + np.arange(size.sum())
         score = np.bincount(self.doc[index], self.weight[index], minlength=self.n)
         free = np.flatnonzero(~used)

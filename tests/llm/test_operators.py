@@ -572,3 +572,19 @@ def test_a_pair_travels_to_one_of_its_groups_and_a_set_is_joined_once(spark):
     assert sorted((r.key, r.id, r.c, bytes(r.sketch), bytes(r.members)) for r in joined.collect()) == [(k, i, i, same, bytes([i])) for k, i in [(3, 1), (3, 2), (8, 1), (8, 2), (8, 4)]]
     many = spark.createDataFrame([(key, i, i, same) for key in range(neardup.MANY + 1) for i in (1, 2)], "key long, id long, c long, sketch binary")
     assert neardup.once(many).count() == many.count()
+
+
+def test_ranking_of_a_shard_equals_scores_word_by_word(monkeypatch):
+    monkeypatch.delattr(np, "isin")  # slots are looked up in the index at once
+    r = np.random.default_rng(4)
+    slots = [np.sort(r.choice(40, r.integers(0, 9), replace=False)).astype("<i4") for _ in range(60)]
+    counts = [r.integers(1, 4, len(s)).astype("<i4") for s in slots]
+    idf = np.zeros(packing.SLOTS, np.float32)
+    idf[:40] = r.integers(1, 9, 40) / 8
+    shard, used = packing.Shard(slots, counts, idf, 4.0), r.random(60) < 0.3
+    k1, b, length = packing.K1, packing.B, [int(c.sum()) for c in counts]
+    weight = [{int(t): float(idf[t] * n * (k1 + 1) / (n + k1 * (1 - b + b * length[k] / 4))) for t, n in zip(s, c, strict=True)} for k, (s, c) in enumerate(zip(slots, counts, strict=True))]
+    for query in (slots[0], np.array([1, 5, 39, 40, packing.SLOTS - 1], "<i4"), np.empty(0, "<i4")):
+        score = np.array([sum(w.get(int(t), 0.0) for t in query) for w in weight])
+        got = shard.ranked(query, used)
+        assert sorted(got) == np.flatnonzero(~used).tolist() and (np.diff(score[got]) < 1e-5).all()
