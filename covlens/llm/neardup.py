@@ -16,7 +16,7 @@ it has that token there. Then, level by level:
 * after ``LEVELS`` levels all blocks outside the largest component meet all other blocks.
 
 Two members that agree in at least ``AGREE`` of the positions (five standard deviations
-below the threshold) are compared by their full sets, which travel to where their node is compared, and only links that join
+below the threshold) are compared by their full sets, which travel to the first group in which the two meet, and only links that join
 two components leave it: no list of candidate pairs is made, and a block yields fewer links than it has members.
 Two classes at a threshold of 0.8 meet in a tree
 with probability 0.8 if its root nodes are small, and with 0.753 if their nodes stay large through all ``LEVELS``.
