@@ -63,18 +63,46 @@ _LETTER, _NUMBER, _WHITE = "a-z\u00aa\u00b5\u00ba\u00df-\u00f6\u00f8-\u00ff", "0
 _PIECES = re.compile(f"'(?:s|t|re|ve|m|ll|d)|[{_LETTER}]+|[{_NUMBER}]|[^{_WHITE}{_LETTER}{_NUMBER}]+")
 
 
-class _Memory(dict):
-    """What ``make`` gives for a key, remembered."""
+class _Pieces(dict):
+    """Ids of pieces of Latin-1 words, remembered."""
 
-    def __init__(self, make):
+    def __init__(self, model):
         super().__init__()
-        self.make = make
+        self.model = model
+        # printable bytes stand for themselves, the others for U+0100 and on
+        shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+        hidden = [b for b in range(256) if b not in shown]
+        self.letters = {b: 0x100 + k for k, b in enumerate(hidden)}
 
-    def __missing__(self, key: str) -> bytes:
-        value = self[key] = self.make(key)
+    def __missing__(self, piece: str) -> bytes:
+        shown = piece if piece.isascii() and piece.isprintable() else piece.encode().decode("latin-1").translate(self.letters)
+        value = self[piece] = array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
         return value
 
 
+class _Words(dict):
+    """Ids of words, remembered."""
+
+    def __init__(self, tokenizer, pieces: _Pieces):
+        super().__init__()
+        self.tokenizer, self.pieces = tokenizer, pieces
+
+    def __missing__(self, word: str) -> bytes:
+        value = self[word] = self.ids(word)
+        return value
+
+    def ids(self, word: str) -> bytes:
+        if word.isascii():
+            if word.isalpha():
+                return self.pieces[word.lower()]
+            plain = "<|" not in word
+        else:
+            plain = max(word) < "\u0100" and "<|" not in word
+        if not plain:
+            return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+        return b"".join(map(self.pieces.__getitem__, _PIECES.findall(word.lower())))
+
+
 class Encoder:
     """Token ids of whole texts, with the end id, by the tokenizer file at ``path``.
 
@@ -89,28 +117,10 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
-        # printable bytes stand for themselves, the others for U+0100 and on
-        shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-        hidden = [b for b in range(256) if b not in shown]
-        self.letters = {b: 0x100 + k for k, b in enumerate(hidden)}
         self.end = array("I", [end_id]).tobytes()
-        self.pieces, self.words = _Memory(self.piece), _Memory(self.word)
-
-    def piece(self, piece: str) -> bytes:
-        shown = piece if piece.isascii() and piece.isprintable() else piece.encode().decode("latin-1").translate(self.letters)
-        return array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
-
-    def word(self, word: str) -> bytes:
-        if word.isascii():
-            if word.isalpha():
-                return self.pieces[word.lower()]
-            plain = "<|" not in word
-        else:
-            plain = max(word) < "\u0100" and "<|" not in word
-        if not plain:
-            return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
-        return b"".join(map(self.pieces.__getitem__, _PIECES.findall(word.lower())))
+        # neither refers to the encoder: with its last use the memory goes at once, not when a collector runs
+        self.pieces = _Pieces(self.tokenizer.model)
+        self.words = _Words(self.tokenizer, self.pieces)
 
     def __call__(self, texts: list) -> list[np.ndarray]:
         for memory in (self.words, self.pieces):

@@ -1,10 +1,12 @@
 """Operators against plain versions, exact round trips and held-out accuracy."""
 
 import datetime
+import gc
 import math
 import random
 import time
 import tracemalloc
+import weakref
 import zlib
 
 import duckdb
@@ -588,3 +590,15 @@ def test_ranking_of_a_shard_equals_scores_word_by_word(monkeypatch):
         score = np.array([sum(w.get(int(t), 0.0) for t in query) for w in weight])
         got = shard.ranked(query, used)
         assert sorted(got) == np.flatnonzero(~used).tolist() and (np.diff(score[got]) < 1e-5).all()
+
+
+def test_an_encoder_goes_with_its_last_use():
+    encode = packing.Encoder(packing.default_tokenizer())
+    encode(["some words, and more"])
+    gone = [weakref.ref(x) for x in (encode, encode.words, encode.pieces)]
+    gc.disable()
+    try:
+        del encode
+        assert [x() for x in gone] == [None] * 3
+    finally:
+        gc.enable()
